@@ -1,0 +1,67 @@
+"""Keys that hold too many rows for one task.
+
+A key is hot when it has more rows than ``max(hot_rows, total / MAX_HOT_KEYS)``.
+Fewer than ``total / threshold`` keys can exceed the threshold, so there are never
+more than ``MAX_HOT_KEYS`` of them however large the data is. That bound is what
+makes it safe to broadcast the hot keys, or one row for each of them.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from airlake.scratch import cut_lineage
+
+MAX_HOT_KEYS = 10_000
+HOT_ROWS = 1_000_000
+
+
+def hot_threshold(total_rows: int, hot_rows: int = HOT_ROWS) -> int:
+    return max(hot_rows, total_rows // MAX_HOT_KEYS)
+
+
+def find_hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The hot values of ``keys``, or None when there are none.
+
+    Reads only the key columns and combines before it shuffles, so the hot key
+    costs no more than any other one.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total, largest = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
+    limit = hot_threshold(total or 0, hot_rows)
+    if (largest or 0) <= limit:
+        return None
+    return cut_lineage(sizes.where(F.col("_rows") > limit).select(*keys))
+
+
+def matching(keys: list[str], prefix: str = "_hot_") -> Column:
+    """Null-safe equality of ``keys`` with their prefixed copies."""
+    return reduce(and_, (F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys))
+
+
+def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with a hot key and the others, without moving either."""
+    ids = F.broadcast(hot.select(*(F.col(k).alias("_hot_" + k) for k in keys)))
+    return df.join(ids, matching(keys), "left_semi"), df.join(ids, matching(keys), "left_anti")
+
+
+def join_on_unique(
+    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot: DataFrame | None, how: str = "inner"
+) -> DataFrame:
+    """Join ``fact`` to ``dim``, whose key is unique and differently named.
+
+    Rows of hot keys stay where they are and meet a broadcast of at most
+    ``MAX_HOT_KEYS`` rows of ``dim``; only the others are shuffled.
+    ``hot`` has one column, named like ``fact_key``. ``how`` is inner or left_semi.
+    """
+    on = F.col(fact_key) == F.col(dim_key)
+    if hot is None:
+        return fact.join(dim, on, how)
+    hot_rows, other_rows = split_hot(fact, [fact_key], hot)
+    ids = F.broadcast(hot.select(F.col(fact_key).alias("_hot_key")))
+    hot_dim = dim.join(ids, F.col(dim_key) == F.col("_hot_key"), "left_semi")
+    return hot_rows.join(F.broadcast(hot_dim), on, how).unionByName(other_rows.join(dim, on, how))
