@@ -11,7 +11,8 @@ UNITS = ("B", "KB", "MB", "GB")  # fixed values
 def format_bytes(size: Column) -> Column:
     """Bytes as text in the unit that keeps the number below 1024; one decimal from KB on."""
     def shown(power: int) -> Column:
-        return F.format_string(f"%.1f {UNITS[power]}", size.cast("double") / 1024**power)
+        # Halves go to the even digit: 1.25 KB is shown as 1.2 KB.
+        return F.format_string(f"%.1f {UNITS[power]}", F.bround(size.cast("double") / 1024**power, 1))
 
     return (
         F.when(size < 1024, F.format_string(f"%d {UNITS[0]}", size.cast("long")))

@@ -11,7 +11,7 @@ from airlake.graph.graph import Graph
 from airlake.operators.aggregates import listed, ranked_list, share
 from airlake.operators.skew import HOT_ROWS, find_hot_keys, join_on_unique, split_hot
 from airlake.operators.windows import largest_per_group, top_n_per_group
-from airlake.scratch import cut_lineage, keep, keep_bucketed
+from airlake.scratch import bucketed_copy, cut_lineage, keep
 
 
 def label_propagation(graph: Graph, max_iter: int = 5, checkpoint_interval: int = 1) -> DataFrame:
@@ -38,25 +38,25 @@ def label_propagation(graph: Graph, max_iter: int = 5, checkpoint_interval: int
         hot_part, links = split_hot(links, ["speaker"], hot)
         hot_links = keep(hot_part, "hot_votes")
         hot_ids = F.broadcast(hot.select(F.col("speaker").alias("_hot")))
-    links = keep_bucketed(links, "speaker", "votes")
 
     def votes(part: DataFrame, labels: DataFrame) -> DataFrame:
         return part.join(labels, F.col("speaker") == F.col("id")).select(
             F.col("hearer").alias("id"), "label", "weight"
         )
 
+    winner = F.min(F.struct((-F.col("n")).alias("n"), "label"))
     labels = cut_lineage(graph.vertices.select("id", F.col("id").alias("label")))
-    for round_ in range(1, max_iter + 1):
-        # A vote without weight for the own label decides only where there is no other.
-        parts = [votes(links, labels), labels.withColumn("weight", F.lit(0).cast("long"))]
-        if hot_links is not None:
-            hot_labels = labels.join(hot_ids, F.col("id") == F.col("_hot"), "left_semi")
-            parts.append(votes(hot_links, F.broadcast(hot_labels)))
-        counted = reduce(DataFrame.unionByName, parts).groupBy("id", "label").agg(F.sum("weight").alias("n"))
-        winner = F.min(F.struct((-F.col("n")).alias("n"), "label"))
-        labels = counted.groupBy("id").agg(winner.alias("_won")).select("id", F.col("_won.label").alias("label"))
-        if round_ % checkpoint_interval == 0 or round_ == max_iter:
-            labels = cut_lineage(labels)
+    with bucketed_copy(links, "speaker", "votes") as links:
+        for round_ in range(1, max_iter + 1):
+            # A vote without weight for the own label decides only where there is no other.
+            parts = [votes(links, labels.hint("shuffle_hash")), labels.withColumn("weight", F.lit(0).cast("long"))]
+            if hot_links is not None:
+                hot_labels = labels.join(hot_ids, F.col("id") == F.col("_hot"), "left_semi")
+                parts.append(votes(hot_links, F.broadcast(hot_labels)))
+            counted = reduce(DataFrame.unionByName, parts).groupBy("id", "label").agg(F.sum("weight").alias("n"))
+            labels = counted.groupBy("id").agg(winner.alias("_won")).select("id", F.col("_won.label").alias("label"))
+            if round_ % checkpoint_interval == 0 or round_ == max_iter:
+                labels = cut_lineage(labels)
     return graph.vertices.join(labels, "id")
 
 

@@ -7,20 +7,26 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlake.operators.skew import HOT_ROWS, find_hot_keys
+from airlake.operators.skew import HOT_ROWS, find_hot_keys, join_on_unique
 from airlake.scratch import keep
 
 
-def collapse_routes(routes: DataFrame, src: str = "src_id", dst: str = "dst_id") -> DataFrame:
-    """Parallel routes as one directed edge with its distance and number of airlines.
+def collapse_routes(routes: DataFrame) -> DataFrame:
+    """Parallel routes as one directed pair: number of airlines and of routes.
 
-    Distances are equal within a pair, so the minimum is that distance.
+    Done before anything is looked up for the ends: what is joined afterwards is
+    a row per pair, not per route.
     """
-    return routes.groupBy(F.col(src).alias("src"), F.col(dst).alias("dst")).agg(
-        F.min("distance_km").alias("distance_km"), F.count_distinct("airline_id").alias("airlines")
+    return routes.groupBy("src_id", "dst_id").agg(
+        F.count_distinct("airline_id").alias("airlines"), F.count(F.lit(1)).alias("flights")
     )
 
 
+def edges_of(pairs: DataFrame) -> DataFrame:
+    """Located pairs as edges."""
+    return pairs.select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"), "distance_km", "airlines")
+
+
 def touched_vertices(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Only vertices at one end of an edge at least."""
     ends = edges.select(F.col("src").alias("_end")).union(edges.select("dst")).distinct()
@@ -60,6 +66,13 @@ class Graph:
     def hot_targets(self) -> DataFrame | None:
         return find_hot_keys(self.edges, ["dst"], self.hot_rows)
 
+    @cached_property
+    def coded_edges(self) -> DataFrame:
+        """Edges with the code of the vertex they lead to, materialised once for all hops of a search."""
+        codes = self.vertices.select(F.col("id").alias("_id"), "code")
+        hops = self.edges.select("src", "dst", "distance_km")
+        return keep(join_on_unique(hops, codes, "dst", "_id", self.hot_targets).drop("_id"), "hops")
+
     @property
     def in_degrees(self) -> DataFrame:
         return self.edges.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("inDegree"))

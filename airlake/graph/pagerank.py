@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
 from airlake.operators.skew import join_on_unique, split_hot
-from airlake.scratch import cut_lineage, keep, keep_bucketed
+from airlake.scratch import bucketed_copy, cut_lineage, keep
 
 CHECKPOINT_INTERVAL = 5
 
@@ -32,7 +32,6 @@ def _ranks(graph: Graph, resets: list[float], max_iter: int, checkpoint_interval
         hot_part, links = split_hot(links, ["src"], hot)
         hot_links = keep(hot_part, "hot_links")
         hot_ids = F.broadcast(hot.select(F.col("src").alias("_hot")))
-    links = keep_bucketed(links, "src", "links")
     ids = keep(graph.vertices.select("id"), "ids")
 
     def sent(part: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -42,20 +41,19 @@ def _ranks(graph: Graph, resets: list[float], max_iter: int, checkpoint_interval
     # Every vertex takes part with nothing, so those without in-links get a rank as well.
     nothing = ids.select("id", *(F.lit(0.0).alias(c) for c in columns))
     ranks = ids.select("id", *(F.lit(1.0).alias(c) for c in columns))
-    for round_ in range(1, max_iter + 1):
-        parts = [sent(links, ranks), nothing]
-        if hot_links is not None:
-            hot_ranks = ranks.join(hot_ids, F.col("id") == F.col("_hot"), "left_semi")
-            parts.append(sent(hot_links, F.broadcast(hot_ranks)))
-        received = reduce(DataFrame.unionByName, parts).groupBy("id")
-        ranks = received.agg(
-            *(
-                (F.lit(reset) + F.lit(1.0 - reset) * F.sum(c)).alias(c)
-                for reset, c in zip(resets, columns)
-            )
-        )
-        if round_ % checkpoint_interval == 0 or round_ == max_iter:
-            ranks = cut_lineage(ranks)
+    next_ranks = [
+        (F.lit(reset) + F.lit(1.0 - reset) * F.sum(c)).alias(c) for reset, c in zip(resets, columns)
+    ]
+    with bucketed_copy(links, "src", "links") as links:
+        for round_ in range(1, max_iter + 1):
+            # Hash the ranks, one row per vertex, and stream the links past them unsorted.
+            parts = [sent(links, ranks.hint("shuffle_hash")), nothing]
+            if hot_links is not None:
+                hot_ranks = ranks.join(hot_ids, F.col("id") == F.col("_hot"), "left_semi")
+                parts.append(sent(hot_links, F.broadcast(hot_ranks)))
+            ranks = reduce(DataFrame.unionByName, parts).groupBy("id").agg(*next_ranks)
+            if round_ % checkpoint_interval == 0 or round_ == max_iter:
+                ranks = cut_lineage(ranks)
 
     count, *totals = ranks.agg(F.count(F.lit(1)), *(F.sum(c) for c in columns)).first()
     return ranks.select(

@@ -31,11 +31,11 @@ def simple_paths(graph: Graph, segments: int, start: str, end: str) -> DataFrame
 
     Paths grow by one join per segment and lose repeats at once. The last edge
     must end in the target set and the one before it where such an edge starts,
-    so the two widest joins build only what can still become a result.
+    so the two widest joins build only what can still become a result. Busy
+    transfer points make both sides of a join uneven; AQE splits those partitions.
     """
     targets = select_vertices(graph.vertices, end).select(F.col("id").alias("_target"))
-    codes = graph.vertices.select(F.col("id").alias("_id"), "code")
-    hops = graph.edges.select("src", "dst", "distance_km")
+    hops = graph.coded_edges
     last = join_on_unique(hops, targets, "dst", "_target", graph.hot_targets, "left_semi")
     before_last = hops
     if segments > 1:
@@ -46,12 +46,10 @@ def simple_paths(graph: Graph, segments: int, start: str, end: str) -> DataFrame
         F.col("id").alias("_last"),
         F.array("id").alias("_visited"),
         F.array("code").alias("_codes"),
-        F.lit(0.0).alias("distance_km"),
+        F.lit(0.0).alias("_km"),
     )
     for step in range(1, segments + 1):
-        edges = last if step == segments else before_last if step == segments - 1 else hops
-        with_code = join_on_unique(edges, codes, "dst", "_id", graph.hot_targets)
-        hop = with_code.select("src", "dst", F.col("distance_km").alias("_km"), "code")
+        hop = last if step == segments else before_last if step == segments - 1 else hops
         paths = (
             paths.join(hop, F.col("_last") == F.col("src"))
             .where(~F.array_contains("_visited", F.col("dst")))
@@ -59,11 +57,11 @@ def simple_paths(graph: Graph, segments: int, start: str, end: str) -> DataFrame
                 F.col("dst").alias("_last"),
                 F.array_append("_visited", F.col("dst")).alias("_visited"),
                 F.array_append("_codes", F.col("code")).alias("_codes"),
-                (F.col("distance_km") + F.col("_km")).alias("distance_km"),
+                (F.col("_km") + F.col("distance_km")).alias("_km"),
             )
         )
     return paths.select(
-        F.lit(segments).alias("segments"), F.concat_ws(ARROW, "_codes").alias("route"), "distance_km"
+        F.lit(segments).alias("segments"), F.concat_ws(ARROW, "_codes").alias("route"), F.col("_km").alias("distance_km")
     )
 
 

@@ -1,7 +1,7 @@
 """Graphs derived from the given tables, in Spark and in SQL.
 
-* lanes: nations; an edge for each pair at least a tenth busier than the average
-  lane of its source. Small and dense, for motifs, paths and searches.
+* lanes: nations; an edge for each pair busier than the average lane of its
+  source or of its destination. Small and dense, for motifs, paths and searches.
 * shipments: suppliers and customers; goods go out along every line item and
   come back along returned ones. Directed, with cycles, as large as the tables.
 * domestic: the shipments that stay inside a nation, hence many components.
@@ -14,10 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.graph.graph import Graph, collapse_routes, touched_vertices
+from airlake.functions.geo import haversine_km
+from airlake.graph.graph import Graph, collapse_routes, edges_of, touched_vertices
 from airlake.operators.quality import with_distances
 from airlake.plans.tables import AIRPORTS, ROUTE_TABLES, airports, haversine_sql, routes, table
-from airlake.functions.geo import haversine_km
+from airlake.scratch import keep
 
 
 def labelled_airports(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,8 +29,12 @@ def labelled_airports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def located_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return with_distances(collapse_routes(routes(spark, folder)), airports(spark, folder))
+
+
 def route_edges(spark: SparkSession, folder: str) -> DataFrame:
-    return collapse_routes(with_distances(routes(spark, folder), airports(spark, folder)))
+    return edges_of(located_pairs(spark, folder))
 
 
 ROUTE_EDGES = f"""{ROUTE_TABLES},
@@ -44,24 +49,29 @@ labelled AS (
 )"""
 
 
-def lanes(spark: SparkSession, folder: str) -> Graph:
-    flown = with_distances(routes(spark, folder), airports(spark, folder))
-    edges = flown.groupBy(F.col("src_id").alias("src"), F.col("dst_id").alias("dst")).agg(
-        F.min("distance_km").alias("distance_km"),
-        F.count_distinct("airline_id").alias("airlines"),
-        F.count(F.lit(1)).alias("flights"),
-    )
-    per_source = edges.groupBy(F.col("src").alias("_src")).agg(
-        F.sum("flights").alias("_flights"), F.count(F.lit(1)).alias("_lanes")
-    )
-    busy = (
-        edges.join(per_source, F.col("src") == F.col("_src"))
-        .where(F.col("flights") * F.col("_lanes") * 10 >= F.col("_flights") * 11)
-        .select("src", "dst", "distance_km", "airlines")
+def lanes(spark: SparkSession, folder: str, reused: bool = False) -> Graph:
+    pairs = keep(located_pairs(spark, folder).select("src_id", "dst_id", "distance_km", "airlines", "flights"), "pairs")
+    busy = pairs
+    for end in ("src", "dst"):
+        per_end = pairs.groupBy(F.col(f"{end}_id").alias(f"_{end}")).agg(
+            F.sum("flights").alias(f"_{end}_flights"), F.count(F.lit(1)).alias(f"_{end}_lanes")
+        )
+        busy = busy.join(per_end, F.col(f"{end}_id") == F.col(f"_{end}"))
+    busy = busy.where(
+        (F.col("flights") * F.col("_src_lanes") > F.col("_src_flights"))
+        | (F.col("flights") * F.col("_dst_lanes") > F.col("_dst_flights"))
     )
-    vertices = labelled_airports(spark, folder)
-    kept = Graph(vertices, busy).kept()
-    return Graph(touched_vertices(kept.vertices, kept.edges), kept.edges)
+    return _connected(labelled_airports(spark, folder), edges_of(busy), reused)
+
+
+def _connected(vertices: DataFrame, edges: DataFrame, reused: bool) -> Graph:
+    """The graph over materialised edges and the vertices they touch.
+
+    ``reused`` materialises the vertices too, for work that looks at them repeatedly.
+    """
+    edges = keep(edges, "edges")
+    touched = touched_vertices(vertices, edges)
+    return Graph(keep(touched, "vertices") if reused else touched, edges)
 
 
 LANES = f"""{ROUTE_EDGES},
@@ -69,7 +79,8 @@ edges AS (
     SELECT e.src, e.dst, e.distance_km, e.airlines
     FROM route_edges e
     JOIN (SELECT src, SUM(flights) AS f, COUNT(*) AS n FROM route_edges GROUP BY src) s ON e.src = s.src
-    WHERE e.flights * s.n * 10 >= s.f * 11
+    JOIN (SELECT dst, SUM(flights) AS f, COUNT(*) AS n FROM route_edges GROUP BY dst) d ON e.dst = d.dst
+    WHERE e.flights * s.n > s.f OR e.flights * d.n > d.f
 ),
 vertices AS (
     SELECT * FROM labelled WHERE id IN (SELECT src FROM edges UNION SELECT dst FROM edges)
@@ -127,10 +138,9 @@ def _shipment_edges(spark: SparkSession, folder: str, people: DataFrame, domesti
     return edges.select("src", "dst", distance.alias("distance_km"), "airlines")
 
 
-def shipments(spark: SparkSession, folder: str, domestic: bool = False) -> Graph:
+def shipments(spark: SparkSession, folder: str, domestic: bool = False, reused: bool = False) -> Graph:
     people = traders(spark, folder)
-    kept = Graph(people, _shipment_edges(spark, folder, people, domestic)).kept()
-    return Graph(touched_vertices(kept.vertices, kept.edges), kept.edges)
+    return _connected(people, _shipment_edges(spark, folder, people, domestic), reused)
 
 
 def _shipments_sql(condition: str) -> str:
@@ -170,7 +180,7 @@ HOST = r"^[a-z]+://([^/]+)"
 LINK = r'href="([^"]*)"'
 
 
-def links(spark: SparkSession, folder: str) -> Graph:
+def links(spark: SparkSession, folder: str, reused: bool = False) -> Graph:
     pages = table(spark, folder, "pages").select(
         "page_id", F.regexp_extract("url", HOST, 1).alias("host"), "html"
     )
@@ -186,8 +196,7 @@ def links(spark: SparkSession, folder: str) -> Graph:
         .union(found.select("dst", "host", domain).distinct())
         .select("id", F.col("id").alias("code"), "city", "country")
     )
-    kept = Graph(vertices, edges).kept()
-    return Graph(touched_vertices(kept.vertices, kept.edges), kept.edges)
+    return _connected(vertices, edges, reused)
 
 
 LINKS = f"""

@@ -11,8 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The given tables. Stating them spares a job that looks into the files.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def companies(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,14 +93,14 @@ def routes(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_tax", "l_discount", "l_returnflag"
     )
-    buyers = table(spark, folder, "orders").select("o_orderkey", "o_custkey").join(
-        table(spark, folder, "customer").select("c_custkey", "c_nationkey"),
-        F.col("o_custkey") == F.col("c_custkey"),
-    )
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    buyers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     sellers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    # Always from the lines outwards, so that no join has the lines on its small side.
     return (
-        lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.when(F.col("l_tax") > 0, F.col("l_suppkey")).alias("airline_id"),
             F.col("s_nationkey").alias("src_id"),

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,11 +49,13 @@ def keep(df: DataFrame, label: str = "kept") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keep_bucketed(df: DataFrame, key: str, label: str = "bucketed") -> DataFrame:
-    """Write a result hashed by ``key`` so that later joins on it need no shuffle.
+@contextmanager
+def bucketed_copy(df: DataFrame, key: str, label: str = "bucketed") -> Iterator[DataFrame]:
+    """A copy hashed by ``key``, so that joins on it inside the block need no shuffle.
 
     The bucket count equals the session's shuffle width, hence the other side of
     such a join, when it comes out of an aggregation on its key, stays in place too.
+    Use it for rows without hot keys: a bucket is written and read by one task.
     """
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -63,4 +67,7 @@ def keep_bucketed(df: DataFrame, key: str, label: str = "bucketed") -> DataFrame
         .option("path", new_path(spark, label))
         .saveAsTable(name)
     )
-    return spark.table(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -37,18 +37,18 @@ def load_partitions(df: DataFrame, path: str, key: str) -> None:
     )
 
 
-def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, files_per_bucket: int = 1) -> DataFrame:
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
     """Hash ``key`` into ``buckets``; Spark then prunes buckets and joins without a shuffle.
 
-    With one file per bucket each task writes exactly one bucket. Raise
-    ``files_per_bucket`` when a bucket, or one hot key in it, is too large for a task.
+    Rows are brought together per bucket, so a bucket is one file, unless it is too
+    large for a task (many rows, or one hot key): rebalancing then splits it into
+    several files of the same bucket.
     """
-    if files_per_bucket == 1:
-        placed = df.repartition(buckets, key)
-    else:
-        bucket = F.pmod(F.hash(key), F.lit(buckets))
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
-        placed = df.repartition(buckets * files_per_bucket, bucket, salt)
+    placed = (
+        df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets)))
+        .hint("rebalance", buckets, "_bucket")
+        .drop("_bucket")
+    )
     return _replace(placed.write.bucketBy(buckets, key), df, name, path)
 
 
