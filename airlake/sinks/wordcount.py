@@ -19,5 +19,6 @@ def write_wordcount(counts: DataFrame, path: str, parts: int) -> None:
         placed.repartitionByRange("part", "word")
         .sortWithinPartitions("part", "word")
         .select("part", F.concat_ws("\t", "word", "count").alias("value"))
-        .write.mode("overwrite").partitionBy("part").option("lineSep", "\n").text(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("part").option("lineSep", "\n").text(path)
     )
