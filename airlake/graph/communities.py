@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.operators.aggregates import listed, ranked_list, share
-from airlake.operators.skew import HOT_ROWS, find_hot_keys, join_on_unique, split_hot
+from airlake.operators.aggregates import listed_around_hot, ranked_list, share
+from airlake.operators.skew import HOT_ROWS, find_hot_keys, hot_among, join_on_unique, split_hot
 from airlake.operators.windows import largest_per_group, top_n_per_group
 from airlake.scratch import bucketed_copy, cut_lineage, keep
 
@@ -71,38 +71,37 @@ def largest_group(sizes: DataFrame, group: str):
     return None if top is None else top[group]
 
 
-def isolated_members(components: DataFrame, at_least: int = 2, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Vertices outside the largest component, with the size of their own one."""
-    sizes = keep(group_sizes(components, "component"), "sizes")
-    main = largest_group(sizes, "component")
-    outside = components.where(F.col("component") != F.lit(main))
-    other_sizes = sizes.where((F.col("component") != F.lit(main)) & (F.col("size") >= at_least))
-    hot = find_hot_keys(outside, ["component"], hot_rows)
-    return join_on_unique(
-        outside, other_sizes.withColumnRenamed("component", "_component"), "component", "_component", hot
-    ).drop("_component")
-
-
 def isolated_components(
     components: DataFrame, at_least: int = 2, chunk_rows: int = 10_000, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Components outside the main one with their members and countries listed.
+    """Components outside the largest one with their members and countries listed.
 
     One row per component; a component of more than ``chunk_rows`` members goes on
     in further chunks.
     """
-    members = keep(isolated_members(components, at_least, hot_rows), "isolated")
+    sizes = keep(group_sizes(components, "component", at_least), "sizes")
+    others = sizes.where(F.col("component") != F.lit(largest_group(sizes, "component")))
+    hot = hot_among(others, ["component"], "size", hot_rows)
+    members = keep(
+        join_on_unique(
+            components.select("id", "code", "city", "country", "component"),
+            others.withColumnRenamed("component", "_component"), "component", "_component", hot,
+        ).drop("_component"),
+        "isolated",
+    )
     place = F.concat_ws(" ", "code", F.concat(F.lit("("), "city", F.lit(")")))
-    keys = ["component", "size"]
-    places = listed(
-        members.withColumn("_place", place), keys, "_place", "members", ["id"],
-        chunk_rows=chunk_rows, hot_rows=hot_rows,
+    places = listed_around_hot(
+        members.withColumn("_place", place), ["component"], "_place", "members", hot, ["id"], chunk_rows=chunk_rows
     )
-    countries = listed(
-        members.select(*keys, "country").distinct(), keys, "country", "countries",
-        chunk_rows=chunk_rows, hot_rows=hot_rows,
+    countries = listed_around_hot(
+        members.select("component", "country").distinct(), ["component"], "country", "countries", hot,
+        chunk_rows=chunk_rows,
+    )
+    return (
+        places.join(countries, ["component", "chunk"], "left")
+        .join(others, "component")
+        .select("component", "size", "chunk", "members", "countries")
     )
-    return places.join(countries, [*keys, "chunk"], "left")
 
 
 def community_summary(communities: DataFrame, degrees: DataFrame, at_least: int = 5, hubs: int = 5) -> DataFrame:

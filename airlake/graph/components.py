@@ -67,7 +67,7 @@ def _large_star(pairs: DataFrame, nodes: DataFrame, hot: DataFrame | None) -> Da
     """Move every child to the lowest vertex its parent knows."""
     lowest = nodes.select(F.col("node").alias("_node"), "lowest")
     moved = join_on_unique(pairs, lowest, "parent", "_node", hot)
-    return moved.select("child", F.col("lowest").alias("parent")).distinct()
+    return moved.select("child", F.col("lowest").alias("parent"))
 
 
 def _small_star(pairs: DataFrame, hot: DataFrame | None) -> DataFrame:

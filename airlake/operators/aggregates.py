@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlake.operators.skew import HOT_ROWS
-from airlake.operators.windows import number_within
+from airlake.operators.skew import HOT_ROWS, find_hot_keys
+from airlake.operators.windows import number_around_hot
 
 CHUNK_ROWS = 10_000
 
@@ -38,9 +38,24 @@ def listed(
     group continues in chunks 2, 3, …, so nothing is left out and no task has to
     hold a whole group. NULL items are skipped.
     """
+    hot = find_hot_keys(df, keys, hot_rows)
+    return listed_around_hot(df, keys, item, name, hot, tie_break, separator, chunk_rows)
+
+
+def listed_around_hot(
+    df: DataFrame,
+    keys: list[str],
+    item: str,
+    name: str,
+    hot: DataFrame | None,
+    tie_break: list[str] | None = None,
+    separator: str = ", ",
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """``listed`` for hot groups that are known already."""
     order = [F.col(item), *(F.col(c) for c in tie_break or [])]
     present = df.where(F.col(item).isNotNull()).select(*keys, item, *(tie_break or []))
-    numbered = number_within(present, keys, order, "_rn", hot_rows)
+    numbered = number_around_hot(present, keys, order, "_rn", hot)
     chunk = F.floor((F.col("_rn") - 1) / chunk_rows) + 1
     return (
         numbered.withColumn("chunk", chunk.cast("int"))

@@ -24,6 +24,15 @@ def hot_threshold(total_rows: int, hot_rows: int = HOT_ROWS) -> int:
     return max(hot_rows, total_rows // MAX_HOT_KEYS)
 
 
+def hot_among(sizes: DataFrame, keys: list[str], rows: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The hot keys of groups whose sizes are already known, or None when there are none."""
+    total, largest = sizes.agg(F.sum(rows), F.max(rows)).first()
+    limit = hot_threshold(total or 0, hot_rows)
+    if (largest or 0) <= limit:
+        return None
+    return cut_lineage(sizes.where(F.col(rows) > limit).select(*keys))
+
+
 def find_hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """The hot values of ``keys``, or None when there are none.
 
@@ -31,11 +40,7 @@ def find_hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> D
     costs no more than any other one.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total, largest = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
-    limit = hot_threshold(total or 0, hot_rows)
-    if (largest or 0) <= limit:
-        return None
-    return cut_lineage(sizes.where(F.col("_rows") > limit).select(*keys))
+    return hot_among(sizes, keys, "_rows", hot_rows)
 
 
 def matching(keys: list[str], prefix: str = "_hot_") -> Column:

@@ -18,8 +18,14 @@ def number_within(
     ordered slices by range partitioning; each slice is numbered by itself and
     shifted by the number of rows in the slices before it.
     """
+    return number_around_hot(df, keys, order, name, find_hot_keys(df, keys, hot_rows))
+
+
+def number_around_hot(
+    df: DataFrame, keys: list[str], order: list[Column], name: str, hot: DataFrame | None
+) -> DataFrame:
+    """``number_within`` for hot groups that are known already."""
     by_group = Window.partitionBy(*keys).orderBy(*order)
-    hot = find_hot_keys(df, keys, hot_rows)
     if hot is None:
         return df.withColumn(name, F.row_number().over(by_group).cast("long"))
 
