@@ -17,7 +17,7 @@ def clean_text(column: Column) -> Column:
 
 def words(column: Column) -> Column:
     """Array of the white-space separated words, as they are written."""
-    return F.filter(F.split(column, WORD_SEPARATORS), lambda w: w != "")
+    return F.array_remove(F.split(column, WORD_SEPARATORS), "")
 
 
 def hash_part(word: Column, parts: Column | int) -> Column:

@@ -1,4 +1,4 @@
-"""Many-to-many joins that are only counted."""
+"""Many-to-many joins that are only counted, and NOT IN."""
 
 from __future__ import annotations
 
@@ -41,3 +41,20 @@ def pair_totals(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return per_left.join(per_right, key).agg(
         F.count(F.lit(1)).alias("shared_keys"), F.sum(_pairs("_left_rows", "_right_rows")).alias("pairs")
     )
+
+
+def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """``left`` rows whose key is NOT IN the keys of ``right``, with SQL's rules for NULL.
+
+    A NULL among the keys of ``right`` leaves nothing; a NULL key on the left stays only
+    if ``right`` is empty. Written out as an anti join on distinct keys, because a
+    null-aware anti join has to broadcast ``right`` whatever its size.
+    """
+    keys = right.select(F.col(right_key).alias("_not_in"))
+    total, missing = keys.agg(F.count(F.lit(1)), F.count_if(F.col("_not_in").isNull())).first()
+    if total == 0:
+        return left
+    if missing:
+        return left.where(F.lit(False))
+    present = left.where(F.col(left_key).isNotNull())
+    return present.join(keys.distinct(), F.col(left_key) == F.col("_not_in"), "left_anti")

@@ -1,0 +1,19 @@
+"""Input that comes in too few pieces."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def spread_if_few(df: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores when the scan puts them in fewer tasks than that.
+
+    A file is read in pieces of at least one row group, so a small table may sit in a
+    single task, which then does all the work that follows. Apply it to a scan
+    before costly work on each row. Counting the pieces reads no column. Input
+    with a piece per core or more, that is any large one, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = df.select(F.spark_partition_id().alias("piece")).distinct().count()
+    return df.repartition(cores) if pieces < cores else df

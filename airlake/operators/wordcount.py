@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from airlake.functions.text import hash_part, words
 from airlake.operators.aggregates import share
+from airlake.operators.spread import spread_if_few
 from airlake.operators.windows import top_n_per_group
 
 
 def word_counts(lines: DataFrame, column: str = "value") -> DataFrame:
     """(word, count) over all lines; counts are combined in each task before the shuffle."""
     return (
-        lines.select(F.explode(words(F.col(column))).alias("word"))
+        spread_if_few(lines.select(column))
+        .select(F.explode(words(F.col(column))).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("count"))
     )

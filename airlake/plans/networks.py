@@ -116,10 +116,12 @@ def _shipment_edges(spark: SparkSession, folder: str, people: DataFrame, domesti
         .groupBy((F.col("l_suppkey") * 2 + 1).alias("seller"), (F.col("o_custkey") * 2).alias("buyer"))
         .agg(F.count(F.lit(1)).alias("sent"), F.count_if(F.col("l_returnflag") == "R").alias("returned"))
     )
-    out = dealt.select(F.col("seller").alias("src"), F.col("buyer").alias("dst"), F.col("sent").alias("airlines"))
-    back = dealt.where(F.col("returned") > 0).select(
-        F.col("buyer").alias("src"), F.col("seller").alias("dst"), F.col("returned").alias("airlines")
-    )
+
+    def shipment(src: str, dst: str, lines_sent: str):
+        return F.struct(F.col(src).alias("src"), F.col(dst).alias("dst"), F.col(lines_sent).alias("airlines"))
+
+    both_ways = F.array(shipment("seller", "buyer", "sent"), shipment("buyer", "seller", "returned"))
+    shipped = dealt.select(F.explode(both_ways).alias("way")).select("way.*").where(F.col("airlines") > 0)
 
     def end(side: str) -> DataFrame:
         return people.select(
@@ -127,11 +129,7 @@ def _shipment_edges(spark: SparkSession, folder: str, people: DataFrame, domesti
             F.col("latitude").alias(f"_{side}_lat"), F.col("longitude").alias(f"_{side}_lon"),
         )
 
-    edges = (
-        out.unionByName(back)
-        .join(end("src"), F.col("src") == F.col("_src"))
-        .join(end("dst"), F.col("dst") == F.col("_dst"))
-    )
+    edges = shipped.join(end("src"), F.col("src") == F.col("_src")).join(end("dst"), F.col("dst") == F.col("_dst"))
     if domestic:
         edges = edges.where(F.col("_src_city") == F.col("_dst_city"))
     distance = haversine_km(F.col("_src_lat"), F.col("_src_lon"), F.col("_dst_lat"), F.col("_dst_lon"))

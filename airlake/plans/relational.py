@@ -13,7 +13,7 @@ from airlake.graph.communities import group_sizes, largest_group
 from airlake.graph.motif import all_different, chain_motif, find_motif
 from airlake.graph.paths import select_vertices
 from airlake.operators.aggregates import listed, ranked_list, row_counts, share
-from airlake.operators.joins import pair_totals, pairs_by_key
+from airlake.operators.joins import not_in, pair_totals, pairs_by_key
 from airlake.operators.quality import (
     airline_totals, distance_stats, exclude_airports, route_quality, with_distances,
 )
@@ -222,11 +222,9 @@ SELECT id, code FROM vertices WHERE id NOT IN (
     SELECT e.src FROM edges e JOIN vertices v ON e.dst = v.id WHERE v.country = 'EUROPE' AND v.latitude < -40)""")
 def not_in_subquery(spark, folder):
     graph = lanes(spark, folder)
-    return spark.sql(
-        """SELECT id, code FROM {vertices} WHERE id NOT IN (
-               SELECT e.src FROM {edges} e JOIN {vertices} v ON e.dst = v.id WHERE v.country = 'EUROPE' AND v.latitude < -40)""",
-        vertices=graph.vertices, edges=graph.edges,
-    )
+    far = graph.vertices.where("country = 'EUROPE' AND latitude < -40").select(F.col("id").alias("_far"))
+    connected = graph.edges.join(far, F.col("dst") == F.col("_far"), "left_semi")
+    return not_in(graph.vertices.select("id", "code"), "id", connected, "src")
 
 
 @query("join_left_outer", f"""

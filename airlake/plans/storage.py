@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from airlake.functions.formats import bucket_number, format_bytes
 from airlake.functions.text import clean_text
 from airlake.operators.aggregates import row_counts
+from airlake.operators.spread import spread_if_few
 from airlake.operators.wordcount import word_counts
 from airlake.plans.networks import LANES, ROUTE_EDGES, lanes, route_edges
 from airlake.plans.registry import query
@@ -55,7 +56,7 @@ def _document_counts(spark: SparkSession, folder: str) -> DataFrame:
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, {CLEAN} AS text, lang, source FROM documents""")
 def quoted_csv(spark, folder):
     path = new_path(spark, "quoted")
-    documents = table(spark, folder, "documents")
+    documents = spread_if_few(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
     write_quoted_csv(documents.select("doc_id", clean_text(F.col("text")).alias("text"), "lang", "source"), path)
     return read_quoted_csv(spark, path, strings("doc_id", "text", "lang", "source"))
 
@@ -137,7 +138,8 @@ def xml_flat(spark, folder):
 
 @query("clean_text", f"SELECT doc_id, {CLEAN} AS text FROM documents")
 def cleaned_documents(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", clean_text(F.col("text")).alias("text"))
+    documents = spread_if_few(table(spark, folder, "documents").select("doc_id", "text"))
+    return documents.select("doc_id", clean_text(F.col("text")).alias("text"))
 
 
 @query("read_part_files", f"""

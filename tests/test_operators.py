@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airlake.operators.aggregates import listed, ranked_list, row_counts
-from airlake.operators.joins import pair_totals, pairs_by_key
+from airlake.operators.joins import not_in, pair_totals, pairs_by_key
 from airlake.operators.quality import airline_totals, exclude_airports, route_quality, with_distances
 from airlake.operators.skew import MAX_HOT_KEYS, find_hot_keys, hot_threshold, join_on_unique
 from airlake.operators.windows import largest_per_group, number_within, top_n_per_group
@@ -119,6 +119,15 @@ def test_pairs_of_huge_groups_do_not_overflow(spark):
     assert counts.first()[0] == 12 * 10**22
 
 
+@pytest.mark.parametrize("right", [[], [(1,)], [(1,), (1,), (3,)], [(1,), (None,)]])
+def test_not_in_follows_sql(spark, rows, plan, right):
+    left, keys = rows([(1,), (2,), (None,)], "a INT"), rows(right, "b INT")
+    want = spark.sql("SELECT a FROM {l} WHERE a NOT IN (SELECT b FROM {r})", l=left, r=keys)
+    got = not_in(left, "a", keys, "b")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "NestedLoop" not in plan(got)
+
+
 def test_row_counts(rows):
     assert pytest.tuples(row_counts({"x": rows([(1,), (2,)], "a INT"), "y": rows([], "a INT")})) == [("x", 2), ("y", 0)]
 

@@ -30,8 +30,11 @@ def connection():
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_query_equals_its_sql(spark, connection, name):
+def test_query_equals_its_sql(spark, connection, plan, name):
     frame = entry.queries()[name](spark, str(FOLDER))
+    shown = plan(frame)
+    for unwanted in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas"):
+        assert unwanted not in shown
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert frame.count() > 0
