@@ -32,6 +32,7 @@ def label_propagation(graph: Graph, max_iter: int = 5, checkpoint_interval: int
         .agg(F.count(F.lit(1)).alias("weight"))
     )
     links = keep(links, "votes")
+    pairs = links.count()
     hot = find_hot_keys(links, ["speaker"], graph.hot_rows)
     hot_links = None
     if hot is not None:
@@ -46,7 +47,7 @@ def label_propagation(graph: Graph, max_iter: int = 5, checkpoint_interval: int
 
     winner = F.min(F.struct((-F.col("n")).alias("n"), "label"))
     labels = cut_lineage(graph.vertices.select("id", F.col("id").alias("label")))
-    with bucketed_copy(links, "speaker", "votes") as links:
+    with bucketed_copy(links, "speaker", pairs, "votes") as links:
         for round_ in range(1, max_iter + 1):
             # A vote without weight for the own label decides only where there is no other.
             parts = [votes(links, labels.hint("shuffle_hash")), labels.withColumn("weight", F.lit(0).cast("long"))]

@@ -44,7 +44,7 @@ def _ranks(graph: Graph, resets: list[float], max_iter: int, checkpoint_interval
     next_ranks = [
         (F.lit(reset) + F.lit(1.0 - reset) * F.sum(c)).alias(c) for reset, c in zip(resets, columns)
     ]
-    with bucketed_copy(links, "src", "links") as links:
+    with bucketed_copy(links, "src", graph.edges.count(), "links") as links:
         for round_ in range(1, max_iter + 1):
             # Hash the ranks, one row per vertex, and stream the links past them unsorted.
             parts = [sent(links, ranks.hint("shuffle_hash")), nothing]
@@ -57,7 +57,7 @@ def _ranks(graph: Graph, resets: list[float], max_iter: int, checkpoint_interval
 
     count, *totals = ranks.agg(F.count(F.lit(1)), *(F.sum(c) for c in columns)).first()
     return ranks.select(
-        "id", *((F.col(c) * F.lit(count / total)).alias(c) for c, total in zip(columns, totals))
+        "id", *((F.col(c) * F.lit(count / total if total else 0.0)).alias(c) for c, total in zip(columns, totals))
     )
 
 

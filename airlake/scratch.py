@@ -13,6 +13,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_WORTH_A_BUCKET = 10_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's shared folder; a temporary one only for a local master."""
@@ -50,15 +52,23 @@ def keep(df: DataFrame, label: str = "kept") -> DataFrame:
 
 
 @contextmanager
-def bucketed_copy(df: DataFrame, key: str, label: str = "bucketed") -> Iterator[DataFrame]:
+def bucketed_copy(df: DataFrame, key: str, rows: int, label: str = "bucketed") -> Iterator[DataFrame]:
     """A copy hashed by ``key``, so that joins on it inside the block need no shuffle.
 
     The bucket count equals the session's shuffle width, hence the other side of
     such a join, when it comes out of an aggregation on its key, stays in place too.
     Use it for rows without hot keys: a bucket is written and read by one task.
+    Too few ``rows`` to fill that many buckets are kept as they come: shuffling
+    them is cheaper than visiting near-empty buckets.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(
+        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        or spark.conf.get("spark.sql.shuffle.partitions")
+    )
+    if rows < buckets * ROWS_WORTH_A_BUCKET:
+        yield keep(df, label)
+        return
     name = new_table_name(label)
     (
         df.repartition(buckets, key)

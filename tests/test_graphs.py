@@ -137,8 +137,14 @@ def brute_pagerank(n, pairs, reset, rounds):
     return [r * n / total for r in rank]
 
 
+@pytest.fixture(params=[10_000, 1], ids=["plain", "bucketed"])
+def bucket_rows(request, monkeypatch):
+    """Iterations over kept links and over bucketed ones."""
+    monkeypatch.setattr("airlake.scratch.ROWS_WORTH_A_BUCKET", request.param)
+
+
 @pytest.mark.parametrize("hot_rows", [10**6, 5])
-def test_pagerank(spark, hot_rows):
+def test_pagerank(spark, hot_rows, bucket_rows):
     graph, pairs = random_graph(spark, 3, hot_rows=hot_rows)
     got = {r.id: r.pagerank for r in pagerank(graph, 0.15, 7, checkpoint_interval=3).collect()}
     want = brute_pagerank(40, pairs, 0.15, 7)
@@ -155,6 +161,24 @@ def test_pagerank_sweep_flattens(spark):
     assert best[0.85] == pytest.approx(max(brute_pagerank(40, pairs, 0.85, 6)), abs=1e-6)
 
 
+def test_pagerank_of_an_empty_graph(spark):
+    empty = Graph(spark.range(0), spark.createDataFrame([], "src BIGINT, dst BIGINT"))
+    assert pagerank(empty, max_iter=2).count() == 0
+
+
+def test_bucketed_links_stay_in_place(spark, plan, monkeypatch):
+    from airlake.scratch import bucketed_copy
+
+    monkeypatch.setattr("airlake.scratch.ROWS_WORTH_A_BUCKET", 1)
+    links = spark.range(1000).select((F.col("id") % 97).alias("src"), F.col("id").alias("dst"))
+    ranks = spark.range(500).groupBy((F.col("id") % 97).alias("id")).agg(F.sum("id").alias("rank"))
+    with bucketed_copy(links, "src", 1000) as copy:
+        joined = copy.join(ranks.hint("shuffle_hash"), F.col("src") == F.col("id"))
+        shown = plan(joined)
+        assert shown.count("hashpartitioning(") == 1  # the aggregation's own exchange
+        assert joined.count() == 1000
+
+
 def test_rank_and_degrees(tiny):
     ranked = rank_and_degrees(tiny, pagerank(tiny, max_iter=3))
     assert sorted(r.id for r in ranked.collect()) == [1, 3, 4, 7, 8]
@@ -231,7 +255,7 @@ def brute_labels(n, pairs, rounds):
 
 
 @pytest.mark.parametrize("hot_rows,interval", [(10**6, 2), (4, 1)])
-def test_label_propagation(spark, hot_rows, interval):
+def test_label_propagation(spark, hot_rows, interval, bucket_rows):
     graph, pairs = random_graph(spark, 8, hot_rows=hot_rows)
     got = {r.id: r.label for r in label_propagation(graph, 5, interval).collect()}
     assert [got[i] for i in range(40)] == brute_labels(40, pairs, 5)

@@ -185,6 +185,15 @@ def test_wordcount_family(rows):
     assert [r.word for r in top_words(counts, 2).collect()] == ["be", "to"]
 
 
+def test_spread_if_few(spark):
+    from airlake.operators.spread import spread_if_few
+
+    one, many = spark.range(100).coalesce(1), spark.range(0, 100, 1, 8)
+    assert spread_if_few(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread_if_few(one).count() == 100
+    assert spread_if_few(many) is many
+
+
 def test_words_are_combined_before_the_shuffle(rows, plan):
     shown = plan(word_counts(rows([("a b",)], "value STRING")))
     assert 0 < shown.find("partial_count") < shown.find("hashpartitioning(word")
