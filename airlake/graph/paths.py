@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
 from airlake.graph.motif import all_different, chain_motif, find_motif, vertex_names
-from airlake.operators.skew import join_on_unique
+from airlake.operators.skew import join_on_unique, join_salted
 
 ARROW = " → "
 
@@ -31,8 +31,8 @@ def simple_paths(graph: Graph, segments: int, start: str, end: str) -> DataFrame
 
     Paths grow by one join per segment and lose repeats at once. The last edge
     must end in the target set and the one before it where such an edge starts,
-    so the two widest joins build only what can still become a result. Busy
-    transfer points make both sides of a join uneven; AQE splits those partitions.
+    so the two widest joins build only what can still become a result. Paths to and
+    edges from hot vertices are salted.
     """
     targets = select_vertices(graph.vertices, end).select(F.col("id").alias("_target"))
     hops = graph.coded_edges
@@ -51,7 +51,7 @@ def simple_paths(graph: Graph, segments: int, start: str, end: str) -> DataFrame
     for step in range(1, segments + 1):
         hop = last if step == segments else before_last if step == segments - 1 else hops
         paths = (
-            paths.join(hop, F.col("_last") == F.col("src"))
+            join_salted(paths, hop, "_last", "src", graph.hot_targets, graph.hot_sources)
             .where(~F.array_contains("_visited", F.col("dst")))
             .select(
                 F.col("dst").alias("_last"),

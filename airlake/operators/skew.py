@@ -70,3 +70,60 @@ def join_on_unique(
     ids = F.broadcast(hot.select(F.col(fact_key).alias("_hot_key")))
     hot_dim = dim.join(ids, F.col(dim_key) == F.col("_hot_key"), "left_semi")
     return hot_rows.join(F.broadcast(hot_dim), on, how).unionByName(other_rows.join(dim, on, how))
+
+
+PIECES = 16
+
+
+def _flagged(df: DataFrame, key: str, hot: DataFrame | None, name: str) -> DataFrame:
+    """Add whether the row's key is hot."""
+    if hot is None:
+        return df.withColumn(name, F.lit(False))
+    ids = F.broadcast(hot.toDF("_hot_key").withColumn(name, F.lit(True)))
+    return (
+        df.join(ids, F.col(key) == F.col("_hot_key"), "left")
+        .withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+        .drop("_hot_key")
+    )
+
+
+def join_salted(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    hot_left: DataFrame | None,
+    hot_right: DataFrame | None,
+    pieces: int = PIECES,
+) -> DataFrame:
+    """Inner join of two sides that may both hold many rows of a key.
+
+    Rows of a key that is hot on one side are dealt to ``pieces`` there and copied
+    to each of them on the other side, so the key's output is spread over as many
+    tasks, or their square when both sides are hot. ``hot_left`` and ``hot_right``
+    have one column. Other keys join as usual.
+    """
+    on = F.col(left_key) == F.col(right_key)
+    if hot_left is None and hot_right is None:
+        return left.join(right, on)
+
+    def dealt(df: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(*df.columns), F.lit(pieces)).cast("int")
+
+    every = F.sequence(F.lit(0), F.lit(pieces - 1))
+    none = F.lit(0)
+
+    def placed(df: DataFrame, key: str, own: str, other: str, own_hot, other_hot) -> DataFrame:
+        piece = dealt(df)
+        flagged = _flagged(_flagged(df, key, own_hot, "_own"), key, other_hot, "_other")
+        return (
+            flagged.withColumn(own, F.when(F.col("_own"), piece).otherwise(none))
+            .withColumn(other, F.explode(F.when(F.col("_other"), every).otherwise(F.array(none))))
+            .drop("_own", "_other")
+        )
+
+    lefts = placed(left, left_key, "_a", "_b", hot_left, hot_right)
+    rights = placed(right, right_key, "_d", "_c", hot_right, hot_left)
+    return lefts.join(rights, on & (F.col("_a") == F.col("_c")) & (F.col("_b") == F.col("_d"))).drop(
+        "_a", "_b", "_c", "_d"
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from airlake.operators.aggregates import listed, ranked_list, row_counts
 from airlake.operators.joins import not_in, pair_totals, pairs_by_key
 from airlake.operators.quality import airline_totals, exclude_airports, route_quality, with_distances
-from airlake.operators.skew import MAX_HOT_KEYS, find_hot_keys, hot_threshold, join_on_unique
+from airlake.operators.skew import MAX_HOT_KEYS, find_hot_keys, hot_threshold, join_on_unique, join_salted
 from airlake.operators.windows import largest_per_group, number_within, top_n_per_group
 from airlake.operators.wordcount import (
     part_distribution, part_heads, place_words, run_invariants, top_words, word_counts,
@@ -62,6 +62,16 @@ def test_join_on_unique_with_hot_keys(spark, skewed, plan):
     assert semi.count() == plain.count()
 
 
+@pytest.mark.parametrize("left_limit,right_limit", [(100, 10**6), (10**6, 40), (100, 40)])
+def test_salted_join_equals_the_join(skewed, left_limit, right_limit):
+    right = skewed.where("v % 3 = 0").select(F.col("k").alias("r"), F.col("v").alias("w"))
+    want = skewed.join(right, F.col("k") == F.col("r"))
+    hot_left, hot_right = find_hot_keys(skewed, ["k"], left_limit), find_hot_keys(right, ["r"], right_limit)
+    got = join_salted(skewed, right, "k", "r", hot_left, hot_right, pieces=4)
+    assert got.columns == want.columns
+    assert pytest.tuples(got) == pytest.tuples(want)
+
+
 def test_top_n_is_limited_before_the_shuffle(skewed, plan):
     top = top_n_per_group(skewed.where("k = 'hot'"), ["k"], [F.desc("v")], 3)
     best = sorted((r.v for r in skewed.collect() if r.k == "hot"), reverse=True)[:3]
