@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlake.llm import language, quality
+from airlake.llm.decontaminate import decontaminate
+from airlake.llm.line_dedup import line_dedup
+from airlake.llm.near_dup import near_duplicates
 from airlake.llm.packing import pack
+from airlake.llm.warc import assemble, read_records, write_captures
 from airlake.plans.registry import query
+from airlake.scratch import new_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,3 +35,170 @@ def packing_digest(pieces: DataFrame) -> DataFrame:
 @query("op5_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packing_digest(pack(table(spark, folder, "documents"), byte_bpe()))
+
+
+OP2 = r"""
+WITH lines AS (
+  SELECT doc_id, row_number() OVER () AS doc, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), keyed AS (
+  SELECT doc, generate_subscripts(parts, 1) AS place, unnest(parts) AS line FROM lines
+), keys AS (
+  SELECT doc, place, line,
+    translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM keyed
+), frequent AS (
+  SELECT key FROM keys WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc) >= 10
+), kept AS (
+  SELECT doc, count(*) AS n_lines, count(f.key) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE f.key IS NULL), '') AS text
+  FROM keys LEFT JOIN frequent f ON f.key = keys.key GROUP BY doc
+)
+SELECT doc_id, n_lines, n_dropped, sha256(kept.text) AS kept_sha256 FROM kept JOIN lines USING (doc)
+"""
+
+
+@query("op2_line_dedup", OP2)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that ten documents hold leave all of them; the digest is taken of what is left."""
+    kept = line_dedup(table(spark, folder, "documents"))
+    digest = F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256)
+    return kept.select("row.doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
+OP9 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, text, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN ['no word: ' || text]
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE shared.n >= 0.8 * (a.n + b.n - shared.n) - 1e-9
+), reached AS (
+  SELECT doc_id, doc_id AS low FROM sizes
+  UNION
+  SELECT links.y, reached.low FROM reached JOIN links ON links.x = reached.doc_id WHERE links.y > reached.low
+)
+SELECT documents.doc_id, coalesce(min(reached.low), documents.doc_id) AS class_id
+FROM documents LEFT JOIN reached USING (doc_id) GROUP BY documents.doc_id
+"""
+
+
+@query("op9_near_duplicates", OP9)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with the smallest id among its near duplicates."""
+    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id")
+
+
+OP10 = r"""
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM firsts
+"""
+
+
+@query("op10_warc", OP10)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the pages as archives, read these and assemble the captures."""
+    path = new_path(spark, "warc")
+    write_captures(table(spark, folder, "pages"), path)
+    captures = assemble(read_records(spark, path))
+    kind, field = F.col("response.type"), F.col("metadata")
+    stored = F.octet_length("response.payload").cast("long")
+    return captures.select(
+        field["page"].cast("long").alias("page_id"),
+        F.when(kind == "response", stored).otherwise(field["payload-length"].cast("long")).alias("payload_bytes"),
+        F.replace("response.payload_digest", F.lit("sha256:"), F.lit("")).alias("payload_digest"),
+        kind.alias("record_type"),
+        field["refers-to-page"].cast("long").alias("refers_to"),
+    )
+
+
+OP8 = r"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS doc, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), item_words AS (
+  SELECT item_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+    unnest(list_transform(generate_series(1, len(w) - least(len(w), 10) + 1),
+      lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) AS words
+  FROM item_words WHERE len(w) > 0
+), lengths AS (
+  SELECT DISTINCT n FROM windows
+), places AS (
+  SELECT doc, w, n, unnest(generate_series(1, len(w) - n + 1)) AS place FROM doc_words, lengths WHERE len(w) >= n
+), hits AS (
+  SELECT doc, place, windows.n, item_id
+  FROM places JOIN windows ON windows.n = places.n AND windows.words = array_to_string(w[place:place + places.n - 1], ' ')
+), hit_words AS (
+  SELECT doc, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc, unnest(generate_series(place, place + n - 1)) AS p FROM hits) GROUP BY doc
+), hit_items AS (
+  SELECT doc, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hit_words USING (doc) LEFT JOIN hit_items USING (doc)
+"""
+
+
+@query("op8_decontaminate", OP8)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """What every document shares with the benchmark."""
+    found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def fold(id_column: str = "doc_id"):
+    """The held-out fold is 2 of 0 to 3."""
+    return F.crc32(F.col(id_column).cast("string").cast("binary")) % 4
+
+
+def held_out(id_column: str = "doc_id"):
+    return F.coalesce(fold(id_column) == 2, F.lit(False)).alias("held_out")
+
+
+@query("op3_language")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages learned from the documents outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    model = language.train(docs.where(fold() != 2))
+    return language.identify(docs, model).select("row.doc_id", held_out("row.doc_id"), "lang_pred", "score")
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores learned from the labels outside the held-out fold."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality.train(docs, labels.where(fold() != 2))
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    return quality.score_quality(docs, model).select("row.doc_id", held_out("row.doc_id"), "score", predicted)
