@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import language, quality
+from airlake.llm import language, mtree, quality
 from airlake.llm.decontaminate import decontaminate
 from airlake.llm.line_dedup import line_dedup
 from airlake.llm.near_dup import near_duplicates
@@ -202,3 +202,34 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.train(docs, labels.where(fold() != 2))
     predicted = (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
     return quality.score_quality(docs, model).select("row.doc_id", held_out("row.doc_id"), "score", predicted)
+
+
+OP1 = """
+WITH v AS (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.n, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
+"""
+
+
+@query("op1_mtree_top_k", OP1)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """The five largest inner products for every fiftieth vector."""
+
+    def whole(x):
+        value = x.cast("double")
+        finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+        return F.when(finite, F.floor(256 * value).cast("double"))
+
+    vectors = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), F.transform("embedding", whole).alias("vector")
+    )
+    found = mtree.top_k(mtree.build_index(vectors), vectors.where("id % 50 = 0"), k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
