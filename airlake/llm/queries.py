@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import language, mtree, quality
+from airlake.llm import chat, language, mtree, pii, quality
 from airlake.llm.decontaminate import decontaminate
 from airlake.llm.line_dedup import line_dedup
 from airlake.llm.near_dup import near_duplicates
@@ -233,3 +233,52 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     )
     found = mtree.top_k(mtree.build_index(vectors), vectors.where("id % 50 = 0"), k=5)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op6_pii")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and further spans of personal data in every document."""
+    docs = table(spark, folder, "documents")
+    found = pii.find_pii(docs, pii.train(docs))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "row.doc_id", *map(count, pii.KINDS), F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"), "spans"
+    )
+
+
+OP7 = r"""
+WITH turns AS (
+  SELECT row_number() OVER () AS n, conv_id, turn, coalesce(role, 'unknown') AS speaker,
+    replace(coalesce(text, ''), '<|', '< |') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), people AS (
+  SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'
+), heads AS (
+  SELECT *, speaker = perspective AS own, CASE
+      WHEN speaker = 'system' THEN '<|im_start|>system' || chr(10)
+      WHEN speaker = perspective THEN '<|im_start|>assistant' || chr(10)
+      ELSE '<|im_start|>user name=' || regexp_replace(speaker, '[^A-Za-z0-9_.-]', '_', 'g') || chr(10) END AS head
+  FROM turns JOIN people USING (conv_id)
+), rendered AS (
+  SELECT *, head || text || '<|im_end|>' || chr(10) AS rendered FROM heads
+), placed AS (
+  SELECT *, sum(length(rendered)) OVER (
+    PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, md5(text), n
+    ROWS UNBOUNDED PRECEDING) AS stop
+  FROM rendered
+)
+SELECT conv_id, perspective, turn, speaker, rendered, CAST(stop - length(rendered) AS BIGINT) AS start,
+  CAST(stop AS BIGINT) AS "end",
+  CASE WHEN own THEN CAST(stop - length(rendered) + length(head) AS BIGINT) END AS mask_start,
+  CASE WHEN own THEN CAST(stop - 1 AS BIGINT) END AS mask_end
+FROM placed
+"""
+
+
+@query("op7_perspectives", OP7)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation from the view of each of its speakers."""
+    return chat.perspectives(table(spark, folder, "conversations")).withColumnRenamed("conversation", "conv_id")
