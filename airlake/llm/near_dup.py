@@ -14,8 +14,8 @@ are candidates. Pairs within a band are never all listed:
    others (in a group of edited copies, that is the text they were made from), and
    links of at least the threshold make classes.
 2. In bands that still hold several classes, pairs across classes are found exactly by a
-   prefix filter: sets of that similarity share one of their rarest shingles, and what
-   many texts have in common is not among these.
+   prefix filter: sets of that similarity share one of their rarest shingles, early enough
+   in both, and what many texts have in common is not among these.
 """
 
 from __future__ import annotations
@@ -185,9 +185,9 @@ def _prefix_pairs(open_ids: DataFrame, shingles: DataFrame, classes: DataFrame,
     )
     length = (F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1).cast("int")
     rare = (
-        ranked.select("id", "size", F.explode(F.slice("ranked", F.lit(1), length)).alias("r"))
+        ranked.select("id", "size", F.posexplode(F.slice("ranked", F.lit(1), length)).alias("place", "r"))
         .where("r.texts > 1")
-        .select("id", "size", F.col("r.shingle").alias("shingle"))
+        .select("id", "size", (F.col("size") - F.col("place")).alias("left"), F.col("r.shingle").alias("shingle"))
         .join(classes, "id")
     )
     rare = keep(rare, "rare-shingles")
@@ -200,14 +200,13 @@ def _prefix_pairs(open_ids: DataFrame, shingles: DataFrame, classes: DataFrame,
         .select("shingle", "largest")
     )
     met = rare.join(largest, "shingle")
-    few = met.where("component <> largest").select("shingle", "id", "size", "component")
-    other = [F.col(c).alias(f"other_{c}") for c in ("id", "size", "component")]
+    few = met.where("component <> largest").select("shingle", "id", "size", "left", "component")
+    other = [F.col(c).alias(f"other_{c}") for c in ("id", "size", "left", "component")]
+    # At the first shingle that two sets share, what is left of either bounds what they share.
+    least_shared = threshold / (1 + threshold) * (F.col("size") + F.col("other_size")) - 1e-9
     return (
         few.join(met.select("shingle", *other), "shingle")
-        .where(
-            (F.col("component") != F.col("other_component"))
-            & (F.least("size", "other_size") >= threshold * F.greatest("size", "other_size") - 1e-9)
-        )
+        .where((F.col("component") != F.col("other_component")) & (F.least("left", "other_left") >= least_shared))
         .select(F.greatest("id", "other_id").alias("src"), F.least("id", "other_id").alias("dst"))
         .distinct()
     )
