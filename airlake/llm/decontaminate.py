@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airlake.llm.prefilter import may_match
 from airlake.scratch import keep
 
 WINDOW = 10
@@ -157,10 +158,10 @@ def decontaminate(
         )
         per_text = per_text.select("t1", "t2", F.size("places").alias("hit"), _spans(F.col("places")).alias("spans"), "items")
         found = (
-            rows.select("row", *_text_key(text))
+            rows.select("row", n_words, *_text_key(text))
             .join(keep(per_text, "contaminated"), ["t1", "t2"], "left")
             .select(
-                "row", n_words, F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
+                "row", "n_words", F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
                 F.coalesce("spans", none[0]).alias("spans"), F.coalesce("items", none[1]).alias("items"),
             )
         )
@@ -184,7 +185,7 @@ def _finds(texts: DataFrame, items: DataFrame, length: int, gram: int) -> DataFr
     # Few texts have a hit; only their words are compared.
     hits = keep(hits, "fingerprint-hits")
     candidates = (
-        texts.select("text", *_text_key(F.col("text")))
+        may_match(texts.select("text", *_text_key(F.col("text"))), hits, "t1")
         .join(hits, ["t1", "t2"])
         .dropDuplicates(["t1", "t2"])
         .select("t1", "t2", "runs", _lower_words(F.col("text")).alias("words"))
