@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from airlake.graph import Graph
 from airlake.graph.components import connected_components
 from airlake.llm.batches import chunks
+from airlake.llm.prefilter import may_match
 from airlake.llm.words import mix, shingle_hashes, word_hashes
 from airlake.scratch import keep
 
@@ -247,8 +248,10 @@ def near_duplicates(
     members = keep(each.join(shared, "band"), "band-members")
     pairs = keep(_leader_pairs(members), "leader-pairs")
     ids = members.select("id").distinct()
+    set_ids = members.select(F.col("set_id").alias("id")).distinct()
     shingles = keep(
-        present.join(members.select(F.col("set_id").alias("id")).distinct(), "id", "left_semi")
+        may_match(present, set_ids, "id")
+        .join(set_ids, "id", "left_semi")
         .mapInArrow(_shingle_lists(size), "id BIGINT, shingles ARRAY<BIGINT>")
         .join(ids, "id", "left_semi")
         .dropDuplicates(["id"]),
