@@ -10,7 +10,7 @@ from airlake.llm.decontaminate import decontaminate
 from airlake.llm.line_dedup import line_dedup
 from airlake.llm.near_dup import near_duplicates
 from airlake.llm.packing import pack
-from airlake.llm.warc import assemble, read_records, write_captures
+from airlake.llm.warc import assemble, field, read_records, write_captures
 from airlake.plans.registry import query
 from airlake.scratch import new_path
 
@@ -121,14 +121,14 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "warc")
     write_captures(table(spark, folder, "pages"), path)
     captures = assemble(read_records(spark, path))
-    kind, field = F.col("response.type"), F.col("metadata")
+    kind = F.col("response.type")
     stored = F.octet_length("response.payload").cast("long")
     return captures.select(
-        field["page"].cast("long").alias("page_id"),
-        F.when(kind == "response", stored).otherwise(field["payload-length"].cast("long")).alias("payload_bytes"),
+        field("metadata", "page").cast("long").alias("page_id"),
+        F.when(kind == "response", stored).otherwise(field("metadata", "payload-length").cast("long")).alias("payload_bytes"),
         F.replace("response.payload_digest", F.lit("sha256:"), F.lit("")).alias("payload_digest"),
         kind.alias("record_type"),
-        field["refers-to-page"].cast("long").alias("refers_to"),
+        field("metadata", "refers-to-page").cast("long").alias("refers_to"),
     )
 
 

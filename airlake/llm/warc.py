@@ -193,13 +193,18 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(_read_files, RECORDS)
 
 
+def field(metadata: str, name: str) -> Column:
+    """The first value of a metadata field, null without one."""
+    return F.get(F.filter(metadata, lambda x: x["name"] == name), F.lit(0))["value"]
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture_id``, ``request``, ``response``, ``metadata``.
 
     Responses and revisits join the request that their concurrent-to identifier names,
     metadata join the request or response that theirs names. A part that is missing is
     null: requests without response, responses and metadata without partner are captures
-    of their own. Other record types are left out. ``metadata`` maps the fields' names.
+    of their own. Other record types are left out. ``metadata`` lists the fields' names and values.
     """
     request = F.struct("record_id", "uri", "date", "http_head").alias("request")
     response = F.struct(
@@ -210,12 +215,15 @@ def assemble(records: DataFrame) -> DataFrame:
         F.col("concurrent_to").alias("response_to"), F.col("record_id").alias("response_id"), response
     )
     lines = F.filter(F.split(F.col("payload").cast("string"), "\r\n"), lambda x: F.instr(x, ":") > 0)
-    field = F.transform(
-        lines, lambda x: F.struct(F.substring_index(x, ":", 1).alias("k"), F.trim(F.substring(x, F.instr(x, ":") + 1, F.length(x))).alias("v"))
+    named = F.transform(
+        lines,
+        lambda x: F.struct(
+            F.substring_index(x, ":", 1).alias("name"), F.trim(F.substring(x, F.instr(x, ":") + 1, F.length(x))).alias("value")
+        ),
     )
     metadata = records.where("type = 'metadata'").select(
         F.col("concurrent_to").alias("metadata_to"), F.col("record_id").alias("metadata_id"),
-        F.map_from_entries(field).alias("metadata"),
+        named.alias("metadata"),
     )
     pairs = requests.join(responses, F.col("request_id") == F.col("response_to"), "full_outer")
     pairs = pairs.withColumn("capture_id", F.coalesce("request_id", "response_id"))
