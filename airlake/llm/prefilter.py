@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 20
 
 
-def may_match(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+def may_match(rows: DataFrame, keys: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
     """Rows whose ``column`` hashes like one of ``keys``, hence all that an inner or semi join keeps.
 
-    What is broadcast are hash values below ``BUCKETS``, however many keys there are. Few
-    keys leave few rows to be shuffled; with very many, all rows pass as without it. Null
-    keys match nothing.
+    With ``left_anti`` the other rows, which match none. What is broadcast are hash values
+    below ``BUCKETS``, however many keys there are. Few keys leave few rows to be shuffled;
+    with very many, all rows pass as without it. Null keys match nothing.
     """
     bucket = F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
     present = keys.where(F.col(column).isNotNull()).select(bucket.alias("_bucket")).distinct()
-    return rows.join(F.broadcast(present), bucket == F.col("_bucket"), "left_semi")
+    return rows.join(F.broadcast(present), bucket == F.col("_bucket"), how)

@@ -122,10 +122,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     write_captures(table(spark, folder, "pages"), path)
     captures = assemble(read_records(spark, path))
     kind = F.col("response.type")
-    stored = F.octet_length("response.payload").cast("long")
     return captures.select(
         field("metadata", "page").cast("long").alias("page_id"),
-        F.when(kind == "response", stored).otherwise(field("metadata", "payload-length").cast("long")).alias("payload_bytes"),
+        F.when(kind == "response", F.col("response.payload_length")).otherwise(field("metadata", "payload-length").cast("long")).alias("payload_bytes"),
         F.replace("response.payload_digest", F.lit("sha256:"), F.lit("")).alias("payload_digest"),
         kind.alias("record_type"),
         field("metadata", "refers-to-page").cast("long").alias("refers_to"),

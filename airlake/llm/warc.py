@@ -17,6 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlake.llm.prefilter import may_match
+from airlake.scratch import keep
+
 #: Payloads below are always stored in full.
 LEAST_REVISITED_BYTES = 100
 #: Captures in a file at most; a file is read by one task.
@@ -73,7 +76,11 @@ def write_captures(
         .where("rows > 1")
         .select("digest", "first")
     )
-    rows = rows.join(first, "digest", "left").withColumn("capture", F.expr("uuid()"))
+    # Most payloads are the only ones of their kind: those need not be moved.
+    first = keep(first, "first-pages")
+    alone = may_match(rows, first, "digest", "left_anti").withColumn("first", F.lit(None).cast("long"))
+    rows = may_match(rows, first, "digest").join(first, "digest", "left").unionByName(alone)
+    rows = rows.withColumn("capture", F.expr("uuid()"))
 
     uri = F.regexp_replace("url", r"[\x00-\x20\x7F]", "")
     revisit = F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
@@ -208,7 +215,8 @@ def assemble(records: DataFrame) -> DataFrame:
     """
     request = F.struct("record_id", "uri", "date", "http_head").alias("request")
     response = F.struct(
-        "type", "record_id", "uri", "date", "payload_digest", "refers_to", "http_head", "payload"
+        "type", "record_id", "uri", "date", "payload_digest", "refers_to", "http_head",
+        F.octet_length("payload").cast("long").alias("payload_length"), "payload",
     ).alias("response")
     requests = records.where("type = 'request'").select(F.col("record_id").alias("request_id"), request)
     responses = records.where("type IN ('response', 'revisit')").select(
