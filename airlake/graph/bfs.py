@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.operators.skew import join_on_unique
 from airlake.scratch import cut_lineage
 
 
@@ -35,7 +34,7 @@ def bfs(graph: Graph, from_expr: str, to_expr: str, max_length: int = 10) -> Dat
     levels = [level]
     seen = level
     while hit.isEmpty() and len(levels) <= max_length:
-        step = join_on_unique(graph.edges, level, "src", "_reached", graph.hot_sources, "left_semi")
+        step = graph.edges.join(level, F.col("src") == F.col("_reached"), "left_semi")
         found = _ids(step, "dst", "_found")
         level = cut_lineage(
             found.join(seen, F.col("_found") == F.col("_reached"), "left_anti")
@@ -57,9 +56,9 @@ def bfs(graph: Graph, from_expr: str, to_expr: str, max_length: int = 10) -> Dat
     # From the back: edges of each level that still lead to a target.
     useful, wanted = [], hit
     for i in range(length, 0, -1):
-        leaving = join_on_unique(graph.edges, levels[i - 1], "src", "_reached", graph.hot_sources, "left_semi")
+        leaving = graph.edges.join(levels[i - 1], F.col("src") == F.col("_reached"), "left_semi")
         ends = wanted.select(F.col("_reached").alias("_wanted"))
-        leading = cut_lineage(join_on_unique(leaving, ends, "dst", "_wanted", graph.hot_targets, "left_semi"))
+        leading = cut_lineage(leaving.join(ends, F.col("dst") == F.col("_wanted"), "left_semi"))
         useful.insert(0, leading)
         wanted = _ids(leading, "src", "_reached")
 
@@ -78,7 +77,7 @@ def bfs(graph: Graph, from_expr: str, to_expr: str, max_length: int = 10) -> Dat
 
 
 def _hits(level: DataFrame, targets: DataFrame) -> DataFrame:
-    return level.join(targets, F.col("_reached") == F.col("_target"), "left_semi")
+    return cut_lineage(level.join(targets, F.col("_reached") == F.col("_target"), "left_semi"))
 
 
 def route_columns(paths: DataFrame) -> DataFrame:
@@ -98,12 +97,12 @@ def route_columns(paths: DataFrame) -> DataFrame:
 def busiest_without_direct_edge(graph: Graph, from_expr: str, to_expr: str, n: int = 1) -> DataFrame:
     """Vertices of one set with no edge into the other, those with most departures first."""
     targets = graph.vertices.where(to_expr).select(F.col("id").alias("_target"))
-    direct = join_on_unique(graph.edges, targets, "dst", "_target", graph.hot_targets, "left_semi")
+    direct = graph.edges.join(targets, F.col("dst") == F.col("_target"), "left_semi")
     connected = _ids(direct, "src", "_connected")
     return (
         graph.vertices.where(from_expr)
         .join(connected, F.col("id") == F.col("_connected"), "left_anti")
-        .join(graph.out_degrees.withColumnRenamed("outDegree", "routes"), "id")
-        .orderBy(F.desc("routes"), "id")
+        .join(graph.out_degrees.withColumnRenamed("outDegree", "departures"), "id")
+        .orderBy(F.desc("departures"), "id")
         .limit(n)
     )

@@ -2,63 +2,58 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.operators.aggregates import listed_around_hot, ranked_list, share
-from airlake.operators.skew import HOT_ROWS, find_hot_keys, hot_among, join_on_unique, split_hot
-from airlake.operators.windows import largest_per_group, top_n_per_group
-from airlake.scratch import bucketed_copy, cut_lineage, keep
+from airlake.graph.pagerank import LINKS_PER_PIECE, piece_of, pieces_of, to_pieces
+from airlake.operators.aggregates import listed, ranked_list, share
+from airlake.operators.windows import top_n_per_group
+from airlake.scratch import cut_lineage, keep, working_area
 
 
-def label_propagation(graph: Graph, max_iter: int = 5, checkpoint_interval: int = 1) -> DataFrame:
+def label_propagation(
+    graph: Graph, max_iter: int = 5, checkpoint_interval: int = 1, links_per_piece: int = LINKS_PER_PIECE
+) -> DataFrame:
     """Vertices with ``label``: each round a vertex takes its neighbours' most common label.
 
     Every edge carries labels both ways. Ties go to the smallest label, so results
     are repeatable; a vertex without neighbours keeps its own.
 
-    As in PageRank the links stay where they are; votes are summed per (vertex,
-    label) before the winner is picked, also by an aggregate, so a vertex with
-    very many neighbours is counted by all tasks.
+    As in PageRank the links stay where they are, hashed by speaker and piece; votes are
+    summed per (vertex, label) before the winner is picked, also by an aggregate, so a
+    vertex with very many neighbours is spoken for and counted by many tasks.
     """
-    ends = graph.edges.select("src", "dst")
-    links = (
-        ends.select(F.col("src").alias("speaker"), F.col("dst").alias("hearer"))
-        .union(ends.select("dst", "src"))
-        .groupBy("speaker", "hearer")
-        .agg(F.count(F.lit(1)).alias("weight"))
-    )
-    links = keep(links, "votes")
-    pairs = links.count()
-    hot = find_hot_keys(links, ["speaker"], graph.hot_rows)
-    hot_links = None
-    if hot is not None:
-        hot_part, links = split_hot(links, ["speaker"], hot)
-        hot_links = keep(hot_part, "hot_votes")
-        hot_ids = F.broadcast(hot.select(F.col("speaker").alias("_hot")))
-
-    def votes(part: DataFrame, labels: DataFrame) -> DataFrame:
-        return part.join(labels, F.col("speaker") == F.col("id")).select(
-            F.col("hearer").alias("id"), "label", "weight"
-        )
-
+    ends = graph.edges.select(F.col("src").alias("speaker"), F.col("dst").alias("hearer"))
+    ends = ends.union(graph.edges.select("dst", "src"))
+    spoken = ends.groupBy("speaker").agg(F.count(F.lit(1)).alias("_links"))
     winner = F.min(F.struct((-F.col("n")).alias("n"), "label"))
-    labels = cut_lineage(graph.vertices.select("id", F.col("id").alias("label")))
-    with bucketed_copy(links, "speaker", pairs, "votes") as links:
+    with working_area(graph.edges.sparkSession) as area:
+        spoken = area.keep(spoken.select("speaker", pieces_of("_links", links_per_piece).alias("pieces")), "speakers")
+        links = area.bucketed(
+            ends.groupBy("speaker", "hearer")
+            .agg(F.count(F.lit(1)).alias("weight"))
+            .join(spoken, "speaker")
+            .select("speaker", piece_of("hearer", "pieces").alias("piece"), "hearer", "weight"),
+            ["speaker", "piece"], "votes",
+        )
+        ids = graph.vertices.select("id").join(spoken.withColumnRenamed("speaker", "id"), "id", "left")
+        labels = cut_lineage(ids.select("id", F.col("id").alias("label"), F.coalesce("pieces", F.lit(0)).alias("pieces")))
         for round_ in range(1, max_iter + 1):
+            votes = links.join(to_pieces(labels).withColumnRenamed("id", "speaker"), ["speaker", "piece"]).select(
+                F.col("hearer").alias("id"), "label", "weight", F.lit(0).alias("pieces")
+            )
             # A vote without weight for the own label decides only where there is no other.
-            parts = [votes(links, labels.hint("shuffle_hash")), labels.withColumn("weight", F.lit(0).cast("long"))]
-            if hot_links is not None:
-                hot_labels = labels.join(hot_ids, F.col("id") == F.col("_hot"), "left_semi")
-                parts.append(votes(hot_links, F.broadcast(hot_labels)))
-            counted = reduce(DataFrame.unionByName, parts).groupBy("id", "label").agg(F.sum("weight").alias("n"))
-            labels = counted.groupBy("id").agg(winner.alias("_won")).select("id", F.col("_won.label").alias("label"))
+            own = labels.select("id", "label", F.lit(0).cast("long").alias("weight"), "pieces")
+            counted = votes.unionByName(own).groupBy("id", "label").agg(
+                F.sum("weight").alias("n"), F.max("pieces").alias("pieces")
+            )
+            labels = counted.groupBy("id").agg(winner.alias("_won"), F.max("pieces").alias("pieces")).select(
+                "id", F.col("_won.label").alias("label"), "pieces"
+            )
             if round_ % checkpoint_interval == 0 or round_ == max_iter:
                 labels = cut_lineage(labels)
-    return graph.vertices.join(labels, "id")
+    return graph.vertices.join(labels.select("id", "label"), "id")
 
 
 def group_sizes(members: DataFrame, group: str, at_least: int = 1) -> DataFrame:
@@ -72,60 +67,41 @@ def largest_group(sizes: DataFrame, group: str):
     return None if top is None else top[group]
 
 
-def isolated_components(
-    components: DataFrame, at_least: int = 2, chunk_rows: int = 10_000, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Components outside the largest one with their members and countries listed.
+def isolated_components(components: DataFrame, at_least: int = 2) -> DataFrame:
+    """Components outside the largest one with what they consist of, an entry a row.
 
-    One row per component; a component of more than ``chunk_rows`` members goes on
-    in further chunks.
+    Columns: component, size, ``list`` ('members' or 'countries'), position, item.
     """
     sizes = keep(group_sizes(components, "component", at_least), "sizes")
     others = sizes.where(F.col("component") != F.lit(largest_group(sizes, "component")))
-    hot = hot_among(others, ["component"], "size", hot_rows)
-    members = keep(
-        join_on_unique(
-            components.select("id", "code", "city", "country", "component"),
-            others.withColumnRenamed("component", "_component"), "component", "_component", hot,
-        ).drop("_component"),
-        "isolated",
-    )
-    place = F.concat_ws(" ", "code", F.concat(F.lit("("), "city", F.lit(")")))
-    places = listed_around_hot(
-        members.withColumn("_place", place), ["component"], "_place", "members", hot, ["id"], chunk_rows=chunk_rows
-    )
-    countries = listed_around_hot(
-        members.select("component", "country").distinct(), ["component"], "country", "countries", hot,
-        chunk_rows=chunk_rows,
-    )
-    return (
-        places.join(countries, ["component", "chunk"], "left")
-        .join(others, "component")
-        .select("component", "size", "chunk", "members", "countries")
-    )
+    inside = keep(components.select("id", "code", "city", "country", "component").join(others, "component"), "isolated")
+    named = inside.select("component", "id", F.format_string("%s (%s)", "code", "city").alias("name"))
+    members = listed(named, ["component"], "name", ["id"]).withColumn("list", F.lit("members"))
+    countries = listed(inside.select("component", "country").distinct(), ["component"], "country")
+    entries = members.unionByName(countries.withColumn("list", F.lit("countries")))
+    return entries.join(others, "component").select("component", "size", "list", "position", "item")
 
 
 def community_summary(communities: DataFrame, degrees: DataFrame, at_least: int = 5, hubs: int = 5) -> DataFrame:
-    """Size, countries, main country with its share and busiest vertices per label.
+    """Per label: members, countries, the country of most members with its share, the busiest members.
 
-    ``main_airports`` is NULL where no member has both in- and out-edges.
+    ``hubs`` is NULL where no member has both in- and out-edges.
     """
-    size = communities.groupBy("label").agg(
-        F.count(F.lit(1)).alias("airports"), F.count_distinct("country").alias("countries")
-    )
-    per_country = communities.groupBy("label", "country").agg(F.count(F.lit(1)).alias("_airports"))
-    main = largest_per_group(per_country, ["label"], "_airports", "country").withColumnRenamed(
-        "country", "main_country"
+    per_country = communities.groupBy("label", "country").agg(F.count(F.lit(1)).alias("here"))
+    # The sums and the leading country come from the same few rows, in one aggregate.
+    summary = per_country.groupBy("label").agg(
+        F.sum("here").alias("members"), F.count("country").alias("countries"),
+        F.min(F.struct((-F.col("here")).alias("fewer"), "country")).alias("lead"),
     )
     busiest = top_n_per_group(
         communities.select("id", "label", "code").join(degrees, "id"),
         ["label"], [F.desc("outDegree"), F.asc("id")], hubs,
     )
-    names = ranked_list(busiest, ["label"], "rank", "code", "main_airports")
     return (
-        size.where(F.col("airports") >= at_least)
-        .join(main, "label")
-        .join(names, "label", "left")
-        .withColumn("main_country_share", share(F.col("_airports"), F.col("airports"), 2))
-        .drop("_airports")
+        summary.where(F.col("members") >= at_least)
+        .join(ranked_list(busiest, ["label"], "rank", "code", "hubs"), "label", "left")
+        .select(
+            "label", "members", "countries", F.col("lead.country").alias("lead_country"),
+            share(-F.col("lead.fewer"), F.col("members"), 2).alias("lead_share"), "hubs",
+        )
     )

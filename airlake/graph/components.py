@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.operators.skew import hot_threshold, join_on_unique
 from airlake.scratch import cut_lineage
 
 
@@ -25,22 +24,10 @@ def connected_components(graph: Graph) -> DataFrame:
     )
     while True:
         nodes = cut_lineage(_neighbourhoods(pairs))
-        total, most_children, most_parents, unfinished = nodes.agg(
-            F.sum("children"),
-            F.max("children"),
-            F.max("parents"),
-            F.count_if((F.col("parents") > 1) | ((F.col("parents") > 0) & (F.col("children") > 0))),
-        ).first()
-        if not unfinished:
+        unfinished = nodes.where("parents > 1 OR (parents > 0 AND children > 0)")
+        if unfinished.isEmpty():
             break
-        # Pairs only get fewer within a round, so these bounds hold for both steps.
-        limit = hot_threshold(total, graph.hot_rows)
-        hot_parents = hot_children = None
-        if most_children > limit:
-            hot_parents = nodes.where(F.col("children") > limit).select(F.col("node").alias("parent"))
-        if most_parents > limit:
-            hot_children = nodes.where(F.col("parents") > limit).select(F.col("node").alias("child"))
-        pairs = cut_lineage(_small_star(_large_star(pairs, nodes, hot_parents), hot_children))
+        pairs = cut_lineage(_small_star(_large_star(pairs, nodes)))
 
     roots = pairs.select(F.col("child").alias("id"), F.col("parent").alias("_root"))
     return (
@@ -63,18 +50,16 @@ def _neighbourhoods(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _large_star(pairs: DataFrame, nodes: DataFrame, hot: DataFrame | None) -> DataFrame:
+def _large_star(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Move every child to the lowest vertex its parent knows."""
-    lowest = nodes.select(F.col("node").alias("_node"), "lowest")
-    moved = join_on_unique(pairs, lowest, "parent", "_node", hot)
-    return moved.select("child", F.col("lowest").alias("parent"))
+    lowest = nodes.where("children > 0").select(F.col("node").alias("parent"), "lowest")
+    return pairs.join(lowest, "parent").select("child", F.col("lowest").alias("parent"))
 
 
-def _small_star(pairs: DataFrame, hot: DataFrame | None) -> DataFrame:
+def _small_star(pairs: DataFrame) -> DataFrame:
     """Tie every child and its other parents to its lowest parent."""
     nearest = pairs.groupBy("child").agg(F.min("parent").alias("nearest"))
-    known = join_on_unique(pairs, nearest.withColumnRenamed("child", "_child"), "child", "_child", hot)
-    others = known.where(F.col("parent") != F.col("nearest")).select(
+    others = pairs.join(nearest, "child").where(F.col("parent") != F.col("nearest")).select(
         F.col("parent").alias("child"), F.col("nearest").alias("parent")
     )
     return others.unionByName(nearest.withColumnRenamed("nearest", "parent")).distinct()

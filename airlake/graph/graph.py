@@ -7,7 +7,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlake.operators.skew import HOT_ROWS, find_hot_keys, join_on_unique
 from airlake.scratch import keep
 
 
@@ -34,19 +33,23 @@ def touched_vertices(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 class Graph:
-    """``vertices`` has a unique ``id``, ``edges`` has ``src`` and ``dst``; other columns are free."""
+    """``vertices`` has a unique ``id``, ``edges`` has ``src`` and ``dst``; other columns are free.
 
-    def __init__(self, vertices: DataFrame, edges: DataFrame, hot_rows: int = HOT_ROWS):
+    Vertices with very many edges are left to the adaptive skew join, which splits
+    what a shuffle has measured; loops that keep their edges in place split them
+    by the degree instead.
+    """
+
+    def __init__(self, vertices: DataFrame, edges: DataFrame):
         missing = ({"id"} - set(vertices.columns)) | ({"src", "dst"} - set(edges.columns))
         if missing:
             raise ValueError(f"graph lacks columns {sorted(missing)}")
         self.vertices = vertices
         self.edges = edges
-        self.hot_rows = hot_rows
 
     def kept(self) -> Graph:
         """The same graph over materialised tables, for work that scans it many times."""
-        return Graph(keep(self.vertices, "vertices"), keep(self.edges, "edges"), self.hot_rows)
+        return Graph(keep(self.vertices, "vertices"), keep(self.edges, "edges"))
 
     def cache(self) -> Graph:
         self.vertices.cache()
@@ -58,20 +61,12 @@ class Graph:
         self.edges.unpersist()
         return self
 
-    @cached_property
-    def hot_sources(self) -> DataFrame | None:
-        return find_hot_keys(self.edges, ["src"], self.hot_rows)
-
-    @cached_property
-    def hot_targets(self) -> DataFrame | None:
-        return find_hot_keys(self.edges, ["dst"], self.hot_rows)
-
     @cached_property
     def coded_edges(self) -> DataFrame:
-        """Edges with the code of the vertex they lead to, materialised once for all hops of a search."""
+        """Edges with the code of the vertex they lead to, materialised once for all searches."""
         codes = self.vertices.select(F.col("id").alias("_id"), "code")
-        hops = self.edges.select("src", "dst", "distance_km")
-        return keep(join_on_unique(hops, codes, "dst", "_id", self.hot_targets).drop("_id"), "hops")
+        hops = self.edges.select("src", "dst", "distance_km").join(codes, F.col("dst") == F.col("_id"))
+        return keep(hops.drop("_id"), "hops")
 
     @property
     def in_degrees(self) -> DataFrame:

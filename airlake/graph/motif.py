@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from itertools import pairwise
+from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,48 +16,64 @@ from airlake.graph.graph import Graph
 _TERM = re.compile(r"\s*\((\w+)\)-\[(\w+)\]->\((\w+)\)\s*")
 
 
-def vertex_names(segments: int) -> list[str]:
-    """a, b, …, z, then v26, v27, …"""
-    return [chr(ord("a") + i) if i < 26 else f"v{i}" for i in range(segments + 1)]
+class Term(NamedTuple):
+    """One edge of a pattern and the vertices it leads between."""
 
+    start: str
+    edge: str
+    end: str
 
-def chain_motif(segments: int) -> str:
-    """The pattern of a walk along ``segments`` edges."""
-    names = vertex_names(segments)
-    return "; ".join(f"({names[i]})-[e{i + 1}]->({names[i + 1]})" for i in range(segments))
+
+def parse(pattern: str) -> list[Term]:
+    """The terms of a pattern written as text."""
+    found = [_TERM.fullmatch(term) for term in pattern.split(";")]
+    if not all(found):
+        raise ValueError(f"not a list of (a)-[e]->(b) terms: {pattern}")
+    return [Term(*m.groups()) for m in found]
+
+
+def walk(stops: str | list[str]) -> list[Term]:
+    """A walk through vertices in the order of their names; its edges are named by their ends."""
+    return [Term(a, f"{a}_{b}", b) for a, b in pairwise(stops)]
 
 
-def find_motif(graph: Graph, pattern: str) -> DataFrame:
-    """All matches, one struct column per named vertex and edge; vertices may repeat.
+def find_motif(
+    graph: Graph,
+    pattern: str | list[Term],
+    distinct: bool = False,
+    bound: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """All matches, one struct column per named vertex and edge.
 
-    A chain of equi-joins. Filters on a vertex's fields move below the joins, so
-    put conditions on the result. A term must share a vertex with an earlier one.
+    ``distinct`` asks for different vertices under different names: each join that
+    brings a vertex in compares it with those before, so a repetition ends there.
+    ``bound`` restricts a name to the given vertices, before that vertex is joined.
+    A chain of equi-joins; a term must share a vertex with an earlier one.
     """
-    terms = [_TERM.fullmatch(term) for term in pattern.split(";")]
-    if not all(terms):
-        raise ValueError(f"not a list of (a)-[e]->(b) terms: {pattern}")
-    matches, bound = None, set()
-    for start, edge, end in (term.groups() for term in terms):
+    terms = parse(pattern) if isinstance(pattern, str) else pattern
+    bound = bound or {}
+    matches: DataFrame | None = None
+    known: list[str] = []
+    for start, edge, end in terms:
         edges = graph.edges.select(F.struct("*").alias(edge))
         ends = {start: F.col(f"{edge}.src"), end: F.col(f"{edge}.dst")}
         if matches is None:
             matches = edges
         else:
-            shared = [F.col(f"{name}.id") == column for name, column in ends.items() if name in bound]
+            shared = [F.col(f"{name}.id") == ends[name] for name in ends if name in known]
             if not shared:
                 raise ValueError(f"term of edge {edge} shares no vertex with the terms before it")
-            matches = matches.join(edges, shared)
+            new = [ends[name] for name in ends if name not in known]
+            apart = [F.col(f"{other}.id") != column for column in new for other in known] if distinct else []
+            matches = matches.join(edges, reduce(and_, shared + apart))
         if start == end:
+            # One name is one vertex: a loop, also where names stand for different vertices.
             matches = matches.where(F.col(f"{edge}.src") == F.col(f"{edge}.dst"))
+        elif distinct:
+            matches = matches.where(F.col(f"{edge}.src") != F.col(f"{edge}.dst"))
         for name, column in ends.items():
-            if name not in bound:
-                vertex = graph.vertices.select(F.struct("*").alias(name))
+            if name not in known:
+                vertex = bound.get(name, graph.vertices).select(F.struct("*").alias(name))
                 matches = matches.join(vertex, F.col(f"{name}.id") == column)
-                bound.add(name)
+                known.append(name)
     return matches
-
-
-def all_different(names: list[str]):
-    """Condition that no two of the named vertices are the same."""
-    ids = F.array(*(F.col(f"{name}.id") for name in names))
-    return F.size(F.array_distinct(ids)) == len(names)

@@ -8,52 +8,68 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.operators.skew import join_on_unique, split_hot
-from airlake.scratch import bucketed_copy, cut_lineage, keep
+from airlake.scratch import cut_lineage, working_area
 
 CHECKPOINT_INTERVAL = 5
+#: Links of one source that lie together; a source with more has as many pieces as it needs.
+LINKS_PER_PIECE = 100_000
 
 
-def _ranks(graph: Graph, resets: list[float], max_iter: int, checkpoint_interval: int) -> DataFrame:
+def pieces_of(degree: str, links_per_piece: int):
+    return F.ceil(F.col(degree) / links_per_piece).cast("int")
+
+
+def piece_of(other_end: str, pieces: str):
+    """The piece, from 1, that a link to that vertex lies in."""
+    return F.pmod(F.xxhash64(other_end), F.col(pieces)).cast("int") + 1
+
+
+def to_pieces(df: DataFrame) -> DataFrame:
+    """A row for each of a vertex's ``pieces``, none where it has none."""
+    numbers = F.when(F.col("pieces") > 0, F.sequence(F.lit(1), F.col("pieces")))
+    return df.withColumn("piece", F.explode(numbers))
+
+
+def _ranks(
+    graph: Graph, resets: list[float], max_iter: int, checkpoint_interval: int, links_per_piece: int
+) -> DataFrame:
     """(id, rank_0, rank_1, …): one rank per reset probability, all in the same rounds.
 
-    Links are written once, hashed by source, and stay in place: a round shuffles
-    only the contributions, already summed per task and target. Links of a hot
-    source lie apart, spread over all tasks, and meet a broadcast of the hot
-    sources' ranks (a bounded number of rows).
+    Links are written once, hashed by source and piece, and stay in place. A round shuffles
+    the ranks, a row per vertex and piece, and the contributions, already summed per task
+    and target. A source with many links is several pieces, so no bucket holds them all.
     """
     columns = [f"rank_{i}" for i in range(len(resets))]
-    out = graph.out_degrees.select(F.col("id").alias("_source"), F.col("outDegree").alias("fan_out"))
-    hot = graph.hot_sources
-    links = join_on_unique(graph.edges.select("src", "dst"), out, "src", "_source", hot)
-    links = links.select("src", "dst", "fan_out")
-    hot_links = None
-    if hot is not None:
-        hot_part, links = split_hot(links, ["src"], hot)
-        hot_links = keep(hot_part, "hot_links")
-        hot_ids = F.broadcast(hot.select(F.col("src").alias("_hot")))
-    ids = keep(graph.vertices.select("id"), "ids")
-
-    def sent(part: DataFrame, ranks: DataFrame) -> DataFrame:
+    with working_area(graph.edges.sparkSession) as area:
+        out = graph.out_degrees.select(F.col("id").alias("src"), F.col("outDegree").alias("fan_out"))
+        out = area.keep(out.withColumn("pieces", pieces_of("fan_out", links_per_piece)), "fan_out")
+        links = area.bucketed(
+            graph.edges.select("src", "dst").join(out, "src").select(
+                "src", piece_of("dst", "pieces").alias("piece"), "dst", "fan_out"
+            ),
+            ["src", "piece"], "links",
+        )
+        # Every vertex takes part with nothing: those without in-links get a rank, and all keep their pieces.
+        nothing = area.keep(
+            graph.vertices.select("id").join(out.withColumnRenamed("src", "id"), "id", "left").select(
+                "id", *(F.lit(0.0).alias(c) for c in columns), F.coalesce("pieces", F.lit(0)).alias("pieces")
+            ),
+            "vertices",
+        )
+        ranks = nothing.select("id", *(F.lit(1.0).alias(c) for c in columns), "pieces")
         flow = [(F.col(c) / F.col("fan_out")).alias(c) for c in columns]
-        return part.join(ranks, F.col("src") == F.col("id")).select(F.col("dst").alias("id"), *flow)
-
-    # Every vertex takes part with nothing, so those without in-links get a rank as well.
-    nothing = ids.select("id", *(F.lit(0.0).alias(c) for c in columns))
-    ranks = ids.select("id", *(F.lit(1.0).alias(c) for c in columns))
-    next_ranks = [
-        (F.lit(reset) + F.lit(1.0 - reset) * F.sum(c)).alias(c) for reset, c in zip(resets, columns)
-    ]
-    with bucketed_copy(links, "src", graph.edges.count(), "links") as links:
+        next_ranks = [
+            (F.lit(reset) + F.lit(1.0 - reset) * F.sum(c)).alias(c) for reset, c in zip(resets, columns)
+        ]
         for round_ in range(1, max_iter + 1):
-            # Hash the ranks, one row per vertex, and stream the links past them unsorted.
-            parts = [sent(links, ranks.hint("shuffle_hash")), nothing]
-            if hot_links is not None:
-                hot_ranks = ranks.join(hot_ids, F.col("id") == F.col("_hot"), "left_semi")
-                parts.append(sent(hot_links, F.broadcast(hot_ranks)))
-            ranks = reduce(DataFrame.unionByName, parts).groupBy("id").agg(*next_ranks)
+            sent = links.join(to_pieces(ranks).withColumnRenamed("id", "src"), ["src", "piece"]).select(
+                F.col("dst").alias("id"), *flow, F.lit(0).alias("pieces")
+            )
+            ranks = sent.unionByName(nothing).groupBy("id").agg(*next_ranks, F.max("pieces").alias("pieces"))
             if round_ % checkpoint_interval == 0 or round_ == max_iter:
                 ranks = cut_lineage(ranks)
+        if max_iter == 0:
+            ranks = cut_lineage(ranks)
 
     count, *totals = ranks.agg(F.count(F.lit(1)), *(F.sum(c) for c in columns)).first()
     return ranks.select(
@@ -62,14 +78,18 @@ def _ranks(graph: Graph, resets: list[float], max_iter: int, checkpoint_interval
 
 
 def pagerank(
-    graph: Graph, reset: float = 0.15, max_iter: int = 20, checkpoint_interval: int = CHECKPOINT_INTERVAL
+    graph: Graph,
+    reset: float = 0.15,
+    max_iter: int = 20,
+    checkpoint_interval: int = CHECKPOINT_INTERVAL,
+    links_per_piece: int = LINKS_PER_PIECE,
 ) -> DataFrame:
     """Vertices with ``pagerank``; the ranks add up to the number of vertices.
 
     A vertex hands its rank to its out-edges in equal shares; parallel edges count
     each. With probability ``reset`` a walk starts anew at any vertex.
     """
-    ranks = _ranks(graph, [reset], max_iter, checkpoint_interval)
+    ranks = _ranks(graph, [reset], max_iter, checkpoint_interval, links_per_piece)
     return graph.vertices.join(ranks.withColumnRenamed("rank_0", "pagerank"), "id")
 
 
@@ -80,12 +100,13 @@ def pagerank_sweep(
     max_iter: int = 20,
     digits: int = 6,
     checkpoint_interval: int = CHECKPOINT_INTERVAL,
+    links_per_piece: int = LINKS_PER_PIECE,
 ) -> DataFrame:
     """The ``n`` highest ranked vertices for each reset probability.
 
     All probabilities share the rounds, so the sweep costs one PageRank.
     """
-    ranks = _ranks(graph, resets, max_iter, checkpoint_interval)
+    ranks = _ranks(graph, resets, max_iter, checkpoint_interval, links_per_piece)
     tops = []
     for i, reset in enumerate(resets):
         top = (

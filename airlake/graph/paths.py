@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.graph.motif import all_different, chain_motif, find_motif, vertex_names
-from airlake.operators.skew import join_on_unique, join_salted
+from airlake.scratch import keep, working_area
 
 ARROW = " → "
 
 
-def condition(template: str, alias: str):
+def condition(template: str, alias: str) -> Column:
     """SQL condition with ``{v}`` standing for the alias of a vertex."""
     return F.expr(template.format(v=alias))
 
@@ -23,85 +22,83 @@ def select_vertices(vertices: DataFrame, template: str) -> DataFrame:
     return vertices.alias("v").where(condition(template, "v"))
 
 
-def simple_paths(graph: Graph, segments: int, start: str, end: str) -> DataFrame:
-    """Paths of exactly ``segments`` edges between vertices meeting two conditions.
+def edges_left(graph: Graph, targets: DataFrame, most: int, keep_level) -> DataFrame:
+    """(_id, _left): how many edges a vertex is from a target at least, up to ``most``."""
+    level = keep_level(targets.select(F.col("id").alias("_id")).distinct())
+    found = level.withColumn("_left", F.lit(0))
+    for n in range(1, most + 1):
+        before = graph.edges.select("src", "dst").join(level, F.col("dst") == F.col("_id"), "left_semi")
+        level = keep_level(before.select(F.col("src").alias("_id")).distinct().join(found, "_id", "left_anti"))
+        found = found.unionByName(level.withColumn("_left", F.lit(n)))
+    return found
+
 
-    ``start`` and ``end`` are conditions such as ``{v}.country = 'X'``. Vertices
-    need ``code``, edges ``distance_km``. Returns segments, route, distance_km.
+def paths_between(graph: Graph, start: str, end: str, longest: int, shortest: int = 1) -> DataFrame:
+    """Paths of ``shortest`` to ``longest`` edges between vertices meeting two conditions.
 
-    Paths grow by one join per segment and lose repeats at once. The last edge
-    must end in the target set and the one before it where such an edge starts,
-    so the two widest joins build only what can still become a result. Paths to and
-    edges from hot vertices are salted.
+    ``start`` and ``end`` are conditions such as ``{v}.country = 'X'``. Vertices need
+    ``code``, edges ``distance_km``. Columns: segments, route, distance_km.
+
+    One frontier grows by a join per edge and gives the paths of every length on its way.
+    It follows an edge only where enough edges are left to reach a target from its end,
+    and loses repeated vertices in the join. What is returned has been written once, so
+    it can be read many times; the frontiers are removed.
     """
-    targets = select_vertices(graph.vertices, end).select(F.col("id").alias("_target"))
-    hops = graph.coded_edges
-    last = join_on_unique(hops, targets, "dst", "_target", graph.hot_targets, "left_semi")
-    before_last = hops
-    if segments > 1:
-        leads_on = last.select(F.col("src").alias("_leads_on")).distinct()
-        before_last = join_on_unique(hops, leads_on, "dst", "_leads_on", graph.hot_targets, "left_semi")
-
-    paths = select_vertices(graph.vertices, start).select(
-        F.col("id").alias("_last"),
-        F.array("id").alias("_visited"),
-        F.array("code").alias("_codes"),
-        F.lit(0.0).alias("_km"),
-    )
-    for step in range(1, segments + 1):
-        hop = last if step == segments else before_last if step == segments - 1 else hops
-        paths = (
-            join_salted(paths, hop, "_last", "src", graph.hot_targets, graph.hot_sources)
-            .where(~F.array_contains("_visited", F.col("dst")))
-            .select(
-                F.col("dst").alias("_last"),
-                F.array_append("_visited", F.col("dst")).alias("_visited"),
+    with working_area(graph.edges.sparkSession) as area:
+        targets = select_vertices(graph.vertices, end)
+        left = edges_left(graph, targets, longest - 1, lambda df: area.keep(df, "level"))
+        hops = area.keep(graph.coded_edges.join(left, F.col("dst") == F.col("_id")).drop("_id"), "useful-hops")
+        frontier = select_vertices(graph.vertices, start).select(
+            F.col("id").alias("_last"), F.array("id").alias("_visited"), F.array("code").alias("_codes"),
+            F.lit(0.0).alias("_km"),
+        )
+        found = []
+        for step in range(1, longest + 1):
+            onward = hops.where(F.col("_left") <= longest - step)
+            new = ~F.array_contains("_visited", F.col("dst"))
+            frontier = frontier.join(onward, (F.col("_last") == F.col("src")) & new).select(
+                F.col("dst").alias("_last"), F.array_append("_visited", F.col("dst")).alias("_visited"),
                 F.array_append("_codes", F.col("code")).alias("_codes"),
-                (F.col("_km") + F.col("distance_km")).alias("_km"),
+                (F.col("_km") + F.col("distance_km")).alias("_km"), "_left",
             )
-        )
-    return paths.select(
-        F.lit(segments).alias("segments"), F.concat_ws(ARROW, "_codes").alias("route"), F.col("_km").alias("distance_km")
-    )
+            if step < longest:
+                frontier = area.keep(frontier, "frontier")  # for the paths that end here and those that go on
+            if step >= shortest:
+                found.append(
+                    frontier.where(F.col("_left") == 0).select(
+                        F.lit(step).alias("segments"), F.concat_ws(ARROW, "_codes").alias("route"),
+                        F.col("_km").alias("distance_km"),
+                    )
+                )
+            frontier = frontier.drop("_left")
+        return keep(reduce(DataFrame.unionByName, found), "paths")
 
 
-def motif_paths(graph: Graph, segments: int, start: str, end: str) -> DataFrame:
-    """The same result written as a chain motif and a filter; ``simple_paths`` prunes earlier."""
-    names = vertex_names(segments)
-    legs = [F.col(f"e{i}.distance_km") for i in range(1, segments + 1)]
-    matches = find_motif(graph, chain_motif(segments)).where(
-        condition(start, names[0]) & condition(end, names[-1]) & all_different(names)
-    )
-    return matches.select(
-        F.lit(segments).alias("segments"),
-        F.concat_ws(ARROW, *(F.col(f"{name}.code") for name in names)).alias("route"),
-        reduce(lambda total, leg: total + leg, legs, F.lit(0.0)).alias("distance_km"),
-    )
+def simple_paths(graph: Graph, segments: int, start: str, end: str) -> DataFrame:
+    """Paths of exactly ``segments`` edges."""
+    return paths_between(graph, start, end, segments, segments)
 
 
 def paths_up_to(graph: Graph, longest: int, start: str, end: str) -> DataFrame:
     """Paths of 1, 2, …, ``longest`` segments."""
-    by_length = [simple_paths(graph, k, start, end) for k in range(1, longest + 1)]
-    return reduce(DataFrame.unionByName, by_length)
+    return paths_between(graph, start, end, longest)
 
 
 def path_counts(paths: DataFrame) -> DataFrame:
     return paths.groupBy("segments").agg(F.count(F.lit(1)).alias("paths"))
 
 
-def transfer_counts(paths: DataFrame, n: int) -> DataFrame:
-    """Most frequent transfer vertices of two-segment paths."""
-    return (
-        paths.groupBy(F.split("route", ARROW)[1].alias("hub"))
-        .agg(F.count(F.lit(1)).alias("paths"))
-        .orderBy(F.desc("paths"), "hub")
-        .limit(n)
-    )
+def stop_counts(paths: DataFrame) -> DataFrame:
+    """(stop, paths): on how many paths a vertex lies between start and end."""
+    codes = F.split("route", ARROW)
+    between = F.slice(codes, F.lit(2), F.size(codes) - 2)
+    return paths.select(F.explode(between).alias("stop")).groupBy("stop").agg(F.count(F.lit(1)).alias("paths"))
 
 
-def shortest_paths(paths: DataFrame, n: int) -> DataFrame:
-    return paths.orderBy("distance_km", "route").limit(n)
-
-
-def longest_paths(paths: DataFrame, n: int) -> DataFrame:
-    return paths.orderBy(F.desc("distance_km"), "route").limit(n)
+def extreme_paths(paths: DataFrame, n: int) -> DataFrame:
+    """The ``n`` shortest and the ``n`` longest paths, told apart by ``kind``."""
+    ends = {"shortest": F.asc("distance_km"), "longest": F.desc("distance_km")}
+    return reduce(
+        DataFrame.unionByName,
+        (paths.orderBy(order, "route").limit(n).withColumn("kind", F.lit(kind)) for kind, order in ends.items()),
+    )

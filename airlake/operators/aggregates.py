@@ -7,10 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlake.operators.skew import HOT_ROWS, find_hot_keys
-from airlake.operators.windows import number_around_hot
-
-CHUNK_ROWS = 10_000
+from airlake.operators.windows import number_within
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -22,47 +19,19 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def listed(
-    df: DataFrame,
-    keys: list[str],
-    item: str,
-    name: str,
-    tie_break: list[str] | None = None,
-    separator: str = ", ",
-    chunk_rows: int = CHUNK_ROWS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Items of each group in sorted order, joined into text.
+def listed(df: DataFrame, keys: list[str], item: str, tie_break: list[str] | None = None) -> DataFrame:
+    """(keys, position, item): the sorted list of each group, an item a row.
 
-    A group of up to ``chunk_rows`` items is one row with ``chunk = 1``. A larger
-    group continues in chunks 2, 3, …, so nothing is left out and no task has to
-    hold a whole group. NULL items are skipped.
+    The long form holds groups of any size. NULL items are skipped.
     """
-    hot = find_hot_keys(df, keys, hot_rows)
-    return listed_around_hot(df, keys, item, name, hot, tie_break, separator, chunk_rows)
-
-
-def listed_around_hot(
-    df: DataFrame,
-    keys: list[str],
-    item: str,
-    name: str,
-    hot: DataFrame | None,
-    tie_break: list[str] | None = None,
-    separator: str = ", ",
-    chunk_rows: int = CHUNK_ROWS,
-) -> DataFrame:
-    """``listed`` for hot groups that are known already."""
     order = [F.col(item), *(F.col(c) for c in tie_break or [])]
     present = df.where(F.col(item).isNotNull()).select(*keys, item, *(tie_break or []))
-    numbered = number_around_hot(present, keys, order, "_rn", hot)
-    chunk = F.floor((F.col("_rn") - 1) / chunk_rows) + 1
-    return (
-        numbered.withColumn("chunk", chunk.cast("int"))
-        .groupBy(*keys, "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct("_rn", item))).alias("_items"))
-        .select(*keys, "chunk", F.array_join(F.col("_items")[item], separator).alias(name))
-    )
+    return number_within(present, keys, order, "position").select(*keys, "position", F.col(item).alias("item"))
+
+
+def concat_sorted(df: DataFrame, keys: list[str], item: str, name: str, separator: str = ", ") -> DataFrame:
+    """The sorted list of each group as one text, for groups known to fit in one; ``listed`` for others."""
+    return df.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list(item)), separator).alias(name))
 
 
 def ranked_list(df: DataFrame, keys: list[str], rank: str, item: str, name: str, separator: str = ", ") -> DataFrame:

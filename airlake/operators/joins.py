@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airlake.scratch import keep
+
 
 def _pairs(left: str, right: str):
     # A hot key on both sides can have more pairs than a BIGINT holds.
@@ -50,11 +52,11 @@ def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) ->
     if ``right`` is empty. Written out as an anti join on distinct keys, because a
     null-aware anti join has to broadcast ``right`` whatever its size.
     """
-    keys = right.select(F.col(right_key).alias("_not_in"))
+    keys = keep(right.select(F.col(right_key).alias("_not_in")).distinct(), "keys")
     total, missing = keys.agg(F.count(F.lit(1)), F.count_if(F.col("_not_in").isNull())).first()
     if total == 0:
         return left
     if missing:
         return left.where(F.lit(False))
     present = left.where(F.col(left_key).isNotNull())
-    return present.join(keys.distinct(), F.col(left_key) == F.col("_not_in"), "left_anti")
+    return present.join(keys, F.col(left_key) == F.col("_not_in"), "left_anti")

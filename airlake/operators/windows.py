@@ -2,56 +2,43 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airlake.operators.skew import HOT_ROWS, find_hot_keys, matching, split_hot
-from airlake.scratch import cut_lineage
+from airlake.scratch import keep
 
 
-def number_within(
-    df: DataFrame, keys: list[str], order: list[Column], name: str = "rn", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def number_within(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
     """Add the row's position within its group; ``order`` must be a total order.
 
-    Groups that fit a task are numbered by a window. Hot groups are cut into
-    ordered slices by range partitioning; each slice is numbered by itself and
-    shifted by the number of rows in the slices before it.
+    All rows are cut into ordered slices by range partitioning, whatever the sizes of the
+    groups. Each slice numbers its own rows, and a group that began in earlier slices is
+    moved by the rows it has there. No task sorts more than a slice.
     """
-    return number_around_hot(df, keys, order, name, find_hot_keys(df, keys, hot_rows))
-
-
-def number_around_hot(
-    df: DataFrame, keys: list[str], order: list[Column], name: str, hot: DataFrame | None
-) -> DataFrame:
-    """``number_within`` for hot groups that are known already."""
-    by_group = Window.partitionBy(*keys).orderBy(*order)
-    if hot is None:
-        return df.withColumn(name, F.row_number().over(by_group).cast("long"))
-
-    hot_part, other_part = split_hot(df, keys, hot)
-    numbered = other_part.withColumn(name, F.row_number().over(by_group).cast("long"))
-
     columns = [F.col(k) for k in keys]
     # Written once: range boundaries come from a sample, so both uses below must see the same slices.
-    slices = cut_lineage(
-        hot_part.repartitionByRange(*columns, *order).withColumn("_slice", F.spark_partition_id())
-    )
+    slices = keep(df.repartitionByRange(*columns, *order).withColumn("_slice", F.spark_partition_id()), "slices")
+    in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice a hot group touches: at most hot groups + slices in total.
-    offsets = (
-        slices.groupBy(*keys, "_slice")
+    here = [*keys, "_slice"]
+    # Only the first group of a slice can have begun before it: no more rows than slices.
+    moved = (
+        slices.groupBy(*here)
         .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .select(*(F.col(k).alias("_hot_" + k) for k in keys), F.col("_slice").alias("_hot__slice"), "_before")
+        .withColumn("_before", F.sum("_size").over(earlier))
+        .where("_before > 0")
+        .select(*(F.col(k).alias(f"_of_{k}") for k in here), "_before")
     )
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    shifted = (
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in here))
+    return (
         slices.withColumn("_position", F.row_number().over(in_slice))
-        .join(F.broadcast(offsets), matching([*keys, "_slice"]))
-        .withColumn(name, F.col("_position") + F.col("_before"))
+        .join(F.broadcast(moved), same, "left")
+        .withColumn(name, (F.col("_position") + F.coalesce("_before", F.lit(0))).cast("long"))
+        .select(*df.columns, name)
     )
-    return numbered.unionByName(shifted.select(*df.columns, name))
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str = "rank") -> DataFrame:

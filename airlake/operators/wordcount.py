@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlake.functions.text import hash_part, words
 from airlake.operators.aggregates import share
-from airlake.operators.spread import spread_if_few
 from airlake.operators.windows import top_n_per_group
 
 
 def word_counts(lines: DataFrame, column: str = "value") -> DataFrame:
     """(word, count) over all lines; counts are combined in each task before the shuffle."""
     return (
-        spread_if_few(lines.select(column))
-        .select(F.explode(words(F.col(column))).alias("word"))
+        lines.select(F.explode(words(F.col(column))).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -50,6 +48,32 @@ def run_invariants(placed: DataFrame) -> DataFrame:
     )
 
 
+def order_of_files(lines: DataFrame) -> DataFrame:
+    """Per part: words, the first and the last as they stand, and neighbours out of order.
+
+    ``lines`` are (part, word) of a scan of part files. Lines are compared within each
+    piece of a file, where a scan keeps their order, then the last line of each piece with
+    the first of the next. No task sorts more than a piece or than the pieces of a part.
+    """
+    placed = lines.select(
+        "part", "word", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    piece = ["part", "file", "start"]
+    before = F.lag("word").over(Window.partitionBy(*piece).orderBy("line"))
+    pieces = placed.withColumn("broken", F.coalesce(F.col("word") < before, F.lit(False))).groupBy(*piece).agg(
+        F.count(F.lit(1)).alias("words"), F.min_by("word", "line").alias("first"), F.max_by("word", "line").alias("last"),
+        F.count_if("broken").alias("broken"),
+    )
+    ended = F.lag("last").over(Window.partitionBy("part").orderBy("file", "start"))
+    pieces = pieces.withColumn("torn", F.coalesce(F.col("first") < ended, F.lit(False)))
+    place = F.struct("file", "start")
+    return pieces.groupBy("part").agg(
+        F.sum("words").alias("words"), F.min_by("first", place).alias("first_word"), F.max_by("last", place).alias("last_word"),
+        (F.sum("broken") + F.count_if("torn")).alias("out_of_order"),
+    )
+
+
 def part_heads(placed: DataFrame, n: int = 8) -> DataFrame:
     """The first words of each part in sorted order."""
     return top_n_per_group(placed, ["reducers", "part"], [F.asc("word")], n)

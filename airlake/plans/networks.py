@@ -1,10 +1,9 @@
-"""Graphs derived from the given tables, in Spark and in SQL.
+"""Graphs derived from the given tables, in Spark and in SQL; each holds all its edges.
 
-* lanes: nations; an edge for each pair busier than the average lane of its
-  source or of its destination. Small and dense, for motifs, paths and searches.
+* lanes: nations; an edge for each pair with routes. Small and dense, for motifs and paths
+  between sets.
 * shipments: suppliers and customers; goods go out along every line item and
   come back along returned ones. Directed, with cycles, as large as the tables.
-* domestic: the shipments that stay inside a nation, hence many components.
 * links: pages and what they link to, resolved against the page's host, with
   text ids.
 """
@@ -50,18 +49,7 @@ labelled AS (
 
 
 def lanes(spark: SparkSession, folder: str, reused: bool = False) -> Graph:
-    pairs = keep(located_pairs(spark, folder).select("src_id", "dst_id", "distance_km", "airlines", "flights"), "pairs")
-    busy = pairs
-    for end in ("src", "dst"):
-        per_end = pairs.groupBy(F.col(f"{end}_id").alias(f"_{end}")).agg(
-            F.sum("flights").alias(f"_{end}_flights"), F.count(F.lit(1)).alias(f"_{end}_lanes")
-        )
-        busy = busy.join(per_end, F.col(f"{end}_id") == F.col(f"_{end}"))
-    busy = busy.where(
-        (F.col("flights") * F.col("_src_lanes") > F.col("_src_flights"))
-        | (F.col("flights") * F.col("_dst_lanes") > F.col("_dst_flights"))
-    )
-    return _connected(labelled_airports(spark, folder), edges_of(busy), reused)
+    return _connected(labelled_airports(spark, folder), route_edges(spark, folder), reused)
 
 
 def _connected(vertices: DataFrame, edges: DataFrame, reused: bool) -> Graph:
@@ -75,13 +63,7 @@ def _connected(vertices: DataFrame, edges: DataFrame, reused: bool) -> Graph:
 
 
 LANES = f"""{ROUTE_EDGES},
-edges AS (
-    SELECT e.src, e.dst, e.distance_km, e.airlines
-    FROM route_edges e
-    JOIN (SELECT src, SUM(flights) AS f, COUNT(*) AS n FROM route_edges GROUP BY src) s ON e.src = s.src
-    JOIN (SELECT dst, SUM(flights) AS f, COUNT(*) AS n FROM route_edges GROUP BY dst) d ON e.dst = d.dst
-    WHERE e.flights * s.n > s.f OR e.flights * d.n > d.f
-),
+edges AS (SELECT src, dst, distance_km, airlines FROM route_edges),
 vertices AS (
     SELECT * FROM labelled WHERE id IN (SELECT src FROM edges UNION SELECT dst FROM edges)
 )"""
@@ -107,7 +89,7 @@ def traders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _shipment_edges(spark: SparkSession, folder: str, people: DataFrame, domestic: bool) -> DataFrame:
+def _shipment_edges(spark: SparkSession, folder: str, people: DataFrame) -> DataFrame:
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     # Lines of one pair are summed before both directions are unfolded.
@@ -125,24 +107,20 @@ def _shipment_edges(spark: SparkSession, folder: str, people: DataFrame, domesti
 
     def end(side: str) -> DataFrame:
         return people.select(
-            F.col("id").alias(f"_{side}"), F.col("city").alias(f"_{side}_city"),
-            F.col("latitude").alias(f"_{side}_lat"), F.col("longitude").alias(f"_{side}_lon"),
+            F.col("id").alias(f"_{side}"), F.col("latitude").alias(f"_{side}_lat"), F.col("longitude").alias(f"_{side}_lon"),
         )
 
     edges = shipped.join(end("src"), F.col("src") == F.col("_src")).join(end("dst"), F.col("dst") == F.col("_dst"))
-    if domestic:
-        edges = edges.where(F.col("_src_city") == F.col("_dst_city"))
     distance = haversine_km(F.col("_src_lat"), F.col("_src_lon"), F.col("_dst_lat"), F.col("_dst_lon"))
     return edges.select("src", "dst", distance.alias("distance_km"), "airlines")
 
 
-def shipments(spark: SparkSession, folder: str, domestic: bool = False, reused: bool = False) -> Graph:
+def shipments(spark: SparkSession, folder: str, reused: bool = False) -> Graph:
     people = traders(spark, folder)
-    return _connected(people, _shipment_edges(spark, folder, people, domestic), reused)
+    return _connected(people, _shipment_edges(spark, folder, people), reused)
 
 
-def _shipments_sql(condition: str) -> str:
-    return f"""{AIRPORTS},
+SHIPMENTS = f"""{AIRPORTS},
 people AS (
     SELECT p.id, p.code, a.name AS city, p.country, a.latitude, a.longitude
     FROM (
@@ -163,16 +141,12 @@ edges AS (
         UNION ALL
         SELECT buyer, seller, returned FROM dealt WHERE returned > 0
     ) t JOIN people s ON t.src = s.id JOIN people d ON t.dst = d.id
-    WHERE {condition}
 ),
 vertices AS (
     SELECT * FROM people WHERE id IN (SELECT src FROM edges UNION SELECT dst FROM edges)
 )"""
 
 
-SHIPMENTS = _shipments_sql("TRUE")
-DOMESTIC = _shipments_sql("s.city = d.city")
-
 # The shape of addresses and of links in the pages.
 HOST = r"^[a-z]+://([^/]+)"
 LINK = r'href="([^"]*)"'

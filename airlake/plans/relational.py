@@ -4,29 +4,33 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlake.functions.formats import label_with_value
 from airlake.functions.geo import haversine_km
 from airlake.graph.communities import group_sizes, largest_group
-from airlake.graph.motif import all_different, chain_motif, find_motif
+from airlake.graph.components import connected_components
+from airlake.graph.graph import Graph
+from airlake.graph.motif import find_motif, walk
 from airlake.graph.paths import select_vertices
-from airlake.operators.aggregates import listed, ranked_list, row_counts, share
+from airlake.operators.aggregates import concat_sorted, ranked_list, row_counts, share
 from airlake.operators.joins import not_in, pair_totals, pairs_by_key
 from airlake.operators.quality import (
     airline_totals, distance_stats, exclude_airports, route_quality, with_distances,
 )
 from airlake.operators.windows import largest_per_group, number_within, top_n_per_group
-from airlake.plans.networks import DOMESTIC, LANES, ROUTE_EDGES, labelled_airports, lanes, route_edges, shipments
+from airlake.plans.networks import (
+    LANES, LINKS, ROUTE_EDGES, SHIPMENTS, labelled_airports, lanes, links, route_edges, shipments, traders,
+)
 from airlake.plans.registry import query
 from airlake.plans.tables import (
     AIRLINES, AIRPORTS, COMPANIES, ROUTE_TABLES, ROUTES, airlines, airports, companies, haversine_sql, routes, table,
 )
 from airlake.scratch import keep
+from airlake.sources.catalog import register_view
 
 BROKEN = [3, 17]
-ADDRESS = 77
 
 
 def rows(name: str) -> Column:
@@ -132,10 +136,18 @@ def large_groups(spark, folder):
 
 
 @query("filter_expr_template", f"""
-WITH {LANES} SELECT id, code, country FROM vertices WHERE country = 'EUROPE' AND latitude > 0""")
+WITH {SHIPMENTS} SELECT id, code, country FROM vertices WHERE country = 'BUILDING' AND latitude > 0""")
 def templated(spark, folder):
-    vertices = lanes(spark, folder).vertices
-    return select_vertices(vertices, "{v}.country = 'EUROPE' AND {v}.latitude > 0").select("id", "code", "country")
+    vertices = shipments(spark, folder).vertices
+    return select_vertices(vertices, "{v}.country = 'BUILDING' AND {v}.latitude > 0").select("id", "code", "country")
+
+
+def ends_bound(graph: Graph, first: str, last: str) -> dict[str, DataFrame]:
+    """Walks from one region to another."""
+    return {
+        first: graph.vertices.where("country = 'ASIA'"),
+        last: graph.vertices.where("country = 'EUROPE'"),
+    }
 
 
 @query("filter_pairwise_distinct", f"""
@@ -143,9 +155,12 @@ WITH {LANES}
 SELECT e1.src AS a, e1.dst AS b, e2.dst AS c, e3.dst AS d
 FROM edges e1 JOIN edges e2 ON e1.dst = e2.src JOIN edges e3 ON e2.dst = e3.src
 WHERE e1.src <> e1.dst AND e1.src <> e2.dst AND e1.src <> e3.dst
-  AND e1.dst <> e2.dst AND e1.dst <> e3.dst AND e2.dst <> e3.dst""")
+  AND e1.dst <> e2.dst AND e1.dst <> e3.dst AND e2.dst <> e3.dst
+  AND e1.src IN (SELECT id FROM vertices WHERE country = 'ASIA')
+  AND e3.dst IN (SELECT id FROM vertices WHERE country = 'EUROPE')""")
 def different_vertices(spark, folder):
-    found = find_motif(lanes(spark, folder), chain_motif(3)).where(all_different(["a", "b", "c", "d"]))
+    graph = lanes(spark, folder)
+    found = find_motif(graph, walk("abcd"), distinct=True, bound=ends_bound(graph, "a", "d"))
     return found.select(*(F.col(f"{v}.id").alias(v) for v in "abcd"))
 
 
@@ -160,30 +175,25 @@ def quoted_literal(spark, folder):
 
 # --- joins -------------------------------------------------------------------
 
-PAIRS = """
-FROM customer u JOIN supplier f ON u.c_nationkey = f.s_nationkey"""
-
-
 def _pair_sides(spark, folder):
-    left = table(spark, folder, "customer").select(F.col("c_nationkey").alias("address"), "c_custkey", "c_mktsegment")
-    right = table(spark, folder, "supplier").select(F.col("s_nationkey").alias("address"), "s_name")
-    return left, right
+    buyers = table(spark, folder, "customer").select(F.col("c_nationkey").alias("nation"), "c_custkey")
+    sellers = table(spark, folder, "supplier").select(F.col("s_nationkey").alias("nation"), "s_name")
+    return buyers, sellers
 
 
-@query("join_inner_mm", f"""
-SELECT COUNT(DISTINCT u.c_nationkey) AS shared_addresses, COUNT(*) AS pairs {PAIRS}""")
+@query("join_inner_mm", """
+SELECT COUNT(*) AS pairs, COUNT(DISTINCT c_nationkey) AS nations FROM customer, supplier WHERE c_nationkey = s_nationkey""")
 def pairs_in_total(spark, folder):
-    totals = pair_totals(*_pair_sides(spark, folder), "address")
-    return totals.select(F.col("shared_keys").alias("shared_addresses"), F.col("pairs").cast("long").alias("pairs"))
+    totals = pair_totals(*_pair_sides(spark, folder), "nation")
+    return totals.select(F.col("shared_keys").alias("nations"), F.col("pairs").cast("long").alias("pairs"))
 
 
-@query("join_inner_mm_by_key", f"""
-SELECT u.c_nationkey AS address, COUNT(DISTINCT u.c_custkey) AS uo_count, COUNT(DISTINCT f.s_name) AS fop_count,
-       COUNT(*) AS pairs
-{PAIRS} GROUP BY u.c_nationkey""")
-def pairs_per_address(spark, folder):
-    left, right = _pair_sides(spark, folder)
-    pairs = pairs_by_key(left, right, "address", "c_custkey", "s_name", "uo_count", "fop_count")
+@query("join_inner_mm_by_key", """
+SELECT c_nationkey AS nation, COUNT(*) AS pairs, COUNT(DISTINCT c_custkey) AS buyers, COUNT(DISTINCT s_name) AS sellers
+FROM customer, supplier WHERE c_nationkey = s_nationkey GROUP BY c_nationkey""")
+def pairs_per_nation(spark, folder):
+    sides = _pair_sides(spark, folder)
+    pairs = pairs_by_key(*sides, "nation", "c_custkey", "s_name", "buyers", "sellers")
     return pairs.withColumn("pairs", F.col("pairs").cast("long"))
 
 
@@ -208,32 +218,32 @@ def per_airline_country(spark, folder):
 
 
 @query("join_semi", f"""
-WITH {LANES}
-SELECT id, code FROM labelled WHERE id IN (SELECT src FROM edges UNION SELECT dst FROM edges)""")
-def connected_airports(spark, folder):
-    edges = lanes(spark, folder).edges
+WITH {SHIPMENTS}
+SELECT id, code FROM people WHERE id IN (SELECT src FROM edges UNION SELECT dst FROM edges)""")
+def connected_people(spark, folder):
+    edges = shipments(spark, folder).edges
     ends = edges.select(F.col("src").alias("end")).union(edges.select("dst")).distinct()
-    return labelled_airports(spark, folder).join(ends, F.col("id") == F.col("end"), "left_semi").select("id", "code")
+    return traders(spark, folder).join(ends, F.col("id") == F.col("end"), "left_semi").select("id", "code")
 
 
 @query("join_anti_null_aware", f"""
-WITH {LANES}
+WITH {SHIPMENTS}
 SELECT id, code FROM vertices WHERE id NOT IN (
-    SELECT e.src FROM edges e JOIN vertices v ON e.dst = v.id WHERE v.country = 'EUROPE' AND v.latitude < -40)""")
+    SELECT e.src FROM edges e JOIN vertices v ON e.dst = v.id WHERE v.country = 'SUPPLIER' AND v.city = 'NATION_3')""")
 def not_in_subquery(spark, folder):
-    graph = lanes(spark, folder)
-    far = graph.vertices.where("country = 'EUROPE' AND latitude < -40").select(F.col("id").alias("_far"))
-    connected = graph.edges.join(far, F.col("dst") == F.col("_far"), "left_semi")
+    """Who never sent anything to a supplier of one nation."""
+    graph = shipments(spark, folder)
+    there = graph.vertices.where("country = 'SUPPLIER' AND city = 'NATION_3'").select(F.col("id").alias("_there"))
+    connected = graph.edges.join(there, F.col("dst") == F.col("_there"), "left_semi")
     return not_in(graph.vertices.select("id", "code"), "id", connected, "src")
 
 
 @query("join_left_outer", f"""
-WITH {LANES}, deg AS (SELECT dst AS id, COUNT(*) AS arrivals FROM edges GROUP BY dst)
-SELECT v.id, v.code, arrivals FROM labelled v LEFT JOIN deg ON v.id = deg.id""")
+WITH {SHIPMENTS}, deg AS (SELECT dst AS id, COUNT(*) AS arrivals FROM edges GROUP BY dst)
+SELECT v.id, v.code, arrivals FROM people v LEFT JOIN deg ON v.id = deg.id""")
 def arrivals(spark, folder):
-    graph = lanes(spark, folder)
-    degrees = graph.in_degrees.withColumnRenamed("inDegree", "arrivals")
-    return labelled_airports(spark, folder).select("id", "code").join(degrees, "id", "left")
+    degrees = shipments(spark, folder).in_degrees.withColumnRenamed("inDegree", "arrivals")
+    return traders(spark, folder).select("id", "code").join(degrees, "id", "left")
 
 
 DEGREES = """
@@ -242,22 +252,18 @@ outdeg AS (SELECT src AS id, COUNT(*) AS "outDegree" FROM edges GROUP BY src)"""
 
 
 @query("join_degrees", f"""
-WITH {LANES}, {DEGREES}
+WITH {SHIPMENTS}, {DEGREES}
 SELECT i.id, "inDegree", "outDegree" FROM indeg i JOIN outdeg o ON i.id = o.id""")
 def joined_degrees(spark, folder):
-    return lanes(spark, folder).degrees()
+    return shipments(spark, folder).degrees()
 
 
 @query("join_back_group_size", f"""
 WITH {COMPANIES}, sizes AS (SELECT address, COUNT(*) AS companies FROM companies GROUP BY address)
 SELECT code, c.address, companies FROM companies c JOIN sizes s ON c.address = s.address""")
 def with_group_size(spark, folder):
-    from airlake.operators.skew import find_hot_keys, join_on_unique
-
     members = companies(spark, folder).select("code", "address")
-    sizes = members.groupBy(F.col("address").alias("_address")).agg(rows("companies"))
-    hot = find_hot_keys(members, ["address"])
-    return join_on_unique(members, sizes, "address", "_address", hot).drop("_address")
+    return members.join(members.groupBy("address").agg(rows("companies")), "address")
 
 
 @query("join_self_chain", f"""
@@ -308,12 +314,11 @@ def airlines_per_pair(spark, folder):
 
 QUALITY = f"""
 WITH {ROUTES}
-SELECT COUNT(*) AS routes,
-       COUNT(*) FILTER (WHERE src_id IS NULL OR dst_id IS NULL) AS without_airport_id,
-       COUNT(*) FILTER (WHERE airline_id IS NULL) AS without_airline_id,
-       COUNT(*) FILTER (WHERE codeshare = 'Y') AS codeshare,
-       COUNT(*) FILTER (WHERE src_id = dst_id) AS same_airport
-FROM routes"""
+SELECT 'all' AS defect, COUNT(*) AS routes FROM routes
+UNION ALL SELECT 'no_end', COUNT(*) FROM routes WHERE COALESCE(src_id, -1) < 0 OR COALESCE(dst_id, -1) < 0
+UNION ALL SELECT 'no_airline', COUNT(*) - COUNT(airline_id) FROM routes
+UNION ALL SELECT 'shared', COUNT(codeshare) FROM routes
+UNION ALL SELECT 'loops', COUNT(*) FROM routes WHERE src_id - dst_id = 0"""
 
 
 @query("agg_count_if", """
@@ -336,10 +341,12 @@ def statistics_of_distances(spark, folder):
 
 
 TOTALS = f"""
-WITH {ROUTE_TABLES}
-SELECT a.id, a.name AS airline, a.country, COUNT(*) AS routes, ROUND(SUM(f.distance_km)) AS total_km
-FROM distances f JOIN airlines a ON f.airline_id = a.id
-WHERE f.codeshare IS NULL GROUP BY a.id, a.name, a.country"""
+WITH {ROUTE_TABLES},
+own AS (
+    SELECT airline_id, COUNT(*) AS legs, SUM(distance_km) AS flown FROM distances
+    WHERE codeshare IS NULL AND airline_id IS NOT NULL GROUP BY airline_id
+)
+SELECT id, name AS carrier, country AS home, legs, ROUND(flown) AS km FROM airlines JOIN own ON id = airline_id"""
 
 
 @query("agg_sum_round", TOTALS)
@@ -376,21 +383,23 @@ def orders_per_priority(spark, folder):
 
 @query("agg_concat_sorted", f"""
 WITH {AIRPORTS}
-SELECT country, 1 AS chunk,
+SELECT country,
        string_agg(concat_ws(' ', COALESCE(iata, icao), '(' || city || ')'), ', '
                   ORDER BY concat_ws(' ', COALESCE(iata, icao), '(' || city || ')')) AS airports
 FROM airports GROUP BY country""")
 def airports_per_country(spark, folder):
+    """The nations of a region are few."""
     place = F.concat_ws(" ", F.coalesce("iata", "icao"), F.concat(F.lit("("), "city", F.lit(")")))
-    return listed(airports(spark, folder).withColumn("place", place), ["country"], "place", "airports", ["id"])
+    return concat_sorted(airports(spark, folder).withColumn("place", place), ["country"], "place", "airports")
 
 
 @query("agg_concat_distinct", """
-SELECT c_nationkey, 1 AS chunk, string_agg(DISTINCT c_mktsegment, ', ' ORDER BY c_mktsegment) AS segments
+SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ', ' ORDER BY c_mktsegment) AS segments
 FROM customer GROUP BY c_nationkey""")
 def segments_per_nation(spark, folder):
+    """The segments are few."""
     distinct = table(spark, folder, "customer").select("c_nationkey", "c_mktsegment").distinct()
-    return listed(distinct, ["c_nationkey"], "c_mktsegment", "segments")
+    return concat_sorted(distinct, ["c_nationkey"], "c_mktsegment", "segments")
 
 
 @query("agg_concat_ranked", """
@@ -430,11 +439,25 @@ def numbered_companies(spark, folder):
     return numbered(spark, folder)
 
 
+def numbered_view(spark, folder) -> str:
+    """A view that numbers the companies of each address; a filter on the address goes below the window."""
+    name = "airlake_numbered"
+    by_address = Window.partitionBy("address").orderBy("code")
+    register_view(companies(spark, folder).withColumn("rn", F.row_number().over(by_address).cast("long")), name)
+    return name
+
+
 @query("win_view_filter", f"""
-WITH {NUMBERED} SELECT rn, code, stan FROM numbered WHERE address = {ADDRESS} ORDER BY rn LIMIT 20""")
-def first_of_address(spark, folder):
-    here = companies(spark, folder).where(F.col("address") == ADDRESS)
-    return number_within(here, ["address"], [F.asc("code")]).select("rn", "code", "stan").orderBy("rn").limit(20)
+WITH {NUMBERED} SELECT rn, code, stan FROM numbered
+WHERE address = (SELECT address FROM companies GROUP BY address ORDER BY COUNT(*) DESC, address LIMIT 1)
+ORDER BY rn LIMIT 20""")
+def first_of_busiest_address(spark, folder):
+    """The view is there first; the address it is filtered by is found later."""
+    view = numbered_view(spark, folder)
+    busiest = spark.sql(f"SELECT address FROM {view} GROUP BY address ORDER BY COUNT(*) DESC, address LIMIT 1").first()
+    address = busiest.address if busiest else None
+    found = spark.sql(f"SELECT rn, code, stan FROM {view} WHERE address = :address", {"address": address})
+    return found.orderBy("rn").limit(20)
 
 
 @query("win_topn_per_group", """
@@ -460,12 +483,8 @@ def main_flag(spark, folder):
 WITH n AS (SELECT event_type, user_id, COUNT(*) AS events FROM events GROUP BY ALL)
 SELECT event_type, user_id, events, CAST(SUM(events) OVER (PARTITION BY event_type) AS BIGINT) AS all_events FROM n""")
 def with_total(spark, folder):
-    from airlake.operators.skew import find_hot_keys, join_on_unique
-
     counts = keep(table(spark, folder, "events").groupBy("event_type", "user_id").agg(rows("events")))
-    totals = counts.groupBy(F.col("event_type").alias("_type")).agg(F.sum("events").alias("all_events"))
-    hot = find_hot_keys(counts, ["event_type"])
-    return join_on_unique(counts, totals, "event_type", "_type", hot).drop("_type")
+    return counts.join(counts.groupBy("event_type").agg(F.sum("events").alias("all_events")), "event_type")
 
 
 @query("win_head_per_group", """
@@ -481,14 +500,14 @@ def head_of_day(spark, folder):
 
 # --- sorting and limits ------------------------------------------------------
 
-@query("topk_desc", f"{TOTALS} ORDER BY total_km DESC, a.id LIMIT 10")
+@query("topk_desc", f"{TOTALS} ORDER BY km DESC, id LIMIT 10")
 def longest_totals(spark, folder):
-    return totals(spark, folder).orderBy(F.desc("total_km"), "id").limit(10)
+    return totals(spark, folder).orderBy(F.desc("km"), "id").limit(10)
 
 
-@query("topk_asc", f"{TOTALS} ORDER BY total_km, a.id LIMIT 10")
+@query("topk_asc", f"{TOTALS} ORDER BY km, id LIMIT 10")
 def shortest_totals(spark, folder):
-    return totals(spark, folder).orderBy("total_km", "id").limit(10)
+    return totals(spark, folder).orderBy("km", "id").limit(10)
 
 
 @query("top1_row", f"""
@@ -662,11 +681,21 @@ def clean_routes(spark, folder):
 
 # --- groups ------------------------------------------------------------------
 
-@query("filter_by_main_component", """
-WITH sizes AS (SELECT c_nationkey AS component, COUNT(*) AS size FROM customer GROUP BY 1)
+REACHED = """
+around AS MATERIALIZED (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges),
+reach AS (
+    SELECT id, id AS root FROM vertices
+    UNION
+    SELECT n.b, r.root FROM reach r JOIN around n ON r.id = n.a WHERE r.root < n.b
+),
+sizes AS (SELECT component, COUNT(*) AS size FROM (SELECT id, MIN(root) AS component FROM reach GROUP BY id) GROUP BY component)"""
+
+
+@query("filter_by_main_component", f"""
+WITH RECURSIVE {LINKS}, {REACHED}
 SELECT component, size FROM sizes
 WHERE size >= 2 AND component <> (SELECT component FROM sizes ORDER BY size DESC, component LIMIT 1)""")
 def all_but_largest(spark, folder):
-    members = table(spark, folder, "customer").select(F.col("c_nationkey").alias("component"))
-    sizes = keep(group_sizes(members, "component", 2))
+    """Linked pages outside the main component."""
+    sizes = keep(group_sizes(connected_components(links(spark, folder, reused=True)), "component", 2))
     return sizes.where(F.col("component") != F.lit(largest_group(sizes, "component")))

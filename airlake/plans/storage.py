@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airlake.functions.formats import bucket_number, format_bytes
 from airlake.functions.text import clean_text
 from airlake.operators.aggregates import row_counts
-from airlake.operators.spread import spread_if_few
 from airlake.operators.wordcount import word_counts
-from airlake.plans.networks import LANES, ROUTE_EDGES, lanes, route_edges
+from airlake.plans.networks import ROUTE_EDGES, SHIPMENTS, route_edges, shipments
 from airlake.plans.registry import query
 from airlake.plans.tables import COMPANIES, ROUTES, companies, routes, table
-from airlake.scratch import cut_lineage, new_path, new_table_name
+from airlake.scratch import cut_lineage, keep, working_area
 from airlake.sinks.delimited import write_quoted_csv
 from airlake.sinks.tables import (
     analyze, load_partitions, overwrite_load, write_bucketed, write_partitioned, write_plain,
 )
 from airlake.sinks.wordcount import write_wordcount
-from airlake.sources.catalog import describe_table, preview, register_view, with_input_file
+from airlake.sources.catalog import describe_table, external_table, preview, register_view, with_input_file
 from airlake.sources.delimited import QUOTED, read_headerless_csv, read_quoted_csv, strings, typed
 from airlake.sources.layout import (
-    bucket_of, bucket_report, bucket_sample, compare_layouts, in_bucket, layout_report, split_report,
+    bucket_of, bucket_report, bucket_sample, compare_layouts, file_sizes, layout_report, scan_work, split_report,
 )
 from airlake.sources.text import read_part_files, read_text_lines
-from airlake.sources.xml import flat_records, read_xml_records, record_schema
+from airlake.sources.xml import encode_text, flat_records, read_xml_records, record_schema
 from pyspark.sql.types import IntegerType, LongType, StringType
 
 BUCKETS = 10
@@ -55,10 +56,29 @@ def _document_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("read_quoted_csv", f"""
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, {CLEAN} AS text, lang, source FROM documents""")
 def quoted_csv(spark, folder):
-    path = new_path(spark, "quoted")
-    documents = spread_if_few(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
-    write_quoted_csv(documents.select("doc_id", clean_text(F.col("text")).alias("text"), "lang", "source"), path)
-    return read_quoted_csv(spark, path, strings("doc_id", "text", "lang", "source"))
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    with working_area(spark) as area:
+        _, path = area.place("quoted")
+        write_quoted_csv(documents.select("doc_id", clean_text(F.col("text")).alias("text"), "lang", "source"), path)
+        return keep(read_quoted_csv(spark, path, strings("doc_id", "text", "lang", "source")))
+
+
+@query("quoted_csv_round_trip", r"""
+SELECT CAST(c_custkey AS VARCHAR) AS id,
+       CASE c_custkey % 5 WHEN 0 THEN '\N' WHEN 1 THEN '' WHEN 2 THEN '"' || c_name || '", and "'
+            WHEN 3 THEN ' \ ' || c_name || ' ' ELSE 'NULL' END AS value
+FROM customer""")
+def awkward_values(spark, folder):
+    """Marks of missing values, empty texts, quotes and backslashes come back as they were."""
+    kind, name = F.col("c_custkey") % 5, F.col("c_name")
+    value = (
+        F.when(kind == 0, "\\N").when(kind == 1, "").when(kind == 2, F.concat(F.lit('"'), name, F.lit('", and "')))
+        .when(kind == 3, F.concat(F.lit(" \\ "), name, F.lit(" "))).otherwise("NULL")
+    )
+    with working_area(spark) as area:
+        _, path = area.place("quoted")
+        write_quoted_csv(table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), value.alias("value")), path)
+        return keep(read_quoted_csv(spark, path, strings("id", "value")))
 
 
 @query("write_quoted_csv", """
@@ -66,41 +86,55 @@ SELECT '"' || c_custkey || '","' || c_name || '","' || c_nationkey || '","'
        || CASE WHEN c_acctbal >= 0 THEN c_mktsegment ELSE '' END || '"' AS line
 FROM customer""")
 def quoted_csv_lines(spark, folder):
-    path = new_path(spark, "quoted")
     customer = table(spark, folder, "customer")
     segment = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("c_mktsegment")
-    write_quoted_csv(customer.select("c_custkey", "c_name", "c_nationkey", segment), path)
     header = '"c_custkey","c_name","c_nationkey","c_mktsegment"'
-    lines = read_text_lines(spark, path).withColumnRenamed("value", "line")
-    return lines.where(F.col("line") != header)
+    with working_area(spark) as area:
+        _, path = area.place("quoted")
+        write_quoted_csv(customer.select("c_custkey", "c_name", "c_nationkey", segment), path)
+        lines = read_text_lines(spark, path).withColumnRenamed("value", "line")
+        return keep(lines.where(F.col("line") != header))
+
+
+@query("external_table_csv", f"""
+WITH {COMPANIES} SELECT CAST(code AS VARCHAR) AS code, CAST(address AS VARCHAR) AS address, stan FROM companies""")
+def table_over_csv(spark, folder):
+    """A table whose files are quoted CSV that was there before it."""
+    with working_area(spark) as area:
+        name, path = area.place("registry")
+        write_quoted_csv(companies(spark, folder).select("code", "address", "stan"), path)
+        external_table(spark, name, path, strings("code", "address", "stan"), "csv", **{k: str(v) for k, v in QUOTED.items()})
+        return keep(spark.sql(f"SELECT code, address, stan FROM {name}"))
 
 
 @query("read_headerless_csv", f"""
 WITH {ROUTES}
 SELECT airline_id, src_id, dst_id, codeshare, COUNT(*) AS routes FROM routes GROUP BY ALL""")
 def headerless_csv(spark, folder):
-    path = new_path(spark, "headerless")
-    routes(spark, folder).write.csv(path, nullValue="\\N")
     schema = typed(airline_id=LongType(), src_id=IntegerType(), dst_id=IntegerType(), codeshare=StringType())
-    read = read_headerless_csv(spark, path, schema)
-    return read.groupBy(*read.columns).agg(F.count(F.lit(1)).alias("routes"))
+    with working_area(spark) as area:
+        _, path = area.place("headerless")
+        routes(spark, folder).write.csv(path, nullValue="\\N")
+        read = read_headerless_csv(spark, path, schema)
+        return keep(read.groupBy(*read.columns).agg(F.count(F.lit(1)).alias("routes")))
 
 
 @query("read_text_lines", r"""
 SELECT unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS value FROM documents""")
 def text_lines(spark, folder):
-    path = new_path(spark, "lines")
-    table(spark, folder, "documents").select("text").write.text(path)
-    return read_text_lines(spark, path)
+    with working_area(spark) as area:
+        _, path = area.place("lines")
+        table(spark, folder, "documents").select("text").write.text(path)
+        return keep(read_text_lines(spark, path))
 
 
 RECORD_TAGS = ["NAME", "EDRPOU", "ADDRESS", "FOUNDERS"]
 RECORD_LISTS = {"FOUNDERS": "FOUNDER"}
 
 
-def _registry_xml(spark: SparkSession, folder: str) -> DataFrame:
+def _registry_xml(spark: SparkSession, folder: str, area) -> DataFrame:
     """Customers as registry records: some without address, founders from two columns."""
-    path = new_path(spark, "xml")
+    _, path = area.place("xml")
     customer = table(spark, folder, "customer")
     founders = F.struct(F.array("c_mktsegment", F.concat(F.lit("P\\Q  & <"), "c_name", F.lit("> "))).alias("FOUNDER"))
     customer.select(
@@ -118,12 +152,12 @@ SELECT c_name AS name, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS edrpou,
        CASE WHEN c_acctbal < 9000 THEN 2 END AS founders
 FROM customer""")
 def xml_records(spark, folder):
-    records = _registry_xml(spark, folder)
-    founders = F.when(F.col("FOUNDERS").isNotNull(), F.size("FOUNDERS.FOUNDER"))
-    return records.select(
-        F.col("NAME").alias("name"), F.col("EDRPOU").alias("edrpou"), F.col("ADDRESS").alias("address"),
-        founders.alias("founders"),
-    )
+    with working_area(spark) as area:
+        founders = F.when(F.col("FOUNDERS").isNotNull(), F.size("FOUNDERS.FOUNDER"))
+        return keep(_registry_xml(spark, folder, area).select(
+            F.col("NAME").alias("name"), F.col("EDRPOU").alias("edrpou"), F.col("ADDRESS").alias("address"),
+            founders.alias("founders"),
+        ))
 
 
 @query("xml_flatten_multivalue", """
@@ -133,12 +167,38 @@ SELECT c_name AS name, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS edrpou,
 FROM customer""")
 def xml_flat(spark, folder):
     columns = {tag.lower(): tag for tag in RECORD_TAGS}
-    return flat_records(_registry_xml(spark, folder), columns, RECORD_LISTS)
+    with working_area(spark) as area:
+        return keep(flat_records(_registry_xml(spark, folder, area), columns, RECORD_LISTS))
+
+
+LATIN, CYRILLIC = "ABCDEFGHIKLMNOPRSTUVYZ", "АБЦДЕФГХІКЛМНОПРСТУВИЗ"
+
+
+@query("xml_to_quoted_csv", f"""
+SELECT translate(c_mktsegment, '{LATIN}', '{CYRILLIC}') || ' «' || c_custkey || '»' AS name,
+       'Київ, буд. ' || c_nationkey AS address, 'є "1" | Ґ/' || c_nationkey AS founders
+FROM customer""")
+def registry_to_csv(spark, folder):
+    """Records in Windows-1251 become quoted CSV, which is read back."""
+    customer = table(spark, folder, "customer")
+    name = F.concat(F.translate("c_mktsegment", LATIN, CYRILLIC), F.lit(" «"), "c_custkey", F.lit("»"))
+    record = F.format_string(
+        "<RECORD><NAME>%s</NAME><ADDRESS>Київ,\n  буд. %s</ADDRESS>"
+        "<FOUNDERS><FOUNDER>є &quot;1&quot;</FOUNDER><FOUNDER>Ґ\\%s</FOUNDER></FOUNDERS></RECORD>",
+        name, F.col("c_nationkey"), F.col("c_nationkey"),
+    )
+    tags = ["NAME", "ADDRESS", "FOUNDERS"]
+    with working_area(spark) as area:
+        (_, xml), (_, csv) = area.place("xml"), area.place("quoted")
+        customer.select(encode_text(record, "windows-1251")).write.text(xml)
+        records = read_xml_records(spark, xml, record_schema(tags, RECORD_LISTS), charset="windows-1251")
+        write_quoted_csv(flat_records(records, {t.lower(): t for t in tags}, RECORD_LISTS), csv)
+        return keep(read_quoted_csv(spark, csv, strings("name", "address", "founders")))
 
 
 @query("clean_text", f"SELECT doc_id, {CLEAN} AS text FROM documents")
 def cleaned_documents(spark, folder):
-    documents = spread_if_few(table(spark, folder, "documents").select("doc_id", "text"))
+    documents = table(spark, folder, "documents")
     return documents.select("doc_id", clean_text(F.col("text")).alias("text"))
 
 
@@ -146,18 +206,20 @@ def cleaned_documents(spark, folder):
 WITH {WORDS}
 SELECT CAST(part AS VARCHAR) AS part, word, count FROM placed WHERE reducers = 4""")
 def part_files(spark, folder):
-    path = new_path(spark, "wordcount")
-    write_wordcount(_document_counts(spark, folder), path, 4)
-    return read_part_files(spark, path)
+    with working_area(spark) as area:
+        _, path = area.place("wordcount")
+        write_wordcount(_document_counts(spark, folder), path, 4)
+        return keep(read_part_files(spark, path))
 
 
 @query("write_wordcount", f"""
 WITH {WORDS}
 SELECT part, word || chr(9) || count AS line FROM placed WHERE reducers = 2""")
 def wordcount_lines(spark, folder):
-    path = new_path(spark, "wordcount")
-    write_wordcount(_document_counts(spark, folder), path, 2)
-    return spark.read.option("lineSep", "\n").text(path).select("part", F.col("value").alias("line"))
+    with working_area(spark) as area:
+        _, path = area.place("wordcount")
+        write_wordcount(_document_counts(spark, folder), path, 2)
+        return keep(spark.read.option("lineSep", "\n").text(path).select("part", F.col("value").alias("line")))
 
 
 @query("scan_table", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 10")
@@ -179,22 +241,21 @@ SELECT col_name, data_type FROM (VALUES
     ('Type', 'EXTERNAL'), ('Provider', 'parquet'), ('Num Buckets', '10'), ('Bucket Columns', '[`code`]')
 ) AS facts(col_name, data_type)""")
 def described(spark, folder):
-    name = new_table_name("companies")
-    write_bucketed(companies(spark, folder), name, new_path(spark, "described"), "code", BUCKETS)
     facts = ["code", "address", "stan", "price", "Type", "Provider", "Num Buckets", "Bucket Columns"]
-    return describe_table(spark, name).where(F.col("col_name").isin(*facts)).select("col_name", "data_type")
+    with working_area(spark) as area:
+        name, _ = _bucketed(spark, folder, area)
+        return keep(describe_table(spark, name).where(F.col("col_name").isin(*facts)).select("col_name", "data_type"))
 
 
 @query("input_file_of", "SELECT COUNT(*) AS rows, COUNT(*) AS rows_in_their_bucket FROM orders")
 def rows_and_files(spark, folder):
-    bucketed = write_bucketed(
-        companies(spark, folder), new_table_name("companies"), new_path(spark, "bucketed"), "code", BUCKETS
-    )
     expected = F.pmod(F.hash("code"), F.lit(BUCKETS)) + 1
-    return with_input_file(bucketed).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(bucket_number(F.col("file")) == expected).alias("rows_in_their_bucket"),
-    )
+    with working_area(spark) as area:
+        name, _ = _bucketed(spark, folder, area)
+        return keep(with_input_file(spark.table(name)).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(bucket_number(F.col("file")) == expected).alias("rows_in_their_bucket"),
+        ))
 
 
 PER_STATE = f"""
@@ -211,92 +272,143 @@ def _per_state(df: DataFrame) -> DataFrame:
     )
 
 
-def _plain(spark, folder):
-    path = new_path(spark, "plain")
-    return write_plain(companies(spark, folder), new_table_name("plain"), path), path
+def _plain(spark, folder, area) -> tuple[str, str]:
+    name, path = area.place("plain")
+    write_plain(companies(spark, folder), name, path)
+    return name, path
 
 
-def _partitioned(spark, folder):
-    path = new_path(spark, "partitioned")
-    return write_partitioned(companies(spark, folder), new_table_name("partitioned"), path, "stan"), path
+def _partitioned(spark, folder, area) -> tuple[str, str]:
+    name, path = area.place("partitioned")
+    write_partitioned(companies(spark, folder), name, path, "stan")
+    return name, path
 
 
-def _bucketed(spark, folder):
-    path = new_path(spark, "bucketed")
-    return write_bucketed(companies(spark, folder), new_table_name("bucketed"), path, "code", BUCKETS), path
+def _bucketed(spark, folder, area) -> tuple[str, str]:
+    name, path = area.place("bucketed")
+    write_bucketed(companies(spark, folder), name, path, "code", BUCKETS)
+    return name, path
 
 
 @query("write_plain", PER_STATE)
 def plain_copy(spark, folder):
-    return _per_state(_plain(spark, folder)[0])
+    with working_area(spark) as area:
+        return keep(_per_state(spark.table(_plain(spark, folder, area)[0])))
 
 
 @query("write_partitioned", PER_STATE)
 def partitioned_copy(spark, folder):
-    return _per_state(_partitioned(spark, folder)[0])
+    with working_area(spark) as area:
+        return keep(_per_state(spark.table(_partitioned(spark, folder, area)[0])))
 
 
 @query("write_bucketed", PER_STATE)
 def bucketed_copy(spark, folder):
-    return _per_state(_bucketed(spark, folder)[0])
+    with working_area(spark) as area:
+        return keep(_per_state(spark.table(_bucketed(spark, folder, area)[0])))
 
 
 @query("overwrite_load", PER_STATE)
 def loaded_twice(spark, folder):
-    path, name = new_path(spark, "loaded"), new_table_name("loaded")
-    overwrite_load(companies(spark, folder), name, path)
-    load_partitions(companies(spark, folder), path + "-by-state", "stan")
-    load_partitions(companies(spark, folder), path + "-by-state", "stan")
-    again = overwrite_load(spark.read.parquet(path + "-by-state"), name, path)
-    return _per_state(again)
+    with working_area(spark) as area:
+        (name, path), (_, by_state) = area.place("loaded"), area.place("by_state")
+        overwrite_load(companies(spark, folder), name, path)
+        load_partitions(companies(spark, folder), by_state, "stan")
+        load_partitions(companies(spark, folder), by_state, "stan")
+        return keep(_per_state(overwrite_load(spark.read.parquet(by_state), name, path)))
 
 
 @query("drop_rebuild", PER_STATE)
 def rebuilt(spark, folder):
-    path, name = new_path(spark, "rebuilt"), new_table_name("rebuilt")
-    write_plain(companies(spark, folder), name, path)
-    return _per_state(write_plain(companies(spark, folder), name, path))
+    with working_area(spark) as area:
+        name, path = area.place("rebuilt")
+        write_plain(companies(spark, folder), name, path)
+        return keep(_per_state(write_plain(companies(spark, folder), name, path)))
 
 
-@query("analyze_stats", "SELECT COUNT(*) AS rows, TRUE AS has_bytes FROM orders")
+@query("analyze_stats", "SELECT COUNT(*) AS rows, TRUE AS bytes_of_files FROM orders")
 def statistics(spark, folder):
-    path, name = new_path(spark, "analyzed"), new_table_name("analyzed")
-    write_plain(companies(spark, folder), name, path)
-    return analyze(spark, name, ["code", "stan"]).select("rows", (F.col("bytes") > 0).alias("has_bytes"))
+    """The rows the optimizer knows, and whether its bytes are those of the files."""
+    with working_area(spark) as area:
+        name, path = _plain(spark, folder, area)
+        stored = file_sizes(spark, path).agg(F.sum("bytes")).first()[0]
+        return keep(analyze(spark, name, ["code", "stan"]).select("rows", (F.col("bytes") == stored).alias("bytes_of_files")))
 
 
 @query("layout_report", """
-SELECT 'stan=' || o_orderstatus AS folder, COUNT(*) AS rows, TRUE AS has_bytes FROM orders GROUP BY 1""")
+SELECT 'stan=' || o_orderstatus AS folder, COUNT(*) AS rows, COUNT(*) AS rows_of_files FROM orders GROUP BY 1""")
 def partition_sizes(spark, folder):
-    partitioned, path = _partitioned(spark, folder)
-    rows = partitioned.groupBy(F.concat(F.lit("stan="), "stan").alias("folder")).agg(F.count(F.lit(1)).alias("rows"))
-    return layout_report(spark, path).join(rows, "folder").select(
-        "folder", "rows", (F.col("bytes") > 0).alias("has_bytes")
-    )
-
-
-@query("bucket_report", "SELECT 10 AS buckets, TRUE AS all_filled FROM (SELECT COUNT(*) FROM orders)")
+    """Folders of a partitioned table, with the rows of the table and those counted in the files listed."""
+    with working_area(spark) as area:
+        name, path = _partitioned(spark, folder, area)
+        stored = spark.table(name)
+        rows = stored.groupBy(F.concat(F.lit("stan="), "stan").alias("folder")).agg(F.count(F.lit(1)).alias("rows"))
+        listed = file_sizes(spark, path).select(F.regexp_extract("path", "/(stan=[^/]*/[^/]*)$", 1).alias("file"))
+        inside = stored.groupBy(F.regexp_extract("_metadata.file_path", "/(stan=[^/]*/[^/]*)$", 1).alias("file")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        of_files = listed.join(inside, "file").groupBy(F.substring_index("file", "/", 1).alias("folder")).agg(
+            F.sum("n").alias("rows_of_files")
+        )
+        report = layout_report(spark, path).where("bytes > 0 AND files > 0")
+        return keep(report.join(rows, "folder").join(of_files, "folder").select("folder", "rows", "rows_of_files"))
+
+
+@query("bucket_report", f"SELECT CAST(b AS INTEGER) AS bucket, TRUE AS filled, (SELECT COUNT(*) FROM orders) AS rows FROM range(1, {BUCKETS + 1}) t(b)")
 def bucket_sizes(spark, folder):
-    _, path = _bucketed(spark, folder)
-    return bucket_report(spark, path).agg(
-        F.count(F.lit(1)).cast("int").alias("buckets"), (F.min("bytes") > 0).alias("all_filled")
-    )
-
-
-@query("split_report", "SELECT 'lineitem.parquet' AS file, COUNT(*) AS rows FROM lineitem")
-def lineitem_splits(spark, folder):
-    return split_report(table(spark, folder, "lineitem")).groupBy("file").agg(F.sum("rows").alias("rows"))
+    """Every bucket has files, and their rows add up to the table's."""
+    with working_area(spark) as area:
+        name, path = _bucketed(spark, folder, area)
+        rows = with_input_file(spark.table(name)).groupBy(bucket_number(F.col("file")).alias("bucket")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        report = bucket_report(spark, path).join(rows, "bucket")
+        total = report.agg(F.sum("n")).first()[0]
+        return keep(report.select(
+            F.col("bucket").cast("int").alias("bucket"), ((F.col("bytes") > 0) & (F.col("n") > 0)).alias("filled"),
+            F.lit(total).alias("rows"),
+        ))
+
+
+@query("split_report", "SELECT COUNT(*) AS rows, TRUE AS several, CAST(0 AS BIGINT) AS gaps, TRUE AS whole FROM orders")
+def orders_splits(spark, folder):
+    """One text file in pieces: they follow each other without a gap and cover it."""
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    with working_area(spark) as area:
+        _, path = area.place("lines")
+        companies(spark, folder).coalesce(1).write.csv(path)
+        spark.conf.set(size, 16384)
+        try:
+            pieces = area.keep(split_report(spark.read.csv(path)), "splits")
+        finally:
+            spark.conf.set(size, before)
+        end = F.lag(F.col("start") + F.col("length")).over(Window.partitionBy("file").orderBy("start"))
+        placed = pieces.withColumn("gap", F.col("start") != F.coalesce(end, F.lit(0)))
+        stored = file_sizes(spark, path).agg(F.sum("bytes")).first()[0]
+        return keep(placed.agg(
+            F.sum("rows").alias("rows"), (F.count(F.lit(1)) > 1).alias("several"), F.count_if("gap").alias("gaps"),
+            (F.sum("length") == stored).alias("whole"),
+        ))
 
 
 GRAPH_SIZES = f"""
-WITH {LANES}
+WITH {SHIPMENTS}
 SELECT 'vertices' AS "table", COUNT(*) AS rows FROM vertices
 UNION ALL SELECT 'edges', COUNT(*) FROM edges"""
 
 
 @query("persist_shared", GRAPH_SIZES)
 def cached_graph(spark, folder):
-    return lanes(spark, folder).cache().sizes()
+    """Both counts are taken from memory, which is free again afterwards."""
+    graph = shipments(spark, folder).cache()
+    try:
+        sizes = graph.sizes()
+        if "InMemoryTableScan" not in sizes._jdf.queryExecution().executedPlan().toString():
+            raise RuntimeError("the graph was not read from the cache")
+        return keep(sizes)
+    finally:
+        graph.unpersist()
 
 
 @query("checkpoint_iter", f"""
@@ -311,8 +423,9 @@ def checkpointed_edges(spark, folder):
 
 @query("scan_partition_pruned", f"SELECT COUNT(*) AS companies FROM orders WHERE o_orderstatus = '{STATE}'")
 def one_partition(spark, folder):
-    partitioned, _ = _partitioned(spark, folder)
-    return partitioned.where(F.col("stan") == STATE).agg(F.count(F.lit(1)).alias("companies"))
+    with working_area(spark) as area:
+        partitioned = spark.table(_partitioned(spark, folder, area)[0])
+        return keep(partitioned.where(F.col("stan") == STATE).agg(F.count(F.lit(1)).alias("companies")))
 
 
 POINT = f"""
@@ -321,56 +434,77 @@ WITH {COMPANIES} SELECT code, address, stan FROM companies WHERE code = {CODE}""
 
 @query("point_lookup_bucketed", POINT)
 def one_bucket(spark, folder):
-    bucketed, _ = _bucketed(spark, folder)
-    return bucketed.where(F.col("code") == CODE).select("code", "address", "stan")
+    with working_area(spark) as area:
+        bucketed = spark.table(_bucketed(spark, folder, area)[0])
+        return keep(bucketed.where(F.col("code") == CODE).select("code", "address", "stan"))
 
 
-@query("bucket_sample", POINT)
+@query("bucket_sample", f"""
+SELECT CAST(1 AS BIGINT) AS files_read, COUNT(*) AS wanted, CAST(0 AS BIGINT) AS strays FROM orders WHERE o_orderkey = {CODE}""")
 def sampled_bucket(spark, folder):
-    bucketed, _ = _bucketed(spark, folder)
-    bucket = bucket_of(spark, CODE, "bigint", BUCKETS)
-    return bucket_sample(bucketed, "code", bucket, BUCKETS).where(F.col("code") == CODE).select(
-        "code", "address", "stan"
-    )
+    """The bucket of one code: one file is read, the code is there, and nothing of other buckets."""
+    with working_area(spark) as area:
+        bucketed = spark.table(_bucketed(spark, folder, area)[0])
+        bucket = bucket_of(spark, CODE, "bigint", BUCKETS)
+        sample = bucket_sample(bucketed, "code", bucket, BUCKETS, stored=True)
+        files = scan_work(sample.select("code"))["files_read"]
+        own = F.pmod(F.hash("code"), F.lit(BUCKETS)) == bucket - 1
+        return keep(sample.agg(
+            F.lit(files).cast("long").alias("files_read"), F.count_if(F.col("code") == CODE).alias("wanted"),
+            F.count_if(~own).alias("strays"),
+        ))
 
 
 @query("bucket_sample_all", "SELECT COUNT(*) AS rows, COUNT(DISTINCT o_orderkey) AS codes FROM orders")
 def all_buckets_sampled(spark, folder):
-    """The samples of all buckets add up to the table."""
-    source = companies(spark, folder)
-    found = F.lit(0)
-    for bucket in range(1, BUCKETS + 1):
-        found = found + in_bucket("code", bucket, BUCKETS).cast("int")
-    return source.where(found == 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("code").alias("codes")
-    )
+    """Samples of all buckets, each read from its own files, add up to the table."""
+    with working_area(spark) as area:
+        bucketed = spark.table(_bucketed(spark, folder, area)[0])
+        samples = [bucket_sample(bucketed, "code", b, BUCKETS, stored=True).select("code") for b in range(1, BUCKETS + 1)]
+        return keep(reduce(DataFrame.union, samples).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("code").alias("codes")
+        ))
 
 
 @query("compare_layouts", f"""
-WITH {COMPANIES}, n AS (SELECT COUNT(*) AS companies FROM companies WHERE stan = '{STATE}')
-SELECT layout, companies, less FROM n CROSS JOIN
-    (VALUES ('csv', FALSE), ('plain', FALSE), ('partitioned', TRUE)) AS l(layout, less)""")
+WITH {COMPANIES},
+found AS (
+    SELECT 'filter' AS lookup, COUNT(*) AS answer FROM companies WHERE stan = '{STATE}'
+    UNION ALL SELECT 'point', COUNT(*) FROM companies WHERE code = {CODE}
+),
+layouts AS (
+    SELECT layout, lookup, answer,
+           CASE WHEN layout = 'partitioned' AND lookup = 'filter' THEN (SELECT COUNT(DISTINCT stan) - 1 FROM companies)
+                WHEN layout = 'bucketed' AND lookup = 'point' THEN {BUCKETS} - 1 ELSE 0 END AS files_skipped,
+           CASE WHEN lookup = 'filter' AND layout IN ('csv', 'partitioned') THEN answer
+                WHEN lookup = 'filter' THEN (SELECT COUNT(*) FROM companies) END AS rows_read
+    FROM found CROSS JOIN (VALUES ('csv'), ('plain'), ('partitioned'), ('bucketed')) AS l(layout)
+)
+SELECT * FROM layouts""")
 def layouts_compared(spark, folder):
-    """The same filter on three layouts: equal answers, and whether files can be skipped."""
-    csv_path = new_path(spark, "csv")
+    """A filter and a point lookup on four layouts, each with the files and rows its scan really took.
+
+    CSV drops other rows while it parses all files; the rows a point lookup takes from
+    Parquet depend on row groups and are left out.
+    """
     source = companies(spark, folder)
-    write_quoted_csv(source, csv_path)
-    (plain, plain_path), (partitioned, part_path) = _plain(spark, folder), _partitioned(spark, folder)
-    answers = row_counts({
-        name: df.where(F.col("stan") == STATE)
-        for name, df in {
-            "csv": read_quoted_csv(spark, csv_path, strings(*source.columns)),
-            "plain": plain,
-            "partitioned": partitioned,
-        }.items()
-    }).select(F.col("table").alias("layout"), F.col("rows").alias("companies"))
-    report = compare_layouts(spark, {
-        "csv": (csv_path, F.lit(True)),
-        "plain": (plain_path, F.lit(True)),
-        "partitioned": (part_path, F.col("path").contains(f"/stan={STATE}/")),
-    })
-    less = (F.col("bytes_read") < F.col("bytes")).alias("less")
-    return answers.join(report, "layout").select("layout", "companies", less)
+    with working_area(spark) as area:
+        _, csv = area.place("csv")
+        write_quoted_csv(source, csv)
+        stored = {"plain": _plain, "partitioned": _partitioned, "bucketed": _bucketed}
+        placed = {layout: write(spark, folder, area) for layout, write in stored.items()}
+        layouts = {"csv": read_quoted_csv(spark, csv, strings(*source.columns))}
+        layouts |= {layout: spark.table(name) for layout, (name, _) in placed.items()}
+        lookups = {"filter": F.col("stan") == STATE, "point": F.col("code") == CODE}
+        report = compare_layouts(
+            spark,
+            {name: {layout: df.where(rule) for layout, df in layouts.items()} for name, rule in lookups.items()},
+            {"csv": csv, **{layout: path for layout, (_, path) in placed.items()}},
+        )
+        return report.select(
+            "layout", "lookup", "answer", (F.col("files") - F.col("files_read")).alias("files_skipped"),
+            F.when(F.col("lookup") == "filter", F.col("rows_read")).alias("rows_read"),
+        )
 
 
 @query("format_bytes", """
@@ -384,14 +518,15 @@ def document_sizes(spark, folder):
     )
 
 
-@query("file_bucket_number", """
-SELECT 'part-00000-x_' || lpad(CAST(n_nationkey AS VARCHAR), 5, '0') || '.c000.parquet' AS file, n_nationkey + 1 AS bucket
-FROM nation""")
-def file_names(spark, folder):
-    nation = table(spark, folder, "nation")
-    number = F.lpad(F.col("n_nationkey").cast("string"), 5, "0")
-    named = nation.select(F.concat(F.lit("part-00000-x_"), number, F.lit(".c000.parquet")).alias("file"))
-    return named.select("file", bucket_number(F.col("file")).alias("bucket"))
+@query("file_bucket_number", f"""
+SELECT CAST(b AS INTEGER) AS bucket, CAST(0 AS BIGINT) AS strays FROM range(1, {BUCKETS + 1}) t(b)""")
+def buckets_by_name(spark, folder):
+    """The number in each file's name, and the rows there that hash to another bucket."""
+    with working_area(spark) as area:
+        bucketed = spark.table(_bucketed(spark, folder, area)[0])
+        number = bucket_number(F.col("_metadata.file_name")).cast("int").alias("bucket")
+        strays = F.count_if(F.pmod(F.hash("code"), F.lit(BUCKETS)) + 1 != F.col("bucket")).alias("strays")
+        return keep(bucketed.select(number, "code").groupBy("bucket").agg(strays))
 
 
 @query("fill_null", f"""

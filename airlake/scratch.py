@@ -2,6 +2,8 @@
 
 A cluster names that folder in ``spark.checkpoint.dir``. Lineage is cut only by
 writing there, so a lost executor never takes the only copy of a result with it.
+A loop keeps its copies in a ``working_area``, which is removed when the loop is done;
+what a returned DataFrame still reads stays until ``sweep``.
 """
 
 from __future__ import annotations
@@ -13,15 +15,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROWS_WORTH_A_BUCKET = 10_000
+#: Paths and tables made here, by application.
+_made: dict[str, dict[str, set[str]]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's shared folder; a temporary one only for a local master."""
+    """The session's shared folder; a temporary one where none is set and all run in one process."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="airlake-")
     if context.getCheckpointDir() is None:
@@ -29,17 +32,54 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _record(spark: SparkSession) -> dict[str, set[str]]:
+    return _made.setdefault(spark.sparkContext.applicationId, {"paths": set(), "tables": set()})
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _record(spark)["paths"].add(path)
+    return path
+
+
+def new_table_name(label: str, spark: SparkSession | None = None) -> str:
+    name = f"{label}_{uuid.uuid4().hex}"
+    spark = spark or SparkSession.getActiveSession()
+    if spark:
+        _record(spark)["tables"].add(name)
+    return name
 
 
-def new_table_name(label: str) -> str:
-    return f"{label}_{uuid.uuid4().hex}"
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    _record(spark)["paths"].discard(path)
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _record(spark)["tables"].discard(name)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Remove every copy and table made here for this application.
+
+    For the end of a piece of work: DataFrames that read them are of no use afterwards.
+    """
+    made = _record(spark)
+    for name in list(made["tables"]):
+        _drop(spark, name)
+    for path in list(made["paths"]):
+        _delete(spark, path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a loop's state reliably and forget how it was computed."""
+    """Materialise a loop's state reliably and forget how it was computed.
+
+    The files go with the DataFrame where ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is set, as in ``airlake.session``.
+    """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -51,33 +91,54 @@ def keep(df: DataFrame, label: str = "kept") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class WorkingArea:
+    """Copies that live as long as the work that needs them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.tables = spark, [], []
+
+    def keep(self, df: DataFrame, label: str = "kept") -> DataFrame:
+        path = new_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def place(self, label: str) -> tuple[str, str]:
+        """A table name and a path for it."""
+        name, path = new_table_name(label, self.spark), new_path(self.spark, label)
+        self.tables.append(name)
+        self.paths.append(path)
+        return name, path
+
+    def bucketed(self, df: DataFrame, keys: list[str], label: str = "bucketed") -> DataFrame:
+        """A copy hashed by ``keys``, so that joins on them need not move it.
+
+        The bucket count equals the session's shuffle width, hence only the other side of
+        such a join is shuffled. A bucket is written and read by one task: split keys with
+        many rows by a further key.
+        """
+        buckets = int(
+            self.spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+            or self.spark.conf.get("spark.sql.shuffle.partitions")
+        )
+        name, path = self.place(label)
+        (
+            df.repartition(buckets, *keys)
+            .write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+        )
+        return self.spark.table(name)
+
+    def remove(self) -> None:
+        for name in self.tables:
+            _drop(self.spark, name)
+        for path in self.paths:
+            _delete(self.spark, path)
+
+
 @contextmanager
-def bucketed_copy(df: DataFrame, key: str, rows: int, label: str = "bucketed") -> Iterator[DataFrame]:
-    """A copy hashed by ``key``, so that joins on it inside the block need no shuffle.
-
-    The bucket count equals the session's shuffle width, hence the other side of
-    such a join, when it comes out of an aggregation on its key, stays in place too.
-    Use it for rows without hot keys: a bucket is written and read by one task.
-    Too few ``rows`` to fill that many buckets are kept as they come: shuffling
-    them is cheaper than visiting near-empty buckets.
-    """
-    spark = df.sparkSession
-    buckets = int(
-        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-        or spark.conf.get("spark.sql.shuffle.partitions")
-    )
-    if rows < buckets * ROWS_WORTH_A_BUCKET:
-        yield keep(df, label)
-        return
-    name = new_table_name(label)
-    (
-        df.repartition(buckets, key)
-        .write.format("parquet")
-        .bucketBy(buckets, key)
-        .option("path", new_path(spark, label))
-        .saveAsTable(name)
-    )
+def working_area(spark: SparkSession) -> Iterator[WorkingArea]:
+    area = WorkingArea(spark)
     try:
-        yield spark.table(name)
+        yield area
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        area.remove()

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE re-plans joins from measured sizes, coalesces small shuffle partitions and
-# splits skewed ones; every operator here counts on it being on.
+# AQE re-plans joins from measured sizes, coalesces small shuffle partitions and splits
+# skewed ones; every operator here counts on it being on. A split that costs a further
+# shuffle is made as well, for a hot key must not land in one task.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

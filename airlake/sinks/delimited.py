@@ -11,7 +11,12 @@ from airlake.sources.delimited import QUOTED
 def write_quoted_csv(df: DataFrame, path: str) -> None:
     """Header, every field quoted, UTF-8, LF; missing values as empty strings.
 
-    Files appear only when the job commits.
+    A record is a line, so that large files can be split; a line break inside a value is
+    an error. Files appear only when the job commits.
     """
-    plain = df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns))
-    plain.write.mode("overwrite").csv(path, quoteAll=True, lineSep="\n", **QUOTED)
+    def field(name: str):
+        value = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        broken = F.raise_error(F.lit(f"line break in column {name}; clean the text first")).cast("string")
+        return F.when(value.rlike("[\r\n]"), broken).otherwise(value).alias(name)
+
+    df.select(*map(field, df.columns)).write.mode("overwrite").csv(path, quoteAll=True, lineSep="\n", **QUOTED)

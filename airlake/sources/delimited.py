@@ -13,7 +13,8 @@ QUOTED = {
     "quote": '"',
     "escape": '"',
     "emptyValue": "",
-    "nullValue": NULL_MARK,
+    # These files know no missing values; a line end can be in no field, so nothing is taken for the mark.
+    "nullValue": "\n",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
     "encoding": "UTF-8",

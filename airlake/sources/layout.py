@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,8 +56,12 @@ def in_bucket(key: str, bucket: int, buckets: int) -> Column:
     return F.pmod(F.hash(key), F.lit(buckets)) == bucket - 1
 
 
-def bucket_sample(df: DataFrame, key: str, bucket: int, buckets: int) -> DataFrame:
-    return df.where(in_bucket(key, bucket, buckets))
+def bucket_sample(df: DataFrame, key: str, bucket: int, buckets: int, stored: bool = False) -> DataFrame:
+    """The rows of one bucket (from 1). Of a table stored in such buckets, only that bucket's files are read."""
+    rows = df.where(in_bucket(key, bucket, buckets))
+    if stored:
+        rows = rows.where(F.col("_metadata.file_name").rlike(rf"_{bucket - 1:05d}\."))
+    return rows
 
 
 def bucket_of(spark: SparkSession, value, kind: str, buckets: int) -> int:
@@ -68,20 +70,44 @@ def bucket_of(spark: SparkSession, value, kind: str, buckets: int) -> int:
     return spark.range(1).select(hashed).first()[0]
 
 
-def compare_layouts(spark: SparkSession, layouts: dict[str, tuple[str, Column]]) -> DataFrame:
-    """Files and bytes a lookup needs per layout, out of all there are.
+def scan_work(df: DataFrame) -> dict[str, int]:
+    """Files and bytes that the scans of a query are dealt to its tasks, and rows they gave, as Spark has them.
 
-    ``layouts`` maps a label to the table's folder and a condition on ``path``
-    that keeps the files the lookup cannot skip (``F.lit(True)`` where it must
-    read everything).
+    The query is run and its rows are only counted, where they are; it must need no shuffle.
+    """
+    execution = df._jdf.queryExecution()
+    work = {"answer": execution.toRdd().count(), "files_read": 0, "bytes_read": 0, "rows_read": 0}
+    leaves = execution.executedPlan().collectLeaves()
+    for i in range(leaves.size()):
+        scan, files = leaves.apply(i), set()
+        pieces = scan.inputRDD().filePartitions()
+        for j in range(pieces.size()):
+            for piece in pieces.apply(j).files():
+                files.add(piece.filePath().toString())
+                work["bytes_read"] += piece.length()
+        work["files_read"] += len(files)
+        work["rows_read"] += scan.metrics().apply("numOutputRows").value()
+    return work
+
+
+def compare_layouts(spark: SparkSession, lookups: dict[str, dict[str, DataFrame]], paths: dict[str, str]) -> DataFrame:
+    """What each lookup reads of each layout, measured by running it.
+
+    ``lookups`` maps a lookup's name to its query per layout, ``paths`` a layout to its
+    folder. The queries must need no shuffle. Columns: layout, lookup, answer (rows
+    found), files, files_read, bytes, bytes_read, rows_read.
     """
+    whole = {
+        layout: file_sizes(spark, path).agg(F.count(F.lit(1)), F.sum("bytes")).first() for layout, path in paths.items()
+    }
     rows = []
-    for label, (path, needed) in layouts.items():
-        counted = file_sizes(spark, path).agg(
-            F.count(F.lit(1)).alias("files"),
-            F.sum("bytes").alias("bytes"),
-            F.count_if(needed).alias("files_read"),
-            F.sum(F.when(needed, F.col("bytes")).otherwise(0)).alias("bytes_read"),
-        )
-        rows.append(counted.select(F.lit(label).alias("layout"), "*"))
-    return reduce(DataFrame.unionByName, rows)
+    for lookup, queries in lookups.items():
+        for layout, df in queries.items():
+            work = scan_work(df)
+            files, size = whole[layout]
+            rows.append((layout, lookup, work["answer"], files, work["files_read"], size, work["bytes_read"], work["rows_read"]))
+    schema = (
+        "layout STRING, lookup STRING, answer BIGINT, files BIGINT, files_read BIGINT, bytes BIGINT, bytes_read BIGINT, "
+        "rows_read BIGINT"
+    )
+    return spark.createDataFrame(rows, schema)

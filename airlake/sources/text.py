@@ -25,3 +25,9 @@ def read_part_files(spark: SparkSession, path: str, part_is_folder: bool = True)
         F.regexp_extract("value", line, 1).alias("word"),
         F.regexp_extract("value", line, 2).cast("long").alias("count"),
     )
+
+
+def words_of_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(part, word) of part files in the order of their lines; ``_metadata`` tells where they stand."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select("part", F.regexp_extract("value", r"(?s)^(.*)\t(\d+)$", 1).alias("word"), "_metadata")

@@ -15,22 +15,40 @@ MULTI_VALUE_SEPARATOR = " | "
 
 @lru_cache
 def _upper_half(charset: str) -> tuple[str, str]:
-    """Bytes 128–255 as Latin-1 and as the given single-byte charset."""
-    codes = [bytes([b]) for b in range(128, 256)]
-    return (
-        "".join(c.decode("latin-1") for c in codes),
-        "".join(c.decode(charset, "replace") for c in codes),
-    )
+    """Bytes 128–255 as Latin-1 and as the given charset, which must have one byte per character.
+
+    A byte the charset leaves undefined becomes a replacement mark.
+    """
+    lower, codes = bytes(range(128)), [bytes([b]) for b in range(128, 256)]
+    wanted = [c.decode(charset, "replace") for c in codes]
+    single = sum(len(w) == 1 and w != "\ufffd" and w.encode(charset) == c for c, w in zip(codes, wanted))
+    if lower.decode(charset, "replace") != lower.decode("ascii") or single < 100 or any(len(w) != 1 for w in wanted):
+        raise ValueError(f"{charset} is neither UTF-8 nor a charset of one byte per character over ASCII")
+    return "".join(c.decode("latin-1") for c in codes), "".join(wanted)
+
+
+def _is_utf8(charset: str) -> bool:
+    return charset.lower() in ("utf-8", "utf8")
 
 
 def decode_bytes(column: Column, charset: str) -> Column:
-    """Text of a column holding undecoded bytes, UTF-8 or any single-byte charset."""
-    if charset.lower() in ("utf-8", "utf8"):
+    """Text of a column holding undecoded bytes, UTF-8 or any single-byte charset; an error for others."""
+    if _is_utf8(charset):
         return column
     latin, wanted = _upper_half(charset)
     return F.translate(F.decode(column.cast("binary"), "iso-8859-1"), latin, wanted)
 
 
+def encode_text(column: Column, charset: str) -> Column:
+    """The bytes of a text in such a charset, as a column to be written by a text sink."""
+    if _is_utf8(charset):
+        return column
+    latin, wanted = _upper_half(charset)
+    defined = [(w, x) for w, x in zip(wanted, latin) if w != "\ufffd"]
+    as_latin = F.translate(column, "".join(w for w, _ in defined), "".join(x for _, x in defined))
+    return F.encode(as_latin, "iso-8859-1").cast("string")
+
+
 def record_schema(tags: list[str], lists: dict[str, str] | None = None) -> StructType:
     """All-string leaf tags; ``lists`` maps a tag to the name of its repeated child."""
     lists = lists or {}

@@ -13,11 +13,10 @@ from airlake.graph.communities import (
 )
 from airlake.graph.components import connected_components
 from airlake.graph.graph import collapse_routes, degree_centrality, touched_vertices
-from airlake.graph.motif import all_different, chain_motif, find_motif
+from airlake.graph.motif import Term, find_motif, parse, walk
 from airlake.graph.pagerank import pagerank, pagerank_sweep, rank_and_degrees
-from airlake.graph.paths import (
-    longest_paths, motif_paths, path_counts, paths_up_to, shortest_paths, simple_paths, transfer_counts,
-)
+from airlake.graph.paths import extreme_paths, path_counts, paths_up_to, simple_paths, stop_counts
+from airlake.scratch import _record, sweep
 
 A, B = "{v}.country = 'A'", "{v}.country = 'B'"
 PATHS = {
@@ -50,30 +49,47 @@ def test_only_touched_vertices(rows):
 @pytest.mark.parametrize("segments", [1, 2, 3, 4])
 def test_simple_paths(tiny, segments):
     assert routes_of(simple_paths(tiny, segments, A, B)) == PATHS[segments]
-    assert routes_of(motif_paths(tiny, segments, A, B)) == PATHS[segments]
-
-
-def test_paths_with_hot_vertices_are_the_same(tiny):
-    split = Graph(tiny.vertices, tiny.edges, hot_rows=1)
-    assert split.hot_targets is not None and split.hot_sources is not None
-    for segments, want in PATHS.items():
-        assert routes_of(simple_paths(split, segments, A, B)) == want
+    names = "abcdefg"[: segments + 1]
+    bound = {names[0]: tiny.vertices.where("country = 'A'"), names[-1]: tiny.vertices.where("country = 'B'")}
+    found = find_motif(tiny, walk(names), distinct=True, bound=bound)
+    codes = F.concat_ws(" → ", *(f"{n}.code" for n in names))
+    assert {r[0] for r in found.select(codes).collect()} == set(PATHS[segments])
 
 
 def test_paths_of_several_lengths(tiny):
     paths = paths_up_to(tiny, 4, A, B)
     assert pytest.tuples(path_counts(paths)) == [(1, 1), (2, 2), (3, 2), (4, 1)]
-    assert shortest_paths(paths, 1).first().route == "1 → 3 → 5"
-    assert longest_paths(paths, 1).first().route == "2 → 3 → 4 → 1 → 5"
-    assert pytest.tuples(transfer_counts(simple_paths(tiny, 2, A, B), 3)) == [("3", 2)]
+    ends = {r.kind: r.route for r in extreme_paths(paths, 1).collect()}
+    assert ends == {"shortest": "1 → 3 → 5", "longest": "2 → 3 → 4 → 1 → 5"}
+    assert pytest.tuples(stop_counts(simple_paths(tiny, 2, A, B))) == [("3", 2)]
+    assert pytest.tuples(stop_counts(paths)) == [("1", 1), ("3", 5), ("4", 3)]
+    assert paths_up_to(tiny, 3, "FALSE", B).count() == 0
+
+
+def test_paths_equal_brute_force(spark):
+    graph, pairs = random_graph(spark, 12, vertices=14, edges=50)
+    km = {(a, b): float(1 + (a * 7 + b) % 5) for a, b in pairs}
+    graph = Graph(graph.vertices, spark.createDataFrame([(a, b, d) for (a, b), d in km.items()], "src BIGINT, dst BIGINT, distance_km DOUBLE"))
+    want, frontier = Counter(), [((i,), 0.0) for i in range(14) if i % 3 == 0]
+    for _ in range(4):
+        frontier = [(p + (b,), d + km[a, b]) for p, d in frontier for a, b in pairs if a == p[-1] and b not in p]
+        want.update((len(p) - 1, " → ".join(f"c{i}" for i in p), d) for p, d in frontier if p[-1] % 3 == 1)
+    got = paths_up_to(graph, 4, "{v}.country = 'land 0'", "{v}.country = 'land 1'")
+    assert Counter(tuple(r) for r in got.collect()) == want
+
+
+def test_returned_paths_are_read_not_searched_again(tiny, plan):
+    shown = plan(extreme_paths(paths_up_to(tiny, 4, A, B), 2))
+    assert "Join" not in shown
 
 
 def test_motifs(tiny, plan):
-    assert chain_motif(2) == "(a)-[e1]->(b); (b)-[e2]->(c)"
-    walks = find_motif(tiny, chain_motif(2))
-    assert walks.columns == ["e1", "a", "b", "e2", "c"]
+    assert walk("abc") == [Term("a", "a_b", "b"), Term("b", "b_c", "c")]
+    assert parse("(a)-[e1]->(b); (b)-[e2]->(c)") == [Term("a", "e1", "b"), Term("b", "e2", "c")]
+    walks = find_motif(tiny, walk("abc"))
+    assert walks.columns == ["a_b", "a", "b", "b_c", "c"]
     assert walks.where("a.id = 7 AND c.id = 7").count() == 1
-    assert walks.where(all_different(["a", "b", "c"])).where("a.id = 7").count() == 0
+    assert find_motif(tiny, walk("abc"), distinct=True).where("a.id = 7").count() == 0
     loop = find_motif(tiny, "(a)-[x]->(b); (b)-[y]->(a)")
     assert sorted(r.a.id for r in loop.collect()) == [7, 8]
     with pytest.raises(ValueError, match="shares no vertex"):
@@ -83,25 +99,30 @@ def test_motifs(tiny, plan):
     assert "CartesianProduct" not in plan(walks) and "NestedLoop" not in plan(walks)
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 1])
-def test_bfs(tiny, hot_rows):
-    graph = Graph(tiny.vertices, tiny.edges, hot_rows)
-    direct = bfs(graph, "country = 'A'", "country = 'B'", 3)
+def test_loops_in_motifs(rows):
+    graph = Graph(rows([(1,), (2,)], "id INT"), rows([(1, 1), (1, 2)], "src INT, dst INT"))
+    assert [r.a.id for r in find_motif(graph, "(a)-[x]->(a)").collect()] == [1]
+    assert find_motif(graph, "(a)-[x]->(a)", distinct=True).count() == 1
+    assert [(r.a.id, r.b.id) for r in find_motif(graph, walk("ab"), distinct=True).collect()] == [(1, 2)]
+
+
+def test_bfs(tiny):
+    direct = bfs(tiny, "country = 'A'", "country = 'B'", 3)
     assert direct.columns == ["from", "e0", "to"]
     assert routes_of(route_columns(direct)) == {"1 → 5": 10.0}
-    two = bfs(graph, "id = 2", "country = 'B'", 3)
+    two = bfs(tiny, "id = 2", "country = 'B'", 3)
     assert two.columns == ["from", "e0", "v1", "e1", "to"]
     assert routes_of(route_columns(two)) == {"2 → 3 → 5": 8.0}
-    assert bfs(graph, "id = 2", "id = 6", 2).count() == 0
-    assert bfs(graph, "id = 2", "id = 6", 3).count() == 1
-    assert bfs(graph, "id = 7", "id = 1", 10).count() == 0
-    same = bfs(graph, "country = 'A'", "id = 1", 3)
+    assert bfs(tiny, "id = 2", "id = 6", 2).count() == 0
+    assert bfs(tiny, "id = 2", "id = 6", 3).count() == 1
+    assert bfs(tiny, "id = 7", "id = 1", 10).count() == 0
+    same = bfs(tiny, "country = 'A'", "id = 1", 3)
     assert same.columns == ["from", "to"] and [r.to.id for r in same.collect()] == [1]
 
 
 def test_busiest_without_direct_edge(tiny):
     row = busiest_without_direct_edge(tiny, "country = 'A'", "country = 'B'").first()
-    assert (row.id, row.routes) == (2, 1)
+    assert (row.id, row.departures) == (2, 1)
 
 
 def test_degrees(tiny):
@@ -110,7 +131,7 @@ def test_degrees(tiny):
     assert [(r.id, r.outDegree) for r in degree_centrality(tiny, 3).collect()] == [(1, 2), (3, 2), (4, 2)]
 
 
-def random_graph(spark, seed, vertices=40, edges=70, hot_rows=10**6, text=False):
+def random_graph(spark, seed, vertices=40, edges=70, text=False):
     random.seed(seed)
     pairs = {(random.randrange(vertices), random.randrange(vertices)) for _ in range(edges)}
     pairs |= {(0, i) for i in range(1, vertices // 3)}  # a hub
@@ -120,7 +141,6 @@ def random_graph(spark, seed, vertices=40, edges=70, hot_rows=10**6, text=False)
     graph = Graph(
         spark.createDataFrame(nodes, f"id {kind}, code STRING, city STRING, country STRING"),
         spark.createDataFrame([(name(a), name(b)) for a, b in sorted(pairs)], f"src {kind}, dst {kind}"),
-        hot_rows,
     )
     return graph, pairs
 
@@ -137,21 +157,50 @@ def brute_pagerank(n, pairs, reset, rounds):
     return [r * n / total for r in rank]
 
 
-@pytest.fixture(params=[10_000, 1], ids=["plain", "bucketed"])
-def bucket_rows(request, monkeypatch):
-    """Iterations over kept links and over bucketed ones."""
-    monkeypatch.setattr("airlake.scratch.ROWS_WORTH_A_BUCKET", request.param)
-
-
-@pytest.mark.parametrize("hot_rows", [10**6, 5])
-def test_pagerank(spark, hot_rows, bucket_rows):
-    graph, pairs = random_graph(spark, 3, hot_rows=hot_rows)
-    got = {r.id: r.pagerank for r in pagerank(graph, 0.15, 7, checkpoint_interval=3).collect()}
+@pytest.mark.parametrize("links_per_piece", [100_000, 3])
+def test_pagerank(spark, links_per_piece):
+    graph, pairs = random_graph(spark, 3)
+    got = {r.id: r.pagerank for r in pagerank(graph, 0.15, 7, 3, links_per_piece).collect()}
     want = brute_pagerank(40, pairs, 0.15, 7)
     assert sum(got.values()) == pytest.approx(40)
     assert [got[i] for i in range(40)] == pytest.approx(want)
 
 
+def test_plan_of_pagerank_grows_with_the_rounds_only(spark, monkeypatch):
+    """Hub or not, a round adds one join; nothing is doubled."""
+    import airlake.graph.pagerank as module
+
+    graph, _ = random_graph(spark, 3)
+    joins = []
+
+    def seen(df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+        return original(df)
+
+    original = module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", seen)
+    for rounds in (2, 4):
+        pagerank(graph, 0.15, rounds, 100, links_per_piece=2).collect()
+    assert joins == [2, 4]
+
+
+def test_working_copies_are_removed(spark, tmp_path):
+    from pathlib import Path
+
+    sweep(spark)
+    graph, _ = random_graph(spark, 3)
+    pagerank(graph, max_iter=2).write.parquet(str(tmp_path / "ranks"))
+    label_propagation(graph, 2).write.parquet(str(tmp_path / "labels"))
+    left = _record(spark)
+    assert not left["tables"] and not left["paths"]
+    path = paths_up_to(Graph(graph.vertices, graph.edges.withColumn("distance_km", F.lit(1.0))), 2, "{v}.id = 0", "{v}.id = 1")
+    path.write.parquet(str(tmp_path / "paths"))
+    assert len(left["paths"]) == 2  # the result and the edges kept for further searches
+    sweep(spark)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    assert not left["paths"] and not list(shared.glob("paths-*")) and not list(shared.glob("links-*"))
+
+
 def test_pagerank_sweep_flattens(spark):
     graph, pairs = random_graph(spark, 3)
     top = pagerank_sweep(graph, [0.05, 0.85], 5, max_iter=6).collect()
@@ -166,14 +215,13 @@ def test_pagerank_of_an_empty_graph(spark):
     assert pagerank(empty, max_iter=2).count() == 0
 
 
-def test_bucketed_links_stay_in_place(spark, plan, monkeypatch):
-    from airlake.scratch import bucketed_copy
+def test_bucketed_links_stay_in_place(spark, plan):
+    from airlake.scratch import working_area
 
-    monkeypatch.setattr("airlake.scratch.ROWS_WORTH_A_BUCKET", 1)
     links = spark.range(1000).select((F.col("id") % 97).alias("src"), F.col("id").alias("dst"))
-    ranks = spark.range(500).groupBy((F.col("id") % 97).alias("id")).agg(F.sum("id").alias("rank"))
-    with bucketed_copy(links, "src", 1000) as copy:
-        joined = copy.join(ranks.hint("shuffle_hash"), F.col("src") == F.col("id"))
+    ranks = spark.range(500).groupBy((F.col("id") % 97).alias("src")).agg(F.sum("id").alias("rank"))
+    with working_area(spark) as area:
+        joined = area.bucketed(links, ["src"]).join(ranks.hint("merge"), "src")
         shown = plan(joined)
         assert shown.count("hashpartitioning(") == 1  # the aggregation's own exchange
         assert joined.count() == 1000
@@ -198,9 +246,9 @@ def brute_components(n, pairs):
     return [root(i) for i in range(n)]
 
 
-@pytest.mark.parametrize("seed,edges,hot_rows", [(1, 20, 10**6), (2, 45, 3), (3, 30, 1), (4, 0, 10**6)])
-def test_components(spark, seed, edges, hot_rows):
-    graph, pairs = random_graph(spark, seed, edges=edges, hot_rows=hot_rows)
+@pytest.mark.parametrize("seed,edges", [(1, 20), (2, 45), (4, 0)])
+def test_components(spark, seed, edges):
+    graph, pairs = random_graph(spark, seed, edges=edges)
     got = {r.id: r.component for r in connected_components(graph).collect()}
     assert [got[i] for i in range(40)] == brute_components(40, pairs)
 
@@ -234,10 +282,10 @@ def test_known_components(tiny):
     sizes = group_sizes(found, "component")
     assert pytest.tuples(sizes) == [(1, 6), (7, 3)]
     assert largest_group(sizes, "component") == 1
-    row = isolated_components(found).first()
-    assert tuple(row) == (7, 3, 1, "7 (City 7), 8 (City 8), 9 (City 9)", "C")
-    chunks = isolated_components(found, chunk_rows=2, hot_rows=1).orderBy("chunk").collect()
-    assert [(r.chunk, r.members) for r in chunks] == [(1, "7 (City 7), 8 (City 8)"), (2, "9 (City 9)")]
+    assert pytest.tuples(isolated_components(found)) == [
+        (7, 3, "countries", 1, "C"), (7, 3, "members", 1, "7 (City 7)"), (7, 3, "members", 2, "8 (City 8)"),
+        (7, 3, "members", 3, "9 (City 9)"),
+    ]
 
 
 def brute_labels(n, pairs, rounds):
@@ -254,10 +302,10 @@ def brute_labels(n, pairs, rounds):
     return label
 
 
-@pytest.mark.parametrize("hot_rows,interval", [(10**6, 2), (4, 1)])
-def test_label_propagation(spark, hot_rows, interval, bucket_rows):
-    graph, pairs = random_graph(spark, 8, hot_rows=hot_rows)
-    got = {r.id: r.label for r in label_propagation(graph, 5, interval).collect()}
+@pytest.mark.parametrize("links_per_piece,interval", [(100_000, 2), (3, 1)])
+def test_label_propagation(spark, links_per_piece, interval):
+    graph, pairs = random_graph(spark, 8)
+    got = {r.id: r.label for r in label_propagation(graph, 5, interval, links_per_piece).collect()}
     assert [got[i] for i in range(40)] == brute_labels(40, pairs, 5)
 
 
@@ -270,8 +318,7 @@ def test_community_summary(rows):
     row = community_summary(members, degrees, at_least=5, hubs=2).collect()
     assert len(row) == 1
     assert row[0].asDict() == {
-        "label": 1, "airports": 6, "countries": 2, "main_country": "X", "main_airports": "c2, c6",
-        "main_country_share": 0.5,
+        "label": 1, "members": 6, "countries": 2, "lead_country": "X", "hubs": "c2, c6", "lead_share": 0.5,
     }
     alone = community_summary(members, degrees.where("id = 9"), at_least=1).where("label = 2").first()
-    assert alone.main_airports is None
+    assert alone.hubs is None

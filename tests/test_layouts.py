@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from airlake.scratch import new_path, new_table_name
 from airlake.sinks.tables import analyze, load_partitions, overwrite_load, write_bucketed, write_partitioned, write_plain
 from airlake.sources.layout import (
-    bucket_of, bucket_report, bucket_sample, compare_layouts, file_sizes, layout_report, split_report,
+    bucket_of, bucket_report, bucket_sample, compare_layouts, file_sizes, layout_report, scan_work, split_report,
 )
 
 
@@ -27,8 +27,9 @@ def test_partition_pruning(spark, companies, plan):
     assert "PartitionFilters: [isnotnull(stan" in plan(one)
     report = {r.folder: r for r in layout_report(spark, path).collect()}
     assert set(report) == {"stan=F", "stan=O", "stan=it%27s"}  # names as they are on disk
-    needed = compare_layouts(spark, {"t": (path, F.col("path").contains("/stan=F/"))}).first()
+    needed = compare_layouts(spark, {"filter": {"t": one}}, {"t": path}).first()
     assert needed.files_read == 1 and needed.bytes_read == report["stan=F"].bytes < needed.bytes
+    assert (needed.answer, needed.rows_read) == (1000, 1000)
 
 
 def test_loading_a_partition_again_changes_nothing(spark, companies):
@@ -53,7 +54,10 @@ def test_buckets(spark, companies, plan):
     finally:
         spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     bucket = bucket_of(spark, "00000042", "string", 10)
-    sample = bucket_sample(stored, "code", bucket, 10)
+    assert scan_work(point)["files_read"] == 1
+    assert scan_work(bucket_sample(stored, "code", bucket, 10))["files_read"] == 10
+    sample = bucket_sample(stored, "code", bucket, 10, stored=True)
+    assert scan_work(sample.select("code"))["files_read"] == 1
     files = sample.select(F.regexp_extract(F.col("_metadata.file_name"), r"_(\d{5})\.", 1).alias("b")).distinct()
     assert [int(r.b) + 1 for r in files.collect()] == [bucket]
     assert sample.where(F.col("code") == "00000042").count() == 1

@@ -6,10 +6,9 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from airlake.operators.aggregates import listed, ranked_list, row_counts
+from airlake.operators.aggregates import concat_sorted, listed, ranked_list, row_counts
 from airlake.operators.joins import not_in, pair_totals, pairs_by_key
 from airlake.operators.quality import airline_totals, exclude_airports, route_quality, with_distances
-from airlake.operators.skew import MAX_HOT_KEYS, find_hot_keys, hot_threshold, join_on_unique, join_salted
 from airlake.operators.windows import largest_per_group, number_within, top_n_per_group
 from airlake.operators.wordcount import (
     part_distribution, part_heads, place_words, run_invariants, top_words, word_counts,
@@ -26,19 +25,16 @@ def skewed(spark):
     return spark.createDataFrame(data, "k STRING, v BIGINT").repartition(6)
 
 
-def test_hot_threshold_bounds_the_number_of_hot_keys():
-    for total in (10, 10**6, 10**9, 10**13):
-        assert total / hot_threshold(total, 1) <= MAX_HOT_KEYS * 2
-
-
-def test_find_hot_keys(skewed):
-    assert find_hot_keys(skewed, ["k"], 1000) is None
-    assert pytest.tuples(find_hot_keys(skewed, ["k"], 100)) == [("hot",)]
-
-
-@pytest.mark.parametrize("hot_rows", [10**6, 100, 30, 5])
-def test_numbering_is_the_same_with_and_without_hot_groups(skewed, hot_rows):
-    got = number_within(skewed, ["k"], [F.asc("v")], "rn", hot_rows).collect()
+@pytest.mark.parametrize("width", [1, 4, 16])
+def test_numbering_is_the_same_for_any_slices(spark, skewed, width):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = number_within(skewed, ["k"], [F.asc("v")]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     groups = defaultdict(list)
     for r in skewed.collect():
         groups[r.k].append(r.v)
@@ -48,28 +44,17 @@ def test_numbering_is_the_same_with_and_without_hot_groups(skewed, hot_rows):
 
 
 def test_numbering_descending(skewed):
-    got = number_within(skewed, ["k"], [F.desc("v")], "rn", 100).where("k = 'hot'").collect()
+    got = number_within(skewed, ["k"], [F.desc("v")], "rn").where("k = 'hot'").collect()
     ordered = [r.v for r in sorted(got, key=lambda r: r.rn)]
     assert ordered == sorted(ordered, reverse=True) and len(ordered) == 200
 
 
-def test_join_on_unique_with_hot_keys(spark, skewed, plan):
-    dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("zz", 4)], "d STRING, w INT")
-    plain = join_on_unique(skewed, dim, "k", "d", None)
-    hot = find_hot_keys(skewed, ["k"], 100)
-    assert pytest.tuples(join_on_unique(skewed, dim, "k", "d", hot)) == pytest.tuples(plain)
-    semi = join_on_unique(skewed.where("k IS NOT NULL"), dim, "k", "d", hot, "left_semi")
-    assert semi.count() == plain.count()
-
+def test_filter_goes_below_the_numbered_view(spark, plan):
+    from airlake.plans.relational import numbered_view
 
-@pytest.mark.parametrize("left_limit,right_limit", [(100, 10**6), (10**6, 40), (100, 40)])
-def test_salted_join_equals_the_join(skewed, left_limit, right_limit):
-    right = skewed.where("v % 3 = 0").select(F.col("k").alias("r"), F.col("v").alias("w"))
-    want = skewed.join(right, F.col("k") == F.col("r"))
-    hot_left, hot_right = find_hot_keys(skewed, ["k"], left_limit), find_hot_keys(right, ["r"], right_limit)
-    got = join_salted(skewed, right, "k", "r", hot_left, hot_right, pieces=4)
-    assert got.columns == want.columns
-    assert pytest.tuples(got) == pytest.tuples(want)
+    view = numbered_view(spark, "/root/testdata/sf0.001")
+    shown = plan(spark.table(view).where("address = 77"))
+    assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey,77)]" in shown
 
 
 def test_top_n_is_limited_before_the_shuffle(skewed, plan):
@@ -85,24 +70,20 @@ def test_largest_per_group_takes_smallest_item_on_ties(rows):
     assert pytest.tuples(largest_per_group(df, ["g"], "n", "item")) == [("a", "b", 2), ("b", "q", 5)]
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 100])
-def test_listed_in_chunks_leaves_nothing_out(skewed, hot_rows):
+def test_listed_leaves_nothing_out(skewed):
     df = skewed.where("k IS NOT NULL").select("k", F.col("v").cast("string").alias("s"))
-    got = listed(df, ["k"], "s", "all", chunk_rows=50, hot_rows=hot_rows).collect()
-    texts = defaultdict(list)
-    for r in sorted(got, key=lambda r: r.chunk):
-        assert r["all"].count(",") < 50
-        texts[r.k].append(r["all"])
     want = defaultdict(list)
     for r in df.collect():
         want[r.k].append(r.s)
-    assert {k: ", ".join(v) for k, v in texts.items()} == {k: ", ".join(sorted(v)) for k, v in want.items()}
-    assert len(texts["hot"]) == 4
+    want = {(k, i + 1, s) for k, items in want.items() for i, s in enumerate(sorted(items))}
+    assert {tuple(r) for r in listed(df, ["k"], "s").collect()} == want
+    text = concat_sorted(df, ["k"], "s", "all").where("k = 'hot'").first()["all"]
+    assert text == ", ".join(s for k, _, s in sorted(want) if k == "hot")
 
 
 def test_listed_skips_missing_items(rows):
     df = rows([(1, "b"), (1, None), (1, "a"), (2, "c")], "g INT, s STRING")
-    assert pytest.tuples(listed(df, ["g"], "s", "all")) == [(1, 1, "a, b"), (2, 1, "c")]
+    assert pytest.tuples(listed(df, ["g"], "s")) == [(1, 1, "a"), (1, 2, "b"), (2, 1, "c")]
 
 
 def test_ranked_list(rows):
@@ -159,7 +140,9 @@ def network(rows):
 
 
 def test_route_quality(network):
-    assert tuple(route_quality(network[0]).first()) == (9, 1, 1, 2, 1)
+    assert dict(map(tuple, route_quality(network[0]).collect())) == {
+        "all": 9, "no_end": 1, "no_airline": 1, "shared": 2, "loops": 1,
+    }
 
 
 def test_distances_drop_loops_and_unknown_airports(network):
@@ -173,7 +156,7 @@ def test_distances_drop_loops_and_unknown_airports(network):
 
 def test_airline_totals_count_own_routes_only(network, rows):
     airlines = rows([(10, "Ten", "X"), (11, "Eleven", "Y"), (12, "Twelve", "Y")], "id INT, name STRING, country STRING")
-    got = {r.id: (r.airline, r.routes, r.total_km) for r in airline_totals(*network, airlines).collect()}
+    got = {r.id: (r.carrier, r.legs, r.km) for r in airline_totals(*network, airlines).collect()}
     assert got == {10: ("Ten", 2, 20015.0), 11: ("Eleven", 1, 10008.0)}
 
 
@@ -195,15 +178,6 @@ def test_wordcount_family(rows):
     assert [r.word for r in top_words(counts, 2).collect()] == ["be", "to"]
 
 
-def test_spread_if_few(spark):
-    from airlake.operators.spread import spread_if_few
-
-    one, many = spark.range(100).coalesce(1), spark.range(0, 100, 1, 8)
-    assert spread_if_few(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread_if_few(one).count() == 100
-    assert spread_if_few(many) is many
-
-
 def test_words_are_combined_before_the_shuffle(rows, plan):
     shown = plan(word_counts(rows([("a b",)], "value STRING")))
     assert 0 < shown.find("partial_count") < shown.find("hashpartitioning(word")

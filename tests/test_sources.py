@@ -12,8 +12,9 @@ from airlake.sinks.delimited import write_quoted_csv
 from airlake.sinks.wordcount import write_wordcount
 from airlake.sources.catalog import describe_table, external_table, register_view
 from airlake.sources.delimited import COMPANIES, ROUTES, read_headerless_csv, read_quoted_csv, strings
-from airlake.sources.text import read_part_files
-from airlake.sources.xml import flat_records, read_xml_records, record_schema
+from airlake.operators.wordcount import order_of_files
+from airlake.sources.text import read_part_files, words_of_parts
+from airlake.sources.xml import decode_bytes, encode_text, flat_records, read_xml_records, record_schema
 
 
 def test_quoted_csv_dialect(spark, tmp_path):
@@ -28,15 +29,37 @@ def test_quoted_csv_dialect(spark, tmp_path):
 
 
 def test_quoted_csv_round_trip(spark, rows, tmp_path):
-    data = [('say "hi", you', "", " padded "), ("кирилиця", None, "007")]
+    data = [('say "hi", you', "", " padded "), ("кирилиця", None, "007"), ("\\N", "\\", "NULL")]
     path = str(tmp_path / "out")
     write_quoted_csv(rows(data, "a STRING, b STRING, c STRING").coalesce(1), path)
     written = next(Path(path).glob("*.csv")).read_bytes().decode("utf-8")
-    assert written == '"a","b","c"\n"say ""hi"", you",""," padded "\n"кирилиця","","007"\n'
+    assert written == '"a","b","c"\n"say ""hi"", you",""," padded "\n"кирилиця","","007"\n"\\N","\\","NULL"\n'
     read = read_quoted_csv(spark, path, strings("a", "b", "c"))
     assert pytest.tuples(read) == sorted((a, b or "", c) for a, b, c in data)
 
 
+@pytest.mark.parametrize("value", ["a\nb", "a\rb"])
+def test_line_breaks_are_refused(rows, tmp_path, value):
+    with pytest.raises(Exception, match="line break in column a"):
+        write_quoted_csv(rows([(value,)], "a STRING"), str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("charset", ["gbk", "shift_jis", "utf-16", "cp500"])
+def test_other_charsets_are_refused(charset):
+    with pytest.raises(ValueError, match="one byte per character"):
+        decode_bytes(F.col("x"), charset)
+
+
+@pytest.mark.parametrize("charset", ["windows-1251", "koi8-r", "iso-8859-5", "utf-8"])
+def test_charsets_round_trip(rows, tmp_path, charset):
+    text = "Привіт «x»" if charset in ("windows-1251", "utf-8") else "Привет x"
+    frame = rows([(text,)], "t STRING").select(encode_text(F.col("t"), charset).alias("t"))
+    frame.coalesce(1).write.text(str(tmp_path / "out"))
+    assert next((tmp_path / "out").glob("*.txt")).read_bytes().decode(charset) == text + "\n"
+    back = frame.sparkSession.read.text(str(tmp_path / "out")).select(decode_bytes(F.col("value"), charset))
+    assert back.first()[0] == text
+
+
 def test_headerless_csv_nulls(spark, tmp_path):
     (tmp_path / "routes.dat").write_text('2B,410,AER,2965,KZN,2990,,0,CR2\nXX,\\N,A,\\N,"B, C",7,Y,0,\\N\n')
     read = read_headerless_csv(spark, str(tmp_path / "routes.dat"), ROUTES)
@@ -112,6 +135,27 @@ def test_part_files(spark, rows, tmp_path, parts):
         assert in_order == sorted(in_order)
 
 
+def test_order_of_files(spark, tmp_path):
+    words = [f"w{i:03}" for i in range(200)]
+    for name, lines in {"good": [words[:120], words[120:]], "reversed": [words[::-1]], "torn": [words[100:], words[:100]]}.items():
+        folder = tmp_path / name / "part=0"
+        folder.mkdir(parents=True)
+        for i, own in enumerate(lines):
+            (folder / f"part-{i}.txt").write_text("".join(f"{w}\t1\n" for w in own))
+    broken = {}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 400)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        for name in ("good", "reversed", "torn"):
+            row = order_of_files(words_of_parts(spark, str(tmp_path / name))).first()
+            assert row.words == 200
+            broken[name] = row.out_of_order
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert broken == {"good": 0, "reversed": 199, "torn": 1}
+
+
 def test_flat_part_files_split_on_the_last_tab(spark, tmp_path):
     (tmp_path / "part-r-00000").write_text("a\tb\t3\nc\t1\n")
     read = read_part_files(spark, str(tmp_path), part_is_folder=False)
