@@ -29,6 +29,8 @@ LABELS = len(KINDS) + 1
 #: Documents that are learned from, at most, and how long each may be.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS = 2048, 20_000
 ROUNDS, DAMPING = 12, 0.3
+#: What speaks for a token of a shape that was not learned being outside.
+UNSEEN = 2.0
 #: Equal digits at the end that make two tokens similar.
 SIMILAR_DIGITS = 7
 
@@ -171,6 +173,8 @@ class Field:
         for i, t in enumerate(tokens):
             known = [self.features[f] for f in t.features if f in self.features]
             out[i] = self.unary[known].sum(axis=0)
+            if t.features[1] not in self.features:
+                out[i, OUTSIDE] += UNSEEN
         return out
 
     def marginals(self, scores: np.ndarray, chain: list, skip: list, rounds: int = ROUNDS) -> np.ndarray:
@@ -246,13 +250,17 @@ def fit(texts: list[str], steps: int = 300, rate: float = 0.1, strength: float =
     return field
 
 
+#: What a further span must look like as a whole, by kind.
+FORMS = [
+    re.compile(r"[^\s@]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(?:\.[0-9]+){3}"),
+    re.compile(r"[0-9][0-9 -]*[0-9]"), re.compile(r"[+(]?[0-9][0-9 ().-]*[0-9]"),
+]
+DIGITS = [(0, 10**9), (4, 12), (12, 19), (7, 15)]
+
+
 def _plausible(kind: int, text: str) -> bool:
-    digits = len(_digits(text))
-    if kind == 0:
-        return "@" in text
-    if kind == 1:
-        return text.count(".") == 3
-    return 12 <= digits <= 19 if kind == 2 else 7 <= digits <= 15
+    least, most = DIGITS[kind]
+    return bool(FORMS[kind].fullmatch(text)) and least <= len(_digits(text)) <= most
 
 
 def further_spans(text: str, base: list[Span], field: Field) -> list[Span]:

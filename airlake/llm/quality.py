@@ -30,6 +30,8 @@ THRESHOLD = 0.7
 WORD_BUCKETS = SHAPE_BUCKETS = 4096
 LENGTHS, REPEATS = 24, 24
 FEATURES = WORD_BUCKETS + SHAPE_BUCKETS + LENGTHS + REPEATS
+#: Similarities that differ by less are equal; products round in single precision.
+TIED = 1e-6
 #: Documents in a block of products.
 BLOCK = 1024
 
@@ -100,7 +102,7 @@ class QualityModel:
             if near < len(self.labels):
                 # All that are as near as the last one vote too, so ties need no order.
                 least = -np.partition(-cosines, near - 1, axis=1)[:, near - 1 : near]
-                cosines = np.where(cosines >= least, cosines, 0)
+                cosines = np.where(cosines >= least - TIED, cosines, 0)
             votes = np.maximum(cosines, 0).astype(np.float64) ** 4
             total = votes.sum(axis=1)
             said = votes @ self.labels

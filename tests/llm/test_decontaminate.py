@@ -36,6 +36,10 @@ def brute_force(docs, items, window=10):
     return out
 
 
+def shout(text):
+    return "".join(c.upper() if "a" <= c <= "z" else c for c in text)
+
+
 def check(spark, rows, docs, items):
     frame = rows([(i, t, "x") for i, t in enumerate(docs)], "doc_id BIGINT, text STRING, items STRING")
     bench = rows(items, "item_id BIGINT, text STRING")
@@ -56,7 +60,7 @@ def test_equals_brute_force(spark, rows):
         item = words(draw.choice(items[:12])[1])
         n = draw.randint(8, len(item))
         at = draw.randint(0, len(item) - n)
-        docs.append(prose(draw.randint(0, 20)) + " " + ", ".join(item[at : at + n]).upper().replace("É", "é") + ". " + prose(20))
+        docs.append(prose(draw.randint(0, 20)) + " " + shout(", ".join(item[at : at + n])) + ". " + prose(20))
     docs += [items[0][1], items[0][1], "", None, "...", "LONE word", "lone  q1 Q1", "five words\nmake this item", "ab " * 500, prose(3000)]
     docs.append(" ".join(i[1] or "" for i in items))
     docs += [" ".join(words(items[1][1])[:9]), " ".join(words(items[1][1])[:10])]
@@ -74,4 +78,4 @@ def test_empty_tables(spark, rows):
 def test_no_python_in_the_plan(spark, rows, plan):
     frame = decontaminate(rows([(1, "a b")], "doc_id BIGINT, text STRING"), rows([(1, "a b")], "item_id BIGINT, text STRING"))
     shown = plan(frame)
-    assert "Python" not in shown and "InArrow" not in shown and "Pandas" not in shown
+    assert not any(node in shown for node in ("EvalPython", "InArrow", "InPandas", "PythonUDF"))
