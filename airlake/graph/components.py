@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.scratch import cut_lineage
+from airlake.scratch import keep, working_area
 
 
 def connected_components(graph: Graph) -> DataFrame:
@@ -17,19 +17,19 @@ def connected_components(graph: Graph) -> DataFrame:
     the graph, not with its diameter, and the number of pairs does not grow.
     Finished when every pair points from a vertex to a root.
     """
-    pairs = cut_lineage(
-        graph.edges.where(F.col("src") != F.col("dst"))
-        .select(F.greatest("src", "dst").alias("child"), F.least("src", "dst").alias("parent"))
-        .distinct()
-    )
-    while True:
-        nodes = cut_lineage(_neighbourhoods(pairs))
-        unfinished = nodes.where("parents > 1 OR (parents > 0 AND children > 0)")
-        if unfinished.isEmpty():
-            break
-        pairs = cut_lineage(_small_star(_large_star(pairs, nodes)))
-
-    roots = pairs.select(F.col("child").alias("id"), F.col("parent").alias("_root"))
+    with working_area(graph.edges.sparkSession) as area:
+        pairs = area.keep(
+            graph.edges.where(F.col("src") != F.col("dst"))
+            .select(F.greatest("src", "dst").alias("child"), F.least("src", "dst").alias("parent"))
+            .distinct(),
+            "pairs",
+        )
+        while True:
+            nodes = area.keep(_neighbourhoods(pairs), "nodes")
+            if nodes.where("parents > 1 OR (parents > 0 AND children > 0)").isEmpty():
+                break
+            pairs = area.keep(_small_star(_large_star(pairs, nodes)), "pairs")
+        roots = keep(pairs.select(F.col("child").alias("id"), F.col("parent").alias("_root")), "roots")
     return (
         graph.vertices.join(roots, "id", "left")
         .withColumn("component", F.coalesce("_root", "id"))
