@@ -61,3 +61,49 @@ def test_run_is_the_stages_in_order(spark, tables):
 @pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n.startswith("op")))
 def test_query_equals_its_sql(spark, name):
     assert compare(entry.queries()[name](spark, FOLDER), connect(FOLDER), entry.oracle_sql()[name]).startswith("ok")
+
+
+def test_run_equals_brute_force(spark, tables):
+    """Every stage once more in plain Python, from the same model of quality to the pieces."""
+    import zlib
+    from array import array
+
+    import numpy as np
+    from test_decontaminate import brute_force as hits
+    from test_line_dedup import brute_force as without_lines
+    from test_near_dup import brute_force as classes
+    from test_packing import reference
+
+    from airlake.llm import quality
+    from airlake.llm.packing import piece_lengths
+    from airlake.llm.queries import fold
+
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    labels = spark.read.parquet(f"{tables}/labels.parquet").where(fold() != 2)
+    model = quality.train(docs, labels)
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+
+    def score(text):
+        (ids, weights), = quality.bags([(text or "").encode()])
+        v = model.vector(ids, weights)
+        cosines = model.vectors @ (v / (np.linalg.norm(v) or 1))
+        least = np.sort(cosines)[-min(model.neighbours, len(cosines))]
+        votes = [(max(float(c), 0) ** 4, y) for c, y in zip(cosines, model.labels) if c >= least - quality.TIED]
+        total = sum(w for w, _ in votes)
+        return sum(w * y for w, y in votes) / total if total else model.prior
+
+    rows = [(i, t) for i, t in rows if score(t) >= quality.THRESHOLD]
+    rows = [(i, kept) for (i, _), (kept, _, _) in zip(rows, without_lines([t for _, t in rows]))]
+    chosen = classes(rows)
+    rows = [(i, t) for i, t in rows if chosen.get(i, i) == i]
+    items = [tuple(r) for r in spark.read.parquet(f"{tables}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = [(i, t) for (i, t), (_, n_hit, _, _) in zip(rows, hits([t for _, t in rows], items)) if not n_hit]
+    encode, want = reference(), set()
+    for i, text in rows:
+        ids = [*encode(text or ""), 0]
+        at = 0
+        for n in piece_lengths(len(ids)):
+            want.add((i, at, n, zlib.crc32(array("I", ids[at : at + n]).tobytes()), len(ids)))
+            at += n
+    got = {(r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in corpus_pipeline.run(spark, tables).collect()}
+    assert got == want and len({i for i, _ in rows}) < docs.count()
