@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airlake.llm.batches import chunks
+from airlake.llm.prefilter import among_the_lowest, hash_order
 
 #: Documents and characters that a language is learned from at most.
 TEXTS_PER_LANGUAGE = 48
@@ -165,8 +166,12 @@ def train(
     """
     rows = labelled.select(
         F.col(f"`{lang_column}`").cast("string").alias("lang"), F.col(f"`{text_column}`").cast("string").alias("text"),
-        F.xxhash64(F.col(f"`{id_column}`"), F.col(f"`{text_column}`")).alias("order"),
+        F.struct(F.col(f"`{id_column}`"), F.col(f"`{text_column}`")).alias("key"),
     ).where("lang IS NOT NULL AND text IS NOT NULL AND lang <> 'und'")
+    # A row per language, of which there are as many automata.
+    shares = rows.groupBy("lang").agg((F.lit(4.0 * texts_per_language) / F.count(F.lit(1))).alias("share"))
+    rows = rows.join(F.broadcast(shares), "lang").where(among_the_lowest(F.col("key"), F.col("share")))
+    rows = rows.withColumn("order", hash_order(F.col("key")))
     part = max(1, chars_per_language // texts_per_language)
     chosen = (
         rows.select("lang", "order", F.substring("text", 1, part).alias("text"))

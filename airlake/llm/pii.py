@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.llm.batches import chunks
+from airlake.llm.prefilter import among_the_lowest, hash_order
 
 KINDS = ["email", "ip", "card", "phone"]
 OUTSIDE = len(KINDS)
@@ -294,10 +295,13 @@ def joined(spans: list[Span]) -> str:
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", documents: int = SAMPLE_DOCUMENTS) -> Field:
     """Fit on at most ``documents`` of the documents with a digit or an @, those whose ids hash lowest."""
-    text = F.col(f"`{text_column}`").cast("string")
+    key, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`").cast("string")
+    fitting = docs.where(text.rlike("[0-9@]") & (F.length(text) <= SAMPLE_CHARS))
+    share = min(1.0, 4 * documents / max(1, fitting.count()))
     sample = (
-        docs.where(text.rlike("[0-9@]") & (F.length(text) <= SAMPLE_CHARS))
-        .select(text.alias("text"), F.xxhash64(F.col(f"`{id_column}`")).alias("order"))
+        docs.where(among_the_lowest(key, share))  # before the texts are looked at
+        .where(text.rlike("[0-9@]") & (F.length(text) <= SAMPLE_CHARS))
+        .select(text.alias("text"), hash_order(key).alias("order"))
         .orderBy("order", "text")
         .limit(documents)
         .collect()

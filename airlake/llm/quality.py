@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.llm.batches import chunks
+from airlake.llm.prefilter import among_the_lowest, hash_order
 from airlake.llm.words import mix, word_hashes
 
 #: The most labelled rows that are learned from; the model's size depends on nothing else.
@@ -163,14 +164,11 @@ def train(
     Rows with a null id, label or text are left out; labels are 0 or 1, and of several for
     one id the largest counts.
     """
-    sample = (
-        labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label_column}`").cast("int").alias("label"))
-        .where("id IS NOT NULL AND label IS NOT NULL")
-        .groupBy("id")
-        .agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(most_rows)
-    )
+    known = labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label_column}`").cast("int").alias("label"))
+    known = known.where("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label"))
+    share = min(1.0, 4 * most_rows / max(1, known.count()))
+    lowest = known.where(among_the_lowest(F.col("id"), share))
+    sample = lowest.orderBy(hash_order(F.col("id")), "id").limit(most_rows)
     chosen = (
         docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
         .where("text IS NOT NULL")
