@@ -7,8 +7,12 @@ slot with a probability equal to their probability Jaccard similarity. Elements
 next arrival comes after the latest first arrival of all slots can change nothing and are
 left out, so most elements are looked at once.
 
-Texts with equal shingles are one set from the start. Sets that agree in a band of slots
-are candidates. Pairs within a band are never all listed:
+Texts with equal shingles are one set from the start. Links are defined on distinct
+shingles, whose weights are all one; there the probability Jaccard similarity is the plain
+one. So every set has the bands of its unit weights, which any pair of the threshold shares
+but for a known small chance, however often either text repeats its shingles. The weighted
+bands of texts that repeat shingles come on top. Sets that agree in a band of slots are
+candidates. Pairs within a band are never all listed:
 
 1. Each set is compared with one leader per band, the member that shares most bands with
    others (in a group of edited copies, that is the text they were made from), and
@@ -39,7 +43,7 @@ from airlake.scratch import keep
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-#: Two sets of similarity 0.8 share no band with a probability of 3e-5.
+#: Two sets of plain Jaccard similarity 0.8 share no band of unit weights with a probability of 3e-5.
 BANDS, ROWS = 20, 4
 
 
@@ -88,6 +92,14 @@ def band_hashes(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) ->
     return out.view(np.int64)
 
 
+def set_bands(shingles: np.ndarray, weights: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """The bands of the distinct shingles, and those of the weighted ones that are not among them."""
+    unit = band_hashes(prob_minhash(shingles, np.ones(len(shingles)), bands * rows), bands, rows)
+    if (weights == 1).all():
+        return unit, np.empty(0, np.int64)
+    return unit, np.setdiff1d(band_hashes(prob_minhash(shingles, weights, bands * rows), bands, rows), unit)
+
+
 def _set_key(shingles: np.ndarray) -> tuple[int, int]:
     """Two 64-bit numbers that stand for a set of shingles."""
     signed = lambda x: int(x.astype(np.int64))
@@ -115,21 +127,24 @@ def _sketches(size: int, bands: int, rows: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole, "text"):
-                keys, sizes, hashes = [], [], []
+                keys, hashes, further = [], [], []
                 for text, words in _word_sets(batch):
                     if len(words):
                         shingles, weights = weighted_shingles(words, size)
-                        hashes.append(band_hashes(prob_minhash(shingles, weights, bands * rows), bands, rows))
+                        unit, weighted = set_bands(shingles, weights, bands, rows)
+                        hashes.append(unit)
+                        further.append(weighted)
                         keys.append(_set_key(shingles))
                     else:  # without a word: equal to equal texts only
                         hashes.append(np.empty(0, np.int64))
+                        further.append(np.empty(0, np.int64))
                         keys.append(struct.unpack("<qq", xxhash.xxh3_128_digest(text)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id"), pa.array([k[0] for k in keys], pa.int64()),
-                        pa.array([k[1] for k in keys], pa.int64()), _lists(hashes),
+                        pa.array([k[1] for k in keys], pa.int64()), _lists(hashes), _lists(further),
                     ],
-                    names=["id", "k1", "k2", "bands"],
+                    names=["id", "k1", "k2", "bands", "weighted"],
                 )
 
     return sketch
@@ -236,14 +251,20 @@ def near_duplicates(
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     present = texts.where("id IS NOT NULL AND text IS NOT NULL")
     sketches = keep(
-        present.mapInArrow(_sketches(size, bands, rows), "id BIGINT, k1 BIGINT, k2 BIGINT, bands ARRAY<BIGINT>"),
+        present.mapInArrow(
+            _sketches(size, bands, rows), "id BIGINT, k1 BIGINT, k2 BIGINT, bands ARRAY<BIGINT>, weighted ARRAY<BIGINT>"
+        ),
         "sketches",
     )
     sets = keep(
         sketches.groupBy("k1", "k2").agg(F.min("id").alias("set_id"), F.first("bands").alias("bands")), "shingle-sets"
     )
     # From here a set is known by k1: two members of shared bands meet in it by chance once in 2^64 pairs.
-    each = sets.select(F.col("k1").alias("id"), "set_id", F.explode("bands").alias("band"))
+    # Unit weights give equal sets equal bands; their weighted bands differ and all count.
+    weighted = sketches.where(F.size("weighted") > 0).select("k1", "k2", F.explode("weighted").alias("band")).distinct()
+    each = sets.select("k1", "set_id", F.explode("bands").alias("band")).unionByName(
+        weighted.join(sets.select("k1", "k2", "set_id"), ["k1", "k2"]).select("k1", "set_id", "band")
+    ).withColumnRenamed("k1", "id")
     shared = each.groupBy("band").agg((F.count(F.lit(1)) - 1).alias("others")).where("others > 0")
     members = keep(each.join(shared, "band"), "band-members")
     pairs = keep(_leader_pairs(members), "leader-pairs")

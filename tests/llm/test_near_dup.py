@@ -5,7 +5,7 @@ from itertools import combinations
 
 import numpy as np
 
-from airlake.llm.near_dup import THRESHOLD, band_hashes, near_duplicates, prob_minhash
+from airlake.llm.near_dup import THRESHOLD, band_hashes, near_duplicates, prob_minhash, set_bands
 from airlake.llm.words import mix, shingle_hashes, word_hashes
 
 
@@ -117,5 +117,32 @@ def test_classes_of_a_shared_passage_are_completed_by_rare_shingles(spark, rows)
     assert {r.doc_id: r.class_id for r in near_duplicates(docs).collect()} == want
 
 
+def test_repeated_lines_leave_links_whole(spark, rows):
+    """Near copies are linked by their distinct shingles, however often each repeats lines of its own."""
+    draw = random.Random(11)
+    data = []
+    for _ in range(12):
+        body, lines = prose(draw, 200), [prose(draw, 15) for _ in range(2)]
+        data += [" ".join([body, *[line] * draw.choice([300, 1000])]) for line in lines]
+        data.append(" ".join([body, *[lines[0]] * 2]))  # the first one's shingles with other weights
+    data = list(enumerate(data))
+    want = brute_force(data)
+    assert len(set(want.values())) == 12
+    got = near_duplicates(rows(data, "doc_id BIGINT, text STRING")).collect()
+    assert {r.doc_id: r.class_id for r in got} == want
+
+
+def test_unit_weights_give_bands_of_the_set():
+    draw = np.random.default_rng(1)
+    misses = 0
+    for _ in range(300):
+        ids = mix(draw.integers(0, 2**63, 110).astype(np.uint64))
+        a, b = np.unique(ids[:101]), np.unique(np.concatenate([ids[:90], ids[99:]]))
+        heavy = lambda x: np.where(np.isin(x, ids[:90]), 1.0, 1 + np.log(1000))
+        misses += not set(set_bands(a, heavy(a))[0].tolist()) & set(set_bands(b, heavy(b))[0].tolist())
+        assert set_bands(a, np.ones(len(a)))[1].size == 0
+    assert misses <= 1
+
+
 def test_empty_table(spark, rows):
     assert near_duplicates(rows([], "doc_id BIGINT, text STRING")).count() == 0
