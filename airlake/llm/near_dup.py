@@ -141,10 +141,10 @@ def _sketches(size: int, bands: int, rows: int):
                         keys.append(struct.unpack("<qq", xxhash.xxh3_128_digest(text)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("id"), pa.array([k[0] for k in keys], pa.int64()),
+                        batch.column("id"), batch.column("text_key"), pa.array([k[0] for k in keys], pa.int64()),
                         pa.array([k[1] for k in keys], pa.int64()), _lists(hashes), _lists(further),
                     ],
-                    names=["id", "k1", "k2", "bands", "weighted"],
+                    names=["id", "text_key", "k1", "k2", "bands", "weighted"],
                 )
 
     return sketch
@@ -228,6 +228,11 @@ def _prefix_pairs(open_ids: DataFrame, shingles: DataFrame, classes: DataFrame,
     )
 
 
+def text_key(text: Column) -> Column:
+    """128 bits, in hexadecimal digits, that stand for a text."""
+    return F.md5(text.cast("string").cast("binary"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -237,11 +242,14 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per document: its id, ``class_id`` (the smallest id of its class) and ``set_id``.
+    """One row per document: its id, ``class_id`` (the smallest id of its class), ``set_id``, ``component`` and ``text_key``.
 
     Documents are linked when the Jaccard similarity of their distinct ``size``-word
     shingles is at least ``threshold``; a class is what links connect. ``set_id`` is the
-    smallest id among documents with the very same shingles. Ids are integers.
+    smallest id among documents with the very same shingles. Ids are integers. Where rows
+    with different texts share an id, classes may share a ``class_id``; ``component`` is a
+    number that each class has for itself, and ``text_key`` (the function of that name)
+    tells the rows of an id apart. Both are null for a null text or id.
 
     A text of fewer than ``size`` words is one shingle. Texts without a word, empty ones
     included, are duplicates only of equal texts. A null text or a null id takes no part:
@@ -251,8 +259,9 @@ def near_duplicates(
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     present = texts.where("id IS NOT NULL AND text IS NOT NULL")
     sketches = keep(
-        present.mapInArrow(
-            _sketches(size, bands, rows), "id BIGINT, k1 BIGINT, k2 BIGINT, bands ARRAY<BIGINT>, weighted ARRAY<BIGINT>"
+        present.withColumn("text_key", text_key(F.col("text"))).mapInArrow(
+            _sketches(size, bands, rows),
+            "id BIGINT, text_key STRING, k1 BIGINT, k2 BIGINT, bands ARRAY<BIGINT>, weighted ARRAY<BIGINT>",
         ),
         "sketches",
     )
@@ -299,6 +308,10 @@ def near_duplicates(
     )
     smallest = of_sets.groupBy("component").agg(F.min("set_id").alias("class_id"))
     of_sets = of_sets.join(smallest, "component")
-    found = sketches.select("id", "k1", "k2").join(of_sets, ["k1", "k2"]).select("id", "class_id", "set_id")
-    alone = texts.where("id IS NULL OR text IS NULL").select("id", F.col("id").alias("class_id"), F.col("id").alias("set_id"))
+    columns = ["id", "class_id", "set_id", "component", "text_key"]
+    found = sketches.select("id", "text_key", "k1", "k2").join(of_sets, ["k1", "k2"]).select(columns)
+    alone = texts.where("id IS NULL OR text IS NULL").select(
+        "id", F.col("id").alias("class_id"), F.col("id").alias("set_id"),
+        F.lit(None).cast("long").alias("component"), F.lit(None).cast("string").alias("text_key"),
+    )
     return found.unionByName(alone).withColumnRenamed("id", id_column)

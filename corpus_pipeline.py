@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from airlake.llm import quality
 from airlake.llm.decontaminate import decontaminate
 from airlake.llm.line_dedup import line_dedup
-from airlake.llm.near_dup import near_duplicates
+from airlake.llm.near_dup import near_duplicates, text_key
 from airlake.llm.packing import pack
+from airlake.llm.prefilter import may_match
 from airlake.llm.queries import byte_bpe, fold, packing_digest, table
-from airlake.scratch import new_path
+from airlake.scratch import keep, new_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,16 +39,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every class of near duplicates, that with the smallest id.
 
-    Documents without id or text are in no class and all stay. Of rows that repeat an id
-    one stays, the one whose text hashes lowest.
+    Documents without id or text are in no class and all stay. Rows that share an id are
+    told apart by their texts: each is in the class of its text, and of a class's rows with
+    the smallest id one stays, of the text whose key is smallest.
     """
-    chosen = near_duplicates(docs.select("doc_id", "text")).where("doc_id = class_id").select("doc_id").distinct()
+    row = F.struct("doc_id", "text_key")
+    found = near_duplicates(docs.select("doc_id", "text")).where("component IS NOT NULL")
+    texts = found.groupBy("component", row.alias("_row")).agg(F.count(F.lit(1)).alias("n"))
+    chosen = keep(texts.groupBy("component").agg(F.min(F.struct("_row", "n")).alias("best")).select("best.*"), "chosen")
     alone = docs.where("doc_id IS NULL OR text IS NULL")
-    unique = docs.where("text IS NOT NULL").join(chosen, "doc_id", "left_semi")
-    repeated = unique.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"), F.min(F.xxhash64("text")).alias("_least"))
-    again = repeated.where("_rows > 1")
-    once = unique.join(again, "doc_id", "left_anti")
-    first = unique.join(again, "doc_id").where(F.xxhash64("text") == F.col("_least")).dropDuplicates(["doc_id"])
+    present = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn(
+        "_row", F.struct(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"))
+    )
+    once = present.join(chosen.where("n = 1"), "_row", "left_semi")
+    again = chosen.where("n > 1")
+    first = may_match(present, again, "_row").join(again, "_row", "left_semi").dropDuplicates(["_row"])
     return alone.unionByName(once.select(docs.columns)).unionByName(first.select(docs.columns))
 
 

@@ -53,6 +53,18 @@ def test_odd_rows(spark, rows, tables):
         assert stage(spark, docs, tables).count() >= 0
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark, rows):
+    words = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    x, y, z = map(words, "xyz")
+    data = [(3, x, "s"), (5, x.upper(), "s"), (5, y, "a"), (5, y, "b"), (0, z, "s"), (0, words("v"), "s"), (0, words("w"), "s"),
+            (7, z + " more", "s"), (0, words("w") + " more", "s"), (8, "", "s"), (8, "?", "s")]
+    kept = corpus_pipeline.one_of_each(spark, rows(data, "doc_id INT, text STRING, source STRING"), "").collect()
+    got = sorted((r.doc_id, r.text) for r in kept)
+    w = [t for i, t in got if i == 0 and t.startswith("w")]
+    assert len(w) == 1 and w[0].startswith(words("w"))
+    assert [g for g in got if g[1] != w[0]] == sorted([(3, x), (5, y), (0, z), (0, words("v")), (8, ""), (8, "?")])
+
+
 def test_run_is_the_stages_in_order(spark, tables):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontaminate", "packing"]
     assert entry.queries()["pipeline"](spark, tables).count() > 0
