@@ -25,7 +25,7 @@ from airlake.llm.prefilter import among_the_lowest, hash_order
 #: Documents and characters that a language is learned from at most.
 TEXTS_PER_LANGUAGE = 48
 CHARS_PER_LANGUAGE = 24_000
-#: Characters told apart; rarer ones of the labelled texts count as unknown.
+#: The most frequent characters have a column in the tables; transitions by others are sorted pairs.
 ALPHABET = 127
 BLOCK = 512
 
@@ -38,6 +38,11 @@ def suffix_automaton(codes: np.ndarray, symbols: int) -> np.ndarray:
 
     State 0 leads nowhere and state 1 is the start. ``codes`` are below ``symbols``.
     """
+    return _split(_transitions(codes), symbols)[0]
+
+
+def _transitions(codes: np.ndarray) -> list[dict[int, int]]:
+    """Where each symbol leads from each state."""
     go: list[dict[int, int]] = [{}, {}]
     length, link = [0, 0], [0, 0]
     last = 1
@@ -64,20 +69,49 @@ def suffix_automaton(codes: np.ndarray, symbols: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
+    return go
+
+
+@dataclass
+class Sparse:
+    """Transitions by symbols without a column; ``pairs`` are state << 32 | symbol, in order."""
+
+    pairs: np.ndarray
+    to: np.ndarray
+
+    def follow(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        if not len(self.pairs):
+            return np.zeros(len(states), np.int64)
+        wanted = states << 32 | symbols.astype(np.int64)
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.to[at], 0)
+
+
+def _split(go: list[dict[int, int]], symbols: int) -> tuple[np.ndarray, Sparse]:
+    """A table of the transitions by symbols below ``symbols``, and the others."""
     table = np.zeros((len(go), symbols), np.uint16 if len(go) < 1 << 16 else np.uint32)
+    others: list[tuple[int, int]] = []
     for state, edges in enumerate(go):
         for c, to in edges.items():
-            table[state, c] = to
-    return table
+            if c < symbols:
+                table[state, c] = to
+            else:
+                others.append((state << 32 | c, to))
+    pairs = np.array(sorted(others), np.int64).reshape(-1, 2)
+    return table, Sparse(pairs[:, 0].copy(), pairs[:, 1].copy())
 
 
 @dataclass
 class LanguageModel:
-    """``codes`` gives a character's symbol by code point, 0 for unknown ones."""
+    """``codes`` gives a character's symbol by code point, 0 for unknown ones.
+
+    Symbols from the tables' width on are in ``sparse`` only, one for each automaton.
+    """
 
     languages: list[str]
     codes: np.ndarray
     automata: list[np.ndarray]
+    sparse: list[Sparse]
     learned: list[int]
 
     def symbols(self, text: str) -> np.ndarray:
@@ -92,23 +126,32 @@ class LanguageModel:
         if not blocks:
             return out
         pad = self.automata[0].shape[1] - 1
-        grid = np.full(blocks * BLOCK, pad, np.uint8)
+        grid = np.full(blocks * BLOCK, pad, self.codes.dtype)
         at = 0
         for text, n in zip(texts, counts):
             grid[at : at + len(text)] = text
             at += n * BLOCK
         columns = np.ascontiguousarray(grid.reshape(blocks, BLOCK).T)
+        rare = [np.flatnonzero(column > pad) for column in columns]
+        near = columns
+        if any(map(len, rare)):
+            near = np.where(columns > pad, 0, columns)  # leads nowhere in the tables
         owner = np.repeat(np.arange(len(texts)), counts)
-        for i, table in enumerate(self.automata):
+        for i, (table, sparse) in enumerate(zip(self.automata, self.sparse)):
             flat, width = table.ravel(), table.shape[1]
             start = table[1]
             state = np.ones(blocks, np.int64)
             ended = np.zeros(blocks, np.int64)
-            for column in columns:
-                following = flat[state * width + column].astype(np.int64)
+            for column, tabled, far in zip(columns, near, rare):
+                following = flat[state * width + tabled].astype(np.int64)
+                if len(far):
+                    following[far] = sparse.follow(state[far], column[far])
                 stop = np.flatnonzero(following == 0)
                 # A phrase ends before this character, and the next one begins with it.
-                again = start[column[stop]].astype(np.int64)
+                again = start[tabled[stop]].astype(np.int64)
+                if len(far):
+                    beyond = column[stop] > pad
+                    again[beyond] = sparse.follow(np.ones(beyond.sum(), np.int64), column[stop][beyond])
                 ended[stop] += state[stop] != 1
                 ended[stop] += (again == 0) & (column[stop] != pad)
                 following[stop] = np.where(again == 0, 1, again)
@@ -139,15 +182,17 @@ def fit(texts: dict[str, str]) -> LanguageModel:
     texts = {k: texts[k] for k in sorted(texts) if texts[k]}
     joined = np.frombuffer("".join(texts.values()).encode("utf-32-le", "surrogatepass"), np.uint32)
     points, counts = np.unique(joined, return_counts=True)
-    points = points[np.lexsort((points, -counts))][:ALPHABET]
-    points = points[points < 1 << 16]
-    codes = np.zeros((1 << 16) + 1, np.uint8)  # the last entry stands for all beyond
-    codes[points] = np.arange(1, len(points) + 1)
-    model = LanguageModel(list(texts), codes, [], [len(t) for t in texts.values()])
-    for text in texts.values():
-        table = suffix_automaton(model.symbols(text), len(points) + 2)
-        table[:, 0] = 0  # unknown characters and the padding match nothing
+    points = points[np.lexsort((points, -counts))]
+    tabled = min(len(points), ALPHABET)
+    symbols = np.arange(1, len(points) + 1)
+    symbols[tabled:] += 1  # the number between is the padding's
+    codes = np.zeros(int(points.max(initial=0)) + 2, np.uint8 if len(points) <= ALPHABET else np.uint32)
+    codes[points] = symbols  # the last entry stands for all beyond
+    model = LanguageModel(list(texts), codes, [], [], [len(t) for t in texts.values()])
+    for text in texts.values():  # unknown characters and the padding match nothing
+        table, sparse = _split(_transitions(model.symbols(text)), tabled + 2)
         model.automata.append(table)
+        model.sparse.append(sparse)
     return model
 
 

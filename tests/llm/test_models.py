@@ -40,6 +40,20 @@ def test_phrases_are_longest_matches():
         assert row == [longest_matches(text, learned[k]) for k in ("x", "y")]
 
 
+def test_every_learned_character_counts():
+    """Many scripts, code points beyond 65,535 among them, beside a source that fills the list of frequent characters."""
+    draw = random.Random(2)
+    alphabets = {"x": range(0x61, 0x61 + 140), "y": range(0x4E00, 0x4E00 + 900), "z": range(0x20000, 0x20000 + 300)}
+    write = lambda k, n: "".join(chr(draw.choice(alphabets[k])) for _ in range(n))
+    learned = {"x": write("x", 9000), "y": write("y", 1500) + "ab", "z": write("z", 700)}
+    model = language.fit(learned)
+    texts = [learned["y"][100:900], learned["z"][50:600] + "ab", write("y", 300) + write("z", 20), write("x", 700), "\U0002f000\U0010ffff"]
+    found = model.phrases([model.symbols(t) for t in texts])
+    for text, row in zip(texts, found.tolist()):
+        assert row == [longest_matches(text, learned[k]) for k in "xyz"]
+    assert [k for k, _ in model.predict([learned[k][40:300] for k in "xyz"])] == ["x", "y", "z"]
+
+
 def test_automaton_knows_all_substrings_only():
     codes = np.array([1, 2, 1, 1, 2, 3, 1, 2], np.uint8)
     table = language.suffix_automaton(codes, 4)
