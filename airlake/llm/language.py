@@ -204,30 +204,62 @@ def train(
     texts_per_language: int = TEXTS_PER_LANGUAGE,
     chars_per_language: int = CHARS_PER_LANGUAGE,
 ) -> LanguageModel:
-    """Fit on the rows of each language whose id and text hash lowest, an equal part of each.
+    """Fit on the distinct texts of each language that hash lowest, whole or in pieces.
 
-    At most ``texts_per_language`` rows and ``chars_per_language`` characters are learned
-    from. Rows with null text or language are left out.
+    Texts are taken until ``chars_per_language`` characters are reached. A text gives an
+    equal part of these for ``texts_per_language`` texts at most, from a place that its hash
+    chooses; a short one is whole, and the more texts follow. Where all texts of a language
+    give too little in this way, longer pieces fill what is left. Rows with null text or
+    language are left out; ``id_column`` is not read.
     """
+    part = max(1, chars_per_language // texts_per_language)
     rows = labelled.select(
-        F.col(f"`{lang_column}`").cast("string").alias("lang"), F.col(f"`{text_column}`").cast("string").alias("text"),
-        F.struct(F.col(f"`{id_column}`"), F.col(f"`{text_column}`")).alias("key"),
-    ).where("lang IS NOT NULL AND text IS NOT NULL AND lang <> 'und'")
+        F.col(f"`{lang_column}`").cast("string").alias("lang"), F.col(f"`{text_column}`").cast("string").alias("text")
+    ).where("lang IS NOT NULL AND text <> '' AND lang <> 'und'")
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    texts = rows.select("lang", "key", F.length("text").alias("chars")).groupBy("lang", "key").agg(F.min("chars").alias("chars"))
+    given = F.least("chars", F.lit(part))
     # A row per language, of which there are as many automata.
-    shares = rows.groupBy("lang").agg((F.lit(4.0 * texts_per_language) / F.count(F.lit(1))).alias("share"))
-    rows = rows.join(F.broadcast(shares), "lang").where(among_the_lowest(F.col("key"), F.col("share")))
-    rows = rows.withColumn("order", hash_order(F.col("key")))
-    part = max(1, chars_per_language // texts_per_language)
+    totals = texts.groupBy("lang").agg(F.sum(given).alias("total"))
+    shares = totals.select("lang", "total", (F.lit(4.0 * chars_per_language) / F.col("total")).alias("share"))
+    lowest = Window.partitionBy("lang").orderBy("order", "key").rowsBetween(Window.unboundedPreceding, -1)
+    picked = (
+        texts.join(F.broadcast(shares), "lang").where(among_the_lowest(F.col("key"), F.col("share")))
+        .withColumn("order", hash_order(F.col("key")))
+        .withColumn("before", F.coalesce(F.sum(given).over(lowest), F.lit(0)))
+        .where(F.col("before") < chars_per_language)
+        .select("lang", "key", "order", F.when(F.col("total") < chars_per_language, chars_per_language).otherwise(part).alias("most"))
+    )
+    # At most a row per character that is learned; few texts are longer than their part.
+    spare = F.greatest(F.length("text") - F.col("most"), F.lit(0)) + 1
+    place = (F.pmod(F.col("key"), spare.cast("long")) + 1).cast("int")
     chosen = (
-        rows.select("lang", "order", F.substring("text", 1, part).alias("text"))
-        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text")))
-        .where(F.col("rank") <= texts_per_language)
+        rows.join(F.broadcast(picked), ["lang", "key"])
+        .select("lang", "order", "key", F.substring("text", place, F.col("most")).alias("text"))
+        .groupBy("lang", "order", "key").agg(F.min("text").alias("text"))
         .collect()
     )
-    texts: dict[str, str] = {}
-    for row in sorted(chosen, key=lambda r: (r.lang, r.rank)):
-        texts[row.lang] = texts.get(row.lang, "") + row.text + "\n"
-    return fit({k: t[:chars_per_language] for k, t in texts.items()})
+    pieces: dict[str, list[str]] = {}
+    for row in sorted(chosen, key=lambda r: (r.lang, r.order, r.key)):
+        pieces.setdefault(row.lang, []).append(row.text)
+    return fit({k: _filled(v, part, chars_per_language) for k, v in pieces.items()})
+
+
+def _filled(pieces: list[str], part: int, chars: int) -> str:
+    """The pieces, cut to one length, the least from ``part`` on at which they fill ``chars``, if any does."""
+    low, high = part, max(part, *map(len, pieces))
+    while low < high:
+        middle = (low + high) // 2
+        if sum(min(len(p), middle) for p in pieces) >= chars:
+            high = middle
+        else:
+            low = middle + 1
+    # The line breaks that part the pieces are not counted.
+    out, left = [], chars
+    for piece in pieces:
+        out.append(piece[: min(low, left)])
+        left -= len(out[-1])
+    return "\n".join(p for p in out if p)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:

@@ -54,6 +54,28 @@ def test_every_learned_character_counts():
     assert [k for k, _ in model.predict([learned[k][40:300] for k in "xyz"])] == ["x", "y", "z"]
 
 
+def test_learns_whole_bound_from_distinct_texts_and_places(spark, rows):
+    """A common header is one passage among others, short and repeated texts leave the bound filled."""
+    draw = random.Random(6)
+    words = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    header = words(500)
+    data = [(i, header + words(4000), "headed") for i in range(60)]
+    data += [(i, words(59) + "x", "short") for i in range(900)]
+    data += [(i, "the same text again and again", "hot") for i in range(900)] + [(i, words(300), "hot") for i in range(100)]
+    data += [(i, words(5000), "few") for i in range(6)] + [(9, "tiny", "few"), (1, "all there is", "little")]
+    seen = {}
+    fit, language.fit = language.fit, lambda texts: seen.update(texts) or fit(texts)
+    try:
+        model = language.train(rows(data, "doc_id BIGINT, text STRING, lang STRING"))
+    finally:
+        language.fit = fit
+    learned = {k: sum(map(len, t.split("\n"))) for k, t in seen.items()}
+    assert learned == {"headed": 24_000, "short": 24_000, "hot": 24_000, "few": 24_000, "little": 12}
+    assert seen["headed"].count(header[100:200]) < 12
+    assert seen["hot"].count("the same text") <= 1
+    assert model.languages == sorted(learned)
+
+
 def test_automaton_knows_all_substrings_only():
     codes = np.array([1, 2, 1, 1, 2, 3, 1, 2], np.uint8)
     table = language.suffix_automaton(codes, 4)
