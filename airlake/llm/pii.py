@@ -264,15 +264,38 @@ def _plausible(kind: int, text: str) -> bool:
     return bool(FORMS[kind].fullmatch(text)) and least <= len(_digits(text)) <= most
 
 
+def _cards(text: str, tokens: list[Token]) -> list[tuple[int, int]]:
+    """A run of card tokens, cut so that most of them are in pieces of 12 to 19 digits that pass Luhn.
+
+    Of equal cuts the one with the fewest pieces; tokens in no such piece stay single.
+    """
+    n = len(tokens)
+    best: list[tuple[int, int, int]] = [(0, 0, n)] * (n + 1)  # tokens in no piece, pieces, where the next begins
+    for i in range(n - 1, -1, -1):
+        best[i] = (best[i + 1][0] + 1, best[i + 1][1] + 1, i + 1)
+        digits = ""
+        for j in range(i, n):
+            digits += tokens[j].digits
+            if len(digits) > 19 or not tokens[j].digits:
+                break
+            if len(digits) >= 12 and luhn(digits) and _plausible(2, text[tokens[i].start : tokens[j].end]):
+                best[i] = min(best[i], (best[j + 1][0], best[j + 1][1] + 1, j + 1))
+    out, i = [], 0
+    while i < n:
+        out.append((tokens[i].start, tokens[best[i][2] - 1].end))
+        i = best[i][2]
+    return out
+
+
 def further_spans(text: str, base: list[Span], field: Field) -> list[Span]:
-    """Spans of labelled tokens that no base span touches; neighbours of one label are one span."""
+    """Spans of labelled tokens that no base span touches; neighbours are one phone, or cards by their digits."""
     tokens = tokens_of(text)
     if not tokens:
         return []
     chain, skip = edges_of(text, tokens)
     labels = field.marginals(field.scores(tokens), chain, skip).argmax(axis=1)
     touched = set(chain)
-    runs: list[list[int]] = []  # kind, start, end, last token
+    runs: list[list[int]] = []  # kind, first token, last token
     at = 0
     taken = sorted((s, e) for s, _, e in base)
     reach = 0  # the furthest end of base spans that begin before the token's end
@@ -282,11 +305,15 @@ def further_spans(text: str, base: list[Span], field: Field) -> list[Span]:
             at += 1
         if label == OUTSIDE or reach > t.start:
             continue
-        if runs and runs[-1][0] == label and label == 3 and runs[-1][3] == i - 1 and (i - 1, i) in touched:
-            runs[-1][2:] = [t.end, i]
+        if runs and runs[-1][0] == label and label in (2, 3) and runs[-1][2] == i - 1 and (i - 1, i) in touched:
+            runs[-1][2] = i
         else:
-            runs.append([label, t.start, t.end, i])
-    return [(s, k, e) for k, s, e, _ in runs if _plausible(k, text[s:e])]
+            runs.append([label, i, i])
+    found = []
+    for k, a, b in runs:
+        cut = _cards(text, tokens[a : b + 1]) if k == 2 else [(tokens[a].start, tokens[b].end)]
+        found += [(s, k, e) for s, e in cut if _plausible(k, text[s:e])]
+    return found
 
 
 def joined(spans: list[Span]) -> str:

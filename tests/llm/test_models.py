@@ -204,6 +204,16 @@ def test_field_finds_what_patterns_drop(spark, rows):
     assert pii.find_pii(docs.where("doc_id > 9"), field).count() == 0
 
 
+def test_cards_in_groups_side_by_side():
+    text = "pay 4111 1111 1111 1111 5500 0000 0000 0004 now, 1234 5678"
+    scores = np.zeros((1, pii.LABELS))
+    scores[0, 2] = 5.0
+    nothing = np.zeros((pii.LABELS, pii.LABELS))
+    field = pii.Field({"bias": 0, **{t.features[1]: 0 for t in pii.tokens_of(text)}}, scores, nothing, nothing)
+    assert pii.base_spans(text) == []
+    assert pii.further_spans(text, [], field) == [(4, 2, 23), (24, 2, 43)]
+
+
 def test_skip_edges_make_labels_agree():
     text = "first 5551234567 and later 5551234567 or 5551234567"
     tokens = pii.tokens_of(text)
