@@ -8,11 +8,16 @@ one ``bucket`` have one length and can be batched together.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,29 +25,46 @@ from airlake.llm.batches import chunks
 
 MAX_LENGTH = 1024
 END_ID = 0
-#: Words a worker remembers with their ids; others are tokenized each time.
-REMEMBERED_WORDS = 500_000
+#: Parts of texts, and words of parts, that a worker remembers with their ids; others are tokenized each time.
+REMEMBERED_WORDS = 400_000
+#: What parts words that are merged in one call; words with it, and longer ones, are merged by themselves.
+SEPARATOR, LONG_WORD = "\x00", 200
+#: Bytes of text that are encoded together.
+TOGETHER = 4 << 20
 
 SCHEMA = "id {id_type}, start BIGINT, length BIGINT, ids BINARY, doc_tokens BIGINT, bucket INT"
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """The character byte-level vocabularies write each byte as: printable ones stand for themselves."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
 class WordTokenizer:
-    """Byte-level BPE of whole texts, word by word.
+    """Byte-level BPE of whole texts, part by part.
 
-    Such a tokenizer first splits a text by a fixed pattern and then encodes each part by
-    itself, so the ids of a text are those of its parts. Parts recur, hence they are
-    remembered; unknown ones are encoded by the tokenizer, many in one call.
+    Such a tokenizer first splits a text by a fixed pattern and then encodes each word by
+    itself, so the ids of a text are those of its words. A space that follows anything but
+    white space always begins a word; hence texts are cut there first, and the parts, which
+    recur, are remembered with their ids. Parts not met before are split by the pattern, and
+    their words are merged many in one call. The ids are those of a plain
+    ``encode(text, add_special_tokens=False)``: the added tokens of the file, where a text
+    spells one out, get their ids as well.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.merges = Merges(path)
+        added = self.merges.added
+        longest_first = sorted(added, key=len, reverse=True)
+        self.added_split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
         self.remembered = remembered
+        #: Ids of words, and of parts that follow a space, with that space.
         self.known: dict[str, bytes] = {}
+        self.after_space: dict[str, bytes] = {}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^\s{l}{n}]+|\s+(?!\S)|\s+"
         self.any_split = regex.compile(
             pattern.replace("{L}", r"\p{L}").replace("{N}", r"\p{N}").replace("{l}", r"\p{L}").replace("{n}", r"\p{N}")
@@ -53,7 +75,6 @@ class WordTokenizer:
             pattern.replace("{L}", f"[{letters}]").replace("{N}", f"[{digits}]").replace("{l}", letters).replace("{n}", digits)
         )
         self.beyond_latin = re.compile("[^\t\n\r -~¡-ɏ]")
-        self.plain = regex.compile(r" \p{L}+")
 
     def words(self, text: str) -> list[str]:
         split = self.any_split if self.beyond_latin.search(text) else self.latin_split
@@ -61,40 +82,180 @@ class WordTokenizer:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
+        if not self.added_split or not any(token in text for token in self.merges.added):
+            return self._encode_words(text)
+        pieces = self.added_split.split(text)
+        return b"".join(
+            self.merges.added[piece].to_bytes(4, "little") if i % 2 else self._encode_words(piece)
+            for i, piece in enumerate(pieces)
+        )
+
+    def _encode_words(self, text: str) -> bytes:
         words = self.words(text)
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            found = self._encode_words([w for w in set(words) if w not in self.known])
-        if len(self.known) + len(found) <= self.remembered:
-            self.known.update(found)
-            return b"".join(map(self.known.__getitem__, words))
-        return b"".join([self.known.get(w) or found[w] for w in words])
-
-    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        import numpy as np
-
-        out: dict[str, bytes] = {}
-        # Letters after one space are split before that space wherever they stand: one call encodes many.
-        plain = [w for w in words if self.plain.fullmatch(w)]
-        if plain:
-            encoded = self.tokenizer.encode("".join(plain), add_special_tokens=False)
-            ids, owner = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids)
-            ends = np.searchsorted(owner, np.arange(len(plain)), side="right")
-            at = 0
-            for word, end in zip(plain, ends.tolist()):
-                out[word] = ids[at:end].tobytes()
-                at = end
-        for word in words:
-            if word not in out:
-                out[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return out
-
-
-def piece_lengths(tokens: int, longest: int = MAX_LENGTH) -> list[int]:
-    """The lengths a document of that many tokens is cut into, longest first."""
-    rest = tokens % longest
-    return [longest] * (tokens // longest) + [1 << b for b in range(longest.bit_length() - 1, -1, -1) if rest >> b & 1]
+        new = self._learn(words)
+        ids = b"".join(map(self.known.__getitem__, words))
+        _forget(self.known, new, self.remembered)
+        return ids
+
+    def encode_batch(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, ``end`` after each, and where each text's ids begin (and the last end)."""
+        texts = pc.fill_null(texts, "")
+        parts = pc.split_pattern(texts, " ")
+        offsets = parts.offsets.to_numpy().astype(np.int64)
+        firsts, lasts = offsets[:-1], offsets[1:] - 1
+        coded = parts.values.dictionary_encode()
+        entry_of, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+        # A space after white space need not begin a word: such texts, and those with added tokens, are encoded whole.
+        blank_end = np.fromiter((not part or part[-1].isspace() for part in distinct), bool, len(distinct))
+        unsure = blank_end[entry_of]
+        unsure[lasts] = False
+        empty = np.fromiter((not part for part in distinct), bool, len(distinct))
+        unsure[firsts[empty[entry_of[firsts]]]] = False
+        whole = np.logical_or.reduceat(unsure, firsts)
+        for token in self.merges.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+
+        # Entries: distinct parts after a space, then each text's beginning, then nothing and the end.
+        nothing = len(distinct) + len(texts)
+        beginnings = [
+            self.encode(text.as_py()) if is_whole else self._encode_words(distinct[first])
+            for text, is_whole, first in zip(texts, whole.tolist(), entry_of[firsts].tolist())
+        ]
+        entry_of[np.repeat(whole, np.diff(offsets))] = nothing
+        entry_of[firsts] = len(distinct) + np.arange(len(texts))
+        used = np.zeros(nothing + 1, bool)
+        used[entry_of] = True
+        wanted = [part for part, is_used in zip(distinct, used.tolist()) if is_used]
+        new = self._learn_parts([part for part in wanted if part not in self.after_space])
+        entries = [self.after_space[part] if is_used else b"" for part, is_used in zip(distinct, used.tolist())]
+        _forget(self.after_space, new, self.remembered)
+        entries += [*beginnings, b"", end]
+        entry_of = np.insert(entry_of, offsets[1:], nothing + 1)
+
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+        places = np.cumsum(sizes) - sizes
+        stops = np.cumsum(sizes[entry_of])
+        bounds = np.concatenate([[0], stops])[np.concatenate([[0], offsets[1:] + np.arange(1, len(texts) + 1)])]
+        starts, lengths = places[entry_of], sizes[entry_of]
+        taken = np.repeat(starts - (stops - lengths), lengths) + np.arange(bounds[-1])
+        return np.frombuffer(b"".join(entries), "<u4")[taken], bounds
+
+    def _learn_parts(self, parts: list[str]) -> list[str]:
+        """Remember parts with a space before them; all are split at once, as that is the only space in each."""
+        plain = [part for part in parts if part and not part[-1].isspace()]
+        words = self.words("".join([" " + part for part in plain]))
+        begins = [i for i, word in enumerate(words) if word[0] == " "]
+        groups = dict(zip(plain, map(words.__getitem__, map(slice, begins, [*begins[1:], len(words)]))))
+        groups |= {part: self.words(" " + part) for part in parts if part not in groups}
+        learned = self._learn([word for own in groups.values() for word in own])
+        known = self.known
+        for part, own in groups.items():
+            self.after_space[part] = known[own[0]] if len(own) == 1 else b"".join([known[word] for word in own])
+        _forget(known, learned, self.remembered)
+        return parts
+
+    def _learn(self, words: list[str]) -> list[str]:
+        new = list({word for word in words if word not in self.known})
+        self.known.update(zip(new, self.merges.merge_all(new)))
+        return new
+
+
+def _forget(memory: dict[str, bytes], new: list[str], most: int) -> None:
+    """Keep the ``most`` entries that came first."""
+    for key in new[len(new) - min(len(new), max(0, len(memory) - most)) :]:
+        memory.pop(key, None)
+
+
+class Merges:
+    """A byte-level BPE file's merges, applied to words that are split already.
+
+    The file's own model makes a list of objects per word. A faster implementation that merges
+    whatever pair has the lowest id as a whole gives the same ids if merges are listed in the
+    order of their ids and every entry, merged by the file's model, comes out as itself: the first
+    pair it joined that the file doesn't list would leave that entry in two pieces. Both are
+    looked at for each file; without them, the file's model is used.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        settings = json.loads(tokenizer.to_str())
+        self.added = _added_tokens(settings)
+        self.model = tokenizer.model
+        self.alphabet = _byte_alphabet()
+        self.together = self._in_order_of_ids(settings["model"])
+
+    def _in_order_of_ids(self, model: dict):
+        import tiktoken
+
+        vocabulary = model["vocab"]
+        byte_of = {character: byte for byte, character in self.alphabet.items()}
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+        made = [vocabulary[a + b] for a, b in pairs]
+        single = [vocabulary.get(character) for character in byte_of]
+        whole = all(len(tokens := self.model.tokenize(entry)) == 1 and tokens[0].id == number for entry, number in vocabulary.items())
+        ordered = all(a < b for a, b in zip(made, made[1:])) and None not in single and max(single) < min(made, default=1 << 32)
+        if not (whole and ordered and len(made) + 256 == len(vocabulary)):
+            return None
+        ranks = {bytes(byte_of[c] for c in entry): number for entry, number in vocabulary.items()}
+        self.separator = ranks[SEPARATOR.encode()]
+        return tiktoken.Encoding("merges", pat_str=rf"[^{SEPARATOR}]+|{SEPARATOR}", mergeable_ranks=ranks, special_tokens={})
+
+    def merge(self, word: str) -> bytes:
+        mapped = word.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [token.id for token in self.model.tokenize(mapped)]).tobytes()
+
+    def merge_all(self, words: list[str]) -> list[bytes]:
+        """The ids of each word."""
+        if not self.together:
+            return [self.merge(word) for word in words]
+        short = [word for word in words if len(word) <= LONG_WORD and SEPARATOR not in word]
+        if len(short) < len(words):
+            found = dict(zip(short, self.merge_all(short)))
+            return [found[word] if word in found else self.merge(word) for word in words]
+        if not words:
+            return []
+        ids = np.array(self.together.encode_ordinary(SEPARATOR.join(words) + SEPARATOR), "<u4")
+        ends = np.flatnonzero(ids == self.separator)
+        data, stops = ids.tobytes(), (4 * ends).tolist()
+        return [data[i:j] for i, j in zip([0, *(stop + 4 for stop in stops)], stops)]
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """The character byte-level vocabularies write each byte as: printable ones stand for themselves."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
+def _added_tokens(settings: dict) -> dict[str, int]:
+    """A file's added tokens; files whose texts aren't simply byte-level words are refused."""
+    split = settings["pre_tokenizer"] or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+    if not plain or settings["normalizer"] or settings["model"]["type"] != "BPE" or settings["model"].get("dropout"):
+        raise ValueError("byte-level BPE without normalizer or leading space expected")
+    added = settings["added_tokens"]
+    if any(token[flag] for token in added for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that take in their surroundings are not supported")
+    return {token["content"]: token["id"] for token in added}
+
+
+@lru_cache(maxsize=2)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """A worker's tokenizer, with what it remembers from task to task."""
+    return WordTokenizer(path)
+
+
+def pieces_of(totals: np.ndarray, longest: int = MAX_LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of documents of so many tokens, longest first: document's place and length of each."""
+    powers = 1 << np.arange(longest.bit_length() - 1, -1, -1, dtype=np.int64)
+    times = totals[:, None] // powers % 2
+    times[:, 0] = totals // longest
+    row = np.repeat(np.arange(len(totals)), times.sum(1))
+    return row, np.repeat(np.tile(powers, len(totals)), times.ravel())
 
 
 def pack(
@@ -120,29 +281,24 @@ def pack(
     id_type = dict(docs.dtypes)[id_column]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer)
+        words = word_tokenizer(tokenizer)
         end = end_id.to_bytes(4, "little")
         for whole in batches:
-            for batch in chunks(whole, "text"):
-                rows, starts, lengths, pieces, totals = [], [], [], [], []
-                for row, text in enumerate(batch.column("text").to_pylist()):
-                    ids = words.encode(text or "") + end
-                    total, at = len(ids) // 4, 0
-                    for length in piece_lengths(total, longest):
-                        rows.append(row)
-                        starts.append(at)
-                        lengths.append(length)
-                        pieces.append(ids[4 * at : 4 * (at + length)])
-                        totals.append(total)
-                        at += length
+            for batch in chunks(whole, "text", TOGETHER):
+                ids, bounds = words.encode_batch(batch.column("text"), end)
+                totals = np.diff(bounds)
+                row, lengths = pieces_of(totals, longest)
+                stops = np.cumsum(lengths)
+                starts = stops - lengths - bounds[row]
+                edges = np.concatenate([[0], 4 * stops]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("id").take(pa.array(rows, pa.int64())),
-                        pa.array(starts, pa.int64()),
-                        pa.array(lengths, pa.int64()),
-                        pa.array(pieces, pa.binary()),
-                        pa.array(totals, pa.int64()),
-                        pa.array([n.bit_length() - 1 for n in lengths], pa.int32()),
+                        batch.column("id").take(pa.array(row)),
+                        pa.array(starts),
+                        pa.array(lengths),
+                        pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(ids)]),
+                        pa.array(totals[row]),
+                        pa.array(np.frexp(lengths)[1] - 1, pa.int32()),
                     ],
                     names=["id", "start", "length", "ids", "doc_tokens", "bucket"],
                 )

@@ -5,11 +5,13 @@ import zlib
 from array import array
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from airlake.llm.packing import WordTokenizer, pack, piece_lengths, write_buckets  # noqa: E402
+from airlake.llm.packing import Merges, WordTokenizer, pack, pieces_of, write_buckets  # noqa: E402
 from airlake.llm.queries import byte_bpe, packing_digest  # noqa: E402
 
 
@@ -17,28 +19,58 @@ def reference():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(byte_bpe())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
 ODD_TEXTS = [
     "", " ", "  \n\t x  y", "don't we'll I'VE", "a b c\x1cd\x85e", "naïve Ünï ½ ² 12٣", "中文 текст 🎉🎉  end ",
-    "<|endoftext|> is text", "tab\tsep  \n\n\n new", "x" * 5000, "a b " * 3000, "\x00\x01", "é é", " '", "' s's",
+    "<|endoftext|> is a token", "hello <|endoftext|> world<|endoftext|><|endoftext|>", "<|endoftext|", " <|endoftext|> ",
+    "one  two", "one \n two", "one\n two", "one \ntwo", " one two ", "end \n", " \u3000 wide", "a\u2028 b", "zero \x00 byte\x00s", "tab\tsep  \n\n\n new", "x" * 5000, "a b " * 3000, "\x00\x01", "é é", " '", "' s's",
 ]
 
 
-def test_ids_are_those_of_whole_texts():
-    encode, words = reference(), WordTokenizer(byte_bpe(), remembered=50)
+def random_texts():
     draw = random.Random(5)
-    texts = ODD_TEXTS + ["".join(draw.choice("ab é.'s1²\n\t 中") for _ in range(200)) for _ in range(100)]
-    for text in texts * 2:
-        assert array("I", words.encode(text)).tolist() == encode(text)
+    return ODD_TEXTS + ["".join(draw.choice("ab é.'s1²\n\t 中") for _ in range(200)) for _ in range(100)]
 
 
-def test_piece_lengths():
-    assert piece_lengths(1) == [1]
-    assert piece_lengths(2048 + 7) == [1024, 1024, 4, 2, 1]
-    assert all(sum(piece_lengths(n)) == n for n in range(5000))
+@pytest.mark.parametrize("remembered", [0, 50, 100_000])
+def test_ids_are_those_of_whole_texts(remembered):
+    encode, words = reference(), WordTokenizer(byte_bpe(), remembered)
+    texts = random_texts()
+    expected = [encode(text) for text in texts]
+    for _ in range(2):
+        ids, bounds = words.encode_batch(pa.array([*texts, None]))
+        assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])] == [*expected, []]
+        ids, bounds = words.encode_batch(pa.array(texts), end=(7).to_bytes(4, "little"))
+        assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])] == [own + [7] for own in expected]
+        assert [array("I", words.encode(text)).tolist() for text in texts] == expected
+        assert max(len(words.known), len(words.after_space)) <= remembered
+
+
+def test_merges_of_one_call_are_those_of_the_file():
+    merges = Merges(byte_bpe())
+    assert merges.together is not None
+    draw = random.Random(6)
+    words = ["".join(draw.choice("eationsrédl ùñ,.\x00中") for _ in range(draw.randint(1, 30))) for _ in range(5000)]
+    words += ["x" * 5000, "\x00"]
+    assert merges.merge_all(words) == [merges.merge(word) for word in words]
+    merges.together = None
+    assert merges.merge_all(words[:50]) == [merges.merge(word) for word in words[:50]]
+    assert merges.merge_all([]) == []
+
+
+def test_files_of_other_kinds_are_refused():
+    with pytest.raises(ValueError):
+        Merges(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_pieces():
+    for total, lengths in [(1, [1]), (2048 + 7, [1024, 1024, 4, 2, 1]), (1024, [1024]), (1023, [512, 256, 128, 64, 32, 16, 8, 4, 2, 1])]:
+        row, found = pieces_of(np.array([3, total]))
+        assert found[row == 1].tolist() == lengths and found[row == 0].tolist() == [2, 1]
+    row, lengths = pieces_of(np.arange(5000))
+    assert np.bincount(row, lengths, 5000).tolist() == list(range(5000))
 
 
 def test_documents_come_back_from_their_pieces(spark, rows):
@@ -54,7 +86,7 @@ def test_documents_come_back_from_their_pieces(spark, rows):
         assert ids == encode(text or "") + [0]
         assert {x[3] for x in own} == {len(ids)}
         assert [x[0] for x in own] == [sum(y[1] for y in own[:i]) for i in range(len(own))]
-    assert sum(p.doc_id == 3 for p in pieces) == 2 * len(piece_lengths(len(encode(ODD_TEXTS[3])) + 1))
+    assert sum(p.doc_id == 3 for p in pieces) == 2 * len(pieces_of(np.array([len(encode(ODD_TEXTS[3])) + 1]))[0])
 
 
 def test_digest_and_buckets(spark, rows, tmp_path):

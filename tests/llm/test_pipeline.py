@@ -87,7 +87,7 @@ def test_run_equals_brute_force(spark, tables):
     from test_packing import reference
 
     from airlake.llm import quality
-    from airlake.llm.packing import piece_lengths
+    from airlake.llm.packing import pieces_of
     from airlake.llm.queries import fold
 
     docs = spark.read.parquet(f"{tables}/documents.parquet")
@@ -114,7 +114,7 @@ def test_run_equals_brute_force(spark, tables):
     for i, text in rows:
         ids = [*encode(text or ""), 0]
         at = 0
-        for n in piece_lengths(len(ids)):
+        for n in pieces_of(np.array([len(ids)]))[1].tolist():
             want.add((i, at, n, zlib.crc32(array("I", ids[at : at + n]).tobytes()), len(ids)))
             at += n
     got = {(r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in corpus_pipeline.run(spark, tables).collect()}
