@@ -7,6 +7,9 @@ tests of their own.
 from __future__ import annotations
 
 import os
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -47,3 +50,19 @@ def test_every_oracle_belongs_to_a_query():
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() == 10
+
+
+@pytest.mark.parametrize("pipeline_stays", [False, True])
+def test_the_rest_stands_alone(tmp_path, pipeline_stays):
+    """Without the optional parts all other queries are there, with the same SQL."""
+    root = Path(entry.__file__).parent
+    hidden = ["llm", "tests", "__pycache__", ".git", *([] if pipeline_stays else ["corpus_pipeline.py"])]
+    alone = tmp_path / "alone"
+    shutil.copytree(root, alone, ignore=shutil.ignore_patterns(*hidden))
+    told = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"],
+        cwd=alone, env={**os.environ, "PYTHONPATH": str(alone)}, capture_output=True, text=True, check=True,
+    )
+    queries, oracles = (line.split() for line in told.stdout.splitlines()[-2:])
+    assert queries == sorted(set(entry.queries()) - OPTIONAL)
+    assert oracles == sorted(set(entry.oracle_sql()) - OPTIONAL)
