@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from airlake.llm import chat, language, mtree, pii, quality
 from airlake.llm.decontaminate import decontaminate
+from airlake.llm.divergence import divergence
 from airlake.llm.line_dedup import line_dedup
 from airlake.llm.near_dup import near_duplicates
 from airlake.llm.packing import pack
@@ -281,3 +282,51 @@ FROM placed
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation from the view of each of its speakers."""
     return chat.perspectives(table(spark, folder, "conversations")).withColumnRenamed("conversation", "conv_id")
+
+
+OP12 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), words AS (
+  SELECT doc, lang, source, unnest(w) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS c FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 30
+), langs AS (
+  SELECT lang, count(kept.term) AS v, coalesce(sum(kept.c), 0) AS n
+  FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT g.lang, g.source, coalesce(sum(counts.c), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts USING (lang, source) GROUP BY ALL
+), shares AS (
+  SELECT g.lang, g.source, kept.term, coalesce(counts.c, 0) AS c,
+    1 + (CAST(1000000000 AS HUGEINT) * CAST(coalesce(counts.c, 0) + 5 AS HUGEINT)) // CAST(g.n + 5 * langs.v AS HUGEINT) AS p,
+    1 + (CAST(1000000000 AS HUGEINT) * CAST(kept.c + 5 AS HUGEINT)) // CAST(langs.n + 5 * langs.v AS HUGEINT) AS q
+  FROM groups g JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(d.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+  ) d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+    row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q, row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term)
+  FROM shares WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op12_divergence", OP12)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """How far each language's sources are apart, and the words each has too much of."""
+    return divergence(table(spark, folder, "documents")).select("lang", "source", "part", "item", "value", "rank")
