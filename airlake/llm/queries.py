@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlake.llm import chat, language, mtree, pii, quality
+from airlake.llm import chat, language, mtree, pii, quality, repair
 from airlake.llm.decontaminate import decontaminate
 from airlake.llm.divergence import divergence
 from airlake.llm.line_dedup import line_dedup
@@ -330,3 +330,121 @@ FROM ranked WHERE part = 'pair' OR rank <= 50
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """How far each language's sources are apart, and the words each has too much of."""
     return divergence(table(spark, folder, "documents")).select("lang", "source", "part", "item", "value", "rank")
+
+
+OP13 = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), keys AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda x: CAST(ascii(x) AS BIGINT)) AS bytes
+  FROM conversations
+), kinds AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295], bytes),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 20 AS kind
+  FROM keys, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END)
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos,
+    left(role, 1) AS initial, right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending
+  FROM damaged
+), rows AS (
+  SELECT conv_id, turn, role, text, pos, initial, lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS before, CASE
+      WHEN ending = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+      WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM numbered
+), states AS (
+  SELECT unnest([0, 1, 2, 3]) AS s
+), inserts AS (
+  SELECT * FROM (VALUES (0, 0, ''), (0, 2, 'I'), (0, 3, 'II'), (1, 1, ''), (1, 2, 'I'), (1, 3, 'II'),
+    (2, 2, ''), (2, 3, 'I'), (3, 3, ''), (3, 2, 'I')) i(m, t, letters)
+), edits AS (
+  SELECT s, s AS m, 'D' AS letter, NULL AS initial FROM states
+  UNION ALL SELECT s, CASE WHEN s = 2 THEN 3 ELSE 2 END, 'R', NULL FROM states
+  UNION ALL SELECT * FROM (VALUES (0, 1, 'K', 's'), (0, 2, 'K', 'u'), (1, 2, 'K', 'u'), (3, 2, 'K', 'u'), (2, 3, 'K', 'a'))
+  UNION ALL SELECT s, s, 'K', '' FROM states
+), moves AS (
+  SELECT s, t, initial, letter, letter || letters AS letters,
+    CASE letter WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + 5 * length(letters) AS cost
+  FROM edits JOIN inserts USING (m)
+), dp AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS pos, t AS s, {'c': CAST(5 * length(letters) AS BIGINT), 'a': letters} AS best
+  FROM (SELECT DISTINCT conv_id FROM rows), inserts WHERE m = 0
+  UNION ALL
+  SELECT dp.conv_id, dp.pos + 1, moves.t, min({
+    'c': dp.best.c + moves.cost + CASE WHEN rows.fault = 'truncated' AND letter <> 'D' THEN 5 ELSE 0 END,
+    'a': dp.best.a || moves.letters})
+  FROM dp JOIN rows ON rows.conv_id IS NOT DISTINCT FROM dp.conv_id AND rows.pos = dp.pos + 1
+  JOIN moves ON moves.s = dp.s AND coalesce(moves.initial = rows.initial, true)
+    AND (letter = 'D' OR rows.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY dp.conv_id, dp.pos, moves.t
+), sizes AS (
+  SELECT conv_id, max(pos) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv_id
+), best AS (
+  SELECT dp.conv_id, min(best) AS b FROM dp JOIN sizes ON sizes.conv_id IS NOT DISTINCT FROM dp.conv_id AND sizes.n = dp.pos
+  WHERE s IN (0, 3) GROUP BY dp.conv_id
+), letters AS (
+  SELECT conv_id, b.a AS audit, unnest(string_split(b.a, '')) AS letter, unnest(range(1, 1 + length(b.a))) AS place
+  FROM best WHERE b.a <> ''
+), placed AS (
+  SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY place) AS pos,
+    count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id ORDER BY place) AS nth
+  FROM letters
+), kept AS (
+  SELECT placed.conv_id, place, nth, letter, rows.role, rows.text, rows.initial FROM placed
+  LEFT JOIN rows ON rows.conv_id IS NOT DISTINCT FROM placed.conv_id AND rows.pos = placed.pos AND letter <> 'I'
+  WHERE letter <> 'D' AND NOT (letter = 'K' AND rows.initial = '')
+), turns AS (
+  SELECT conv_id, place, letter, text, role,
+    row_number() OVER (PARTITION BY conv_id ORDER BY place) - max(CASE WHEN initial = 's' AND letter = 'K' THEN 1 ELSE 0 END)
+      OVER (PARTITION BY conv_id) AS number
+  FROM kept
+), lines AS (
+  SELECT conv_id, place, CASE WHEN letter = 'K' THEN role WHEN number % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END AS line FROM turns
+  UNION ALL
+  SELECT placed.conv_id, place, ':' || rows.text FROM placed
+  JOIN rows ON rows.conv_id IS NOT DISTINCT FROM placed.conv_id AND rows.pos = placed.pos
+  WHERE letter = 'K' AND rows.initial = ''
+), repaired AS (
+  SELECT conv_id, string_agg(line, chr(10) ORDER BY place) AS whole FROM lines GROUP BY conv_id
+)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit,
+  sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN sizes ON sizes.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+
+@query("op13_repair", OP13)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations are damaged and repaired; what was found and done in each."""
+    given = table(spark, folder, "conversations")
+    damaged = repair.damage(given)
+    found = repair.repair(damaged)
+    gaps = damaged.groupBy("conv_id").agg(
+        (F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn")).cast("long").alias("gaps")
+    )
+    out = given.select("conv_id").distinct()
+    out = repair.joined(out, gaps, ["conv_id"], "left")
+    out = repair.joined(out, found.conversations.withColumnRenamed("conversation", "conv_id"), ["conv_id"], "left")
+    out = repair.joined(out, repair.digests(found.edits).withColumnRenamed("conversation", "conv_id"), ["conv_id"], "left")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return out.select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", nothing).alias("repaired_sha256"),
+    )
