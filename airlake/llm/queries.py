@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from airlake.llm import chat, language, mtree, pii, quality, repair
 from airlake.llm.decontaminate import decontaminate
 from airlake.llm.divergence import divergence
+from airlake.llm.genetic_packing import pack_best_fit
 from airlake.llm.line_dedup import line_dedup
 from airlake.llm.near_dup import near_duplicates
 from airlake.llm.packing import pack
@@ -284,6 +285,13 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return chat.perspectives(table(spark, folder, "conversations")).withColumnRenamed("conversation", "conv_id")
 
 
+@query("op11_best_fit")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 1,024 tokens, uncut where they fit."""
+    pieces = pack_best_fit(table(spark, folder, "documents"), byte_bpe())
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 OP12 = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
