@@ -11,7 +11,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airlake.graph.cycles import four_cycles, triangles
 from airlake.graph.graph import Graph
+from airlake.scratch import keep
 
 _TERM = re.compile(r"\s*\((\w+)\)-\[(\w+)\]->\((\w+)\)\s*")
 
@@ -37,6 +39,45 @@ def walk(stops: str | list[str]) -> list[Term]:
     return [Term(a, f"{a}_{b}", b) for a, b in pairwise(stops)]
 
 
+def reduced(graph: Graph, terms: list[Term], bound: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Per term the edges that can be part of a match, each written once.
+
+    Semi-joins only: from the first term to the last an edge stays if its ends may stand where its names
+    say, then the same way back. In a chain each edge left is part of a walk from one bound end to the
+    other, so no join of the search gives a row that leads nowhere.
+    """
+    allowed = {name: vertices.select(F.col("id").alias("_id")).distinct() for name, vertices in bound.items()}
+    edges = {term.edge: graph.edges for term in terms}
+    for term in [*terms, *terms[-2::-1]]:
+        ends = {"src": term.start, "dst": term.end}
+        known = [(column, allowed[name]) for column, name in ends.items() if name in allowed]
+        for column, ids in known:
+            edges[term.edge] = edges[term.edge].join(ids, F.col(column) == F.col("_id"), "left_semi")
+        if known:
+            edges[term.edge] = keep(edges[term.edge], "reduced")
+            allowed |= {name: edges[term.edge].select(F.col(column).alias("_id")).distinct() for column, name in ends.items()}
+    return edges
+
+
+def _closed(terms: list[Term]) -> bool:
+    """Whether the terms are one directed cycle of three or four names."""
+    names = [term.start for term in terms]
+    return len(terms) in (3, 4) and len(set(names)) == len(terms) and [t.end for t in terms] == names[1:] + names[:1]
+
+
+def _cycle_matches(graph: Graph, terms: list[Term]) -> DataFrame:
+    """Matches of a closed pattern over different vertices: cycles first, then what is on them."""
+    matches = (triangles if len(terms) == 3 else four_cycles)(graph)
+    matches = matches.toDF(*(f"_{term.start}" for term in terms))
+    for start, edge, end in terms:
+        edges = graph.edges.select(F.struct("*").alias(edge))
+        matches = matches.join(edges, (F.col(f"{edge}.src") == F.col(f"_{start}")) & (F.col(f"{edge}.dst") == F.col(f"_{end}")))
+    for term in terms:
+        vertex = graph.vertices.select(F.struct("*").alias(term.start))
+        matches = matches.join(vertex, F.col(f"{term.start}.id") == F.col(f"_{term.start}"))
+    return matches.drop(*(f"_{term.start}" for term in terms))
+
+
 def find_motif(
     graph: Graph,
     pattern: str | list[Term],
@@ -47,15 +88,20 @@ def find_motif(
 
     ``distinct`` asks for different vertices under different names: each join that
     brings a vertex in compares it with those before, so a repetition ends there.
-    ``bound`` restricts a name to the given vertices, before that vertex is joined.
-    A chain of equi-joins; a term must share a vertex with an earlier one.
+    ``bound`` restricts names to given vertices; the edges of every term are then reduced to those
+    that such matches can use (``reduced``) before any is joined. Directed cycles of three or
+    four different vertices are found without their open wedges (``airlake.graph.cycles``).
+    Others are a chain of equi-joins; a term must share a vertex with an earlier one.
     """
     terms = parse(pattern) if isinstance(pattern, str) else pattern
     bound = bound or {}
+    if distinct and not bound and _closed(terms):
+        return _cycle_matches(graph, terms)
+    edges_of = reduced(graph, terms, bound) if bound else {}
     matches: DataFrame | None = None
     known: list[str] = []
     for start, edge, end in terms:
-        edges = graph.edges.select(F.struct("*").alias(edge))
+        edges = edges_of.get(edge, graph.edges).select(F.struct("*").alias(edge))
         ends = {start: F.col(f"{edge}.src"), end: F.col(f"{edge}.dst")}
         if matches is None:
             matches = edges
