@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import inf
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.scratch import keep, working_area
+from airlake.scratch import WorkingArea, keep, working_area
 
 ARROW = " → "
 
@@ -22,15 +24,72 @@ def select_vertices(vertices: DataFrame, template: str) -> DataFrame:
     return vertices.alias("v").where(condition(template, "v"))
 
 
-def edges_left(graph: Graph, targets: DataFrame, most: int, keep_level) -> DataFrame:
-    """(_id, _left): how many edges a vertex is from a target at least, up to ``most``."""
-    level = keep_level(targets.select(F.col("id").alias("_id")).distinct())
-    found = level.withColumn("_left", F.lit(0))
-    for n in range(1, most + 1):
-        before = graph.edges.select("src", "dst").join(level, F.col("dst") == F.col("_id"), "left_semi")
-        level = keep_level(before.select(F.col("src").alias("_id")).distinct().join(found, "_id", "left_anti"))
-        found = found.unionByName(level.withColumn("_left", F.lit(n)))
-    return found
+class Halves(NamedTuple):
+    """Half walks by number of edges, from the starts onwards and from the targets back.
+
+    Columns: ``_mid`` (where both meet), ``_visited`` and ``_codes`` (ids and codes in order; those of a
+    second half without the meeting vertex), ``_km``.
+    """
+
+    onward: list[DataFrame]
+    back: list[DataFrame]
+
+    def meeting(self, edges: int) -> tuple[DataFrame, DataFrame]:
+        return self.onward[(edges + 1) // 2], self.back[edges // 2]
+
+
+def half_walks(graph: Graph, start: str, end: str, longest: int, keep_half) -> Halves:
+    """Simple walks of up to half of ``longest`` edges from either side.
+
+    A step joins on a vertex and loses repeated ones there. The last step onwards goes only where a walk from
+    the targets has been, the steps before it only where enough edges are left to reach a target.
+    """
+    hops = graph.coded_edges
+    targets = select_vertices(graph.vertices, end).select("id", "code")
+    no_code = F.array().cast("array<string>")
+    back = [targets.select(F.col("id").alias("_mid"), F.array_remove(F.array("id"), F.col("id")).alias("_visited"), no_code.alias("_codes"), F.lit(0.0).alias("_km"))]
+    for _ in range(longest // 2):
+        new = (F.col("src") != F.col("_mid")) & ~F.array_contains("_visited", F.col("src"))
+        grown = hops.join(back[-1], (F.col("dst") == F.col("_mid")) & new)
+        back.append(keep_half(grown.select(
+            F.col("src").alias("_mid"), F.array_prepend("_visited", F.col("dst")).alias("_visited"),
+            F.array_prepend("_codes", F.col("code")).alias("_codes"), (F.col("distance_km") + F.col("_km")).alias("_km"),
+        )))
+    onward = [select_vertices(graph.vertices, start).select(
+        F.col("id").alias("_mid"), F.array("id").alias("_visited"), F.array("code").alias("_codes"), F.lit(0.0).alias("_km")
+    )]
+    steps = (longest + 1) // 2
+    reached = reduce(DataFrame.union, [half.select("_mid") for half in back]).distinct()
+    useful = [keep_half(reached.select(F.col("_mid").alias("_id")))]
+    for _ in range(steps - 1 if steps > 2 else 0):
+        before = hops.join(useful[-1], F.col("dst") == F.col("_id"), "left_semi").select(F.col("src").alias("_id"))
+        useful.append(keep_half(useful[-1].union(before).distinct()))
+    for step in range(1, steps + 1):
+        left = steps - step
+        on = hops.join(useful[left], F.col("dst") == F.col("_id"), "left_semi") if left < len(useful) else hops
+        new = ~F.array_contains("_visited", F.col("dst"))
+        grown = onward[-1].join(on, (F.col("_mid") == F.col("src")) & new)
+        onward.append(keep_half(grown.select(
+            F.col("dst").alias("_mid"), F.array_append("_visited", F.col("dst")).alias("_visited"),
+            F.array_append("_codes", F.col("code")).alias("_codes"), (F.col("_km") + F.col("distance_km")).alias("_km"),
+        )))
+    return Halves(onward, back)
+
+
+def met(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Both halves of every path: they meet in a vertex and share no other. Columns: codes, distance_km."""
+    second = second.select("_mid", *(F.col(c).alias(f"{c}_on") for c in ("_visited", "_codes", "_km")))
+    apart = ~F.arrays_overlap("_visited", "_visited_on")
+    return first.join(second, "_mid").where(apart).select(
+        F.concat("_codes", "_codes_on").alias("codes"), (F.col("_km") + F.col("_km_on")).alias("distance_km")
+    )
+
+
+def _all_met(graph: Graph, start: str, end: str, longest: int, shortest: int, area: WorkingArea) -> DataFrame:
+    """Paths of every length: segments, codes, distance_km."""
+    halves = half_walks(graph, start, end, longest, lambda df: area.keep(df, "half"))
+    lengths = range(shortest, longest + 1)
+    return reduce(DataFrame.unionByName, (met(*halves.meeting(n)).withColumn("segments", F.lit(n)) for n in lengths))
 
 
 def paths_between(graph: Graph, start: str, end: str, longest: int, shortest: int = 1) -> DataFrame:
@@ -39,41 +98,72 @@ def paths_between(graph: Graph, start: str, end: str, longest: int, shortest: in
     ``start`` and ``end`` are conditions such as ``{v}.country = 'X'``. Vertices need
     ``code``, edges ``distance_km``. Columns: segments, route, distance_km.
 
-    One frontier grows by a join per edge and gives the paths of every length on its way.
-    It follows an edge only where enough edges are left to reach a target from its end,
-    and loses repeated vertices in the join. What is returned has been written once, so
-    it can be read many times; the frontiers are removed.
+    Half walks from either side are joined where they meet. What is returned has been written once, so it can
+    be read many times. Where paths are only counted or the outermost of them wanted, ``count_paths``,
+    ``count_stops`` and ``outermost_paths`` write none of the others.
+    """
+    with working_area(graph.edges.sparkSession) as area:
+        found = _all_met(graph, start, end, longest, shortest, area)
+        return keep(found.select("segments", F.concat_ws(ARROW, "codes").alias("route"), "distance_km"), "paths")
+
+
+def count_paths(graph: Graph, longest: int, start: str, end: str, shortest: int = 1) -> DataFrame:
+    """(segments, paths) for every length that has any; no path is formed."""
+    with working_area(graph.edges.sparkSession) as area:
+        return keep(path_counts(_all_met(graph, start, end, longest, shortest, area)), "counts")
+
+
+def count_stops(graph: Graph, longest: int, start: str, end: str, shortest: int = 1) -> DataFrame:
+    """(stop, paths): on how many paths a vertex lies between start and end; no route is written or read."""
+    with working_area(graph.edges.sparkSession) as area:
+        found = _all_met(graph, start, end, longest, shortest, area)
+        between = F.slice("codes", F.lit(2), F.size("codes") - 2)
+        stops = found.select(F.explode(between).alias("stop")).groupBy("stop").agg(F.count(F.lit(1)).alias("paths"))
+        return keep(stops, "stops")
+
+
+def outermost_paths(graph: Graph, longest: int, start: str, end: str, n: int, slack: float = 0.001) -> DataFrame:
+    """Paths among which are the ``n`` shortest and the ``n`` longest, and all that differ from them by up to ``slack``.
+
+    Each vertex where halves meet has the least and the most distance that is left to a target, by edges left. The best
+    halves of every meeting vertex, joined, give ``n`` paths of each kind to beat. Halves that with the least (most)
+    distance left cannot are dropped before the rest is joined.
     """
     with working_area(graph.edges.sparkSession) as area:
-        targets = select_vertices(graph.vertices, end)
-        left = edges_left(graph, targets, longest - 1, lambda df: area.keep(df, "level"))
-        hops = area.keep(graph.coded_edges.join(left, F.col("dst") == F.col("_id")).drop("_id"), "useful-hops")
-        frontier = select_vertices(graph.vertices, start).select(
-            F.col("id").alias("_last"), F.array("id").alias("_visited"), F.array("code").alias("_codes"),
-            F.lit(0.0).alias("_km"),
-        )
+        halves = half_walks(graph, start, end, longest, lambda df: area.keep(df, "half"))
+        lengths = range(1, longest + 1)
+        low, high = _to_beat(halves, lengths, n)
         found = []
-        for step in range(1, longest + 1):
-            onward = hops.where(F.col("_left") <= longest - step)
-            new = ~F.array_contains("_visited", F.col("dst"))
-            frontier = frontier.join(onward, (F.col("_last") == F.col("src")) & new).select(
-                F.col("dst").alias("_last"), F.array_append("_visited", F.col("dst")).alias("_visited"),
-                F.array_append("_codes", F.col("code")).alias("_codes"),
-                (F.col("_km") + F.col("distance_km")).alias("_km"), "_left",
-            )
-            if step < longest:
-                frontier = area.keep(frontier, "frontier")  # for the paths that end here and those that go on
-            if step >= shortest:
-                found.append(
-                    frontier.where(F.col("_left") == 0).select(
-                        F.lit(step).alias("segments"), F.concat_ws(ARROW, "_codes").alias("route"),
-                        F.col("_km").alias("distance_km"),
-                    )
-                )
-            frontier = frontier.drop("_left")
+        for edges in lengths:
+            first, second = halves.meeting(edges)
+            kept = met(promising(first, second, low, high, slack), promising(second, first, low, high, slack))
+            inside = (F.col("distance_km") <= low + slack) | (F.col("distance_km") >= high - slack)
+            found.append(kept.where(inside).select(F.lit(edges).alias("segments"), F.concat_ws(ARROW, "codes").alias("route"), "distance_km"))
         return keep(reduce(DataFrame.unionByName, found), "paths")
 
 
+def _to_beat(halves: Halves, lengths: range, n: int) -> tuple[float, float]:
+    """The ``n``-th shortest and longest distance of some paths; without bound where there are fewer."""
+    tried = []
+    for edges in lengths:
+        first, second = halves.meeting(edges)
+        for best in (F.min_by, F.max_by):
+            ends = [half.groupBy("_mid").agg(best(F.struct("_visited", "_codes", "_km"), "_km").alias("best")).select("_mid", "best.*") for half in (first, second)]
+            tried.append(met(*ends).select(F.lit(edges).alias("segments"), F.concat_ws(ARROW, "codes").alias("route"), "distance_km"))
+    # A vertex's shortest halves may be its longest ones too: the same path counts once.
+    some = keep(reduce(DataFrame.unionByName, tried).dropDuplicates(["segments", "route"]), "tried")
+    lows = some.orderBy("distance_km").limit(n).agg(F.count(F.lit(1)), F.max("distance_km")).first()
+    highs = some.orderBy(F.desc("distance_km")).limit(n).agg(F.count(F.lit(1)), F.min("distance_km")).first()
+    return (lows[1] if lows[0] == n else inf), (highs[1] if highs[0] == n else -inf)
+
+
+def promising(half: DataFrame, other: DataFrame, low: float, high: float, slack: float = 0.0) -> DataFrame:
+    """Half walks that the other half's least or most distance may bring to ``low`` or below, or to ``high`` or above."""
+    left = other.groupBy("_mid").agg(F.min("_km").alias("_least"), F.max("_km").alias("_most"))
+    may = (F.col("_km") + F.col("_least") <= low + slack) | (F.col("_km") + F.col("_most") >= high - slack)
+    return half.join(left, "_mid").where(may).select(half.columns)
+
+
 def simple_paths(graph: Graph, segments: int, start: str, end: str) -> DataFrame:
     """Paths of exactly ``segments`` edges."""
     return paths_between(graph, start, end, segments, segments)
