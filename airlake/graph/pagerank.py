@@ -1,4 +1,4 @@
-"""PageRank with a fixed number of rounds."""
+"""PageRank in a number of rounds, or until the ranks settle."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.scratch import cut_lineage, working_area
+from airlake.rounds import RoundLog
+from airlake.scratch import WorkingArea, cut_lineage, working_area
 
 CHECKPOINT_INTERVAL = 5
 #: Links of one source that lie together; a source with more has as many pieces as it needs.
@@ -30,44 +31,64 @@ def to_pieces(df: DataFrame) -> DataFrame:
     return df.withColumn("piece", F.explode(numbers))
 
 
+def _links(graph: Graph, links_per_piece: int, area: WorkingArea) -> tuple[DataFrame, bool]:
+    """(src, piece, dsts, fan_out, pieces), and whether any source has several pieces.
+
+    A row is a source's piece with the vertices it leads to; a vertex without links has an empty one. Written
+    once, hashed by source and, where sources have several pieces, by piece as well.
+    """
+    out = graph.out_degrees.select(F.col("id").alias("src"), F.col("outDegree").alias("fan_out"))
+    out = area.keep(out.withColumn("pieces", pieces_of("fan_out", links_per_piece)), "fan_out")
+    # Parallel edges to one vertex are dealt to pieces like others.
+    edges = graph.edges.select("src", "dst").withColumn("_edge", F.monotonically_increasing_id()).join(out, "src")
+    edges = edges.select("src", piece_of(F.struct("dst", "_edge"), "pieces").alias("piece"), "dst", "fan_out", "pieces")
+    alone = graph.vertices.select(F.col("id").alias("src"), F.lit(1).alias("piece")).join(out, "src", "left")
+    each = edges.unionByName(alone.select("src", "piece", F.lit(None).alias("dst"), "fan_out", "pieces"))
+    lists = each.groupBy("src", "piece").agg(
+        F.collect_list("dst").alias("dsts"), F.max("fan_out").alias("fan_out"), F.coalesce(F.max("pieces"), F.lit(1)).alias("pieces")
+    )
+    several = not out.where("pieces > 1").isEmpty()
+    return area.bucketed(lists, ["src", "piece"] if several else ["src"], "links"), several
+
+
 def _ranks(
-    graph: Graph, resets: list[float], max_iter: int, checkpoint_interval: int, links_per_piece: int
+    graph: Graph, resets: list[float], max_iter: int, checkpoint_interval: int, links_per_piece: int,
+    tol: float | None = None, log: RoundLog | None = None,
 ) -> DataFrame:
     """(id, rank_0, rank_1, …): one rank per reset probability, all in the same rounds.
 
-    Links are written once, hashed by source and piece, and stay in place. A round shuffles
-    the ranks, a row per vertex and piece, and the contributions, already summed per task
-    and target. A source with many links is several pieces, so no bucket holds them all.
+    Links are lists, written once, and stay in place. A round hands the ranks to them, which moves nothing unless
+    a source has several pieces, and shuffles what the lists hand on, already summed per task and target. Each
+    vertex hands itself nothing, so all stay, together with their last ranks.
+
+    With ``tol`` rounds end at the first checkpoint where the ranks' changes in one round add up to no
+    more than ``tol`` per vertex. With ``log`` checkpoints are recorded there, and rounds recorded before are not
+    run again.
     """
-    columns = [f"rank_{i}" for i in range(len(resets))]
+    columns, before = ([f"{name}_{i}" for i in range(len(resets))] for name in ("rank", "before"))
     with working_area(graph.edges.sparkSession) as area:
-        out = graph.out_degrees.select(F.col("id").alias("src"), F.col("outDegree").alias("fan_out"))
-        out = area.keep(out.withColumn("pieces", pieces_of("fan_out", links_per_piece)), "fan_out")
-        links = area.bucketed(
-            graph.edges.select("src", "dst").join(out, "src").select(
-                "src", piece_of("dst", "pieces").alias("piece"), "dst", "fan_out"
-            ),
-            ["src", "piece"], "links",
-        )
-        # Every vertex takes part with nothing: those without in-links get a rank, and all keep their pieces.
-        nothing = area.keep(
-            graph.vertices.select("id").join(out.withColumnRenamed("src", "id"), "id", "left").select(
-                "id", *(F.lit(0.0).alias(c) for c in columns), F.coalesce("pieces", F.lit(0)).alias("pieces")
-            ),
-            "vertices",
+        links, several = _links(graph, links_per_piece, area)
+        ranks = links.where("piece = 1").select(
+            F.col("src").alias("id"), *(F.lit(1.0).alias(c) for c in columns), *(F.lit(1.0).alias(c) for c in before), "pieces"
         )
-        ranks = nothing.select("id", *(F.lit(1.0).alias(c) for c in columns), "pieces")
-        flow = [(F.col(c) / F.col("fan_out")).alias(c) for c in columns]
-        next_ranks = [
-            (F.lit(reset) + F.lit(1.0 - reset) * F.sum(c)).alias(c) for reset, c in zip(resets, columns)
-        ]
-        for round_ in range(1, max_iter + 1):
-            sent = links.join(to_pieces(ranks).withColumnRenamed("id", "src"), ["src", "piece"]).select(
-                F.col("dst").alias("id"), *flow, F.lit(0).alias("pieces")
+        itself, to = F.col("pos") == 0, F.array_prepend("dsts", F.when(F.col("piece") == 1, F.col("src")))
+        found = log.last(max_iter) if log else None
+        done, ranks = found if found else (0, ranks)
+        for round_ in range(done + 1, max_iter + 1):
+            known = ranks.select(F.col("id").alias("src"), *columns, *(["pieces"] if several else []))
+            lists = links.drop("pieces") if several else links
+            at_links = lists.join(to_pieces(known), ["src", "piece"]) if several else lists.join(known, "src")
+            sent = at_links.select("fan_out", "pieces", *columns, F.posexplode(to).alias("pos", "id")).where("id IS NOT NULL")
+            flows = [F.sum(F.when(itself, 0.0).otherwise(F.col(c) / F.col("fan_out"))) for c in columns]
+            ranks = sent.groupBy("id").agg(
+                *((F.lit(reset) + F.lit(1.0 - reset) * flow).alias(c) for reset, flow, c in zip(resets, flows, columns)),
+                *(F.max(F.when(itself, F.col(c))).alias(b) for c, b in zip(columns, before)),
+                F.coalesce(F.max(F.when(itself, F.col("pieces"))), F.lit(1)).alias("pieces"),
             )
-            ranks = sent.unionByName(nothing).groupBy("id").agg(*next_ranks, F.max("pieces").alias("pieces"))
             if round_ % checkpoint_interval == 0 or round_ == max_iter:
-                ranks = cut_lineage(ranks)
+                ranks = log.record(round_, ranks) if log else cut_lineage(ranks)
+                if tol is not None and _settled(ranks, columns, before, tol):
+                    break
         if max_iter == 0:
             ranks = cut_lineage(ranks)
 
@@ -77,19 +98,28 @@ def _ranks(
     )
 
 
+def _settled(ranks: DataFrame, columns: list[str], before: list[str], tol: float) -> bool:
+    """Whether the last round changed every column's ranks by no more than ``tol`` per vertex."""
+    count, *changes = ranks.agg(F.count(F.lit(1)), *(F.sum(F.abs(F.col(c) - F.col(b))) for c, b in zip(columns, before))).first()
+    return all((change or 0.0) <= tol * count for change in changes)
+
+
 def pagerank(
     graph: Graph,
     reset: float = 0.15,
     max_iter: int = 20,
     checkpoint_interval: int = CHECKPOINT_INTERVAL,
     links_per_piece: int = LINKS_PER_PIECE,
+    tol: float | None = None,
+    log: RoundLog | None = None,
 ) -> DataFrame:
     """Vertices with ``pagerank``; the ranks add up to the number of vertices.
 
     A vertex hands its rank to its out-edges in equal shares; parallel edges count
-    each. With probability ``reset`` a walk starts anew at any vertex.
+    each. With probability ``reset`` a walk starts anew at any vertex. ``tol`` may end
+    the rounds before ``max_iter``, ``log`` records them: see ``_ranks``.
     """
-    ranks = _ranks(graph, [reset], max_iter, checkpoint_interval, links_per_piece)
+    ranks = _ranks(graph, [reset], max_iter, checkpoint_interval, links_per_piece, tol, log)
     return graph.vertices.join(ranks.withColumnRenamed("rank_0", "pagerank"), "id")
 
 
