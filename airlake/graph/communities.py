@@ -20,40 +20,63 @@ def label_propagation(
     Every edge carries labels both ways. Ties go to the smallest label, so results
     are repeatable; a vertex without neighbours keeps its own.
 
-    As in PageRank the links stay where they are, hashed by speaker and piece; votes are
-    summed per (vertex, label) before the winner is picked, also by an aggregate, so a
-    vertex with very many neighbours is spoken for and counted by many tasks.
+    The votes of every (vertex, label) are kept. A round sends those of changed speakers only, for the new label
+    and against the old one, and picks winners where votes came in: what is shuffled falls with the changes, and rounds
+    end when nothing has changed. Links are lists that stay where they are, hashed by speaker and piece, and so do
+    the votes, hashed by vertex and label; a vertex with very many neighbours is spoken for and counted by many tasks.
     """
     ends = graph.edges.select(F.col("src").alias("speaker"), F.col("dst").alias("hearer"))
     ends = ends.union(graph.edges.select("dst", "src"))
-    spoken = ends.groupBy("speaker").agg(F.count(F.lit(1)).alias("_links"))
-    winner = F.min(F.struct((-F.col("n")).alias("n"), "label"))
+    winner = F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"].alias("new")
     with working_area(graph.edges.sparkSession) as area:
+        links = area.keep(ends.groupBy("speaker", "hearer").agg(F.count(F.lit(1)).alias("weight")), "links")
+        spoken = links.groupBy("speaker").agg(F.count(F.lit(1)).alias("_links"))
         spoken = area.keep(spoken.select("speaker", pieces_of("_links", links_per_piece).alias("pieces")), "speakers")
-        links = area.bucketed(
-            ends.groupBy("speaker", "hearer")
-            .agg(F.count(F.lit(1)).alias("weight"))
-            .join(spoken, "speaker")
-            .select("speaker", piece_of("hearer", "pieces").alias("piece"), "hearer", "weight"),
-            ["speaker", "piece"], "votes",
+        lists = area.bucketed(
+            links.join(spoken, "speaker").groupBy("speaker", piece_of("hearer", "pieces").alias("piece"))
+            .agg(F.collect_list(F.struct("hearer", "weight")).alias("hearers")),
+            ["speaker", "piece"], "lists",
         )
-        ids = graph.vertices.select("id").join(spoken.withColumnRenamed("speaker", "id"), "id", "left")
-        labels = cut_lineage(ids.select("id", F.col("id").alias("label"), F.coalesce("pieces", F.lit(0)).alias("pieces")))
+        labels = graph.vertices.select("id", F.col("id").alias("label"))
+        # In the first round every speaker's label is its own id.
+        votes = links.select(F.col("hearer").alias("id"), F.col("speaker").alias("label"), F.col("weight").alias("n"))
+        winners = votes.groupBy("id").agg(winner)
         for round_ in range(1, max_iter + 1):
-            votes = links.join(to_pieces(labels).withColumnRenamed("id", "speaker"), ["speaker", "piece"]).select(
-                F.col("hearer").alias("id"), "label", "weight", F.lit(0).alias("pieces")
-            )
-            # A vote without weight for the own label decides only where there is no other.
-            own = labels.select("id", "label", F.lit(0).cast("long").alias("weight"), "pieces")
-            counted = votes.unionByName(own).groupBy("id", "label").agg(
-                F.sum("weight").alias("n"), F.max("pieces").alias("pieces")
-            )
-            labels = counted.groupBy("id").agg(winner.alias("_won"), F.max("pieces").alias("pieces")).select(
-                "id", F.col("_won.label").alias("label"), "pieces"
-            )
-            if round_ % checkpoint_interval == 0 or round_ == max_iter:
-                labels = cut_lineage(labels)
-    return graph.vertices.join(labels.select("id", "label"), "id")
+            found = labels.join(winners, "id", "left")
+            moved = found.select("id", F.col("label").alias("old"), F.coalesce("new", "label").alias("label"))
+            labels = cut_lineage(moved) if round_ % checkpoint_interval == 0 or round_ == max_iter else moved
+            changed = labels.where("old <> label")
+            labels = labels.drop("old")
+            if round_ == max_iter:
+                break
+            if changed.isEmpty():
+                labels = labels if round_ % checkpoint_interval == 0 else cut_lineage(labels)
+                break
+            deltas = area.keep(_sent(lists, changed.join(spoken.withColumnRenamed("speaker", "id"), "id")), "deltas")
+            if round_ == 1:
+                votes = area.bucketed(votes, ["id", "label"], "votes")
+            votes = area.bucketed(_counted(votes, deltas), ["id", "label"], "votes", placed=True)
+            heard = deltas.select("id").distinct()
+            winners = votes.join(heard, "id", "left_semi").groupBy("id").agg(winner)
+        if max_iter == 0:
+            labels = cut_lineage(labels)
+    return graph.vertices.join(labels, "id")
+
+
+def _sent(lists: DataFrame, changed: DataFrame) -> DataFrame:
+    """(id, label, n): changes of votes, for what the changed vertices say now and against what they said before."""
+    speakers = to_pieces(changed.withColumnRenamed("id", "speaker"))
+    heard = lists.join(speakers, ["speaker", "piece"]).select("old", "label", F.inline("hearers"))
+    both = F.array(F.struct(F.col("label"), F.col("weight").alias("n")), F.struct(F.col("old").alias("label"), (-F.col("weight")).alias("n")))
+    each = heard.select(F.col("hearer").alias("id"), F.inline(both))
+    return each.groupBy("id", "label").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
+def _counted(votes: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Votes with the changes; those nobody gives any more are left out."""
+    changes = deltas.withColumnRenamed("n", "more")
+    n = F.coalesce("n", F.lit(0)) + F.coalesce("more", F.lit(0))
+    return votes.join(changes, ["id", "label"], "full").select("id", "label", n.alias("n")).where("n > 0")
 
 
 def group_sizes(members: DataFrame, group: str, at_least: int = 1) -> DataFrame:

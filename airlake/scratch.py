@@ -110,12 +110,12 @@ class WorkingArea:
         self.paths.append(path)
         return name, path
 
-    def bucketed(self, df: DataFrame, keys: list[str], label: str = "bucketed") -> DataFrame:
+    def bucketed(self, df: DataFrame, keys: list[str], label: str = "bucketed", placed: bool = False) -> DataFrame:
         """A copy hashed by ``keys``, so that joins on them need not move it.
 
         The bucket count equals the session's shuffle width, hence only the other side of
         such a join is shuffled. A bucket is written and read by one task: split keys with
-        many rows by a further key.
+        many rows by a further key. ``placed``: the rows lie that way already, as a join with such a copy leaves them.
         """
         buckets = int(
             self.spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
@@ -123,7 +123,7 @@ class WorkingArea:
         )
         name, path = self.place(label)
         (
-            df.repartition(buckets, *keys)
+            (df if placed else df.repartition(buckets, *keys))
             .write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
         )
         return self.spark.table(name)
