@@ -1,4 +1,4 @@
-"""Many-to-many joins that are only counted, and NOT IN."""
+"""Many-to-many joins, formed or only counted, and NOT IN."""
 
 from __future__ import annotations
 
@@ -45,6 +45,38 @@ def pair_totals(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     )
 
 
+#: Rows of one side that meet in a cell of a hot key's grid.
+CELL_ROWS = 20_000
+
+
+def grid_join(left: DataFrame, right: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """All pairs of rows with equal ``key``; the sides' other columns must have different names.
+
+    Both sides' rows are counted per key. A key with more than ``cell_rows`` rows on a side is cut into as many pieces
+    there as it needs; each row goes to one piece of its own side and to all pieces of the other. So the pairs of a key that
+    is hot on both sides are a grid of cells, each no more than ``cell_rows`` rows square, in as many tasks.
+    Other keys are one cell. Nulls join nothing.
+    """
+
+    def pieces(side: DataFrame, name: str) -> DataFrame:
+        rows = side.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+        return rows.select(key, F.ceil(F.col("_rows") / F.lit(cell_rows)).cast("int").alias(name))
+
+    # A row per key that both sides have; only keys of more than one cell are joined to their rows.
+    shape = pieces(left, "_rows_down").join(pieces(right, "_rows_across"), key)
+    grid = keep(shape.where("_rows_down > 1 OR _rows_across > 1"), "grid")
+
+    def placed(side: DataFrame, own: str, other: str, cell: str, other_cell: str) -> DataFrame:
+        mixed = F.xxhash64(*side.columns)
+        at = side.join(grid, key, "left").withColumn(cell, F.coalesce(F.pmod(mixed, F.col(own)).cast("int"), F.lit(0)))
+        everywhere = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
+        return at.withColumn(other_cell, F.explode(everywhere)).drop(own, other)
+
+    down = placed(left, "_rows_down", "_rows_across", "_down", "_across")
+    across = placed(right, "_rows_across", "_rows_down", "_across", "_down")
+    return down.join(across, [key, "_down", "_across"]).drop("_down", "_across")
+
+
 def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
     """``left`` rows whose key is NOT IN the keys of ``right``, with SQL's rules for NULL.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import lcm
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,5 +81,18 @@ def part_heads(placed: DataFrame, n: int = 8) -> DataFrame:
     return top_n_per_group(placed, ["reducers", "part"], [F.asc("word")], n)
 
 
+def heads_of_runs(counts: DataFrame, runs: list[int], n: int = 8) -> DataFrame:
+    """(reducers, part, word, count, rank): ``part_heads`` of ``place_words``, without placing every word in every run.
+
+    The parts of a number that all runs divide are pieces of every run's parts, so the first words of a part are among the
+    first words of its pieces. Words are placed and ordered once; the runs see ``n`` words per piece.
+    """
+    pieces = counts.withColumn("piece", hash_part(F.col("word"), lcm(*runs)))
+    first = top_n_per_group(pieces, ["piece"], [F.asc("word")], n).select("piece", "word", "count")
+    reducers = F.explode(F.array(*(F.lit(r) for r in runs))).alias("reducers")
+    placed = first.select(reducers, "piece", "word", "count").withColumn("part", F.pmod("piece", "reducers"))
+    return part_heads(placed.select("reducers", "part", "word", "count"), n)
+
+
 def top_words(counts: DataFrame, n: int = 15) -> DataFrame:
     return counts.orderBy(F.desc("count"), "word").limit(n)

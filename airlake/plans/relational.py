@@ -15,11 +15,13 @@ from airlake.graph.graph import Graph
 from airlake.graph.motif import find_motif, walk
 from airlake.graph.paths import select_vertices
 from airlake.operators.aggregates import concat_sorted, ranked_list, row_counts, share
-from airlake.operators.joins import not_in, pair_totals, pairs_by_key
+from airlake.operators.combiner import Combined, combined
+from airlake.operators.joins import grid_join, not_in, pair_totals, pairs_by_key
 from airlake.operators.quality import (
-    airline_totals, distance_stats, exclude_airports, route_quality, with_distances,
+    DEFECTS, airline_totals, distance_stats, exclude_airports, route_quality, with_distances,
 )
 from airlake.operators.windows import largest_per_group, number_within, top_n_per_group
+from airlake.operators.wordcount import top_words, word_counts
 from airlake.plans.networks import (
     LANES, LINKS, ROUTE_EDGES, SHIPMENTS, labelled_airports, lanes, links, route_edges, shipments, traders,
 )
@@ -182,8 +184,24 @@ def _pair_sides(spark, folder):
 
 
 @query("join_inner_mm", """
-SELECT COUNT(*) AS pairs, COUNT(DISTINCT c_nationkey) AS nations FROM customer, supplier WHERE c_nationkey = s_nationkey""")
+SELECT COUNT(*) AS pairs, COUNT(DISTINCT c_nationkey) AS nations,
+       COUNT(*) FILTER (WHERE c_acctbal > s_acctbal) AS richer_buyers
+FROM customer, supplier WHERE c_nationkey = s_nationkey""")
 def pairs_in_total(spark, folder):
+    """Every pair is formed, as the column compared is of both sides."""
+    buyers = table(spark, folder, "customer").select(F.col("c_nationkey").alias("nation"), "c_acctbal")
+    sellers = table(spark, folder, "supplier").select(F.col("s_nationkey").alias("nation"), "s_acctbal")
+    formed = grid_join(buyers, sellers, "nation")
+    return formed.agg(
+        rows("pairs"), F.count_distinct("nation").alias("nations"),
+        F.count_if(F.col("c_acctbal") > F.col("s_acctbal")).alias("richer_buyers"),
+    )
+
+
+@query("join_inner_mm_counted", """
+SELECT COUNT(*) AS pairs, COUNT(DISTINCT c_nationkey) AS nations FROM customer, supplier WHERE c_nationkey = s_nationkey""")
+def counted_pairs(spark, folder):
+    """Pairs that are only counted need not be formed."""
     totals = pair_totals(*_pair_sides(spark, folder), "nation")
     return totals.select(F.col("shared_keys").alias("nations"), F.col("pairs").cast("long").alias("pairs"))
 
@@ -312,13 +330,10 @@ def airlines_per_pair(spark, folder):
     return routes(spark, folder).groupBy("src_id", "dst_id").agg(F.count_distinct("airline_id").alias("airlines"))
 
 
-QUALITY = f"""
-WITH {ROUTES}
-SELECT 'all' AS defect, COUNT(*) AS routes FROM routes
-UNION ALL SELECT 'no_end', COUNT(*) FROM routes WHERE COALESCE(src_id, -1) < 0 OR COALESCE(dst_id, -1) < 0
-UNION ALL SELECT 'no_airline', COUNT(*) - COUNT(airline_id) FROM routes
-UNION ALL SELECT 'shared', COUNT(codeshare) FROM routes
-UNION ALL SELECT 'loops', COUNT(*) FROM routes WHERE src_id - dst_id = 0"""
+#: The library's rules, each counted by itself.
+QUALITY = f"WITH {ROUTES} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS defect, COUNT(*) AS routes FROM routes WHERE {rule}" for name, rule in {"all": "TRUE", **DEFECTS}.items()
+)
 
 
 @query("agg_count_if", """
@@ -425,11 +440,24 @@ def debt_share(spark, folder):
 
 
 @query("agg_combiner", """
-SELECT user_id, event_type, COUNT(*) AS events, ROUND(SUM(value), 2) AS value FROM events GROUP BY ALL""")
+SELECT user_id, event_type, COUNT(*) AS events, ROUND(SUM(value), 2) AS value,
+       (SELECT COUNT(*) FROM events) AS rows_in, TRUE AS fewer_shuffled
+FROM events GROUP BY ALL""")
 def combined_before_shuffle(spark, folder):
-    return table(spark, folder, "events").groupBy("user_id", "event_type").agg(
+    """Sums per user and type, with the rows that came in and whether fewer were shuffled, as Spark counted them."""
+    sums = table(spark, folder, "events").groupBy("user_id", "event_type").agg(
         rows("events"), F.round(F.sum("value"), 2).alias("value")
     )
+    counted = next(iter(combined(sums)), Combined(0, 0))
+    return sums.withColumns({"rows_in": F.lit(counted.rows_in).cast("long"), "fewer_shuffled": F.lit(counted.rows_shuffled < counted.rows_in)})
+
+
+@query("wordcount_combiner")
+def combined_words(spark, folder):
+    """The most frequent words with the pairs before and after combining; the latter depend on how files are split."""
+    counts = word_counts(table(spark, folder, "documents"), "text")
+    counted = next(iter(combined(counts)), Combined(0, 0))
+    return top_words(counts).withColumns({"pairs": F.lit(counted.rows_in).cast("long"), "pairs_shuffled": F.lit(counted.rows_shuffled).cast("long")})
 
 
 # --- windows -----------------------------------------------------------------

@@ -17,7 +17,8 @@ from airlake.plans.tables import COMPANIES, ROUTES, companies, routes, table
 from airlake.scratch import cut_lineage, keep, working_area
 from airlake.sinks.delimited import write_quoted_csv
 from airlake.sinks.tables import (
-    analyze, load_partitions, overwrite_load, write_bucketed, write_partitioned, write_plain,
+    analyze, column_statistics, join_depths, load_partitions, optimizing_session, overwrite_load, write_bucketed,
+    write_partitioned, write_plain,
 )
 from airlake.sinks.wordcount import write_wordcount
 from airlake.sources.catalog import describe_table, external_table, preview, register_view, with_input_file
@@ -335,6 +336,50 @@ def statistics(spark, folder):
         return keep(analyze(spark, name, ["code", "stan"]).select("rows", (F.col("bytes") == stored).alias("bytes_of_files")))
 
 
+@query("analyze_columns", """
+SELECT 'code' AS column, COUNT(*) FILTER (WHERE o_orderkey IS NULL) AS nulls, TRUE AS distinct_known,
+       CAST(MIN(o_orderkey) AS VARCHAR) AS least, CAST(MAX(o_orderkey) AS VARCHAR) AS most, TRUE AS histogram FROM orders
+UNION ALL
+SELECT 'address', COUNT(*) FILTER (WHERE o_custkey IS NULL), TRUE,
+       CAST(MIN(o_custkey) AS VARCHAR), CAST(MAX(o_custkey) AS VARCHAR), TRUE FROM orders""")
+def analyzed_columns(spark, folder):
+    """Bounds, nulls and histograms of columns, and whether the distinct values are known within a tenth."""
+    with working_area(spark) as area:
+        name, _ = _plain(spark, folder, area)
+        own = optimizing_session(spark)
+        analyze(own, name, ["code", "address"])
+        known = column_statistics(own, name, ["code", "address"]).collect()
+        real = spark.table(name).agg(*(F.count_distinct(c).alias(c) for c in ("code", "address"))).first()
+        rows = [(r.column, r.nulls, abs(r.distinct - real[r.column]) <= real[r.column] / 10, r.least, r.most, r.bins > 0) for r in known]
+        return spark.createDataFrame(rows, "column STRING, nulls BIGINT, distinct_known BOOLEAN, least STRING, most STRING, histogram BOOLEAN")
+
+
+@query("join_order_by_statistics", f"""
+WITH {COMPANIES}
+SELECT COUNT(*) AS lines, TRUE AS reordered FROM lineitem JOIN companies ON l_orderkey = code JOIN customer ON address = c_custkey
+WHERE c_custkey < 20""")
+def reordered_join(spark, folder):
+    """A join of three tables, written largest first: with statistics the optimizer begins with the few customers."""
+    with working_area(spark) as area:
+        kept = {}
+        for key, df in (("lines", table(spark, folder, "lineitem").select("l_orderkey")), ("companies", companies(spark, folder)),
+                        ("customers", table(spark, folder, "customer").select("c_custkey", "c_nationkey"))):
+            name, path = area.place(key)
+            kept[key] = name
+            write_plain(df, name, path)
+        sql = (
+            f"SELECT COUNT(*) AS lines FROM {kept['lines']} JOIN {kept['companies']} ON l_orderkey = code "
+            f"JOIN {kept['customers']} ON address = c_custkey WHERE c_custkey < 20"
+        )
+        own = optimizing_session(spark)
+        before = join_depths(own.sql(sql), kept)
+        for key, columns in (("lines", ["l_orderkey"]), ("companies", ["code", "address"]), ("customers", ["c_custkey"])):
+            analyze(own, kept[key], columns)
+        after = own.sql(sql)
+        reordered = before["lines"] > before["customers"] and join_depths(after, kept)["lines"] < join_depths(after, kept)["customers"]
+        return spark.createDataFrame([(after.first().lines, reordered)], "lines BIGINT, reordered BOOLEAN")
+
+
 @query("layout_report", """
 SELECT 'stan=' || o_orderstatus AS folder, COUNT(*) AS rows, COUNT(*) AS rows_of_files FROM orders GROUP BY 1""")
 def partition_sizes(spark, folder):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airlake.functions.text import hash_part, words
 from airlake.operators.wordcount import (
-    order_of_files, part_distribution, part_heads, place_words, run_invariants, top_words, word_counts,
+    heads_of_runs, order_of_files, part_distribution, place_words, run_invariants, top_words, word_counts,
 )
 from airlake.plans.registry import query
 from airlake.plans.storage import WORDS
@@ -114,7 +114,7 @@ SELECT reducers, part, word, count, CAST(rank AS INTEGER) AS rank FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY reducers, part ORDER BY word) AS rank FROM placed)
 WHERE rank <= 8""")
 def heads(spark, folder):
-    return part_heads(_placed(spark, folder))
+    return heads_of_runs(_counts(spark, folder), RUNS)
 
 
 @query("wordcount_top", f"WITH {WORDS} SELECT word, count FROM counts ORDER BY count DESC, word LIMIT 15")

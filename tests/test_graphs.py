@@ -13,9 +13,13 @@ from airlake.graph.communities import (
 )
 from airlake.graph.components import connected_components
 from airlake.graph.graph import collapse_routes, degree_centrality, touched_vertices
-from airlake.graph.motif import Term, find_motif, parse, walk
+from airlake.graph.motif import Term, find_motif, parse, reduced, walk
 from airlake.graph.pagerank import pagerank, pagerank_sweep, rank_and_degrees
-from airlake.graph.paths import extreme_paths, path_counts, paths_up_to, simple_paths, stop_counts
+from airlake.graph.cycles import count_four_cycles, four_cycles, neighbours, triangles
+from airlake.graph.paths import (
+    count_paths, count_stops, extreme_paths, half_walks, outermost_paths, path_counts, paths_up_to, promising, simple_paths,
+    stop_counts,
+)
 from airlake.scratch import _record, sweep
 
 A, B = "{v}.country = 'A'", "{v}.country = 'B'"
@@ -78,6 +82,99 @@ def test_paths_equal_brute_force(spark):
     assert Counter(tuple(r) for r in got.collect()) == want
 
 
+def weighted(spark, seed, vertices, edges):
+    graph, pairs = random_graph(spark, seed, vertices=vertices, edges=edges)
+    km = {(a, b): float(1 + (a * 7 + b * 3) % 11) for a, b in pairs}
+    rows = [(a, b, d) for (a, b), d in km.items()]
+    return Graph(graph.vertices, spark.createDataFrame(rows, "src BIGINT, dst BIGINT, distance_km DOUBLE")), km
+
+
+def walked(km, starts, ends, longest):
+    found, frontier = [], [((i,), 0.0) for i in starts]
+    for _ in range(longest):
+        frontier = [(p + (b,), d + km[a, b]) for p, d in frontier for a, b in km if a == p[-1] and b not in p]
+        found += [(p, d) for p, d in frontier if p[-1] in ends]
+    return found
+
+
+def test_counts_and_outermost_paths_equal_brute_force(spark):
+    graph, km = weighted(spark, 21, 20, 70)
+    land = [{i for i in range(20) if i % 3 == n} for n in range(2)]
+    start, end = "{v}.country = 'land 0'", "{v}.country = 'land 1'"
+    for longest in (1, 3, 4, 5):
+        paths = walked(km, *land, longest)
+        assert dict(pytest.tuples(count_paths(graph, longest, start, end))) == Counter(len(p) - 1 for p, _ in paths)
+        stops = Counter(f"c{i}" for p, _ in paths for i in p[1:-1])
+        assert dict(pytest.tuples(count_stops(graph, longest, start, end))) == stops
+        named = [(d, " → ".join(f"c{i}" for i in p)) for p, d in paths]
+        for n in (1, 6, 10_000):
+            got = [(r.kind, r.distance_km, r.route) for r in extreme_paths(outermost_paths(graph, longest, start, end, n), n).collect()]
+            want = [("shortest", *x) for x in sorted(named)[:n]] + [("longest", *x) for x in sorted(named, key=lambda x: (-x[0], x[1]))[:n]]
+            assert sorted(got) == sorted(want)
+    assert count_paths(graph, 4, "FALSE", end).count() == 0
+    assert outermost_paths(graph, 4, start, "FALSE", 3).count() == 0
+
+
+def test_outermost_paths_join_fewer_halves(spark):
+    graph, km = weighted(spark, 22, 24, 140)
+    halves = half_walks(graph, "{v}.id < 6", "{v}.id > 17", 4, lambda df: df.cache())
+    first, second = halves.meeting(4)
+    lengths = sorted(d for p, d in walked(km, range(6), set(range(18, 24)), 4) if len(p) == 5)
+    kept = promising(first, second, lengths[0], lengths[-1])
+    assert 0 < kept.count() < first.count() / 3
+
+
+def test_counting_paths_writes_no_path(spark, tmp_path):
+    graph, _ = weighted(spark, 23, 12, 40)
+    sweep(spark)
+    count_paths(graph, 4, "{v}.id < 4", "{v}.id > 8").count()
+    assert len(_record(spark)["paths"]) == 2  # the counts, and the edges kept for further searches
+    sweep(spark)
+
+
+def test_cycles_equal_brute_force(spark):
+    for seed in (31, 32):
+        graph, pairs = random_graph(spark, seed, vertices=18, edges=110)
+        pairs = {(a, b) for a, b in pairs if a != b}
+        out = defaultdict(set)
+        for a, b in pairs:
+            out[a].add(b)
+        three = {(a, b, c) for a, b in pairs for c in out[b] if a in out[c]}
+        four = {(a, b, c, d) for a, b in pairs for c in out[b] for d in out[c] if a in out[d] and len({a, b, c, d}) == 4}
+        assert three and four
+        doubled = Graph(graph.vertices, graph.edges.union(graph.edges.limit(5)))  # parallel edges are one here
+        assert pytest.tuples(triangles(doubled)) == sorted(three)
+        assert pytest.tuples(four_cycles(doubled)) == sorted(four)
+        assert count_four_cycles(doubled).first().matches == len(four)
+        found = find_motif(graph, "(p)-[x]->(q); (q)-[y]->(r); (r)-[z]->(s); (s)-[w]->(p)", distinct=True)
+        assert found.columns == ["x", "y", "z", "w", "p", "q", "r", "s"]
+        assert pytest.tuples(found.select("p.id", "q.id", "r.id", "s.id")) == sorted(four)
+        found = find_motif(graph, "(p)-[x]->(q); (q)-[y]->(r); (r)-[z]->(p)", distinct=True)
+        assert pytest.tuples(found.select("x.src", "y.src", "z.src")) == sorted(three)
+    assert count_four_cycles(Graph(graph.vertices, graph.edges.limit(0))).first().matches == 0
+
+
+def test_no_wedge_over_a_busy_vertex(spark):
+    """A star's centre has very many pairs of neighbours; none of them is formed."""
+    from airlake.graph.cycles import _wedges
+
+    star = [(0, i) for i in range(1, 200)] + [(i, 0) for i in range(1, 200)]
+    graph = Graph(spark.range(200), spark.createDataFrame(star + [(1, 2), (2, 3)], "src BIGINT, dst BIGINT"))
+    lower = {r.v: r.n for r in neighbours(graph).groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert _wedges(graph).count() <= sum(min(lower[0], lower[i]) for i in range(1, 200)) + 4
+
+
+def test_bound_walks_use_only_edges_between_the_ends(spark, rows):
+    # From 1 a hub leads to 100 vertices, of which one goes on to the end.
+    edges = [(1, 2)] + [(2, i) for i in range(10, 110)] + [(50, 3), (60, 61), (4, 3)]
+    graph = Graph(spark.range(200), rows(edges, "src BIGINT, dst BIGINT"))
+    bound = {"a": graph.vertices.where("id = 1"), "d": graph.vertices.where("id = 3")}
+    left = reduced(graph, walk("abcd"), bound)
+    assert {name: pytest.tuples(df) for name, df in left.items()} == {"a_b": [(1, 2)], "b_c": [(2, 50)], "c_d": [(50, 3)]}
+    found = find_motif(graph, walk("abcd"), bound=bound)
+    assert [(r.a.id, r.b.id, r.c.id, r.d.id) for r in found.collect()] == [(1, 2, 50, 3)]
+
+
 def test_returned_paths_are_read_not_searched_again(tiny, plan):
     shown = plan(extreme_paths(paths_up_to(tiny, 4, A, B), 2))
     assert "Join" not in shown
@@ -166,6 +263,43 @@ def test_pagerank(spark, links_per_piece):
     assert [got[i] for i in range(40)] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("links_per_piece", [100_000, 2])
+def test_pagerank_of_parallel_edges_and_vertices_without_any(spark, links_per_piece):
+    pairs = [(0, 1)] * 7 + [(0, 2), (1, 0), (3, 0), (2, 2)]
+    graph = Graph(spark.range(6), spark.createDataFrame(pairs, "src BIGINT, dst BIGINT"))
+    got = {r.id: r.pagerank for r in pagerank(graph, 0.3, 6, 2, links_per_piece).collect()}
+    assert [got[i] for i in range(6)] == pytest.approx(brute_pagerank(6, pairs, 0.3, 6))
+
+
+def test_pagerank_ends_when_settled(spark, monkeypatch):
+    import airlake.graph.pagerank as module
+
+    graph, pairs = random_graph(spark, 3)
+    cuts, original = [], module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: cuts.append(1) or original(df))
+    got = {r.id: r.pagerank for r in pagerank(graph, 0.5, 200, 5, tol=1e-4).collect()}
+    assert len(cuts) < 10
+    assert [got[i] for i in range(40)] == pytest.approx(brute_pagerank(40, pairs, 0.5, 200), abs=1e-2)
+    cuts.clear()
+    pagerank(graph, 0.5, 12, 5).collect()
+    assert len(cuts) == 3
+
+
+def test_ranks_are_handed_to_links_in_place(spark, monkeypatch, plan):
+    """Without a source of several pieces a round has one shuffle, that of what the links hand on."""
+    import airlake.graph.pagerank as module
+
+    graph, _ = random_graph(spark, 3)
+    seen, original = [], module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: seen.append(plan(df)) or original(df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pagerank(graph, 0.15, 4, 100).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len([line for line in seen[0].splitlines() if line.startswith("(") and ") Exchange" in line]) == 4
+
+
 def test_plan_of_pagerank_grows_with_the_rounds_only(spark, monkeypatch):
     """Hub or not, a round adds one join; nothing is doubled."""
     import airlake.graph.pagerank as module

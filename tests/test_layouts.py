@@ -112,3 +112,103 @@ def test_splits_follow_the_block_size(spark, companies):
     assert len(splits) == -(-size // 8192)
     assert sum(r.rows for r in splits) == 3000
     assert sum(r.length for r in splits) == size
+
+
+def test_a_failed_load_leaves_the_old_rows(spark, companies):
+    from airlake.sinks.delimited import write_quoted_csv
+    from airlake.sources.delimited import read_quoted_csv, strings
+
+    path, name = new_path(spark, "t"), new_table_name("t")
+    stored = overwrite_load(companies, name, path)
+    broken = companies.withColumn("code", F.when(F.col("code") < "00002990", F.col("code")).otherwise(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        overwrite_load(broken.repartition(3), name, path)
+    assert spark.table(name).count() == 3000
+    # A load may read what it replaces.
+    assert overwrite_load(stored.where("stan = 'F'"), name, path).count() == 1000
+    assert spark.read.parquet(path).count() == 1000
+
+    text = new_path(spark, "csv")
+    write_quoted_csv(companies.limit(10), text)
+    with pytest.raises(Exception, match="line break"):
+        write_quoted_csv(companies.withColumn("code", F.concat("code", F.lit("\n"))), text)
+    assert read_quoted_csv(spark, text, strings("code", "address", "stan")).count() == 10
+    from pathlib import Path
+
+    beside = {f.name for f in Path(path).parent.iterdir()}
+    assert not any("-staged-" in n or "-old-" in n for n in beside)
+
+
+def test_publishing_what_cannot_be_moved_leaves_the_old(spark, tmp_path, monkeypatch):
+    import airlake.sinks.publish as module
+
+    target = tmp_path / "data"
+    spark.range(5).write.parquet(str(target))
+    real = module._file_system
+
+    class Stuck:
+        def __init__(self, files):
+            self.files = files
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+        def rename(self, a, b):
+            return "-staged-" not in a.getName() and self.files.rename(a, b)
+
+    monkeypatch.setattr(module, "_file_system", lambda s, p: (Stuck(real(s, p)[0]), real(s, p)[1]))
+    with pytest.raises(OSError, match="published"):
+        module.publish(spark, str(target), lambda staged: spark.range(9).write.parquet(staged))
+    assert spark.read.parquet(str(target)).count() == 5
+    assert {f.name for f in tmp_path.iterdir()} == {"data"}
+
+
+def test_rounds_go_on_after_the_last_recorded_one(spark):
+    from airlake.rounds import RoundLog, run_rounds
+
+    folder, steps = new_path(spark, "rounds"), []
+
+    def step(df):
+        steps.append(1)
+        return df.select((F.col("id") * 2).alias("id"))
+
+    def first():
+        return spark.range(3)
+
+    assert pytest.tuples(run_rounds(RoundLog(spark, folder), first, step, 4, every=2)) == [(0,), (16,), (32,)]
+    assert RoundLog(spark, folder).rounds() == [2, 4] and len(steps) == 4
+    assert pytest.tuples(run_rounds(RoundLog(spark, folder), first, step, 7, every=2)) == [(0,), (128,), (256,)]
+    assert len(steps) == 7 and RoundLog(spark, folder).rounds() == [6, 7]
+    assert pytest.tuples(run_rounds(RoundLog(spark, folder), first, step, 7, every=2)) == [(0,), (128,), (256,)]
+    assert len(steps) == 7
+
+
+def test_pagerank_goes_on_after_a_stop(spark, monkeypatch):
+    import airlake.graph.pagerank as module
+    from airlake.graph import Graph
+    from airlake.rounds import RoundLog
+
+    edges = [(i, (i * 7 + j) % 30) for i in range(30) for j in range(1, 4)]
+    graph = Graph(spark.range(30), spark.createDataFrame(edges, "src BIGINT, dst BIGINT"))
+    whole = {r.id: r.pagerank for r in module.pagerank(graph, max_iter=20).collect()}
+    log, seen = RoundLog(spark, new_path(spark, "rounds")), []
+    module.pagerank(graph, max_iter=10, log=log)
+    assert log.rounds()[-1] == 10
+    real = RoundLog.record
+    monkeypatch.setattr(RoundLog, "record", lambda self, n, df: seen.append(n) or real(self, n, df))
+    assert {r.id: r.pagerank for r in module.pagerank(graph, max_iter=20, log=log).collect()} == pytest.approx(whole)
+    assert seen == [15, 20]
+
+
+def test_column_statistics(spark, companies):
+    from airlake.sinks.tables import column_statistics, optimizing_session
+
+    name = new_table_name("t")
+    write_plain(companies.withColumn("address", F.when(F.col("address") > 0, F.col("address"))), name, new_path(spark, "t"))
+    assert [(r.column, r.nulls, r.bins) for r in column_statistics(spark, name, ["address"]).collect()] == [("address", None, 0)]
+    own = optimizing_session(spark)
+    analyze(own, name, ["address", "stan"])
+    known = {r.column: r for r in column_statistics(own, name, ["address", "stan"]).collect()}
+    assert (known["address"].nulls, known["address"].least, known["address"].most) == (60, "1", "49")
+    assert known["stan"].distinct == 3 and abs(known["address"].distinct - 49) <= 4 and known["address"].bins > 0
+    assert spark.conf.get("spark.sql.cbo.enabled") == "false"

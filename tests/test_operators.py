@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from airlake.operators.aggregates import concat_sorted, listed, ranked_list, row_counts
-from airlake.operators.joins import not_in, pair_totals, pairs_by_key
+from airlake.operators.combiner import combined
+from airlake.operators.joins import grid_join, not_in, pair_totals, pairs_by_key
 from airlake.operators.quality import airline_totals, exclude_airports, route_quality, with_distances
 from airlake.operators.windows import largest_per_group, number_within, top_n_per_group
 from airlake.operators.wordcount import (
-    part_distribution, part_heads, place_words, run_invariants, top_words, word_counts,
+    heads_of_runs, part_distribution, part_heads, place_words, run_invariants, top_words, word_counts,
 )
 
 
@@ -181,3 +182,49 @@ def test_wordcount_family(rows):
 def test_words_are_combined_before_the_shuffle(rows, plan):
     shown = plan(word_counts(rows([("a b",)], "value STRING")))
     assert 0 < shown.find("partial_count") < shown.find("hashpartitioning(word")
+
+
+def test_grid_join_forms_every_pair_once(spark, rows):
+    draw = random.Random(8)
+    left = [(draw.choice(["hot", "hot", "a", "b", None]), i) for i in range(400)]
+    right = [(draw.choice(["hot", "hot", "hot", "a", "c", None]), -i) for i in range(300)]
+    want = sorted((k, i, j) for k, i in left for m, j in right if k == m and k is not None)
+    sides = rows(left, "k STRING, i INT"), rows(right, "k STRING, j INT")
+    for cell_rows in (10_000, 50, 7):
+        assert pytest.tuples(grid_join(*sides, "k", cell_rows)) == want
+    assert grid_join(sides[0].limit(0), sides[1], "k").count() == 0
+
+
+def test_a_hot_key_is_spread_over_tasks(spark, rows):
+    left = spark.range(3000).select(F.lit("hot").alias("k"), F.col("id").alias("i"))
+    right = spark.range(2000).select(F.lit("hot").alias("k"), F.col("id").alias("j"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = grid_join(left, right, "k", cell_rows=100)
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 6_000_000 and len(sizes) == 16 and sizes[-1] <= 3 * sizes[8]
+
+
+def test_combined_rows_are_those_of_the_plan(spark):
+    numbers = spark.range(0, 1000, 1, 4).select((F.col("id") % 10).alias("k"), "id")
+    counted = combined(numbers.groupBy("k").agg(F.sum("id")))
+    assert counted == [(1000, 40)]  # ten keys in each of four tasks
+    assert combined(numbers.where("id < 0").groupBy("k").count()) == []
+    exploded = numbers.select(F.explode(F.array("k", "id")).alias("v")).groupBy("v").count()
+    (found,) = combined(exploded)
+    assert found.rows_in == 2000 and found.rows_shuffled < 2000
+    twice = numbers.groupBy("k").count().groupBy("count").agg(F.max("k"))
+    assert [c.rows_in for c in combined(twice)][-1] == 1000
+
+
+def test_heads_of_runs_are_heads_of_placed_words(rows):
+    counts = rows([(f"w{i * 7919 % 1000}", i) for i in range(400)], "word STRING, count INT")
+    for runs in ([1, 2, 4], [3, 2], [5]):
+        found, wanted = heads_of_runs(counts, runs, 3), part_heads(place_words(counts, runs), 3)
+        assert pytest.tuples(found) == pytest.tuples(wanted.select(found.columns))
