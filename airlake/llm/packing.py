@@ -30,7 +30,7 @@ REMEMBERED_WORDS = 400_000
 #: What parts words that are merged in one call; words with it, and longer ones, are merged by themselves.
 SEPARATOR, LONG_WORD = "\x00", 200
 #: Bytes of text that are encoded together.
-TOGETHER = 4 << 20
+TOGETHER = 8 << 20
 
 SCHEMA = "id {id_type}, start BIGINT, length BIGINT, ids BINARY, doc_tokens BIGINT, bucket INT"
 
@@ -104,34 +104,34 @@ class WordTokenizer:
         offsets = parts.offsets.to_numpy().astype(np.int64)
         firsts, lasts = offsets[:-1], offsets[1:] - 1
         coded = parts.values.dictionary_encode()
-        entry_of, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        entry_of, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
         # A space after white space need not begin a word: such texts, and those with added tokens, are encoded whole.
-        blank_end = np.fromiter((not part or part[-1].isspace() for part in distinct), bool, len(distinct))
+        empty = pc.equal(pc.binary_length(distinct), 0).to_numpy(zero_copy_only=False)
+        blank_end = empty | pc.not_equal(pc.utf8_rtrim_whitespace(distinct), distinct).to_numpy(zero_copy_only=False)
         unsure = blank_end[entry_of]
         unsure[lasts] = False
-        empty = np.fromiter((not part for part in distinct), bool, len(distinct))
         unsure[firsts[empty[entry_of[firsts]]]] = False
         whole = np.logical_or.reduceat(unsure, firsts)
         for token in self.merges.added:
             whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
 
-        # Entries: distinct parts after a space, then each text's beginning, then nothing and the end.
-        nothing = len(distinct) + len(texts)
+        # Entries: parts after a space, then each text's beginning, then nothing and the end.
+        after = np.repeat(~whole, np.diff(offsets))
+        after[firsts] = False
+        used = np.zeros(len(distinct), bool)
+        used[entry_of[after]] = True
+        wanted = distinct.filter(pa.array(used)).to_numpy(zero_copy_only=False).tolist()
         beginnings = [
-            self.encode(text.as_py()) if is_whole else self._encode_words(distinct[first])
-            for text, is_whole, first in zip(texts, whole.tolist(), entry_of[firsts].tolist())
+            self.encode(text.as_py()) if is_whole else self._encode_words(first)
+            for text, is_whole, first in zip(texts, whole.tolist(), parts.values.take(pa.array(firsts)).to_numpy(zero_copy_only=False))
         ]
-        entry_of[np.repeat(whole, np.diff(offsets))] = nothing
-        entry_of[firsts] = len(distinct) + np.arange(len(texts))
-        used = np.zeros(nothing + 1, bool)
-        used[entry_of] = True
-        wanted = [part for part, is_used in zip(distinct, used.tolist()) if is_used]
+        entry_of = np.where(after, np.cumsum(used)[entry_of] - 1, len(wanted) + len(texts))
+        entry_of[firsts] = len(wanted) + np.arange(len(texts))
         new = self._learn_parts([part for part in wanted if part not in self.after_space])
-        entries = [self.after_space[part] if is_used else b"" for part, is_used in zip(distinct, used.tolist())]
+        entries = [*map(self.after_space.__getitem__, wanted), *beginnings, b"", end]
         _forget(self.after_space, new, self.remembered)
-        entries += [*beginnings, b"", end]
-        entry_of = np.insert(entry_of, offsets[1:], nothing + 1)
+        entry_of = np.insert(entry_of, offsets[1:], len(entries) - 1)
 
         sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
         places = np.cumsum(sizes) - sizes
