@@ -10,12 +10,12 @@ batch be parsed side by side, one character of each at a time.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +30,7 @@ ALPHABET = 127
 BLOCK = 512
 
 UNKNOWN_LANGUAGE = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def suffix_automaton(codes: np.ndarray, symbols: int) -> np.ndarray:

@@ -271,8 +271,8 @@ def near_duplicates(
     # From here a set is known by k1: two members of shared bands meet in it by chance once in 2^64 pairs.
     # Unit weights give equal sets equal bands; their weighted bands differ and all count.
     weighted = sketches.where(F.size("weighted") > 0).select("k1", "k2", F.explode("weighted").alias("band")).distinct()
-    each = sets.select("k1", "set_id", F.explode("bands").alias("band")).unionByName(
-        weighted.join(sets.select("k1", "k2", "set_id"), ["k1", "k2"]).select("k1", "set_id", "band")
+    each = sets.select("k1", "k2", "set_id", F.explode("bands").alias("band")).unionByName(
+        weighted.join(sets.select("k1", "k2", "set_id"), ["k1", "k2"]).select("k1", "k2", "set_id", "band")
     ).withColumnRenamed("k1", "id")
     shared = each.groupBy("band").agg((F.count(F.lit(1)) - 1).alias("others")).where("others > 0")
     members = keep(each.join(shared, "band"), "band-members")
@@ -303,7 +303,9 @@ def near_duplicates(
         if not more.isEmpty():
             classes = _classes(ids, links.unionByName(more))
 
-    of_sets = sets.join(classes.withColumnRenamed("id", "k1"), "k1", "left").select(
+    # Sets that are no member are known by both keys: one of them alone may be a member's by chance.
+    of_members = members.select(F.col("id").alias("k1"), "k2").distinct().join(classes.withColumnRenamed("id", "k1"), "k1")
+    of_sets = sets.join(of_members, ["k1", "k2"], "left").select(
         "k1", "k2", "set_id", F.coalesce("component", "k1").alias("component")
     )
     smallest = of_sets.groupBy("component").agg(F.min("set_id").alias("class_id"))

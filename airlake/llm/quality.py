@@ -162,7 +162,7 @@ def train(
     """Fit on at most ``most_rows`` documents, those of the labelled ids that hash lowest.
 
     Rows with a null id, label or text are left out; labels are 0 or 1, and of several for
-    one id the largest counts.
+    one id the largest counts; of several texts for one id the one that hashes lowest.
     """
     known = labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label_column}`").cast("int").alias("label"))
     known = known.where("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label"))
@@ -173,9 +173,10 @@ def train(
         docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
         .where("text IS NOT NULL")
         .join(F.broadcast(sample), "id")  # most_rows ids and labels
+        .groupBy("id", "label")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
         .select("label", "text")
         .mapInArrow(_bag_rows, "label INT, ids ARRAY<INT>, weights ARRAY<DOUBLE>")
-        .limit(most_rows)
         .collect()
     )
     found = sorted((list(r.ids), list(r.weights), r.label) for r in chosen)
