@@ -4,7 +4,8 @@ The largest inner product is the smallest distance in a metric space of one dime
 more: a stored vector x becomes (x, sqrt(M - |x|^2)), where M is the largest squared length,
 a query q becomes (q, 0), and d(q, x)^2 = |q|^2 + M - 2 q.x.
 
-Vectors are dealt to trees of bounded size, near ones together. A tree's pages are rows: a
+Vectors are dealt to trees of bounded size, near ones together: first by pivots whose number is the square
+root of the trees', then, within each such region, by pivots of its own. A tree's pages are rows: a
 pivot, the covering radius around it, the distance from the parent's pivot, the smallest
 id below; leaves also hold vectors and their distances from the pivot. A search goes best
 first through the pages by the least distance anything below can have. With |d(q, p) -
@@ -20,6 +21,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -30,10 +32,10 @@ from airlake.scratch import keep
 
 #: Vectors of a page, children of an inner page, vectors of a tree.
 PAGE, CHILDREN, TREE_ROWS = 256, 16, 8192
-#: The most pivots that vectors are dealt out by; each has as many trees as its vectors need.
-REGIONS = 256
-#: Queries or roots that are compared in one block.
-BLOCK = 1024
+#: Queries or roots that are compared in one block, vectors that are dealt out together.
+BLOCK, DEALT = 1024, 65_536
+#: The bits of a tree's number: its region, its part of the region, its piece of the part.
+REGION_AT, PART_AT = 47, 30
 
 PAGES = (
     "tree BIGINT, page INT, parent INT, leaf BOOLEAN, pivot BINARY, lift DOUBLE, radius DOUBLE, parent_distance DOUBLE, "
@@ -199,29 +201,38 @@ def _matrix(column: pd.Series, width: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """``pages`` of all trees; ``pivots`` with the number of trees of each; the space's constants."""
+    """``pages`` of all trees; ``roots`` of each region; the regions' pivots; the space's constants."""
 
     pages: DataFrame
+    roots: DataFrame
     pivots: np.ndarray
-    trees: list[int]
     width: int
     longest: float
 
-    def home(self, queries: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        """A tree near each query; queries of one region are spread over its trees."""
-        score = queries @ self.pivots.T
-        score[:, np.array(self.trees) == 0] = -np.inf
-        region = score.argmax(axis=1)
-        return region * (1 << 32) + numbers % np.array(self.trees)[region]
-
 
 def _nearest(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return ((pivots * pivots).sum(axis=1) - 2 * (vectors @ pivots.T)).argmin(axis=1)
 
 
-def build_index(
-    vectors: DataFrame, regions: int = REGIONS, tree_rows: int = TREE_ROWS, page: int = PAGE, fan: int = CHILDREN
-) -> Index | None:
+def _packed(rows: DataFrame, vector: str, *others: str) -> DataFrame:
+    """(region, packed): what a region's vectors are dealt by, in one row; as many as a region has trees."""
+    return rows.groupBy("region").agg(F.sort_array(F.collect_list(F.struct(vector, *others))).alias("packed"))
+
+
+def _dealt_within(rows: DataFrame, packed: DataFrame, choose, schema: str) -> DataFrame:
+    """``choose(rows, packed)`` for the rows of each region, in shares of bounded size."""
+    sizes = rows.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / DEALT).alias("shares"))
+    shared = rows.join(sizes, "region").withColumn("share", F.pmod(F.monotonically_increasing_id(), F.col("shares"))).drop("shares")
+    each = packed.join(sizes, "region").withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))).drop("shares")
+
+    def deal(rows: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
+        return choose(rows, packed["packed"].iloc[0]) if len(rows) and len(packed) else pd.DataFrame()
+
+    keys = ["region", "share"]
+    return shared.groupBy(*keys).cogroup(each.groupBy(*keys)).applyInPandas(deal, schema)
+
+
+def build_index(vectors: DataFrame, tree_rows: int = TREE_ROWS, page: int = PAGE, fan: int = CHILDREN) -> Index | None:
     """Index rows (id BIGINT, vector ARRAY of whole numbers); None without rows.
 
     Null ids and vectors that are null or hold null or non-finite components take no part.
@@ -233,8 +244,8 @@ def build_index(
     if not total:
         return None
     width = max(width, 1)
-    wanted = min(regions, -(-total // tree_rows))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()  # at most ``regions`` rows
+    regions = isqrt(-(-total // tree_rows) - 1) + 1  # the root of the trees' number, rounded up
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(regions).collect()
     pivots = np.unique(_matrix(pd.Series([r.vector for r in sample]), width), axis=0)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,11 +253,24 @@ def build_index(
             if len(batch):
                 yield batch.assign(region=_nearest(_matrix(batch["vector"], width), pivots).astype(np.int32))
 
+    def choose(rows: pd.DataFrame, packed: list) -> pd.DataFrame:
+        own = _matrix(pd.Series([p["vector"] for p in packed]), width)
+        near = _nearest(_matrix(rows["vector"], width), own)
+        return rows[["id", "vector", "region"]].assign(part=near.astype(np.int32))
+
     dealt = keep(rows.mapInPandas(deal, "id BIGINT, vector ARRAY<DOUBLE>, region INT"), "dealt")
-    sizes = {r.region: r["count"] for r in dealt.groupBy("region").count().collect()}  # at most ``regions`` rows
-    trees = [-(-sizes.get(i, 0) // tree_rows) for i in range(len(pivots))]
-    pieces = F.element_at(F.array(*map(F.lit, trees)), F.col("region") + 1)
-    tree = F.col("region") * F.lit(1 << 32) + F.pmod(F.monotonically_increasing_id(), pieces)
+    # A region's own pivots: one in ``tree_rows`` of its rows by hash, at least that which hashes lowest, and no more than some
+    # times the number of regions, which a row holds.
+    of_region = dealt.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("first"))
+    share = F.least(F.lit(1.0 / tree_rows), F.lit(max(64, 4 * regions)) / F.col("size"))
+    fate = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chosen = dealt.join(F.broadcast(of_region), "region").where((fate < share) | (F.col("id") == F.col("first")))  # a row per region
+    own_pivots = keep(_packed(chosen.select("region", "vector").distinct(), "vector"), "pivots")
+    placed = keep(_dealt_within(dealt, own_pivots, choose, "id BIGINT, vector ARRAY<DOUBLE>, region INT, part INT"), "placed")
+    # What lies around one pivot is as many trees as it needs, also where all its vectors are equal.
+    sizes = placed.groupBy("region", "part").agg(F.ceil(F.count(F.lit(1)) / tree_rows).alias("pieces"))
+    piece = F.pmod(F.monotonically_increasing_id(), F.col("pieces"))
+    tree = F.shiftleft(F.col("region").cast("long"), REGION_AT) + F.shiftleft(F.col("part").cast("long"), PART_AT) + piece
 
     def pages(group: pd.DataFrame) -> pd.DataFrame:
         found = build(group["id"].to_numpy(np.int64), _matrix(group["vector"], width), longest, page, fan)
@@ -255,8 +279,12 @@ def build_index(
             [_page_row(number, i, p) for i, p in enumerate(found)], columns=[c.split()[0] for c in PAGES.split(", ")]
         )
 
-    built = dealt.select("id", "vector", tree.alias("tree")).groupBy("tree").applyInPandas(pages, PAGES)
-    return Index(keep(built, "mtree"), pivots, trees, width, float(longest))
+    in_trees = placed.join(sizes, ["region", "part"]).select("id", "vector", tree.alias("tree"))
+    built = keep(in_trees.groupBy("tree").applyInPandas(pages, PAGES), "mtree")
+    # One tree of each part: others of the same part lie in the same place.
+    first = (F.col("parent") < 0) & (F.col("tree").bitwiseAND((1 << PART_AT) - 1) == 0)
+    roots = built.where(first).select(F.shiftright("tree", REGION_AT).cast("int").alias("region"), "tree", "pivot")
+    return Index(built, keep(_packed(roots, "tree", "pivot"), "roots"), pivots, width, float(longest))
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -283,16 +311,23 @@ def top_k(index: Index | None, queries: DataFrame, k: int) -> DataFrame:
     asked = keep(_usable(queries).withColumn("query", F.monotonically_increasing_id()), "queries")
     frame = "tree BIGINT, query BIGINT, own BIGINT, vector ARRAY<DOUBLE>, worst DOUBLE, worst_id BIGINT"
 
+    pivots = index.pivots
+
     def go_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                tree = index_home(_matrix(b["vector"], width), b["query"].to_numpy())
-                yield pd.DataFrame(
-                    {"tree": tree, "query": b["query"], "own": b["id"], "vector": b["vector"], "worst": -np.inf, "worst_id": 0}
-                )
+                region = (_matrix(b["vector"], width) @ pivots.T).argmax(axis=1).astype(np.int32)
+                yield pd.DataFrame({"query": b["query"], "own": b["id"], "vector": b["vector"], "region": region})
 
-    index_home = Index(None, index.pivots, index.trees, width, longest).home  # without the pages' DataFrame
-    home = keep(asked.mapInPandas(go_home, frame), "home")
+    def choose(rows: pd.DataFrame, packed: list) -> pd.DataFrame:
+        roots = np.stack([np.frombuffer(p["pivot"]) for p in packed])
+        best = (_matrix(rows["vector"], width) @ roots.T).argmax(axis=1)
+        trees = np.array([p["tree"] for p in packed])
+        return rows[["query", "own", "vector"]].assign(tree=trees[best], worst=-np.inf, worst_id=0)[names]
+
+    names = [c.split()[0] for c in frame.split(", ")]
+    regional = keep(asked.mapInPandas(go_home, "query BIGINT, own BIGINT, vector ARRAY<DOUBLE>, region INT"), "regional")
+    home = keep(_dealt_within(regional, index.roots, choose, frame), "home")
     first = keep(_searched(index, home, k), "first-found")
 
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), "id")
@@ -300,8 +335,8 @@ def top_k(index: Index | None, queries: DataFrame, k: int) -> DataFrame:
     bounds = home.select("query", "own", "vector", F.col("tree").alias("home")).join(
         last.select("query", F.col("score").cast("double").alias("worst"), F.col("id").alias("worst_id")), "query", "left"
     )
-    rest = keep(_promising(index, bounds, frame), "promising")
-    found = first.unionByName(_searched(index, rest, k))
+    rest = keep(_promising(index, bounds), "promising")
+    found = first.unionByName(_searched(index, rest.join(home.select("query", "own", "vector"), "query").select(names), k))
     ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.join(asked.select("query", F.col("id").alias("query_id")), "query").select(
         "query_id", F.col("rank").cast("int").alias("rank"), "id", "score"
@@ -331,18 +366,18 @@ def _searched(index: Index, work: DataFrame, k: int) -> DataFrame:
     return pages.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, FOUND)
 
 
-def _promising(index: Index, bounds: DataFrame, frame: str) -> DataFrame:
-    """Queries with the other trees whose root does not rule out something better, block by block."""
+def _promising(index: Index, bounds: DataFrame) -> DataFrame:
+    """(tree, query, worst, worst_id): the other trees whose root does not rule out something better, block by block."""
     longest, width = index.longest, index.width
     roots = index.pages.where("parent < 0").select("tree", "pivot", "radius", "least_id")
-    n_blocks = -(-sum(index.trees) // BLOCK)
+    n_blocks = -(-roots.count() // BLOCK)
     root_blocks = roots.groupBy(F.pmod(F.xxhash64("tree"), F.lit(n_blocks)).alias("root_block")).agg(
         F.collect_list(F.struct("tree", "pivot", "radius", "least_id")).alias("roots")
     )
     n_shares = -(-bounds.count() // BLOCK) or 1
     blocks = (
         bounds.groupBy(F.pmod(F.xxhash64("query"), F.lit(n_shares)).alias("share"))
-        .agg(F.collect_list(F.struct("query", "own", "vector", "home", "worst", "worst_id")).alias("queries"))
+        .agg(F.collect_list(F.struct("query", "vector", "home", "worst", "worst_id")).alias("queries"))
         .withColumn("root_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
     )
 
@@ -364,14 +399,14 @@ def _promising(index: Index, bounds: DataFrame, frame: str) -> DataFrame:
                     (most < worst[:, None] + 0.5) & (least[None, :] > worst_id[:, None])
                 )
                 for i, j in zip(*np.nonzero(~ruled_out & (trees[None, :] != home[:, None]))):
-                    q = queries[i]
-                    open_pairs.append((trees[j], q["query"], q["own"], q["vector"], worst[i], worst_id[i]))
+                    open_pairs.append((trees[j], queries[i]["query"], worst[i], worst_id[i]))
                     if len(open_pairs) >= BLOCK:
                         yield pd.DataFrame(open_pairs, columns=names)
                         open_pairs.clear()
                 yield pd.DataFrame(open_pairs, columns=names)
                 open_pairs.clear()
 
-    names = [c.split()[0] for c in frame.split(", ")]
+    names = ["tree", "query", "worst", "worst_id"]
     open_pairs: list[tuple] = []
-    return blocks.join(root_blocks, "root_block").select("roots", "queries").mapInPandas(compare, frame)
+    found = "tree BIGINT, query BIGINT, worst DOUBLE, worst_id BIGINT"
+    return blocks.join(root_blocks, "root_block").select("roots", "queries").mapInPandas(compare, found)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from airlake.llm.mtree import Search, build, build_index, top_k
 
@@ -62,7 +63,9 @@ def test_many_trees_equal_brute_force(spark, rows):
     odd = [(900, None), (901, [1.0, None]), (902, [float("nan")] * 6), (903, [float("inf")]), (None, [1.0] * 6), (904, [7.0]), (905, [])]
     repeated = [data[250], data[250], data[0]]
     frame = rows(data + odd + repeated, "id BIGINT, vector ARRAY<DOUBLE>")
-    index = build_index(frame, regions=4, tree_rows=64, page=8, fan=3)
+    index = build_index(frame, tree_rows=64, page=8, fan=3)
+    trees = index.pages.where('parent < 0').select('tree').distinct().count()
+    assert len(index.pivots) <= 4 and trees >= 10  # in two levels
     found = top_k(index, frame.where("id % 25 = 0 OR id > 900"), 5).collect()
     stored = [(i, np.pad(np.array(v), (0, 6 - len(v)))) for i, v in data + [odd[5], odd[6]] + repeated]
     by = {}
@@ -83,3 +86,23 @@ def test_small_and_empty_tables(spark, rows):
     two = rows([(1, [1.0, 2.0]), (2, [3.0, -1.0])], schema)
     assert [tuple(r) for r in top_k(build_index(two), two, 5).orderBy("query_id").collect()] == [(1, 1, 2, 1), (2, 1, 1, 1)]
     assert top_k(build_index(two), none, 5).count() == 0
+
+
+def test_open_pairs_hold_no_vectors(spark, rows):
+    from airlake.llm import mtree
+
+    vectors = clusters(5, 300, 4)
+    frame = rows([(i, v.tolist()) for i, v in enumerate(vectors)], "id BIGINT, vector ARRAY<DOUBLE>")
+    index = build_index(frame, tree_rows=32, page=8, fan=3)
+    some = frame.limit(20).select(F.col("id").alias("query"), "vector", F.lit(-1).cast("long").alias("home"), F.lit(1e6).alias("worst"), F.lit(0).cast("long").alias("worst_id"))
+    pairs = mtree._promising(index, some)
+    assert pairs.columns == ["tree", "query", "worst", "worst_id"] and pairs.count() == 0  # nothing beats that bound
+    trees = index.pages.where("parent < 0").count()
+    assert mtree._promising(index, some.withColumn("worst", F.lit(-1e9))).count() == 20 * trees
+
+
+def test_columns_with_clashing_names(spark, rows):
+    data = [(i, [float(i % 7), 1.0], 5, "x") for i in range(40)]
+    frame = rows(data, "id BIGINT, vector ARRAY<DOUBLE>, tree INT, query STRING")
+    found = top_k(build_index(frame), frame.where("id = 3"), 2).collect()
+    assert [(r.query_id, r.id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [(3, 6, 19), (3, 13, 19)]
