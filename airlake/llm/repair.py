@@ -270,7 +270,9 @@ def _streamed(df: DataFrame, keys: list[str], order: list[str], function: Callab
             columns = [pa.array(c, t) for c, t in zip_longest(zip(*held), types)]
             yield pa.RecordBatch.from_arrays(columns, names=out.names)
 
-    placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    # A number that is asked for is kept: few small rows may still be much work.
+    width_of_shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartition(width_of_shuffles, *keys).sortWithinPartitions(*keys, *order)
     return placed.mapInArrow(run, out)
 
 
