@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from airlake.functions.text import clean_text
+from airlake.sources.xml_pieces import whole_records
 
 MULTI_VALUE_SEPARATOR = " | "
 
@@ -66,10 +67,13 @@ def read_xml_records(
 
     The closing tag is the line separator of a text scan, so one uncompressed file
     is cut into as many splits as its size asks for; each piece is then parsed by
-    the built-in XML function. The closing tag must not occur inside CDATA.
+    the built-in XML function. A closing tag inside a comment or a CDATA section is text: files with
+    either are read once more beforehand, to put such pieces together (``whole_records``).
     """
     closing = f"</{row_tag}>"
     pieces = spark.read.option("lineSep", closing).text(path)
+    if not pieces.where(F.col("value").contains("<!--") | F.col("value").contains("<![CDATA[")).isEmpty():
+        pieces = whole_records(pieces, closing, row_tag)
     text = decode_bytes(F.col("value"), charset)
     element = F.concat(F.regexp_extract(text, rf"(?s)<{row_tag}[\s>].*", 0), F.lit(closing))
     return (

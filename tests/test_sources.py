@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 import pytest
@@ -195,3 +196,36 @@ def test_haversine(rows):
     assert got[0] == pytest.approx(20015.0868, abs=1e-3)
     assert got[1] == 0.0
     assert got[2] == pytest.approx(655, abs=2)
+
+
+def test_closing_tags_that_are_text(spark, tmp_path):
+    from xml.sax.saxutils import escape
+
+    draw = random.Random(4)
+    texts = ["plain", "a </R> b", "</R></R>", "<R>", "x ]]", "<!-- not one", "-- > -->", "]] > ", "long " * 200 + "</R>" + "end " * 200]
+    names, parts = [], ["<?xml version='1.0'?>\n<D><!-- <R><A>never</A></R> -->\n"]
+    for i in range(300):
+        name = f"{i} " + draw.choice(texts)
+        hidden = "".join(draw.choice(["<!-- </R> <R><A>no</A></R> -->", "<!-- <![CDATA[ -->", ""]) for _ in range(2))
+        value = escape(name) if draw.random() < 0.3 else f"<![CDATA[{name}]]>"
+        names.append(name.strip())
+        parts.append(f"{hidden}<R>{hidden}<A>{value}</A></R>\n")
+    path = tmp_path / "r.xml"
+    path.write_text("".join(parts) + "<!-- </R> --></D>\n", encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("1500", before):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = read_xml_records(spark, str(path), record_schema(["A"]), "R", "utf-8")
+            got = sorted(r.A for r in found.collect())
+            assert spark.read.text(str(path)).rdd.getNumPartitions() > 20 or size == before
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert [" ".join(g.split()) for g in got] == [" ".join(n.split()) for n in sorted(names)]
+
+
+def test_undecoded_bytes_pass_through_sections(spark, tmp_path):
+    path = tmp_path / "r.xml"
+    path.write_bytes("<D><RECORD><NAME><![CDATA[Фірма </RECORD> «Я»]]></NAME></RECORD><RECORD><NAME>Інша</NAME></RECORD></D>".encode("windows-1251"))
+    found = read_xml_records(spark, str(path), record_schema(["NAME"]))
+    assert sorted(r.NAME for r in found.collect()) == ["Інша", "Фірма </RECORD> «Я»"]
