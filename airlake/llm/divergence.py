@@ -18,17 +18,24 @@ terms and tile by tile of groups, and no task holds more than two tiles' words o
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airlake.llm.batches import chunks
 from airlake.operators.windows import number_within, top_n_per_group
 from airlake.scratch import keep
 
 #: A term: letters of ASCII, lower-cased, and everything beyond ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bytes of text whose terms are summed together.
+TOGETHER = 4 << 20
 #: Documents of its language a kept term is in, at least.
 MIN_DOCS = 30
 #: Added to every count; what a share of 1 is.
@@ -59,14 +66,46 @@ def share_values(counts: np.ndarray, total: int, terms: int) -> np.ndarray:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """``n`` occurrences of each term in each group, and ``docs`` with it; from one pass over the texts."""
-    lowered = F.translate("text", UPPER, LOWER)
-    terms = docs.select("lang", "source", F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0)).alias("terms"))
-    # Each occurrence, and each term of the document once more as its document.
-    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("docs")))
-    all_of = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("docs")))
-    each = terms.select("lang", "source", F.explode(F.concat(all_of, once)).alias("t"))
-    return each.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.sum("t.n").alias("n"), F.sum("t.docs").alias("docs"))
+    """``n`` occurrences of each term in each group, and ``docs`` with it; from one pass over the texts.
+
+    A task sums what a few MB of texts hold before anything is handed on.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in chunks(whole, "text", TOGETHER):
+                yield _counted(batch)
+
+    each = docs.select("lang", "source", "text").mapInArrow(count, "lang STRING, source STRING, term STRING, n BIGINT, docs BIGINT")
+    return each.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
+def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Terms of a batch's groups."""
+    parts = pc.split_pattern_regex(pc.ascii_lower(batch.column("text")), BETWEEN)
+    coded = parts.values.dictionary_encode()
+    terms, term_of = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    doc_of = np.repeat(np.arange(len(batch)), np.diff(parts.offsets.to_numpy()))
+    langs, sources = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
+    lang_of, source_of = (c.indices.to_numpy().astype(np.int64) for c in (langs, sources))
+    group_of = lang_of * len(sources.dictionary) + source_of
+    nothing = pc.index(terms, pa.scalar("", terms.type)).as_py()
+    if nothing >= 0:  # before the first term, after the last
+        some = term_of != nothing
+        term_of, doc_of = term_of[some], doc_of[some]
+    size = max(len(terms), 1)
+    cells, n = np.unique(group_of[doc_of] * size + term_of, return_counts=True)
+    once = np.unique(doc_of * size + term_of, return_counts=True)[0]
+    docs = np.unique(group_of[once // size] * size + once % size, return_counts=True)[1]
+    group, term = cells // size, cells % size
+    return pa.RecordBatch.from_arrays(
+        [
+            langs.dictionary.take(pa.array(group // max(len(sources.dictionary), 1))),
+            sources.dictionary.take(pa.array(group % max(len(sources.dictionary), 1))),
+            terms.take(pa.array(term)), pa.array(n), pa.array(docs),
+        ],
+        names=["lang", "source", "term", "n", "docs"],
+    )
 
 
 def level_bitmaps(cells: DataFrame) -> DataFrame:

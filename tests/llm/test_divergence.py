@@ -19,7 +19,7 @@ def brute_force(rows, min_docs, listed):
     rows = [tuple(x or "" for x in r) for r in rows]
     counts, in_lang, docs = {}, {}, {}
     for lang, source, text in rows:
-        words = TERM.findall(text.translate(str.maketrans(module.UPPER, module.LOWER)))
+        words = TERM.findall(re.sub('[A-Z]', lambda m: m[0].lower(), text))
         counts.setdefault((lang, source), Counter()).update(words)
         in_lang.setdefault(lang, Counter()).update(words)
         docs.setdefault(lang, Counter()).update(set(words))
