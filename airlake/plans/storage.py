@@ -418,16 +418,13 @@ def bucket_sizes(spark, folder):
 @query("split_report", "SELECT COUNT(*) AS rows, TRUE AS several, CAST(0 AS BIGINT) AS gaps, TRUE AS whole FROM orders")
 def orders_splits(spark, folder):
     """One text file in pieces: they follow each other without a gap and cover it."""
-    size = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(size)
+    own = spark.newSession()  # other queries keep their size of pieces
+    own.conf.set("spark.sql.files.maxPartitionBytes", 16384)
     with working_area(spark) as area:
-        _, path = area.place("lines")
+        (_, path), (_, report) = area.place("lines"), area.place("splits")
         companies(spark, folder).coalesce(1).write.csv(path)
-        spark.conf.set(size, 16384)
-        try:
-            pieces = area.keep(split_report(spark.read.csv(path)), "splits")
-        finally:
-            spark.conf.set(size, before)
+        split_report(own.read.csv(path)).write.parquet(report)
+        pieces = spark.read.parquet(report)
         end = F.lag(F.col("start") + F.col("length")).over(Window.partitionBy("file").orderBy("start"))
         placed = pieces.withColumn("gap", F.col("start") != F.coalesce(end, F.lit(0)))
         stored = file_sizes(spark, path).agg(F.sum("bytes")).first()[0]
