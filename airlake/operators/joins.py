@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlake.scratch import keep
+from airlake.scratch import keep, shuffle_width
 
 
 def _pairs(left: str, right: str):
@@ -47,6 +47,8 @@ def pair_totals(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 #: Rows of one side that meet in a cell of a hot key's grid.
 CELL_ROWS = 20_000
+#: Tasks for each cell, so that few cells share one; and no more tasks than these.
+TASKS_PER_CELL, MOST_TASKS = 4, 50_000
 
 
 def grid_join(left: DataFrame, right: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -56,6 +58,9 @@ def grid_join(left: DataFrame, right: DataFrame, key: str, cell_rows: int = CELL
     there as it needs; each row goes to one piece of its own side and to all pieces of the other. So the pairs of a key that
     is hot on both sides are a grid of cells, each no more than ``cell_rows`` rows square, in as many tasks.
     Other keys are one cell. Nulls join nothing.
+
+    Both sides are dealt to a fixed number of tasks, several for each cell: what a task does is its pairs, so small
+    partitions must neither be coalesced by their bytes nor the splits of a small file be joined as they are.
     """
 
     def pieces(side: DataFrame, name: str) -> DataFrame:
@@ -65,12 +70,14 @@ def grid_join(left: DataFrame, right: DataFrame, key: str, cell_rows: int = CELL
     # A row per key that both sides have; only keys of more than one cell are joined to their rows.
     shape = pieces(left, "_rows_down").join(pieces(right, "_rows_across"), key)
     grid = keep(shape.where("_rows_down > 1 OR _rows_across > 1"), "grid")
+    cells = grid.agg(F.sum(F.col("_rows_down").cast("long") * F.col("_rows_across"))).first()[0] or 0
+    tasks = max(shuffle_width(left.sparkSession), min(TASKS_PER_CELL * cells, MOST_TASKS))
 
     def placed(side: DataFrame, own: str, other: str, cell: str, other_cell: str) -> DataFrame:
         mixed = F.xxhash64(*side.columns)
         at = side.join(grid, key, "left").withColumn(cell, F.coalesce(F.pmod(mixed, F.col(own)).cast("int"), F.lit(0)))
         everywhere = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
-        return at.withColumn(other_cell, F.explode(everywhere)).drop(own, other)
+        return at.withColumn(other_cell, F.explode(everywhere)).drop(own, other).repartition(tasks, key, "_down", "_across")
 
     down = placed(left, "_rows_down", "_rows_across", "_down", "_across")
     across = placed(right, "_rows_across", "_rows_down", "_across", "_down")

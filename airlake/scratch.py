@@ -91,6 +91,14 @@ def keep(df: DataFrame, label: str = "kept") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffle_width(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions before any are coalesced."""
+    return int(
+        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        or spark.conf.get("spark.sql.shuffle.partitions")
+    )
+
+
 class WorkingArea:
     """Copies that live as long as the work that needs them."""
 
@@ -117,10 +125,7 @@ class WorkingArea:
         such a join is shuffled. A bucket is written and read by one task: split keys with
         many rows by a further key. ``placed``: the rows lie that way already, as a join with such a copy leaves them.
         """
-        buckets = int(
-            self.spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-            or self.spark.conf.get("spark.sql.shuffle.partitions")
-        )
+        buckets = shuffle_width(self.spark)
         name, path = self.place(label)
         (
             (df if placed else df.repartition(buckets, *keys))

@@ -195,6 +195,16 @@ def test_grid_join_forms_every_pair_once(spark, rows):
     assert grid_join(sides[0].limit(0), sides[1], "k").count() == 0
 
 
+def test_small_sides_are_dealt_to_tasks_as_well(spark, tmp_path):
+    """A pair costs the same however few bytes its rows have: a small file's one split must not form all pairs."""
+    side = spark.range(300).select((F.col("id") % 2).alias("k"), F.col("id").alias("i")).coalesce(1)
+    side.write.parquet(str(tmp_path / "side"))
+    left = spark.read.parquet(str(tmp_path / "side"))
+    joined = grid_join(left, left.withColumnRenamed("i", "j"), "k", cell_rows=50)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2 * 150 * 150 and len(sizes) >= 4 and max(sizes) <= 2 * 150 * 150 / 2
+
+
 def test_a_hot_key_is_spread_over_tasks(spark, rows):
     left = spark.range(3000).select(F.lit("hot").alias("k"), F.col("id").alias("i"))
     right = spark.range(2000).select(F.lit("hot").alias("k"), F.col("id").alias("j"))
