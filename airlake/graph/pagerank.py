@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
 from airlake.rounds import RoundLog
-from airlake.scratch import WorkingArea, cut_lineage, working_area
+from airlake.scratch import WorkingArea, cut_lineage, shuffle_width, working_area
 
 CHECKPOINT_INTERVAL = 5
 #: Links of one source that lie together; a source with more has as many pieces as it needs.
@@ -32,23 +32,36 @@ def to_pieces(df: DataFrame) -> DataFrame:
 
 
 def _links(graph: Graph, links_per_piece: int, area: WorkingArea) -> tuple[DataFrame, bool]:
-    """(src, piece, dsts, fan_out, pieces), and whether any source has several pieces.
+    """(src, piece, to, fan_out, pieces), and whether any source has several pieces.
 
-    A row is a source's piece with the vertices it leads to; a vertex without links has an empty one. Written
-    once, hashed by source and, where sources have several pieces, by piece as well.
+    A row is a source's piece with the vertices it leads to, behind the source itself in the first piece (null in
+    others); what has no links, vertex or only an edge's end, has only itself. Edges are moved once, hashed by source and, where sources have
+    several pieces, by piece as well, and written where they are.
     """
-    out = graph.out_degrees.select(F.col("id").alias("src"), F.col("outDegree").alias("fan_out"))
-    out = area.keep(out.withColumn("pieces", pieces_of("fan_out", links_per_piece)), "fan_out")
-    # Parallel edges to one vertex are dealt to pieces like others.
-    edges = graph.edges.select("src", "dst").withColumn("_edge", F.monotonically_increasing_id()).join(out, "src")
-    edges = edges.select("src", piece_of(F.struct("dst", "_edge"), "pieces").alias("piece"), "dst", "fan_out", "pieces")
-    alone = graph.vertices.select(F.col("id").alias("src"), F.lit(1).alias("piece")).join(out, "src", "left")
-    each = edges.unionByName(alone.select("src", "piece", F.lit(None).alias("dst"), "fan_out", "pieces"))
-    lists = each.groupBy("src", "piece").agg(
-        F.collect_list("dst").alias("dsts"), F.max("fan_out").alias("fan_out"), F.coalesce(F.max("pieces"), F.lit(1)).alias("pieces")
-    )
-    several = not out.where("pieces > 1").isEmpty()
-    return area.bucketed(lists, ["src", "piece"] if several else ["src"], "links"), several
+    hot = graph.out_degrees.select(F.col("id").alias("src"), pieces_of("outDegree", links_per_piece).alias("pieces"))
+    hot = area.keep(hot.where("pieces > 1 AND src IS NOT NULL"), "hot")
+    several = not hot.isEmpty()
+    keys = ["src", "piece"] if several else ["src"]
+    edges = graph.edges.select("src", "dst", F.lit(1).alias("links")).where("src IS NOT NULL")
+    ends = graph.vertices.select("id").union(graph.edges.select("dst").distinct())
+    alone = ends.select(F.col("id").alias("src"), F.lit(None).alias("dst"), F.lit(0).alias("links"))
+    if several:
+        # Of few sources; parallel edges to one vertex are dealt to pieces like others.
+        edges = edges.withColumn("_edge", F.monotonically_increasing_id()).join(F.broadcast(hot), "src", "left")
+        piece = F.when(F.col("pieces") > 1, piece_of(F.struct("dst", "_edge"), "pieces")).otherwise(1)
+        edges = edges.select("src", piece.alias("piece"), "dst", "links")
+        alone = alone.withColumn("piece", F.lit(1))
+    each = edges.unionByName(alone).repartition(shuffle_width(area.spark), *keys)
+    lists = each.groupBy(*keys).agg(F.collect_list("dst").alias("dsts"), F.sum("links").alias("fan_out"))
+    if several:
+        total = graph.out_degrees.select(F.col("id").alias("src"), F.col("outDegree").alias("_all"))
+        total = F.broadcast(total.join(F.broadcast(hot), "src"))
+        lists = lists.join(total, "src", "left").withColumn("fan_out", F.coalesce("_all", "fan_out")).drop("_all")
+    else:
+        lists = lists.withColumn("piece", F.lit(1)).withColumn("pieces", F.lit(1))
+    to = F.array_prepend("dsts", F.when(F.col("piece") == 1, F.col("src")))
+    lists = lists.select("src", "piece", to.alias("to"), "fan_out", F.coalesce("pieces", F.lit(1)).alias("pieces"))
+    return area.bucketed(lists, keys, "links", placed=True), several
 
 
 def _ranks(
@@ -57,51 +70,61 @@ def _ranks(
 ) -> DataFrame:
     """(id, rank_0, rank_1, …): one rank per reset probability, all in the same rounds.
 
-    Links are lists, written once, and stay in place. A round hands the ranks to them, which moves nothing unless
-    a source has several pieces, and shuffles what the lists hand on, already summed per task and target. Each
-    vertex hands itself nothing, so all stay, together with their last ranks.
+    Links are lists, written once, and stay in place. What walks without resets bring to a vertex after k rounds,
+    ``walks``, is the same for every probability r: a walk takes k steps without a reset with probability (1 - r)^k,
+    so the rank after n rounds is the sum of r (1 - r)^k walks_k for k < n and of (1 - r)^n walks_n. So a round
+    shuffles one number per link, already summed per task and target, however many probabilities there are. Each
+    vertex hands itself nothing, so all stay, together with the sums of their rounds so far.
 
     With ``tol`` rounds end at the first checkpoint where the ranks' changes in one round add up to no
     more than ``tol`` per vertex. With ``log`` checkpoints are recorded there, and rounds recorded before are not
     run again.
     """
-    columns, before = ([f"{name}_{i}" for i in range(len(resets))] for name in ("rank", "before"))
+    sums = [f"sum_{i}" for i in range(len(resets))]
     with working_area(graph.edges.sparkSession) as area:
         links, several = _links(graph, links_per_piece, area)
-        ranks = links.where("piece = 1").select(
-            F.col("src").alias("id"), *(F.lit(1.0).alias(c) for c in columns), *(F.lit(1.0).alias(c) for c in before), "pieces"
-        )
-        itself, to = F.col("pos") == 0, F.array_prepend("dsts", F.when(F.col("piece") == 1, F.col("src")))
+        extra = ["pieces"] if several else []
         found = log.last(max_iter) if log else None
-        done, ranks = found if found else (0, ranks)
+        done, ranks = found if found else (
+            0, links.where("piece = 1").select(F.col("src").alias("id"), F.lit(1.0).alias("walks"), *(F.lit(0.0).alias(c) for c in sums), *extra)
+        )
+        itself = (F.col("pos") == 0) & (F.col("piece") == 1)
         for round_ in range(done + 1, max_iter + 1):
-            known = ranks.select(F.col("id").alias("src"), *columns, *(["pieces"] if several else []))
-            lists = links.drop("pieces") if several else links
+            weights = [reset * (1.0 - reset) ** (round_ - 1) for reset in resets]
+            known = ranks.select(
+                F.col("id").alias("src"), "walks", *((F.col(c) + F.lit(w) * F.col("walks")).alias(c) for c, w in zip(sums, weights)), *extra
+            )
+            lists = links.drop("pieces") if several else links.drop("pieces", "piece").withColumn("piece", F.lit(1))
             at_links = lists.join(to_pieces(known), ["src", "piece"]) if several else lists.join(known, "src")
-            sent = at_links.select("fan_out", "pieces", *columns, F.posexplode(to).alias("pos", "id")).where("id IS NOT NULL")
-            flows = [F.sum(F.when(itself, 0.0).otherwise(F.col(c) / F.col("fan_out"))) for c in columns]
-            ranks = sent.groupBy("id").agg(
-                *((F.lit(reset) + F.lit(1.0 - reset) * flow).alias(c) for reset, flow, c in zip(resets, flows, columns)),
-                *(F.max(F.when(itself, F.col(c))).alias(b) for c, b in zip(columns, before)),
-                F.coalesce(F.max(F.when(itself, F.col("pieces"))), F.lit(1)).alias("pieces"),
+            share = F.when(F.col("fan_out") > 0, F.col("walks") / F.col("fan_out"))
+            at_links = at_links.select("piece", share.alias("share"), "walks", *sums, *extra, F.posexplode("to").alias("pos", "id"))
+            before = [F.max(F.when(itself, F.col("walks"))).alias("before")] if tol is not None else []
+            ranks = at_links.where("id IS NOT NULL").groupBy("id").agg(
+                F.sum(F.when(itself, 0.0).otherwise(F.col("share"))).alias("walks"), *before,
+                *(F.max(F.when(itself, F.col(c))).alias(c) for c in [*sums, *extra]),
             )
             if round_ % checkpoint_interval == 0 or round_ == max_iter:
                 ranks = log.record(round_, ranks) if log else cut_lineage(ranks)
-                if tol is not None and _settled(ranks, columns, before, tol):
+                done = round_
+                if tol is not None and _settled(ranks, [(1.0 - reset) ** round_ for reset in resets], tol):
                     break
         if max_iter == 0:
             ranks = cut_lineage(ranks)
 
+    ranks = ranks.select("id", *(
+        (F.col(c) + F.lit((1.0 - reset) ** done) * F.col("walks")).alias(f"rank_{i}") for i, (c, reset) in enumerate(zip(sums, resets))
+    ))
+    columns = [f"rank_{i}" for i in range(len(resets))]
     count, *totals = ranks.agg(F.count(F.lit(1)), *(F.sum(c) for c in columns)).first()
     return ranks.select(
         "id", *((F.col(c) * F.lit(count / total if total else 0.0)).alias(c) for c, total in zip(columns, totals))
     )
 
 
-def _settled(ranks: DataFrame, columns: list[str], before: list[str], tol: float) -> bool:
-    """Whether the last round changed every column's ranks by no more than ``tol`` per vertex."""
-    count, *changes = ranks.agg(F.count(F.lit(1)), *(F.sum(F.abs(F.col(c) - F.col(b))) for c, b in zip(columns, before))).first()
-    return all((change or 0.0) <= tol * count for change in changes)
+def _settled(ranks: DataFrame, weights: list[float], tol: float) -> bool:
+    """Whether the last round changed the ranks of every probability by no more than ``tol`` per vertex."""
+    count, change = ranks.agg(F.count(F.lit(1)), F.sum(F.abs(F.col("walks") - F.col("before")))).first()
+    return all(weight * (change or 0.0) <= tol * count for weight in weights)
 
 
 def pagerank(

@@ -300,6 +300,21 @@ def test_ranks_are_handed_to_links_in_place(spark, monkeypatch, plan):
     assert len([line for line in seen[0].splitlines() if line.startswith("(") and ") Exchange" in line]) == 4
 
 
+def test_a_sweep_shuffles_one_number_per_link(spark, monkeypatch):
+    """However many probabilities: what a round hands on doesn't depend on them."""
+    import airlake.graph.pagerank as module
+
+    graph, pairs = random_graph(spark, 3)
+    states, original = [], module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: states.append(df._jdf.queryExecution().optimizedPlan().toString()) or original(df))
+    resets = [0.05, 0.15, 0.3, 0.5, 0.85]
+    got = {(r.reset, r.id): r.pagerank for r in module.pagerank_sweep(graph, resets, 40, 4, checkpoint_interval=4).collect()}
+    for reset in resets:
+        assert [got[reset, i] for i in range(40)] == pytest.approx(brute_pagerank(40, pairs, reset, 4), abs=1e-6)
+    sums = [line for line in states[0].splitlines() if "Aggregate" in line and "sum(" in line]
+    assert sums and all(line.count("sum(") == 1 for line in sums)
+
+
 def test_plan_of_pagerank_grows_with_the_rounds_only(spark, monkeypatch):
     """Hub or not, a round adds one join; nothing is doubled."""
     import airlake.graph.pagerank as module
