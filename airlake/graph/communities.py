@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.graph.pagerank import LINKS_PER_PIECE, piece_of, pieces_of, to_pieces
+from airlake.graph.pagerank import LINKS_PER_PIECE, piece_of, pieces_of
 from airlake.operators.aggregates import listed, ranked_list, share
 from airlake.operators.windows import top_n_per_group
-from airlake.scratch import cut_lineage, keep, working_area
+from airlake.scratch import WorkingArea, cut_lineage, keep, shuffle_width, working_area
 
 
 def label_propagation(
@@ -20,27 +20,20 @@ def label_propagation(
     Every edge carries labels both ways. Ties go to the smallest label, so results
     are repeatable; a vertex without neighbours keeps its own.
 
-    The votes of every (vertex, label) are kept. A round sends those of changed speakers only, for the new label
-    and against the old one, and picks winners where votes came in: what is shuffled falls with the changes, and rounds
-    end when nothing has changed. Links are lists that stay where they are, hashed by speaker and piece, and so do
-    the votes, hashed by vertex and label; a vertex with very many neighbours is spoken for and counted by many tasks.
+    Links are lists that stay where they are, hashed by speaker; as every edge carries labels both ways, a vertex's list
+    is also what it hears in the first round, when all say their own ids. In later rounds every speaker's label goes to
+    its hearers, in one shuffle by hearer, where votes are counted and the winner found. Where vertices have very many
+    neighbours, lists are cut into pieces and votes are counted by vertex and label first, so that many tasks speak
+    and count for such a vertex. Rounds end when nothing has changed. An end that is no vertex says its own id.
     """
     ends = graph.edges.select(F.col("src").alias("speaker"), F.col("dst").alias("hearer"))
-    ends = ends.union(graph.edges.select("dst", "src"))
+    ends = ends.union(graph.edges.select("dst", "src")).where("speaker IS NOT NULL AND hearer IS NOT NULL")
     winner = F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"].alias("new")
     with working_area(graph.edges.sparkSession) as area:
-        links = area.keep(ends.groupBy("speaker", "hearer").agg(F.count(F.lit(1)).alias("weight")), "links")
-        spoken = links.groupBy("speaker").agg(F.count(F.lit(1)).alias("_links"))
-        spoken = area.keep(spoken.select("speaker", pieces_of("_links", links_per_piece).alias("pieces")), "speakers")
-        lists = area.bucketed(
-            links.join(spoken, "speaker").groupBy("speaker", piece_of("hearer", "pieces").alias("piece"))
-            .agg(F.collect_list(F.struct("hearer", "weight")).alias("hearers")),
-            ["speaker", "piece"], "lists",
-        )
+        lists, several = _heard(ends, links_per_piece, area)
         labels = graph.vertices.select("id", F.col("id").alias("label"))
-        # In the first round every speaker's label is its own id.
-        votes = links.select(F.col("hearer").alias("id"), F.col("speaker").alias("label"), F.col("weight").alias("n"))
-        winners = votes.groupBy("id").agg(winner)
+        first = F.array_min(F.transform("hearers", lambda x: F.struct((-x["weight"]).alias("n"), x["hearer"].alias("label"))))
+        winners = lists.select(F.col("speaker").alias("id"), first.alias("best")).groupBy("id").agg(F.min("best")["label"].alias("new"))
         for round_ in range(1, max_iter + 1):
             found = labels.join(winners, "id", "left")
             moved = found.select("id", F.col("label").alias("old"), F.coalesce("new", "label").alias("label"))
@@ -52,31 +45,28 @@ def label_propagation(
             if changed.isEmpty():
                 labels = labels if round_ % checkpoint_interval == 0 else cut_lineage(labels)
                 break
-            deltas = area.keep(_sent(lists, changed.join(spoken.withColumnRenamed("speaker", "id"), "id")), "deltas")
-            if round_ == 1:
-                votes = area.bucketed(votes, ["id", "label"], "votes")
-            votes = area.bucketed(_counted(votes, deltas), ["id", "label"], "votes", placed=True)
-            heard = deltas.select("id").distinct()
-            winners = votes.join(heard, "id", "left_semi").groupBy("id").agg(winner)
+            said = lists.join(labels.withColumnRenamed("id", "speaker"), "speaker", "left")
+            said = said.select(F.coalesce("label", "speaker").alias("label"), F.inline("hearers"))
+            votes = said.select(F.col("hearer").alias("id"), "label", "weight")
+            votes = votes if several else votes.repartition(shuffle_width(area.spark), "id")
+            winners = votes.groupBy("id", "label").agg(F.sum("weight").alias("n")).groupBy("id").agg(winner)
         if max_iter == 0:
             labels = cut_lineage(labels)
     return graph.vertices.join(labels, "id")
 
 
-def _sent(lists: DataFrame, changed: DataFrame) -> DataFrame:
-    """(id, label, n): changes of votes, for what the changed vertices say now and against what they said before."""
-    speakers = to_pieces(changed.withColumnRenamed("id", "speaker"))
-    heard = lists.join(speakers, ["speaker", "piece"]).select("old", "label", F.inline("hearers"))
-    both = F.array(F.struct(F.col("label"), F.col("weight").alias("n")), F.struct(F.col("old").alias("label"), (-F.col("weight")).alias("n")))
-    each = heard.select(F.col("hearer").alias("id"), F.inline(both))
-    return each.groupBy("id", "label").agg(F.sum("n").alias("n")).where("n <> 0")
-
-
-def _counted(votes: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Votes with the changes; those nobody gives any more are left out."""
-    changes = deltas.withColumnRenamed("n", "more")
-    n = F.coalesce("n", F.lit(0)) + F.coalesce("more", F.lit(0))
-    return votes.join(changes, ["id", "label"], "full").select("id", "label", n.alias("n")).where("n > 0")
+def _heard(ends: DataFrame, links_per_piece: int, area: WorkingArea) -> tuple[DataFrame, bool]:
+    """(speaker, hearers) lists of (hearer, weight), and whether any speaker has several; ends are moved once, by speaker."""
+    hot = ends.groupBy("speaker").agg(F.count(F.lit(1)).alias("_links"))
+    hot = area.keep(hot.select("speaker", pieces_of("_links", links_per_piece).alias("pieces")).where("pieces > 1"), "hot")
+    several = not hot.isEmpty()
+    keys = ["speaker", "piece"] if several else ["speaker"]
+    if several:
+        piece = F.when(F.col("pieces") > 1, piece_of("hearer", "pieces")).otherwise(1)
+        ends = ends.join(F.broadcast(hot), "speaker", "left").select("speaker", piece.alias("piece"), "hearer")
+    links = ends.repartition(shuffle_width(area.spark), *keys).groupBy(*keys, "hearer").agg(F.count(F.lit(1)).alias("weight"))
+    lists = links.groupBy(*keys).agg(F.collect_list(F.struct("hearer", "weight")).alias("hearers"))
+    return area.bucketed(lists, keys, "lists", placed=True).select("speaker", "hearers"), several
 
 
 def group_sizes(members: DataFrame, group: str, at_least: int = 1) -> DataFrame:

@@ -471,3 +471,24 @@ def test_community_summary(rows):
     }
     alone = community_summary(members, degrees.where("id = 9"), at_least=1).where("label = 2").first()
     assert alone.hubs is None
+
+
+@pytest.mark.parametrize("links_per_piece", [100_000, 2])
+def test_label_rounds_write_no_votes(spark, monkeypatch, links_per_piece):
+    """Links are written once; a round writes labels only. Ends without a vertex vote for themselves in every round."""
+    from airlake.scratch import WorkingArea
+
+    graph, pairs = random_graph(spark, 5)
+    written, original = [], WorkingArea.bucketed
+    monkeypatch.setattr(WorkingArea, "bucketed", lambda self, df, *rest, **more: written.append(df.columns) or original(self, df, *rest, **more))
+    some = Graph(graph.vertices.where("id >= 10"), graph.edges)
+    got = {r.id: r.label for r in label_propagation(some, 4, 1, links_per_piece).collect()}
+    labels = {i: i for i in range(40)}
+    for _ in range(4):
+        votes = {i: {} for i in labels}
+        for a, b in pairs:
+            for x, y in ((a, b), (b, a)):
+                votes[x][labels[y]] = votes[x].get(labels[y], 0) + 1
+        labels = {i: min((-n, l) for l, n in votes[i].items())[1] if i >= 10 and votes[i] else labels[i] for i in labels}
+    assert got == {i: labels[i] for i in range(10, 40)}
+    assert len(written) == 1 and "hearers" in written[0]
