@@ -30,7 +30,7 @@ REMEMBERED_WORDS = 400_000
 #: What parts words that are merged in one call; words with it, and longer ones, are merged by themselves.
 SEPARATOR, LONG_WORD = "\x00", 200
 #: Bytes of text that are encoded together.
-TOGETHER = 8 << 20
+TOGETHER = 3 << 20
 
 SCHEMA = "id {id_type}, start BIGINT, length BIGINT, ids BINARY, doc_tokens BIGINT, bucket INT"
 
@@ -101,10 +101,10 @@ class WordTokenizer:
         """Ids of all texts, ``end`` after each, and where each text's ids begin (and the last end)."""
         texts = pc.fill_null(texts, "")
         parts = pc.split_pattern(texts, " ")
-        offsets = parts.offsets.to_numpy().astype(np.int64)
+        offsets = parts.offsets.to_numpy()
         firsts, lasts = offsets[:-1], offsets[1:] - 1
         coded = parts.values.dictionary_encode()
-        entry_of, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        entry_of, distinct = coded.indices.to_numpy(), coded.dictionary
 
         # A space after white space need not begin a word: such texts, and those with added tokens, are encoded whole.
         empty = pc.equal(pc.binary_length(distinct), 0).to_numpy(zero_copy_only=False)
@@ -126,7 +126,9 @@ class WordTokenizer:
             self.encode(text.as_py()) if is_whole else self._encode_words(first)
             for text, is_whole, first in zip(texts, whole.tolist(), parts.values.take(pa.array(firsts)).to_numpy(zero_copy_only=False))
         ]
-        entry_of = np.where(after, np.cumsum(used)[entry_of] - 1, len(wanted) + len(texts))
+        del unsure, blank_end, coded
+        places_of = np.cumsum(used, dtype=np.int32) - 1
+        entry_of = np.where(after, places_of[entry_of], np.int32(len(wanted) + len(texts)))
         entry_of[firsts] = len(wanted) + np.arange(len(texts))
         new = self._learn_parts([part for part in wanted if part not in self.after_space])
         entries = [*map(self.after_space.__getitem__, wanted), *beginnings, b"", end]
@@ -137,8 +139,13 @@ class WordTokenizer:
         places = np.cumsum(sizes) - sizes
         stops = np.cumsum(sizes[entry_of])
         bounds = np.concatenate([[0], stops])[np.concatenate([[0], offsets[1:] + np.arange(1, len(texts) + 1)])]
-        starts, lengths = places[entry_of], sizes[entry_of]
-        taken = np.repeat(starts - (stops - lengths), lengths) + np.arange(bounds[-1])
+        # From an entry's place in this text to its place among all entries, id by id, in one array.
+        lengths = sizes[entry_of]
+        shift = places[entry_of] - stops + lengths
+        del stops, entry_of
+        taken = np.repeat(shift, lengths)
+        del shift, lengths
+        taken += np.arange(bounds[-1])
         return np.frombuffer(b"".join(entries), "<u4")[taken], bounds
 
     def _learn_parts(self, parts: list[str]) -> list[str]:

@@ -65,6 +65,24 @@ def test_files_of_other_kinds_are_refused():
         Merges(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def test_little_memory_for_each_byte_of_text():
+    """A batch's working arrays take a few times its text, and batches are small."""
+    import tracemalloc
+
+    from airlake.llm.packing import TOGETHER
+
+    draw, words = random.Random(1), WordTokenizer(byte_bpe())
+    texts = pa.array([" ".join(f"word{draw.randrange(500)}" for _ in range(2000)) for _ in range(50)])
+    words.encode_batch(texts, b"\0\0\0\0")
+    tracemalloc.start()
+    try:
+        words.encode_batch(texts, b"\0\0\0\0")
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 * texts.nbytes and TOGETHER <= 4 << 20
+
+
 def test_pieces():
     for total, lengths in [(1, [1]), (2048 + 7, [1024, 1024, 4, 2, 1]), (1024, [1024]), (1023, [512, 256, 128, 64, 32, 16, 8, 4, 2, 1])]:
         row, found = pieces_of(np.array([3, total]))
