@@ -20,7 +20,7 @@ from airlake.graph.paths import (
     count_paths, count_stops, extreme_paths, half_walks, outermost_paths, path_counts, paths_up_to, promising, simple_paths,
     stop_counts,
 )
-from airlake.scratch import _record, sweep
+from airlake.scratch import _record, sweep, working_area
 
 A, B = "{v}.country = 'A'", "{v}.country = 'B'"
 PATHS = {
@@ -146,6 +146,7 @@ def test_cycles_equal_brute_force(spark):
         assert pytest.tuples(triangles(doubled)) == sorted(three)
         assert pytest.tuples(four_cycles(doubled)) == sorted(four)
         assert count_four_cycles(doubled).first().matches == len(four)
+        assert count_four_cycles(doubled, wedges_per_task=20).first().matches == len(four)
         found = find_motif(graph, "(p)-[x]->(q); (q)-[y]->(r); (r)-[z]->(s); (s)-[w]->(p)", distinct=True)
         assert found.columns == ["x", "y", "z", "w", "p", "q", "r", "s"]
         assert pytest.tuples(found.select("p.id", "q.id", "r.id", "s.id")) == sorted(four)
@@ -154,6 +155,25 @@ def test_cycles_equal_brute_force(spark):
     assert count_four_cycles(Graph(graph.vertices, graph.edges.limit(0))).first().matches == 0
 
 
+def test_wedges_are_moved_as_lists(spark):
+    """A row for each vertex and higher neighbour of it, not for each wedge; busy tops are dealt to several tasks."""
+    from airlake.graph.cycles import _numbered_links, _wedge_lists, _wedges
+
+    pairs = [(a, 100 + b) for a in range(30) for b in range(60) if (a * b) % 7] + [(100 + b, a) for a in range(30) for b in range(60) if (a + b) % 3 == 0]
+    graph = Graph(spark.range(200), spark.createDataFrame(pairs, "src BIGINT, dst BIGINT"))
+    wedges = _wedges(graph).count()
+    with working_area(spark) as area:
+        links, kind = _numbered_links(graph, area)
+        lists, dealt_by, _ = _wedge_lists(links, kind, 10**6, area)
+        assert dealt_by == ["top"] and lists.select(F.explode("lows")).count() == wedges
+        assert lists.count() <= links.count() / 2 < wedges / 4
+        lists, dealt_by, tasks = _wedge_lists(links, kind, 100, area)
+        assert dealt_by == ["top", "part"] and tasks > 100 and lists.select(F.explode("lows")).count() == wedges
+        shares = lists.groupBy("top", "part").agg(F.sum(F.size("lows")).alias("n"))
+        assert shares.groupBy("top").agg(F.max("n").alias("n")).agg(F.max("n")).first()[0] < wedges / 20
+    assert count_four_cycles(graph, 100).first().matches == count_four_cycles(graph).first().matches > 0
+
+
 def test_no_wedge_over_a_busy_vertex(spark):
     """A star's centre has very many pairs of neighbours; none of them is formed."""
     from airlake.graph.cycles import _wedges
