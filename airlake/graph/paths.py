@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 from math import inf
 from typing import NamedTuple
 
@@ -10,7 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlake.graph.graph import Graph
-from airlake.scratch import WorkingArea, keep, working_area
+from airlake.scratch import WorkingArea, keep, shuffle_width, working_area
+
+#: Half walks that a task counts; vertices where more meet are dealt to several.
+HALVES_PER_TASK = 500_000
+MOST_TASKS = 50_000
 
 ARROW = " → "
 
@@ -28,7 +33,7 @@ class Halves(NamedTuple):
     """Half walks by number of edges, from the starts onwards and from the targets back.
 
     Columns: ``_mid`` (where both meet), ``_visited`` and ``_codes`` (ids and codes in order; those of a
-    second half without the meeting vertex), ``_km``.
+    second half without the meeting vertex), ``_km``. Halves that are only counted lack the last two.
     """
 
     onward: list[DataFrame]
@@ -38,26 +43,27 @@ class Halves(NamedTuple):
         return self.onward[(edges + 1) // 2], self.back[edges // 2]
 
 
-def half_walks(graph: Graph, start: str, end: str, longest: int, keep_half) -> Halves:
+def half_walks(graph: Graph, start: str, end: str, longest: int, keep_half, counted: bool = False) -> Halves:
     """Simple walks of up to half of ``longest`` edges from either side.
 
     A step joins on a vertex and loses repeated ones there. The last step onwards goes only where a walk from
     the targets has been, the steps before it only where enough edges are left to reach a target.
+    ``counted`` leaves out codes and distances.
     """
     hops = graph.coded_edges
+    columns = ["_mid", "_visited"] if counted else ["_mid", "_visited", "_codes", "_km"]
     targets = select_vertices(graph.vertices, end).select("id", "code")
     no_code = F.array().cast("array<string>")
-    back = [targets.select(F.col("id").alias("_mid"), F.array_remove(F.array("id"), F.col("id")).alias("_visited"), no_code.alias("_codes"), F.lit(0.0).alias("_km"))]
+    back = [targets.select(F.col("id").alias("_mid"), F.array_remove(F.array("id"), F.col("id")).alias("_visited"), no_code.alias("_codes"), F.lit(0.0).alias("_km")).select(columns)]
     for _ in range(longest // 2):
         new = (F.col("src") != F.col("_mid")) & ~F.array_contains("_visited", F.col("src"))
         grown = hops.join(back[-1], (F.col("dst") == F.col("_mid")) & new)
-        back.append(keep_half(grown.select(
-            F.col("src").alias("_mid"), F.array_prepend("_visited", F.col("dst")).alias("_visited"),
-            F.array_prepend("_codes", F.col("code")).alias("_codes"), (F.col("distance_km") + F.col("_km")).alias("_km"),
-        )))
+        values = [F.col("src"), F.array_prepend("_visited", F.col("dst"))]
+        values += [] if counted else [F.array_prepend("_codes", F.col("code")), F.col("distance_km") + F.col("_km")]
+        back.append(keep_half(grown.select(*(value.alias(c) for value, c in zip(values, columns)))))
     onward = [select_vertices(graph.vertices, start).select(
         F.col("id").alias("_mid"), F.array("id").alias("_visited"), F.array("code").alias("_codes"), F.lit(0.0).alias("_km")
-    )]
+    ).select(columns)]
     steps = (longest + 1) // 2
     reached = reduce(DataFrame.union, [half.select("_mid") for half in back]).distinct()
     useful = [keep_half(reached.select(F.col("_mid").alias("_id")))]
@@ -69,10 +75,9 @@ def half_walks(graph: Graph, start: str, end: str, longest: int, keep_half) -> H
         on = hops.join(useful[left], F.col("dst") == F.col("_id"), "left_semi") if left < len(useful) else hops
         new = ~F.array_contains("_visited", F.col("dst"))
         grown = onward[-1].join(on, (F.col("_mid") == F.col("src")) & new)
-        onward.append(keep_half(grown.select(
-            F.col("dst").alias("_mid"), F.array_append("_visited", F.col("dst")).alias("_visited"),
-            F.array_append("_codes", F.col("code")).alias("_codes"), (F.col("_km") + F.col("distance_km")).alias("_km"),
-        )))
+        values = [F.col("dst"), F.array_append("_visited", F.col("dst"))]
+        values += [] if counted else [F.array_append("_codes", F.col("code")), F.col("_km") + F.col("distance_km")]
+        onward.append(keep_half(grown.select(*(value.alias(c) for value, c in zip(values, columns)))))
     return Halves(onward, back)
 
 
@@ -108,9 +113,83 @@ def paths_between(graph: Graph, start: str, end: str, longest: int, shortest: in
 
 
 def count_paths(graph: Graph, longest: int, start: str, end: str, shortest: int = 1) -> DataFrame:
-    """(segments, paths) for every length that has any; no path is formed."""
+    """(segments, paths) for every length that has any; no path is formed, and no two halves are joined."""
     with working_area(graph.edges.sparkSession) as area:
-        return keep(path_counts(_all_met(graph, start, end, longest, shortest, area)), "counts")
+        halves = half_walks(graph, start, end, longest, lambda df: area.keep(df, "half"), counted=True)
+        return keep(_count_apart(halves, range(shortest, longest + 1), area), "counts")
+
+
+def _count_apart(halves: Halves, lengths: range, area: WorkingArea, halves_per_task: int = HALVES_PER_TASK) -> DataFrame:
+    """(segments, paths): pairs of halves that meet in a vertex and share no other, without forming any.
+
+    By inclusion and exclusion: with f(s) halves of one side that visit all of a set s of vertices, and g(s) of the other, the
+    sum of f(s) g(s) over all sets, less where s is odd, counts each pair that shares nothing once and others not at all.
+    So a half is a row for each set of its vertices, and what is held is in proportion to the halves, not to their pairs.
+    Steps whose vertices no half of the other side visits are in no set.
+    """
+    meetings = {n: ((n + 1) // 2, n // 2) for n in lengths}
+    shared = _shared_steps(halves, max(i for i, _ in meetings.values()), max(j for _, j in meetings.values()))
+
+    # Onwards a half begins with its start and ends where halves meet; back it ends with its target.
+    ids = {("onward", i): [F.col("_visited")[k] for k in range(i) if shared["onward", k]] for i, _ in meetings.values()}
+    ids |= {("back", j): [F.col("_visited")[j - 1 - k] for k in range(j) if shared["back", k]] for _, j in meetings.values()}
+    most = dict.fromkeys(ids, 0)
+    for i, j in meetings.values():
+        for side in (("onward", i), ("back", j)):
+            most[side] = max(most[side], min(len(ids["onward", i]), len(ids["back", j])))
+    names = {side: f"_{side[0]}_{side[1]}" for side in ids}
+    ids_type = halves.onward[0].schema["_visited"].dataType
+
+    def rows(side: tuple[str, int]) -> DataFrame:
+        half = (halves.onward if side[0] == "onward" else halves.back)[side[1]]
+        visited = F.array_sort(F.array(*ids[side])) if most[side] else F.array()
+        return half.select("_mid", F.lit(names[side]).alias("_side"), visited.cast(ids_type).alias("_ids"))
+
+    def sets(side: tuple[str, int]) -> Column:
+        chosen = [c for k in range(1, most[side] + 1) for c in combinations(range(len(ids[side])), k)]
+        return F.array(*(F.array(*(F.col("_ids")[x] for x in c)) for c in chosen))
+
+    def unfolded(found: DataFrame) -> DataFrame:
+        each = reduce(lambda rest, side: F.when(F.col("_side") == names[side], sets(side)).otherwise(rest), several, F.lit(None))
+        return found.select("_mid", "_side", F.explode(each).alias("_set"))
+
+    def summed(found: DataFrame, sign: Column) -> DataFrame:
+        return found.agg(*(F.sum(sign * F.col(names["onward", i]) * F.col(names["back", j])).alias(str(n)) for n, (i, j) in meetings.items()))
+
+    counts = [F.count_if(F.col("_side") == name).alias(name) for name in names.values()]
+    at = area.keep(reduce(DataFrame.unionByName, map(rows, ids)).groupBy("_mid").agg(*counts), "meeting")
+    parts = [summed(at, F.lit(1))]
+    several = [side for side in ids if most[side]]
+    if several:
+        every = reduce(DataFrame.unionByName, map(rows, several))
+        met_by = reduce(Column.__add__, (F.col(names[side]) for side in several))
+        tasks = max(shuffle_width(area.spark), min((at.agg(F.sum(met_by)).first()[0] or 0) // halves_per_task + 1, MOST_TASKS))
+        busy = area.keep(at.where(met_by > halves_per_task).select("_mid"), "busy")
+        if busy.isEmpty():
+            found = unfolded(every.repartition(tasks, "_mid")).groupBy("_mid", "_set").agg(*counts)
+        else:
+            quiet = unfolded(every.join(busy, "_mid", "left_anti").repartition(tasks, "_mid")).groupBy("_mid", "_set").agg(*counts)
+            dealt = unfolded(every.join(busy, "_mid", "left_semi")).repartition(tasks, "_mid", "_set")
+            found = quiet.union(dealt.groupBy("_mid", "_set").agg(*counts))
+        parts.append(summed(found, F.when(F.size("_set") % 2 == 1, -1).otherwise(1)))
+    listed = F.inline(F.array(*(F.struct(F.lit(n).alias("segments"), F.col(str(n)).alias("paths")) for n in meetings)))
+    each = reduce(DataFrame.unionByName, parts).select(listed)
+    return each.groupBy("segments").agg(F.sum("paths").alias("paths")).where("paths > 0")
+
+
+def _shared_steps(halves: Halves, onward: int, back: int) -> dict[tuple[str, int], bool]:
+    """By side and step from its end, whether halves of the other side may visit any vertex that this step does."""
+    steps = {("onward", k): half for k, half in enumerate(halves.onward[:onward])}
+    steps |= {("back", k): half for k, half in enumerate(halves.back[:back])}
+    tagged = reduce(DataFrame.unionByName, (half.select("_mid", F.lit(f"{s}_{k}").alias("_step")) for (s, k), half in steps.items()))
+    seen = tagged.groupBy("_mid").agg(*(F.bool_or(F.col("_step") == f"{s}_{k}").alias(f"{s}_{k}") for s, k in steps))
+
+    def any_of(side: str) -> Column:
+        return reduce(Column.__or__, (F.col(f"{s}_{k}") for s, k in steps if s == side), F.lit(False))
+
+    other = {"onward": any_of("back"), "back": any_of("onward")}
+    found = seen.agg(*(F.bool_or(F.col(f"{s}_{k}") & other[s]).alias(f"{s}_{k}") for s, k in steps)).first()
+    return {(s, k): bool(found[f"{s}_{k}"]) for s, k in steps}
 
 
 def count_stops(graph: Graph, longest: int, start: str, end: str, shortest: int = 1) -> DataFrame:

@@ -132,6 +132,30 @@ def test_counting_paths_writes_no_path(spark, tmp_path):
     sweep(spark)
 
 
+def test_counted_halves_are_not_joined(spark):
+    """Many halves meet in one vertex and some share others: as many rows as halves, and few for each task."""
+    from airlake.graph.paths import _count_apart
+
+    one_way = [(i, 100 + j) for i in range(4) for j in range(12)] + [(100 + j, 50) for j in range(12)]
+    other_way = [(50, 100 + j) for j in range(6, 18)] + [(100 + j, 200 + i) for j in range(6, 18) for i in range(3)] + [(50, 2), (2, 200), (2, 3), (3, 50)]
+    pairs = one_way + other_way
+    ids = sorted({v for pair in pairs for v in pair})
+    graph = Graph(
+        spark.createDataFrame([(i, f"v{i}") for i in ids], "id BIGINT, code STRING"),
+        spark.createDataFrame([(a, b, 1.0) for a, b in pairs + pairs[:3]], "src BIGINT, dst BIGINT, distance_km DOUBLE"),
+    )
+    start, end = "{v}.id < 4", "{v}.id >= 200"
+    expected = dict(pytest.tuples(path_counts(paths_up_to(graph, 4, start, end))))
+    assert expected[4] > 400
+    halves = half_walks(graph, start, end, 4, lambda df: df.cache(), counted=True)
+    for most in (5, 1000):  # vertices where more halves meet are dealt to several tasks
+        with working_area(spark) as area:
+            counted = _count_apart(halves, range(1, 5), area, most)
+            assert dict(pytest.tuples(counted)) == expected
+            rows = [half.count() for half in (*halves.onward, *halves.back)]
+            assert spark.read.parquet(next(p for p in area.paths if "meeting" in p)).count() <= sum(rows)
+
+
 def test_cycles_equal_brute_force(spark):
     for seed in (31, 32):
         graph, pairs = random_graph(spark, seed, vertices=18, edges=110)
