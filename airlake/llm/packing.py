@@ -13,7 +13,6 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlake.llm.batches import chunks
+from airlake.llm.batches import chunks, remembered
 
 MAX_LENGTH = 1024
 END_ID = 0
@@ -250,7 +249,7 @@ def _added_tokens(settings: dict) -> dict[str, int]:
     return {token["content"]: token["id"] for token in added}
 
 
-@lru_cache(maxsize=2)
+@remembered(2)
 def word_tokenizer(path: str) -> WordTokenizer:
     """A worker's tokenizer, with what it remembers from task to task."""
     return WordTokenizer(path)

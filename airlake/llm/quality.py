@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlake.llm.batches import chunks
+from airlake.llm.batches import chunks, forget
 from airlake.llm.prefilter import among_the_lowest, hash_order
 from airlake.llm.words import mix, word_hashes
 
@@ -34,7 +35,7 @@ FEATURES = WORD_BUCKETS + SHAPE_BUCKETS + LENGTHS + REPEATS
 #: Similarities that differ by less are equal; products round in single precision.
 TIED = 1e-6
 #: Documents in a block of products.
-BLOCK = 1024
+BLOCK = 128
 
 # Classes of bytes: 1 lower case and beyond ASCII, 2 upper case, 3 digits, 4 blanks, 5 line feeds, others themselves.
 KIND = np.arange(256, dtype=np.int64)
@@ -116,9 +117,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], dimensions
     if not rows:
         return QualityModel(np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 1.0)
     matrix = np.zeros((len(rows), FEATURES), np.float32)
+    held = np.zeros(FEATURES, np.int64)
     for i, (ids, weights) in enumerate(rows):
         matrix[i, ids] = weights
-    held = (matrix > 0).sum(axis=0)
+        held += matrix[i] > 0
     rarity = np.log((1 + len(rows)) / (1 + held)).astype(np.float32) + np.float32(0.1)
     matrix *= rarity
     # Subspace iteration with a fixed start finds the leading right singular vectors.
@@ -135,10 +137,12 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], dimensions
 
 
 def _utf8(batch: pa.RecordBatch) -> list[bytes]:
+    """The texts, a null one empty."""
     return [t if t is not None else b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
 def _bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for whole in batches:
         for batch in chunks(whole, "text"):
             found = list(bags(_utf8(batch)))
@@ -177,10 +181,29 @@ def train(
         .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
         .select("label", "text")
         .mapInArrow(_bag_rows, "label INT, ids ARRAY<INT>, weights ARRAY<DOUBLE>")
-        .collect()
+        .toArrow()
     )
-    found = sorted((list(r.ids), list(r.weights), r.label) for r in chosen)
-    return fit([(np.array(i), np.array(w)) for i, w, _ in found], [label for _, _, label in found])
+    found = _in_order(chosen)
+    del chosen
+    return fit([(ids, weights) for ids, weights, _ in found], [label for _, _, label in found])
+
+
+def _in_order(chosen: pa.Table) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Bags and labels as arrays, in the order of their term numbers, weights and label.
+
+    No weight is negative, so numbers and weights are in the order of their big-endian bytes.
+    """
+    found = []
+    for batch in chosen.to_batches():
+        bounds = batch.column("ids").offsets.to_numpy().tolist()
+        ids = batch.column("ids").values.to_numpy(zero_copy_only=False)
+        weights = batch.column("weights").values.to_numpy(zero_copy_only=False)
+        starts = batch.column("weights").offsets.to_numpy().tolist()
+        for row, label in enumerate(batch.column("label").to_pylist()):
+            own = ids[bounds[row] : bounds[row + 1]].astype(np.int64), weights[starts[row] : starts[row + 1]].copy()
+            found.append((*own, label))
+    found.sort(key=lambda bag: (bag[0].astype(">u4").tobytes(), bag[1].astype(">f8").tobytes(), bag[2]))
+    return found
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_column: str = "text") -> DataFrame:
@@ -192,18 +215,22 @@ def score_quality(docs: DataFrame, model: QualityModel, text_column: str = "text
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded by LABELLED_ROWS and FEATURES
+    # A text goes to the worker once, in its row, unless it must be made a string first.
+    inside = dict(docs.dtypes)[text_column] == "string"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         model = shared.value
         for whole in batches:
-            for batch in chunks(whole, "text"):
+            row = whole.column("row")
+            text = pc.struct_field(row, docs_columns.index(text_column)) if inside else whole.column("text")
+            for batch in chunks(pa.RecordBatch.from_arrays([row, text], names=["row", "text"]), "text"):
                 vectors = np.stack([model.vector(*found) for found in bags(_utf8(batch))])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row"), pa.array(model.scores(vectors), pa.float64())], names=["row", "score"]
                 )
 
-    rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        F.col(f"`{text_column}`").cast("string").alias("text"),
-    )
+    docs_columns = docs.columns
+    text = [] if inside else [F.col(f"`{text_column}`").cast("string").alias("text")]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs_columns)).alias("row"), *text)
     return rows.mapInArrow(score, f"row {rows.schema['row'].dataType.simpleString()}, score DOUBLE")

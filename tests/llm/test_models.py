@@ -131,6 +131,49 @@ def test_votes_equal_all_pairs():
         assert abs(score - sum(w * y for w, y in votes) / sum(w for w, _ in votes)) < 1e-3
 
 
+def test_scoring_holds_little(rows, plan):
+    """Small blocks of products; texts are sent once; what a worker's other stages remembered is given back."""
+    import tracemalloc
+
+    from airlake.llm.batches import remembered
+
+    draw = np.random.default_rng(5)
+    model = quality.QualityModel(
+        np.zeros((quality.FEATURES, 64), np.float32), draw.standard_normal((4096, 64), np.float32), draw.integers(0, 2, 4096) * 1.0, 0.5
+    )
+    vectors = draw.standard_normal((2000, 64), np.float32)
+    tracemalloc.start()
+    whole = model.scores(vectors)
+    assert tracemalloc.get_traced_memory()[1] < 30e6
+    tracemalloc.stop()
+    assert np.allclose(whole, np.concatenate([model.scores(vectors[i : i + 7]) for i in range(0, 2000, 7)]), atol=1e-5)
+
+    docs = rows([(1, "a b"), (2, None), (None, "")], "doc_id BIGINT, text STRING")
+    scored = quality.score_quality(docs, model)
+    assert [line for line in plan(scored).splitlines() if line.startswith("Input [1]: [row#")]
+    assert {(r.row.doc_id, r.row.text) for r in scored.collect()} == {(1, "a b"), (2, None), (None, "")}
+    numbered = quality.score_quality(docs.withColumn("text", docs.doc_id), model)  # a text that is not a string yet
+    assert [r.row.text for r in numbered.collect()] == [1, 2, None]
+
+    made = remembered(1)(lambda x: object())
+    before = made(1)
+    assert made(1) is before
+    list(quality._bag_rows(iter([])))
+    assert made(1) is not before
+
+
+def test_bags_are_learned_in_one_order():
+    import pyarrow as pa
+
+    draw = random.Random(3)
+    bags = [([draw.randrange(4) * 300 for _ in range(draw.randrange(4))], [], draw.randrange(2)) for _ in range(200)]
+    bags = [(ids, [draw.choice((0.0, 0.5, 1.25)) for _ in ids], label) for ids, _, label in bags]
+    columns = [pa.array(c, t) for c, t in zip(zip(*bags), (pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int32()))]
+    table = pa.table(columns, ["ids", "weights", "label"])
+    for chosen in (table, pa.concat_tables([table.slice(150), table.slice(0, 150)])):
+        assert [(i.tolist(), w.tolist(), label) for i, w, label in quality._in_order(chosen)] == sorted(bags)
+
+
 def test_quality_of_odd_rows(spark, rows):
     docs = rows([(1, None, 0.0), (2, "", 0.0), (3, "word", 0.0), (3, "word", 0.0), (None, "x " * 50_000, 0.0)], "doc_id BIGINT, text STRING, score DOUBLE")
     labels = rows([(1, 1), (3, 0), (3, 1), (None, 1), (7, None)], "doc_id BIGINT, quality INT")
