@@ -25,7 +25,7 @@ from airlake.llm.batches import chunks, remembered
 MAX_LENGTH = 1024
 END_ID = 0
 #: Parts of texts, and words of parts, that a worker remembers with their ids; others are tokenized each time.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
 #: What parts words that are merged in one call; words with it, and longer ones, are merged by themselves.
 SEPARATOR, LONG_WORD = "\x00", 200
 #: Bytes of text that are encoded together.
