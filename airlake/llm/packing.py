@@ -13,6 +13,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,8 @@ class WordTokenizer:
     Such a tokenizer first splits a text by a fixed pattern and then encodes each word by
     itself, so the ids of a text are those of its words. A space that follows anything but
     white space always begins a word; hence texts are cut there first, and the parts, which
-    recur, are remembered with their ids. Parts not met before are split by the pattern, and
-    their words are merged many in one call. The ids are those of a plain
+    recur, are remembered with their ids. Parts not met before are split by the pattern and
+    their words merged, all in one call. The ids are those of a plain
     ``encode(text, add_special_tokens=False)``: the added tokens of the file, where a text
     spells one out, get their ids as well.
     """
@@ -61,19 +62,20 @@ class WordTokenizer:
         longest_first = sorted(added, key=len, reverse=True)
         self.added_split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
         self.remembered = remembered
-        #: Ids of words, and of parts that follow a space, with that space.
+        #: Ids of words; of parts that follow a space, with that space, their places in ``stored``.
         self.known: dict[str, bytes] = {}
-        self.after_space: dict[str, bytes] = {}
+        self.after_space: dict[str, int] = {}
+        self.stored = pa.array([], pa.binary())
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^\s{l}{n}]+|\s+(?!\S)|\s+"
         self.any_split = regex.compile(
             pattern.replace("{L}", r"\p{L}").replace("{N}", r"\p{N}").replace("{l}", r"\p{L}").replace("{n}", r"\p{N}")
         )
         # The same classes spelled out for Latin text, where the standard module is faster.
         letters, digits = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
-        self.latin_split = re.compile(
-            pattern.replace("{L}", f"[{letters}]").replace("{N}", f"[{digits}]").replace("{l}", letters).replace("{n}", digits)
-        )
+        latin = pattern.replace("{L}", f"[{letters}]").replace("{N}", f"[{digits}]").replace("{l}", letters)
+        self.latin_split = re.compile(latin.replace("{n}", digits))
         self.beyond_latin = re.compile("[^\t\n\r -~¡-ɏ]")
+        self.merges.split_by(latin.replace("{n}", digits + SEPARATOR))
 
     def words(self, text: str) -> list[str]:
         split = self.any_split if self.beyond_latin.search(text) else self.latin_split
@@ -82,17 +84,18 @@ class WordTokenizer:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         if not self.added_split or not any(token in text for token in self.merges.added):
-            return self._encode_words(text)
+            return self._encode_words([text])[0]
         pieces = self.added_split.split(text)
         return b"".join(
-            self.merges.added[piece].to_bytes(4, "little") if i % 2 else self._encode_words(piece)
+            self.merges.added[piece].to_bytes(4, "little") if i % 2 else self._encode_words([piece])[0]
             for i, piece in enumerate(pieces)
         )
 
-    def _encode_words(self, text: str) -> bytes:
-        words = self.words(text)
-        new = self._learn(words)
-        ids = b"".join(map(self.known.__getitem__, words))
+    def _encode_words(self, texts: list[str]) -> list[bytes]:
+        words = [self.words(text) for text in texts]
+        new = list({word for own in words for word in own if word not in self.known})
+        self.known.update(zip(new, self.merges.merge_all(new)))
+        ids = [b"".join(map(self.known.__getitem__, own)) for own in words]
         _forget(self.known, new, self.remembered)
         return ids
 
@@ -115,56 +118,54 @@ class WordTokenizer:
         for token in self.merges.added:
             whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
 
-        # Entries: parts after a space, then each text's beginning, then nothing and the end.
+        # Entries: remembered parts, other parts after a space, texts' beginnings, whole texts, then nothing and the end.
         after = np.repeat(~whole, np.diff(offsets))
         after[firsts] = False
         used = np.zeros(len(distinct), bool)
         used[entry_of[after]] = True
         wanted = distinct.filter(pa.array(used)).to_numpy(zero_copy_only=False).tolist()
-        beginnings = [
-            self.encode(text.as_py()) if is_whole else self._encode_words(first)
-            for text, is_whole, first in zip(texts, whole.tolist(), parts.values.take(pa.array(firsts)).to_numpy(zero_copy_only=False))
-        ]
-        del unsure, blank_end, coded
-        places_of = np.cumsum(used, dtype=np.int32) - 1
-        entry_of = np.where(after, places_of[entry_of], np.int32(len(wanted) + len(texts)))
-        entry_of[firsts] = len(wanted) + np.arange(len(texts))
-        new = self._learn_parts([part for part in wanted if part not in self.after_space])
-        entries = [*map(self.after_space.__getitem__, wanted), *beginnings, b"", end]
-        _forget(self.after_space, new, self.remembered)
+        places = np.fromiter(map(self.after_space.get, wanted, repeat(-1)), np.int32, len(wanted))
+        new = np.flatnonzero(places < 0)
+        new_parts = list(map(wanted.__getitem__, new.tolist()))
+        beginnings = pc.if_else(pa.array(whole), "", parts.values.take(pa.array(firsts))).to_numpy(zero_copy_only=False).tolist()
+        blank = np.concatenate([blank_end[np.flatnonzero(used)[new]], blank_end[entry_of[firsts]] & ~whole])
+        learned = self._encode_parts([*(" " + part for part in new_parts), *beginnings], blank)
+        others = [*map(self.encode, texts.filter(pa.array(whole)).to_pylist()), b"", end]
+        entries = pa.concat_arrays([self.stored, learned, pa.array(others, pa.binary())])
+        del unsure, blank_end, coded, wanted
+        places[new] = len(self.stored) + np.arange(len(new))
+        place_of = np.zeros(len(distinct), np.int32)
+        place_of[used] = places
+        entry_of = np.where(after, place_of[entry_of], np.int32(len(entries) - 2))
+        entry_of[firsts] = len(self.stored) + len(new) + np.arange(len(texts))
+        entry_of[firsts[whole]] = len(entries) - len(others) + np.arange(len(others) - 2)
         entry_of = np.insert(entry_of, offsets[1:], len(entries) - 1)
-
-        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
-        places = np.cumsum(sizes) - sizes
-        stops = np.cumsum(sizes[entry_of])
-        bounds = np.concatenate([[0], stops])[np.concatenate([[0], offsets[1:] + np.arange(1, len(texts) + 1)])]
-        # From an entry's place in this text to its place among all entries, id by id, in one array.
-        lengths = sizes[entry_of]
-        shift = places[entry_of] - stops + lengths
-        del stops, entry_of
-        taken = np.repeat(shift, lengths)
-        del shift, lengths
-        taken += np.arange(bounds[-1])
-        return np.frombuffer(b"".join(entries), "<u4")[taken], bounds
-
-    def _learn_parts(self, parts: list[str]) -> list[str]:
-        """Remember parts with a space before them; all are split at once, as that is the only space in each."""
-        plain = [part for part in parts if part and not part[-1].isspace()]
-        words = self.words("".join([" " + part for part in plain]))
-        begins = [i for i, word in enumerate(words) if word[0] == " "]
-        groups = dict(zip(plain, map(words.__getitem__, map(slice, begins, [*begins[1:], len(words)]))))
-        groups |= {part: self.words(" " + part) for part in parts if part not in groups}
-        learned = self._learn([word for own in groups.values() for word in own])
-        known = self.known
-        for part, own in groups.items():
-            self.after_space[part] = known[own[0]] if len(own) == 1 else b"".join([known[word] for word in own])
-        _forget(known, learned, self.remembered)
-        return parts
-
-    def _learn(self, words: list[str]) -> list[str]:
-        new = list({word for word in words if word not in self.known})
-        self.known.update(zip(new, self.merges.merge_all(new)))
-        return new
+        self._remember(new_parts, learned)
+
+        found = entries.take(pa.array(entry_of))
+        stops = np.frombuffer(found.buffers()[1], np.int32)
+        bounds = stops[np.concatenate([[0], offsets[1:] + np.arange(1, len(texts) + 1)])].astype(np.int64) // 4
+        return np.frombuffer(found.buffers()[2] or b"", "<u4")[: bounds[-1]], bounds
+
+    def _encode_parts(self, parts: list[str], blank: np.ndarray) -> pa.BinaryArray:
+        """Ids of each; ``blank`` ones may end in white space."""
+        odd = blank.copy()
+        if not self.merges.splitting:
+            odd[:] = True
+        elif self.beyond_latin.search("".join(parts)) or max(map(len, parts), default=0) > LONG_WORD:
+            odd |= [len(part) > LONG_WORD or self.beyond_latin.search(part) is not None for part in parts]
+        merged = self.merges.merge_parts(list(compress(parts, (~odd).tolist())) if odd.any() else parts)
+        if not odd.any():
+            return merged
+        order = np.where(odd, len(merged) + np.cumsum(odd), np.cumsum(~odd)) - 1
+        return pa.concat_arrays([merged, pa.array(self._encode_words(list(compress(parts, odd.tolist()))), pa.binary())]).take(pa.array(order))
+
+    def _remember(self, parts: list[str], ids: pa.BinaryArray) -> None:
+        room = self.remembered - len(self.after_space)
+        kept = [i for i, part in enumerate(parts) if len(part) <= LONG_WORD][:room] if room > 0 else []
+        if kept:
+            self.after_space.update(zip(map(parts.__getitem__, kept), range(len(self.stored), len(self.stored) + len(kept))))
+            self.stored = pa.concat_arrays([self.stored, ids.take(pa.array(kept))])
 
 
 def _forget(memory: dict[str, bytes], new: list[str], most: int) -> None:
@@ -192,7 +193,9 @@ class Merges:
         self.added = _added_tokens(settings)
         self.model = tokenizer.model
         self.alphabet = _byte_alphabet()
+        self.ranks: dict[bytes, int] = {}
         self.together = self._in_order_of_ids(settings["model"])
+        self.splitting = None
 
     def _in_order_of_ids(self, model: dict):
         import tiktoken
@@ -206,9 +209,26 @@ class Merges:
         ordered = all(a < b for a, b in zip(made, made[1:])) and None not in single and max(single) < min(made, default=1 << 32)
         if not (whole and ordered and len(made) + 256 == len(vocabulary)):
             return None
-        ranks = {bytes(byte_of[c] for c in entry): number for entry, number in vocabulary.items()}
-        self.separator = ranks[SEPARATOR.encode()]
-        return tiktoken.Encoding("merges", pat_str=rf"[^{SEPARATOR}]+|{SEPARATOR}", mergeable_ranks=ranks, special_tokens={})
+        self.ranks = {bytes(byte_of[c] for c in entry): number for entry, number in vocabulary.items()}
+        self.separator = self.ranks[SEPARATOR.encode()]
+        return tiktoken.Encoding("merges", pat_str=rf"[^{SEPARATOR}]+|{SEPARATOR}", mergeable_ranks=self.ranks, special_tokens={})
+
+    def split_by(self, pattern: str) -> None:
+        """How ``merge_parts`` splits; no word of ``pattern`` has the separator."""
+        import tiktoken
+
+        if self.together:
+            self.splitting = tiktoken.Encoding("parts", pat_str=f"{SEPARATOR}|{pattern}", mergeable_ranks=self.ranks, special_tokens={})
+
+    def merge_parts(self, parts: list[str]) -> pa.BinaryArray:
+        """The ids of the words of each part; parts have no separator and end in no white space."""
+        if not parts:
+            return pa.array([], pa.binary())
+        ids = self.splitting.encode_to_numpy(SEPARATOR.join(parts) + SEPARATOR).astype("<u4", copy=False)
+        is_end = ids == self.separator
+        stops = np.flatnonzero(is_end) - np.arange(len(parts))
+        edges = np.concatenate([[0], 4 * stops]).astype(np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(edges), pa.py_buffer(ids[~is_end])])
 
     def merge(self, word: str) -> bytes:
         mapped = word.encode().decode("latin-1").translate(self.alphabet)

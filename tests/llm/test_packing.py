@@ -60,6 +60,42 @@ def test_merges_of_one_call_are_those_of_the_file():
     assert merges.merge_all([]) == []
 
 
+def new_parts(n):
+    draw = random.Random(11)
+    return ["".join(draw.choice("abcdeé1,.'-\n") for _ in range(9)) + "x" for _ in range(n)]
+
+
+def test_parts_not_met_before_take_few_calls():
+    """Splitting and merging them takes no Python work word by word, and none for each text."""
+    import cProfile
+    import pstats
+
+    words, parts = WordTokenizer(byte_bpe()), new_parts(20_000)
+    texts = pa.array([" ".join(parts[i : i + 10]) for i in range(0, len(parts), 10)])
+    profile = cProfile.Profile()
+    profile.runcall(words.encode_batch, texts)
+    assert pstats.Stats(profile).total_calls < 2 * len(parts)
+    profile = cProfile.Profile()
+    profile.runcall(words.encode_batch, texts)
+    assert pstats.Stats(profile).total_calls < 1000
+
+
+@pytest.mark.parametrize("split_by_file", [True, False])
+def test_parts_of_all_kinds_in_one_batch(split_by_file):
+    encode, words = reference(), WordTokenizer(byte_bpe(), 3000)
+    assert words.merges.splitting is not None
+    if not split_by_file:
+        words.merges.together = words.merges.splitting = None
+    parts = [*new_parts(2000), "中文", "'s", "y" * 300, "naïve", "\n\nabc", "x\x00y", "12²½", "a\u00a0b", "it's\t\tme"]
+    draw = random.Random(12)
+    texts = [" ".join(draw.choice(parts) for _ in range(40)) + draw.choice(["", "\n", " ", "\n\n"]) for _ in range(200)]
+    texts += [part + end for part in parts[-9:] for end in ["", "\n", " "]] + [" " + part for part in parts[-9:]]
+    for _ in range(2):
+        ids, bounds = words.encode_batch(pa.array(texts))
+        assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])] == [encode(text) for text in texts]
+    assert len(words.stored) == len(words.after_space) and "y" * 300 not in words.after_space
+
+
 def test_files_of_other_kinds_are_refused():
     with pytest.raises(ValueError):
         Merges(public_tokenizers.path("word_bpe_49k.json"))
