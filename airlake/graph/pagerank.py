@@ -66,7 +66,7 @@ def _links(graph: Graph, links_per_piece: int, area: WorkingArea) -> tuple[DataF
 
 def _ranks(
     graph: Graph, resets: list[float], max_iter: int, checkpoint_interval: int, links_per_piece: int,
-    tol: float | None = None, log: RoundLog | None = None,
+    tol: float | None = None, log: RoundLog | None = None, write_rounds: bool = False,
 ) -> DataFrame:
     """(id, rank_0, rank_1, …): one rank per reset probability, all in the same rounds.
 
@@ -79,6 +79,9 @@ def _ranks(
     With ``tol`` rounds end at the first checkpoint where the ranks' changes in one round add up to no
     more than ``tol`` per vertex. With ``log`` checkpoints are recorded there, and rounds recorded before are not
     run again.
+
+    What rounds shuffle, a number per link and round, lies on disk until their states are written. That is at checkpoints,
+    for several rounds at once, or with ``write_rounds`` after every round: a small write, a row per vertex.
     """
     sums = [f"sum_{i}" for i in range(len(resets))]
     with working_area(graph.edges.sparkSession) as area:
@@ -108,6 +111,8 @@ def _ranks(
                 done = round_
                 if tol is not None and _settled(ranks, [(1.0 - reset) ** round_ for reset in resets], tol):
                     break
+            elif write_rounds:
+                ranks = area.keep_latest(ranks, "ranks")
         if max_iter == 0:
             ranks = cut_lineage(ranks)
 
@@ -135,14 +140,15 @@ def pagerank(
     links_per_piece: int = LINKS_PER_PIECE,
     tol: float | None = None,
     log: RoundLog | None = None,
+    write_rounds: bool = False,
 ) -> DataFrame:
     """Vertices with ``pagerank``; the ranks add up to the number of vertices.
 
     A vertex hands its rank to its out-edges in equal shares; parallel edges count
     each. With probability ``reset`` a walk starts anew at any vertex. ``tol`` may end
-    the rounds before ``max_iter``, ``log`` records them: see ``_ranks``.
+    the rounds before ``max_iter``, ``log`` records them, ``write_rounds`` spares disk: see ``_ranks``.
     """
-    ranks = _ranks(graph, [reset], max_iter, checkpoint_interval, links_per_piece, tol, log)
+    ranks = _ranks(graph, [reset], max_iter, checkpoint_interval, links_per_piece, tol, log, write_rounds)
     return graph.vertices.join(ranks.withColumnRenamed("rank_0", "pagerank"), "id")
 
 

@@ -17,7 +17,7 @@ from airlake.functions.geo import haversine_km
 from airlake.graph.graph import Graph, collapse_routes, edges_of, touched_vertices
 from airlake.operators.quality import with_distances
 from airlake.plans.tables import AIRPORTS, ROUTE_TABLES, airports, haversine_sql, routes, table
-from airlake.scratch import keep
+from airlake.scratch import WorkingArea, keep, working_area
 
 
 def labelled_airports(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,35 +89,41 @@ def traders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _shipment_edges(spark: SparkSession, folder: str, people: DataFrame) -> DataFrame:
+def _shipment_edges(spark: SparkSession, folder: str, people: DataFrame, area: WorkingArea) -> DataFrame:
+    """Edges to be written before the area goes: pairs are kept there, so that their joins' shuffles are off the disk."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    # Lines of one pair are summed before both directions are unfolded.
+    # Lines of one pair are summed, and both ends looked up, before both directions are unfolded.
     dealt = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy((F.col("l_suppkey") * 2 + 1).alias("seller"), (F.col("o_custkey") * 2).alias("buyer"))
         .agg(F.count(F.lit(1)).alias("sent"), F.count_if(F.col("l_returnflag") == "R").alias("returned"))
     )
 
-    def shipment(src: str, dst: str, lines_sent: str):
-        return F.struct(F.col(src).alias("src"), F.col(dst).alias("dst"), F.col(lines_sent).alias("airlines"))
-
-    both_ways = F.array(shipment("seller", "buyer", "sent"), shipment("buyer", "seller", "returned"))
-    shipped = dealt.select(F.explode(both_ways).alias("way")).select("way.*").where(F.col("airlines") > 0)
-
     def end(side: str) -> DataFrame:
         return people.select(
             F.col("id").alias(f"_{side}"), F.col("latitude").alias(f"_{side}_lat"), F.col("longitude").alias(f"_{side}_lon"),
         )
 
-    edges = shipped.join(end("src"), F.col("src") == F.col("_src")).join(end("dst"), F.col("dst") == F.col("_dst"))
+    def shipment(src: str, dst: str, lines_sent: str):
+        return F.struct(
+            F.col(src).alias("src"), F.col(dst).alias("dst"), F.col(lines_sent).alias("airlines"),
+            F.col(f"_{src}_lat").alias("_src_lat"), F.col(f"_{src}_lon").alias("_src_lon"),
+            F.col(f"_{dst}_lat").alias("_dst_lat"), F.col(f"_{dst}_lon").alias("_dst_lon"),
+        )
+
+    pairs = area.keep(dealt, "pairs")
+    placed = pairs.join(end("buyer"), F.col("buyer") == F.col("_buyer")).join(end("seller"), F.col("seller") == F.col("_seller"))
+    both_ways = F.array(shipment("seller", "buyer", "sent"), shipment("buyer", "seller", "returned"))
+    edges = placed.select(F.explode(both_ways).alias("way")).select("way.*").where(F.col("airlines") > 0)
     distance = haversine_km(F.col("_src_lat"), F.col("_src_lon"), F.col("_dst_lat"), F.col("_dst_lon"))
     return edges.select("src", "dst", distance.alias("distance_km"), "airlines")
 
 
 def shipments(spark: SparkSession, folder: str, reused: bool = False) -> Graph:
     people = traders(spark, folder)
-    return _connected(people, _shipment_edges(spark, folder, people), reused)
+    with working_area(spark) as area:
+        return _connected(people, _shipment_edges(spark, folder, people, area), reused)
 
 
 SHIPMENTS = f"""{AIRPORTS},

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from airlake.scratch import shuffles_freed
 from airlake.sinks.publish import publish
 
 
@@ -31,7 +32,8 @@ class RoundLog:
     def record(self, round_: int, state: DataFrame) -> DataFrame:
         """Keep a round's state and read it back; earlier states but the last go."""
         path = f"{self.folder}/round={round_}"
-        publish(self.spark, path, lambda staged: state.write.parquet(staged))
+        with shuffles_freed(self.spark):
+            publish(self.spark, path, lambda staged: state.write.parquet(staged))
         for old in self.rounds()[:-2]:
             hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/round={old}")
             hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)

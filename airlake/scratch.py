@@ -74,6 +74,25 @@ def sweep(spark: SparkSession) -> None:
         _delete(spark, path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Executions planned here remove their shuffle files when they end.
+
+    Else the files stay until the driver's garbage is collected, which may be never. For work whose result is written
+    and read from there; were a lost file asked for all the same, Spark would run its stage again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise a loop's state reliably and forget how it was computed.
 
@@ -81,14 +100,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     is set, as in ``airlake.session``.
     """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_freed(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, made with the setting
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def keep(df: DataFrame, label: str = "kept") -> DataFrame:
     """Write a result that is scanned several times and read it back as columns."""
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, new_path(df.sparkSession, label))
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -104,12 +128,21 @@ class WorkingArea:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths, self.tables = spark, [], []
+        self.latest: dict[str, str] = {}
 
     def keep(self, df: DataFrame, label: str = "kept") -> DataFrame:
         path = new_path(self.spark, label)
         self.paths.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return _write(df, path)
+
+    def keep_latest(self, df: DataFrame, label: str) -> DataFrame:
+        """A copy that takes the place of the last one of that label, which it may be made of."""
+        kept = self.keep(df, label)
+        old, self.latest[label] = self.latest.get(label), self.paths[-1]
+        if old:
+            self.paths.remove(old)
+            _delete(self.spark, old)
+        return kept
 
     def place(self, label: str) -> tuple[str, str]:
         """A table name and a path for it."""
@@ -127,10 +160,11 @@ class WorkingArea:
         """
         buckets = shuffle_width(self.spark)
         name, path = self.place(label)
-        (
-            (df if placed else df.repartition(buckets, *keys))
-            .write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
-        )
+        with shuffles_freed(self.spark):
+            (
+                (df if placed else df.repartition(buckets, *keys))
+                .write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+            )
         return self.spark.table(name)
 
     def remove(self) -> None:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -20,7 +21,8 @@ from airlake.graph.paths import (
     count_paths, count_stops, extreme_paths, half_walks, outermost_paths, path_counts, paths_up_to, promising, simple_paths,
     stop_counts,
 )
-from airlake.scratch import _record, sweep, working_area
+from airlake.rounds import RoundLog
+from airlake.scratch import _record, cut_lineage, new_path, sweep, working_area
 
 A, B = "{v}.country = 'A'", "{v}.country = 'B'"
 PATHS = {
@@ -329,6 +331,116 @@ def test_pagerank_ends_when_settled(spark, monkeypatch):
     assert len(cuts) == 3
 
 
+def shuffle_files(spark):
+    """The names of the shuffle files that are on this machine's disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").splitlines()
+    return {name.rsplit("/", 1)[-1] for name in files if "/shuffle_" in name}
+
+
+def gone(spark, before, seconds=20):
+    """Whether no shuffle files are left but those there before; Spark removes them a little later."""
+    end = time.monotonic() + seconds
+    while shuffle_files(spark) - before and time.monotonic() < end:
+        time.sleep(0.1)
+    return not shuffle_files(spark) - before
+
+
+@pytest.mark.parametrize("how", ["kept", "bucketed", "cut", "recorded"])
+def test_copies_leave_no_shuffle_files(spark, how):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(name, None)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    with working_area(spark) as area:
+        if how == "kept":
+            copy = area.keep(counts)
+        elif how == "bucketed":
+            copy = area.bucketed(counts, ["k"])
+        elif how == "cut":
+            copy = cut_lineage(counts)
+        else:
+            copy = RoundLog(spark, new_path(spark, "rounds")).record(1, counts)
+        assert gone(spark, before)
+        assert spark.conf.get(name, None) == setting
+        assert sorted(r.n for r in copy.collect()) == [142] + [143] * 6
+
+
+def test_the_latest_copy_takes_the_last_ones_place(spark):
+    from pathlib import Path
+
+    with working_area(spark) as area:
+        first = area.keep_latest(spark.range(3), "state")
+        path = Path(area.paths[-1])
+        assert path.exists()
+        second = area.keep_latest(first.select((F.col("id") + 1).alias("id")), "state")
+        assert not path.exists() and len(area.paths) == 1
+        assert pytest.tuples(second) == [(1,), (2,), (3,)]
+    assert not _record(spark)["paths"] & set(area.paths)
+
+
+@pytest.mark.parametrize("links_per_piece", [100_000, 2])
+def test_a_round_is_off_the_disk_before_the_next(spark, monkeypatch, links_per_piece):
+    """With ``write_rounds`` every state is written from one round, and no shuffle but that round's was ever there."""
+    import airlake.graph.pagerank as module
+    from airlake.scratch import WorkingArea
+
+    graph, pairs = random_graph(spark, 3)
+    before, seen = shuffle_files(spark), []
+
+    def rounds_in(df):
+        assert gone(spark, before)
+        seen.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+
+    latest, cut = WorkingArea.keep_latest, module.cut_lineage
+    monkeypatch.setattr(WorkingArea, "keep_latest", lambda self, df, label: rounds_in(df) or latest(self, df, label))
+    monkeypatch.setattr(module, "cut_lineage", lambda df: rounds_in(df) or cut(df))
+    got = {r.id: r.pagerank for r in pagerank(graph, 0.15, 7, 3, links_per_piece, write_rounds=True).collect()}
+    assert seen == [1] * 7
+    assert [got[i] for i in range(40)] == pytest.approx(brute_pagerank(40, pairs, 0.15, 7))
+
+
+def test_the_pagerank_query_writes_its_rounds(monkeypatch):
+    import airlake.plans.graphs as module
+    from airlake.plans.registry import QUERIES
+
+    asked = []
+    monkeypatch.setattr(module, "shipments", lambda *_, **__: None)
+    monkeypatch.setattr(module, "pagerank", lambda graph, **options: asked.append(options))
+    with pytest.raises(AttributeError):  # there is no result to select from
+        QUERIES["pagerank"](None, "")
+    assert asked == [{"write_rounds": True}]
+
+
+def test_shipments_look_up_ends_of_kept_pairs(spark, rows, tmp_path, monkeypatch):
+    """Missing, repeated and null keys give the rows of the SQL; the lines' join is done before the ends are joined."""
+    import airlake.plans.networks as module
+
+    tables = {
+        "region": ([(0, "R")], "r_regionkey INT, r_name STRING"),
+        "nation": ([(0, "A", 0), (1, "B", 0), (2, "C", 0)], "n_nationkey INT, n_name STRING, n_regionkey INT"),
+        "customer": ([(1, "c1", 0), (2, "c2", 1), (None, "c", 1)], "c_custkey BIGINT, c_name STRING, c_nationkey INT"),
+        "supplier": ([(1, "s1", 1), (1, "again", 2), (2, "s2", 0), (None, "s", 0)], "s_suppkey BIGINT, s_name STRING, s_nationkey INT"),
+        "orders": ([(1, 1), (2, 2), (3, 9), (4, None)], "o_orderkey BIGINT, o_custkey BIGINT"),
+        "lineitem": (
+            [(1, 1, "R"), (1, 1, "N"), (1, 2, "N"), (2, 2, "R"), (2, 2, "R"), (3, 1, "R"), (4, 1, "R"), (2, None, "R"), (2, 9, "R"), (2, 2, None)],
+            "l_orderkey BIGINT, l_suppkey BIGINT, l_returnflag STRING",
+        ),
+    }
+    for name, (data, schema) in tables.items():
+        rows(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    plans, real = [], module.keep
+    monkeypatch.setattr(module, "keep", lambda df, label: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, label))
+    before = set(_record(spark)["paths"])
+    graph = module.shipments(spark, str(tmp_path), reused=True)
+    assert "Join" in plans[0] and "Aggregate" not in plans[0]
+    assert len(set(_record(spark)["paths"]) - before) == 2  # edges and vertices; the pairs are gone
+    # Suppliers 3 (twice, of nations 1 and 2) and 5, customers 2 and 4.
+    found = sorted((r.src, r.dst, r.airlines) for r in graph.edges.collect())
+    assert found == [(2, 3, 1), (2, 3, 1), (3, 2, 2), (3, 2, 2), (4, 5, 2), (5, 2, 1), (5, 4, 3)]
+    far = {(r.src, r.dst, round(r.distance_km, 6)) for r in graph.edges.collect()}
+    assert len(far) == 7 and {(b, a, km) for a, b, km in far if (a, b) in ((2, 3), (4, 5))} <= far
+    assert sorted(r.id for r in graph.vertices.collect()) == [2, 3, 3, 4, 5]
+
+
 def test_ranks_are_handed_to_links_in_place(spark, monkeypatch, plan):
     """Without a source of several pieces a round has one shuffle, that of what the links hand on."""
     import airlake.graph.pagerank as module
